@@ -244,9 +244,9 @@ loc AS (
         "s8_cell_scan": _wide_select(day, cells),
         "s9_read_counter": f"""WITH t AS ({rollup_sql()}),
 c AS (
-  SELECT 'imooc-' || stat_key AS stat_key, 'total' AS field, total AS value FROM t
-  UNION ALL SELECT 'imooc-' || stat_key, 'success', success FROM t
-  UNION ALL SELECT 'imooc-' || stat_key, 'fee', fee FROM t)
+  SELECT 'order-' || stat_key AS stat_key, 'total' AS field, total AS value FROM t
+  UNION ALL SELECT 'order-' || stat_key, 'success', success FROM t
+  UNION ALL SELECT 'order-' || stat_key, 'fee', fee FROM t)
 SELECT * FROM c WHERE length(stat_key) = 14""",
         "p1_parse_access_log": recs + "SELECT ip, time, method, url, protocal, status, bytessent, referer, ua FROM ev",
         "p2_strip_quotes": recs + "SELECT method, protocal, referer FROM ev",
@@ -306,9 +306,9 @@ FROM conversations GROUP BY role""",
         "t4_order_rollup": rollup_sql(),
         "t5_stream_order_counters": rollup_sql(),
         "k6_counter_sink": f"""WITH t AS ({rollup_sql()})
-SELECT 'imooc-' || stat_key AS stat_key, 'total' AS field, total AS value FROM t
-UNION ALL SELECT 'imooc-' || stat_key, 'success', success FROM t
-UNION ALL SELECT 'imooc-' || stat_key, 'fee', fee FROM t""",
+SELECT 'order-' || stat_key AS stat_key, 'total' AS field, total AS value FROM t
+UNION ALL SELECT 'order-' || stat_key, 'success', success FROM t
+UNION ALL SELECT 'order-' || stat_key, 'fee', fee FROM t""",
     }
     q["a3_browser_counts_df"] = q["a2_browser_counts"]
     q["a4_browser_counts_sql"] = q["a2_browser_counts"]

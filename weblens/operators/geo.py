@@ -52,22 +52,40 @@ def check_disjoint(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
 
 
 def _broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    # The count is an action on a dimension whose size is already bounded by
-    # the explode (<= 2^16 + N rows); it decides broadcast vs shuffle join.
+    # an exact row count, taken only on a side whose size is already bounded
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def _range_join(df: DataFrame, ip_col: str, ranges: DataFrame, bits: int,
-                broadcast_max_rows: int) -> DataFrame:
-    b = _broadcast_if_small(bucket_ranges(ranges, bits), broadcast_max_rows)
+class RangeTable:
+    """A range dimension prepared for repeated lookups: the bucket explode,
+    the broadcast decision (one count of the exploded rows, taken once) and,
+    optionally, the disjointness check."""
+
+    def __init__(self, ranges: DataFrame, bits: int = BUCKET_BITS,
+                 broadcast_max_rows: int = BROADCAST_MAX_ROWS, validate: bool = False):
+        self.bits = bits
+        self.buckets = bucket_ranges(ranges, bits)
+        self.rows = self.buckets.count()
+        self.broadcast = self.rows <= broadcast_max_rows
+        if validate:
+            bad = check_disjoint(ranges, bits).limit(1).collect()
+            if bad:
+                raise ValueError(f"overlapping IP ranges, e.g. {bad[0].asDict()}")
+
+    def side(self) -> DataFrame:
+        return F.broadcast(self.buckets) if self.broadcast else self.buckets
+
+
+def _range_join(df: DataFrame, ip_col: str, table: RangeTable) -> DataFrame:
+    b = table.side()
     ip = F.col(ip_col)
-    probe = df.withColumn("_probe", F.shiftright(ip, bits))
+    probe = df.withColumn("_probe", F.shiftright(ip, table.bits))
     cond = ((probe["_probe"] == b["_bucket"])
             & (ip >= b["_begin"]) & (ip <= b["_end"]))
     return probe.join(b, cond, "left").drop("_probe", "_bucket")
 
 
-def locate(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_long", *,
+def locate(df: DataFrame, ranges: DataFrame | RangeTable, ip_col: str = "ip_long", *,
            bits: int = BUCKET_BITS, dedup: bool = False,
            broadcast_max_rows: int = BROADCAST_MAX_ROWS,
            not_found: tuple[str, str] = (NOT_FOUND_COUNTRY, NOT_FOUND_AREA),
@@ -78,8 +96,11 @@ def locate(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_long", *,
     A null address gives null location; an address outside every range gets
     the ``not_found`` texts. ``dedup=True`` looks up each distinct address
     once and joins the answers back (J3) - worthwhile when addresses repeat
-    heavily and the distinct set is small enough to broadcast back."""
+    heavily and the distinct set is small enough to broadcast back.
+    Pass a ``RangeTable`` to reuse one prepared dimension across lookups."""
     ip = F.col(ip_col)
+    table = (ranges if isinstance(ranges, RangeTable)
+             else RangeTable(ranges, bits, broadcast_max_rows))
 
     def finish(joined: DataFrame) -> DataFrame:
         hit = F.col("_begin").isNotNull()
@@ -94,10 +115,10 @@ def locate(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_long", *,
         return out.drop("_begin", "_end", "_country", "_area")
 
     if not dedup:
-        return finish(_range_join(df, ip_col, ranges, bits, broadcast_max_rows))
+        return finish(_range_join(df, ip_col, table))
 
     keys = df.select(ip).where(ip.isNotNull()).distinct()
-    answers = finish(_range_join(keys, ip_col, ranges, bits, broadcast_max_rows))
+    answers = finish(_range_join(keys, ip_col, table))
     answers = _broadcast_if_small(answers, broadcast_max_rows)
     return df.join(answers, on=ip_col, how="left")
 

@@ -16,9 +16,9 @@ ORDER_DDL = ("time STRING, userid STRING, courseid STRING, fee STRING, "
              "flag STRING, orderid STRING")
 ORDER_FIELDS = ["time", "userid", "courseid", "fee", "flag", "orderid"]
 # Counter key prefixes and fields of the original sinks.
-COUNT_PREFIX = "imoocOrderCount-"
-FEE_PREFIX = "imoocOrderFee-"
-HASH_PREFIX = "imooc-"
+COUNT_PREFIX = "orderCount-"
+FEE_PREFIX = "orderFee-"
+HASH_PREFIX = "order-"
 COUNTER_FIELDS = ["total", "success", "fee"]
 
 
