@@ -71,44 +71,70 @@ def _rule_list(rules) -> list[tuple]:
     return sorted(rules, key=lambda r: (r[0], r[1], r[2]))
 
 
-def _chain(ua: Column, rules: list[tuple], version: bool) -> Column:
+def _match_index(ua: Column, rules: list[tuple]) -> Column:
+    """0-based index of the first rule whose pattern matches (null: none)."""
     out = None
-    for _, _, pattern, name, group in rules:
-        if version:
-            value = (F.lit(UNKNOWN) if not group else
-                     F.nullif(F.regexp_extract(ua, pattern, group), F.lit("")))
-        else:
-            value = F.lit(name)
-        cond = ua.rlike(pattern)
-        out = F.when(cond, value) if out is None else out.when(cond, value)
-    if out is None:
+    for i, rule in enumerate(rules):
+        cond = ua.rlike(rule[2])
+        out = F.when(cond, F.lit(i)) if out is None else out.when(cond, F.lit(i))
+    return F.lit(None).cast("int") if out is None else out
+
+
+def _name(idx: Column, rules: list[tuple]) -> Column:
+    if not rules:
         return F.lit(UNKNOWN)
-    return F.coalesce(out.otherwise(F.lit(UNKNOWN)), F.lit(UNKNOWN))
+    names = F.array(*[F.lit(r[3]) for r in rules])
+    # guard the null index explicitly: element_at over a literal array
+    # returned the last element for a null index in a probe
+    return F.when(idx.isNull(), F.lit(UNKNOWN)).otherwise(F.element_at(names, idx + 1))
+
+
+def _version(ua: Column, idx: Column, rules: list[tuple]) -> Column:
+    # only the matched rule's pattern is evaluated again, for its group
+    out = None
+    for i, (_, _, pattern, _, group) in enumerate(rules):
+        if not group:
+            continue
+        value = F.nullif(F.regexp_extract(ua, pattern, group), F.lit(""))
+        out = F.when(idx == i, value) if out is None else out.when(idx == i, value)
+    return F.lit(UNKNOWN) if out is None else F.coalesce(out, F.lit(UNKNOWN))
 
 
-def classify_columns(ua: Column, rules=None) -> dict[str, Column]:
-    """The four output columns for the agent text ``ua``."""
+def _split(rules) -> tuple[list[tuple], list[tuple]]:
     rs = _rule_list(rules)
-    browser = [r for r in rs if r[1] in ("browser", "robot")]
-    system = [r for r in rs if r[1] == "os"]
+    return ([r for r in rs if r[1] in ("browser", "robot")], [r for r in rs if r[1] == "os"])
+
+
+def _index_columns(ua: Column, browser, system) -> dict[str, Column]:
+    return {"_ua_b": _match_index(ua, browser), "_ua_o": _match_index(ua, system)}
+
+
+def _output_columns(ua: Column, browser, system) -> dict[str, Column]:
+    b, o = F.col("_ua_b"), F.col("_ua_o")
     present = is_not_empty(ua)
     cols = {
-        "browsername": _chain(ua, browser, False),
-        "browserversion": _chain(ua, browser, True),
-        "osname": _chain(ua, system, False),
-        "osversion": _chain(ua, system, True),
+        "browsername": _name(b, browser),
+        "browserversion": _version(ua, b, browser),
+        "osname": _name(o, system),
+        "osversion": _version(ua, o, system),
     }
     return {k: F.when(present, v) for k, v in cols.items()}
 
 
+def _classified(df: DataFrame, ua: Column, rules) -> DataFrame:
+    browser, system = _split(rules)
+    staged = df.withColumns(_index_columns(ua, browser, system))
+    return staged.withColumns(_output_columns(ua, browser, system)).drop("_ua_b", "_ua_o")
+
+
 def classify(df: DataFrame, rules=None, ua_col: str = "ua", *, dedup: bool = False,
              broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Add ``browsername, browserversion, osname, osversion``."""
     ua = F.col(ua_col)
     if not dedup:
-        return df.withColumns(classify_columns(ua, rules))
+        return _classified(df, ua, rules)
     distinct = df.select(ua).where(ua.isNotNull()).distinct()
-    answers = distinct.withColumns(classify_columns(ua, rules))
+    answers = _classified(distinct, ua, rules)
     if answers.count() <= broadcast_max_rows:
         answers = F.broadcast(answers)
     return df.join(answers, on=ua_col, how="left")
