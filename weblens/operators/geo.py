@@ -31,12 +31,18 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def bucket_ranges(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
-    """One row per (range, bucket it overlaps)."""
+    """One row per (range, bucket it overlaps).
+
+    The region of a range depends only on its location text, so it is
+    normalised here, once per range, instead of once per looked-up row."""
+    region = normalize_region(F.col("country"))
     return ranges.select(
         F.explode(F.sequence(F.shiftright("begin_ip", bits),
                              F.shiftright("end_ip", bits))).alias("_bucket"),
         F.col("begin_ip").alias("_begin"), F.col("end_ip").alias("_end"),
-        F.col("country").alias("_country"), F.col("area").alias("_area"))
+        F.col("country").alias("_country"), F.col("area").alias("_area"),
+        region["country"].alias("_r_country"), region["province"].alias("_r_province"),
+        region["city"].alias("_r_city"))
 
 
 def check_disjoint(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
@@ -89,7 +95,7 @@ def locate(df: DataFrame, ranges: DataFrame | RangeTable, ip_col: str = "ip_long
            bits: int = BUCKET_BITS, dedup: bool = False,
            broadcast_max_rows: int = BROADCAST_MAX_ROWS,
            not_found: tuple[str, str] = (NOT_FOUND_COUNTRY, NOT_FOUND_AREA),
-           keep_range: bool = False) -> DataFrame:
+           keep_range: bool = False, with_region: bool = False) -> DataFrame:
     """Add ``geo_country, geo_area`` (and optionally ``range_begin/range_end``)
     for the numeric address in ``ip_col`` (J1).
 
@@ -97,7 +103,10 @@ def locate(df: DataFrame, ranges: DataFrame | RangeTable, ip_col: str = "ip_long
     the ``not_found`` texts. ``dedup=True`` looks up each distinct address
     once and joins the answers back (J3) - worthwhile when addresses repeat
     heavily and the distinct set is small enough to broadcast back.
-    Pass a ``RangeTable`` to reuse one prepared dimension across lookups."""
+    Pass a ``RangeTable`` to reuse one prepared dimension across lookups.
+    ``with_region`` also adds ``region_country/province/city`` (P11) taken
+    from the prepared dimension (a miss gets the region of the not-found
+    text, folded to a constant by the optimizer)."""
     ip = F.col(ip_col)
     table = (ranges if isinstance(ranges, RangeTable)
              else RangeTable(ranges, bits, broadcast_max_rows))
@@ -110,9 +119,14 @@ def locate(df: DataFrame, ranges: DataFrame | RangeTable, ip_col: str = "ip_long
         ).withColumn(
             "geo_area", F.when(ip.isNull(), None).when(hit, F.col("_area"))
             .otherwise(F.lit(not_found[1])))
+        if with_region:
+            miss = normalize_region(F.lit(not_found[0]))
+            out = out.withColumns({
+                f"region_{k}": F.when(ip.isNull(), None).when(hit, F.col(f"_r_{k}"))
+                .otherwise(miss[k]) for k in ("country", "province", "city")})
         if keep_range:
             out = out.withColumnRenamed("_begin", "range_begin").withColumnRenamed("_end", "range_end")
-        return out.drop("_begin", "_end", "_country", "_area")
+        return out.drop("_begin", "_end", "_country", "_area", "_r_country", "_r_province", "_r_city")
 
     if not dedup:
         return finish(_range_join(df, ip_col, table))
@@ -150,14 +164,13 @@ def enrich_geo(df: DataFrame, ranges: DataFrame, ip_text: str = "ip", *,
     becomes ``unknown`` (P7), as the ETL does."""
     text = F.col(ip_text)
     with_ip = df.withColumn("_ip_long", F.when(is_not_blank(text), ip_to_long(text)))
-    located = locate(with_ip, ranges, "_ip_long", **kw)
-    region = normalize_region(F.col("geo_country"))
-    cols = {"country": region["country"], "province": region["province"], "city": region["city"]}
+    located = locate(with_ip, ranges, "_ip_long", with_region=True, **kw)
     # a null address means the lookup was skipped: all three stay null
-    cols = {k: F.when(F.col("_ip_long").isNotNull(), v) for k, v in cols.items()}
+    cols = {k: F.col(f"region_{k}") for k in ("country", "province", "city")}
     if fill:
         cols = {k: F.coalesce(v, F.lit(UNKNOWN)) for k, v in cols.items()}
-    return located.withColumns(cols).drop("_ip_long", "geo_country", "geo_area")
+    return located.withColumns(cols).drop(
+        "_ip_long", "geo_country", "geo_area", "region_country", "region_province", "region_city")
 
 
 def locate_address(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_long", **kw) -> DataFrame:
