@@ -305,6 +305,9 @@ FROM conversations GROUP BY role""",
                          "CAST(sum(fee_paid) AS BIGINT) AS paid_fee FROM om GROUP BY day",
         "t4_order_rollup": rollup_sql(),
         "t5_stream_order_counters": rollup_sql(),
+        "k5_daily_counters": f"""WITH t AS ({rollup_sql()})
+SELECT 'orderCount-' || stat_key AS stat_key, success AS value FROM t WHERE length(stat_key) = 8
+UNION ALL SELECT 'orderFee-' || stat_key, fee FROM t WHERE length(stat_key) = 8""",
         "k6_counter_sink": f"""WITH t AS ({rollup_sql()})
 SELECT 'order-' || stat_key AS stat_key, 'total' AS field, total AS value FROM t
 UNION ALL SELECT 'order-' || stat_key, 'success', success FROM t

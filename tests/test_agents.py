@@ -50,3 +50,17 @@ def test_no_python_udf_in_plan(spark):
     plan = agents.classify(df)._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert rows(agents.default_rules(spark))[0][0] == 10
+
+
+def test_load_rules_from_json(spark, tmp_path):
+    import json
+
+    from weblens.sources.files import load_rules
+    path = tmp_path / "rules.json"
+    path.write_text("\n".join(json.dumps(dict(zip(
+        ["priority", "kind", "pattern", "name", "version_group"], r))) for r in agents.DEFAULT_RULES))
+    loaded = load_rules(spark, str(path))
+    assert loaded.count() == len(agents.DEFAULT_RULES)
+    df = spark.createDataFrame([("curl/7.64.1",)], "ua string")
+    r = agents.classify(df, loaded).first()
+    assert (r.browsername, r.browserversion) == ("curl", "7.64.1")

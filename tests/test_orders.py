@@ -61,3 +61,13 @@ def test_encode_parse_round_trip(spark):
     assert rows(again, *cols) == rows(parsed, *cols)
     first = o.encode_orders(parsed.where("orderid = 'a'")).first()[0]
     assert json.loads(first) == json.loads(HAND[0])
+
+
+def test_quality_observation(spark):
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    obs = Observation("q")
+    df = _orders(spark)
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).collect()
+    assert obs.get["rows"] == len(HAND)
+    o.order_rollup(o.observe_quality(df)).collect()  # runs with the observation attached

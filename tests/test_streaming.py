@@ -67,3 +67,18 @@ def test_watermark_option_runs(spark, tmp_path):
                                trigger={"availableNow": True}, watermark="3650 days")
     q.awaitTermination()
     assert rows(s.read_totals(spark, str(tmp_path / "out"))) == _batch_totals(spark, _messages(spark))
+
+
+def test_stream_reports_quality_metrics(spark, tmp_path):
+    src = str(tmp_path / "src")
+    bad = spark.createDataFrame([('{"time": "2019", "flag": "1", "fee": "1"}',),
+                                 ('{"time": "20190130101010", "flag": "1", "fee": "x"}',),
+                                 ("not json",)], "value string")
+    bad.write.text(src)
+    q = s.start_order_counters(s.read_messages(spark, "text", path=src), str(tmp_path / "o"),
+                               str(tmp_path / "c"), trigger={"availableNow": True})
+    q.awaitTermination()
+    metrics = [p["observedMetrics"].get("order_quality") for p in q.recentProgress
+               if p.get("observedMetrics")]
+    assert metrics and metrics[0]["rows"] == 3
+    assert metrics[0]["bad_time"] == 2 and metrics[0]["bad_fee"] == 1

@@ -65,6 +65,18 @@ def daily_paid(orders: DataFrame) -> DataFrame:
                                 F.sum("fee_paid").alias("paid_fee"))
 
 
+def observe_quality(orders: DataFrame, name: str = "order_quality") -> DataFrame:
+    """Attach counters of unusable input (Q14, Q15) to the plan with
+    ``observe``: rows, rows without a usable time, paid rows without a usable
+    fee. They are computed in the same pass and read from the query's
+    progress (stream) or ``Observation`` (batch); no extra job."""
+    paid = F.coalesce(F.col("flag") == F.lit("1"), F.lit(False))
+    return orders.observe(
+        name, F.count(F.lit(1)).alias("rows"),
+        F.sum((~F.col("valid")).cast("long")).alias("bad_time"),
+        F.sum((paid & F.col("fee_long").isNull() & F.col("valid")).cast("long")).alias("bad_fee"))
+
+
 def stat_keys(orders: DataFrame) -> DataFrame:
     """One row per (order, level): the day key and the day+hour key, so both
     levels come out of a single aggregation (and a single state store)."""
@@ -88,7 +100,7 @@ def counters(rollup: DataFrame, prefix: str = HASH_PREFIX) -> DataFrame:
                           "field", F.col("value").cast("long").alias("value")))
 
 
-def encode_orders(orders: DataFrame) -> DataFrame:
+def encode_orders(orders: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Fields -> JSON message text ``value`` (P21), fields as JSON strings."""
     fields = F.struct(*[F.col(f).cast("string").alias(f) for f in ORDER_FIELDS])
-    return orders.select(F.to_json(fields).alias("value"))
+    return orders.select(*(keep or []), F.to_json(fields).alias("value"))

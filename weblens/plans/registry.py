@@ -282,6 +282,11 @@ def t5_stream_order_counters(spark, sf_dir):
     return run_order_counters_from_events(spark, sf_dir)
 
 
+def k5_daily_counters(spark, sf_dir):
+    from ..streaming.orders import daily_counters, run_order_counters_from_events
+    return daily_counters(run_order_counters_from_events(spark, sf_dir))
+
+
 def k6_counter_sink(spark, sf_dir):
     from ..streaming.orders import counter_table, run_order_counters_from_events
     return counter_table(run_order_counters_from_events(spark, sf_dir))

@@ -107,13 +107,14 @@ def ip_ranges(nation: DataFrame) -> DataFrame:
 def order_messages(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One JSON order message (column ``value``) per event; every field is a
     JSON string, as the producer sends them."""
-    k = F.get_json_object("props", "$.k")
-    fields = F.struct(
+    from ..operators.orders import encode_orders
+    fields = events.select(
+        *(keep or []),
         F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyyMMddHHmmss").alias("time"),
         F.col("user_id").cast("string").alias("userid"),
-        k.alias("courseid"),
+        F.get_json_object("props", "$.k").alias("courseid"),
         F.floor(F.col("value")).cast("long").cast("string").alias("fee"),
         F.when(F.col("event_type") == "purchase", F.lit("1")).otherwise(F.lit("0")).alias("flag"),
         F.col("event_id").cast("string").alias("orderid"),
     )
-    return events.select(*(keep or []), F.to_json(fields).alias("value"))
+    return encode_orders(fields, keep)

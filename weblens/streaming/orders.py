@@ -46,7 +46,7 @@ def read_messages(spark: SparkSession, fmt: str, options: dict[str, str] | None
 def running_totals(messages: DataFrame, watermark: str | None = None) -> DataFrame:
     """Messages -> running ``total, success, fee`` per day and day+hour key
     (T4 on a stream). One stateful aggregation serves both levels."""
-    parsed = o.parse_orders(messages)
+    parsed = o.observe_quality(o.parse_orders(messages))
     keyed = o.stat_keys(parsed)
     if watermark:
         # optional bound on state: drop keys older than the watermark
