@@ -71,11 +71,37 @@ def _rule_list(rules) -> list[tuple]:
     return sorted(rules, key=lambda r: (r[0], r[1], r[2]))
 
 
+_META = set("\\.^$|?*+()[]{}")
+_QUANTIFIERS = set("?*+{")
+
+
+def literal_prefix(pattern: str) -> str | None:
+    """The literal text every match of ``pattern`` starts with, if the
+    pattern begins with at least two plain characters (no alternation)."""
+    if "|" in pattern:
+        return None
+    out = []
+    for ch in pattern:
+        if ch in _META:
+            if ch in _QUANTIFIERS and out:
+                out.pop()  # the quantifier makes the previous char optional
+            break
+        out.append(ch)
+    return "".join(out) if len(out) >= 2 else None
+
+
+def _matches(ua: Column, pattern: str) -> Column:
+    # a substring test first: cheap, and false for most rules on most rows
+    prefix = literal_prefix(pattern)
+    test = ua.rlike(pattern)
+    return test if prefix is None else (ua.contains(prefix) & test)
+
+
 def _match_index(ua: Column, rules: list[tuple]) -> Column:
     """0-based index of the first rule whose pattern matches (null: none)."""
     out = None
     for i, rule in enumerate(rules):
-        cond = ua.rlike(rule[2])
+        cond = _matches(ua, rule[2])
         out = F.when(cond, F.lit(i)) if out is None else out.when(cond, F.lit(i))
     return F.lit(None).cast("int") if out is None else out
 
