@@ -34,7 +34,15 @@ def build_session(master: str | None = None, app: str = "weblens",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # The ETL fuses parsing, the rule CASE chains and the range-join probe
+        # into one stage; past this bytecode size Spark compiles the stage's
+        # expressions separately instead of one method the JIT would skip.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
+    if master and master.startswith("local"):
+        # local mode: the driver JVM runs the tasks; let the JIT compile large
+        # generated methods (on a cluster set this in the executor options)
+        conf["spark.driver.extraJavaOptions"] = "-XX:-DontCompileHugeMethods"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
