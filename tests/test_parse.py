@@ -84,3 +84,13 @@ def test_blank_and_empty(spark):
     df = spark.createDataFrame([(None,), ("",), ("  \t",), (" x ",)], "s string")
     got = df.select(is_not_blank("s"), is_not_empty("s")).collect()
     assert [tuple(r) for r in got] == [(False, False), (False, False), (False, True), (True, True)]
+
+
+def test_read_day_glob(spark, tmp_path):
+    from weblens.sources.files import read_access_log
+    for day, n in (("20190130", 2), ("20190131", 1)):
+        folder = tmp_path / "access" / day
+        folder.mkdir(parents=True)
+        (folder / "part-0.log").write_text("\n".join(LINES[:n]) + "\n")
+    assert read_access_log(spark, str(tmp_path / "access" / "20190130" / "*")).count() == 2
+    assert read_access_log(spark, str(tmp_path / "access" / "*" / "*")).count() == 3
