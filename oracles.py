@@ -67,6 +67,18 @@ def ranges_cte() -> str:
   FROM nation)"""
 
 
+def dense_ranges_cte() -> str:
+    k = "CAST(o_orderkey AS BIGINT)"
+    stride = "CAST(floor(4294967296 / ((SELECT max(o_orderkey) FROM orders) + 1)) AS BIGINT)"
+    return f"""rg AS (
+  SELECT {k} * {stride} AS begin_ip,
+         CAST({k} * {stride} + {stride} - 1
+           - CASE WHEN {k} % 7 = 0 THEN floor({stride} / 4) ELSE 0 END AS BIGINT) AS end_ip,
+         {_list(d.RANGE_COUNTRIES)}[({k} % {len(d.RANGE_COUNTRIES)}) + 1] AS country,
+         o_orderpriority AS area
+  FROM orders)"""
+
+
 def region_sql(c: str) -> dict[str, str]:
     """The region rules as three CASE expressions over text ``c``."""
     n = f"length({c})"
@@ -233,7 +245,13 @@ loc AS (
          CASE WHEN r.begin_ip IS NULL THEN '未知地区' ELSE r.area END AS geo_area
   FROM ev s LEFT JOIN rg r ON s.ip_long BETWEEN r.begin_ip AND r.end_ip)
 """
+    dense = f"""WITH {ev}, {dense_ranges_cte()}
+SELECT s.ip_long, r.begin_ip AS range_begin, r.end_ip AS range_end,
+       CASE WHEN r.begin_ip IS NULL THEN '未知国家' ELSE r.country END AS geo_country,
+       CASE WHEN r.begin_ip IS NULL THEN '未知地区' ELSE r.area END AS geo_area
+FROM ev s LEFT JOIN rg r ON s.ip_long BETWEEN r.begin_ip AND r.end_ip"""
     q = {
+        "j1_dense_range_join": dense,
         "s1_read_access_log": recs + f"SELECT {lines_select()} AS value FROM ev",
         "s3_widetable_scan": _wide_select(day, "SELECT country, province, browsername FROM wide"),
         "s5_load_ranges": f"WITH {ranges_cte()} SELECT begin_ip, end_ip, country, area FROM rg",

@@ -57,23 +57,26 @@ def time_field(tokens: Column) -> Column:
     return F.concat_ws(" ", F.get(tokens, 3), F.get(tokens, 4))
 
 
-def format_time(time_col, tz: str | None = None) -> Column:
-    """``[dd/MMM/yyyy:HH:mm:ss Z]`` -> ``yyyyMMddHHmm`` (P5).
-
-    The zone offset in the text is honoured; the minute is rendered in
-    ``tz`` (default: the session time zone). Unparsable text gives null."""
+def event_time(time_col) -> Column:
+    """The parsed instant of the bracketed time (TIMESTAMP); the zone offset
+    in the text is honoured. Unparsable text gives null."""
     inner = F.regexp_extract(_col(time_col), r"\[(.*)\]", 1)
-    instant = F.try_to_timestamp(inner, F.lit(LOG_TIME_PATTERN))
+    return F.try_to_timestamp(inner, F.lit(LOG_TIME_PATTERN))
+
+
+def minute_of(instant, tz: str | None = None) -> Column:
+    """An instant rendered as ``yyyyMMddHHmm`` in ``tz`` (default: the
+    session time zone)."""
+    instant = _col(instant)
     if tz is None:
         return F.date_format(instant, MINUTE_PATTERN)
     wall = F.convert_timezone(None, F.lit(tz), instant.cast("timestamp_ntz"))
     return F.date_format(wall, MINUTE_PATTERN)
 
 
-def event_time(time_col) -> Column:
-    """The parsed instant of the bracketed time (TIMESTAMP), for ordering."""
-    inner = F.regexp_extract(_col(time_col), r"\[(.*)\]", 1)
-    return F.try_to_timestamp(inner, F.lit(LOG_TIME_PATTERN))
+def format_time(time_col, tz: str | None = None) -> Column:
+    """``[dd/MMM/yyyy:HH:mm:ss Z]`` -> ``yyyyMMddHHmm`` (P5)."""
+    return minute_of(event_time(time_col), tz)
 
 
 def parse_access_log(df: DataFrame, line_col: str = "value",

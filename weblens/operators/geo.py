@@ -162,8 +162,8 @@ def enrich_geo(df: DataFrame, ranges: DataFrame, ip_text: str = "ip", *,
 
     Blank or invalid addresses skip the lookup; with ``fill`` every null
     becomes ``unknown`` (P7), as the ETL does."""
-    text = F.col(ip_text)
-    with_ip = df.withColumn("_ip_long", F.when(is_not_blank(text), ip_to_long(text)))
+    # blank or malformed text has no dotted form, so ip_to_long gives null
+    with_ip = df.withColumn("_ip_long", ip_to_long(F.col(ip_text)))
     located = locate(with_ip, ranges, "_ip_long", with_region=True, **kw)
     # a null address means the lookup was skipped: all three stay null
     cols = {k: F.col(f"region_{k}") for k in ("country", "province", "city")}

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parse import event_time, format_time, rowkey
+from ..functions.parse import event_time, minute_of, rowkey
 
 FAMILY = "o"
 UNKNOWN = "unknown"
@@ -49,9 +49,10 @@ def to_wide(enriched: DataFrame, day: str, tz: str | None = None) -> DataFrame:
     Adds ``formattime`` and the ``rowkey``; keeps ``event_ts`` (the parsed
     instant) for the last-write-wins choice; ``ua`` and raw ``time`` are not
     stored, as in the original."""
-    with_time = enriched.withColumns({
-        "formattime": format_time("time", tz),
-        "event_ts": event_time("time"),
+    # the time text is parsed once; the minute is rendered from the instant
+    parsed = enriched.withColumn("event_ts", event_time("time"))
+    with_time = parsed.withColumns({
+        "formattime": minute_of("event_ts", tz),
         "rowkey": rowkey(day),
     })
     return fill_unknown(with_time).select("rowkey", *WIDE_COLUMNS, "event_ts",

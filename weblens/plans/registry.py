@@ -182,6 +182,11 @@ def j1_ip_range_join(spark, sf_dir):
     return geo.locate(_ips(spark, sf_dir), _ranges(spark, sf_dir), keep_range=True)
 
 
+def j1_dense_range_join(spark, sf_dir):
+    dense = d.dense_ip_ranges(d.read_table(spark, sf_dir, "orders"))
+    return geo.locate(_ips(spark, sf_dir), dense, keep_range=True)
+
+
 def j2_rule_match_distinct(spark, sf_dir):
     rec = _records(spark, sf_dir)
     return agents.classify(rec, None, "ua", dedup=True).select("ua", *agents.UA_COLUMNS)
