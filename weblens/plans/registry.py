@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ip as ipf
-from ..functions.parse import (format_time, is_not_blank, is_not_empty, parse_access_log,
-                               rowkey, split_rejects)
+from ..functions.parse import format_time, is_not_blank, is_not_empty, rowkey
 from ..operators import agents, analytics, geo, orders, widetable
 from ..session import scratch_path
 from ..sinks import tables
