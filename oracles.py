@@ -256,9 +256,8 @@ FROM ev s LEFT JOIN rg r ON s.ip_long BETWEEN r.begin_ip AND r.end_ip"""
         "s3_widetable_scan": _wide_select(day, "SELECT country, province, browsername FROM wide"),
         "s5_load_ranges": f"WITH {ranges_cte()} SELECT begin_ip, end_ip, country, area FROM rg",
         "s7_get_by_rowkey": _wide_select(
-            day, f"SELECT DISTINCT w.rowkey, {', '.join('w.' + c for c in WIDE_COLUMNS)}, "
-                 f"'{day}' AS day FROM wide w JOIN enriched e ON w.rowkey = e.rowkey "
-                 "WHERE starts_with(e.url, '/signup/')"),
+            day, f"SELECT w.rowkey, {', '.join('w.' + c for c in WIDE_COLUMNS)}, "
+                 f"'{day}' AS day FROM wide w WHERE w.rowkey IN (SELECT rowkey FROM enriched)"),
         "s8_cell_scan": _wide_select(day, cells),
         "s9_read_counter": f"""WITH t AS ({rollup_sql()}),
 c AS (

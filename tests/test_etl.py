@@ -40,3 +40,18 @@ def test_etl_hand_cases(spark):
     assert (miss.country, miss.province) == ("未知国家", "unknown")
     assert set(wt.WIDE_COLUMNS) <= set(wide.columns)
     assert all(getattr(r, c) is not None for r in got.values() for c in wt.WIDE_COLUMNS)
+
+
+def test_run_etl_day_glob(spark, tmp_path):
+    from weblens.operators import widetable
+    folder = tmp_path / "access" / "20190130"
+    folder.mkdir(parents=True)
+    (folder / "a.log").write_text(line("110.85.18.234", "30/Jan/2019:00:00:21 +0800", "/a", 200, 1, "-", UA_A) + "\n")
+    (folder / "b.log").write_text(line("8.8.8.8", "30/Jan/2019:00:00:22 +0800", "/b", 200, 1, "-", UA_B) + "\n")
+    ranges = spark.createDataFrame(RANGES, "begin_ip long, end_ip long, country string, area string")
+    out = str(tmp_path / "wide")
+    etl.run_etl(spark, str(folder / "*"), ranges, out, "20190130", tz="UTC")
+    etl.run_etl(spark, str(folder / "*"), ranges, out, "20190130", tz="UTC")  # rerun: same result
+    got = widetable.scan(spark, out, "20190130", ["country", "browsername"])
+    assert sorted((r.country, r.browsername) for r in got.collect()) == [
+        ("中国", "Sogou Explorer"), ("未知国家", "CFNetwork")]

@@ -82,3 +82,15 @@ def test_stream_reports_quality_metrics(spark, tmp_path):
                if p.get("observedMetrics")]
     assert metrics and metrics[0]["rows"] == 3
     assert metrics[0]["bad_time"] == 2 and metrics[0]["bad_fee"] == 1
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    src = str(tmp_path / "src")
+    _messages(spark).write.text(src)
+    q = s.start_order_counters(s.read_messages(spark, "text", path=src), str(tmp_path / "o"),
+                               str(tmp_path / "c"), trigger={"processingTime": "1 second"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert rows(s.read_totals(spark, str(tmp_path / "o"))) == _batch_totals(spark, _messages(spark))

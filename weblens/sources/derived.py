@@ -109,12 +109,14 @@ def dense_ip_ranges(orders: DataFrame) -> DataFrame:
     order key (with a gap after every 7th range): a range table as dense as a
     real IP database, whose size grows with the tables. The stride comes from
     a scalar subquery over the same table (no join)."""
-    k = F.col("o_orderkey").cast("long")
     span = orders.select((F.max("o_orderkey").cast("long") + 1).alias("n")).scalar()
-    stride = F.floor(F.lit(1 << 32) / span).cast("long")
+    # the stride is projected once, so the scalar subquery is planned once
+    staged = orders.select(F.col("o_orderkey").cast("long").alias("_k"), "o_orderpriority",
+                           F.floor(F.lit(1 << 32) / span).cast("long").alias("_stride"))
+    k, stride = F.col("_k"), F.col("_stride")
     begin = k * stride
     end = begin + stride - 1 - F.when(F.pmod(k, F.lit(7)) == 0, F.floor(stride / 4)).otherwise(0)
-    return orders.select(begin.alias("begin_ip"), end.cast("long").alias("end_ip"),
+    return staged.select(begin.alias("begin_ip"), end.cast("long").alias("end_ip"),
                          _pick(RANGE_COUNTRIES, F.pmod(k, F.lit(len(RANGE_COUNTRIES)))).alias("country"),
                          F.col("o_orderpriority").alias("area"))
 
