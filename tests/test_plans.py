@@ -22,3 +22,36 @@ def test_scans_are_pruned(spark):
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint>" in plan
     top = _plan(registry.a1_top_regions(spark, SF_SMALL))
     assert "TakeOrderedAndProject" in top
+
+
+def _partial_before_exchange(plan: str, fn: str) -> bool:
+    """True when a partial aggregate of ``fn`` sits below the first exchange."""
+    lines = plan.splitlines()
+    ex = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+    part = [i for i, ln in enumerate(lines) if f"partial_{fn}" in ln]
+    return bool(ex) and bool(part) and min(part) > min(ex)  # deeper in the tree = later line
+
+
+def test_hot_keys_are_reduced_map_side(spark):
+    # a key holding a third of all rows must be combined before the shuffle
+    assert _partial_before_exchange(_plan(registry.a5_upsert_latest(spark, SF_SMALL)), "max")
+    assert _partial_before_exchange(_plan(registry.t4_order_rollup(spark, SF_SMALL)), "sum")
+    assert _partial_before_exchange(_plan(registry.a2_browser_counts(spark, SF_SMALL)), "count")
+
+
+def test_fallback_paths_without_broadcast(spark):
+    from pyspark.sql import functions as F
+
+    from weblens.operators import agents, geo
+    from weblens.sources import derived as d
+    ev = d.read_table(spark, SF_SMALL, "events")
+    ips = ev.select(d.event_ip().alias("ip_long"))
+    rg = d.ip_ranges(d.read_table(spark, SF_SMALL, "nation"))
+    small = geo.locate(ips, rg, dedup=True)
+    big = geo.locate(ips, rg, dedup=True, broadcast_max_rows=0)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    assert "NestedLoopJoin" not in _plan(big)
+    uas = d.access_lines(ev).select(F.get(F.split("value", '"'), 7).alias("ua"))
+    a = agents.classify(uas, dedup=True, broadcast_max_rows=0)
+    b = agents.classify(uas)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
