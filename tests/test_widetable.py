@@ -62,13 +62,13 @@ def test_sorted_cells_and_get(spark):
 def test_multi_family_put_and_latest(spark, tmp_path):
     # one key, two families, as a column-family store test would write
     put = spark.createDataFrame(
-        [("zhc", "info", "age", "18", 1), ("zhc", "info", "birthday", "1992-11-02", 1),
-         ("zhc", "info", "company", "ACME", 1), ("zhc", "address", "country", "CN", 1),
-         ("zhc", "address", "province", "NMG", 1), ("zhc", "address", "city", "TL", 1)],
+        [("user1", "info", "age", "18", 1), ("user1", "info", "birthday", "1992-11-02", 1),
+         ("user1", "info", "company", "ACME", 1), ("user1", "address", "country", "CN", 1),
+         ("user1", "address", "province", "NMG", 1), ("user1", "address", "city", "TL", 1)],
         wt.CELL_SCHEMA)
     path = str(tmp_path / "cells")
     wt.put_cells(put, path)
-    wt.put_cells(spark.createDataFrame([("zhc", "info", "age", "19", 2)], wt.CELL_SCHEMA), path)
+    wt.put_cells(spark.createDataFrame([("user1", "info", "age", "19", 2)], wt.CELL_SCHEMA), path)
     latest = wt.latest_cells(wt.read_cells(spark, path))
     assert latest.count() == 6
     assert latest.where("qualifier = 'age'").first().value == "19"
