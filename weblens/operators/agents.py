@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parse import is_not_empty
+from ..session import materialize
 from ..sources.files import RULE_SCHEMA
 
 UNKNOWN = "unknown"
@@ -160,7 +161,8 @@ def classify(df: DataFrame, rules=None, ua_col: str = "ua", *, dedup: bool = Fal
     if not dedup:
         return _classified(df, ua, rules)
     distinct = df.select(ua).where(ua.isNotNull()).distinct()
-    answers = _classified(distinct, ua, rules)
+    # computed once, then both counted and joined from the checkpoint
+    answers = materialize(_classified(distinct, ua, rules))
     if answers.count() <= broadcast_max_rows:
         answers = F.broadcast(answers)
     return df.join(answers, on=ua_col, how="left")

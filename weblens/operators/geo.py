@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 from ..functions.ip import address, ip_to_long, long_to_ip
 from ..functions.parse import is_not_blank
 from ..functions.region import normalize_region
+from ..session import materialize
 
 # What a lookup answers for an address outside every range.
 NOT_FOUND_COUNTRY = "未知国家"
@@ -132,7 +133,8 @@ def locate(df: DataFrame, ranges: DataFrame | RangeTable, ip_col: str = "ip_long
         return finish(_range_join(df, ip_col, table))
 
     keys = df.select(ip).where(ip.isNotNull()).distinct()
-    answers = finish(_range_join(keys, ip_col, table))
+    # computed once, then both counted and joined from the checkpoint
+    answers = materialize(finish(_range_join(keys, ip_col, table)))
     answers = _broadcast_if_small(answers, broadcast_max_rows)
     return df.join(answers, on=ip_col, how="left")
 

@@ -34,6 +34,8 @@ def build_session(master: str | None = None, app: str = "weblens",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # checkpointed helper tables are deleted once nothing references them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # The ETL fuses parsing, the rule CASE chains and the range-join probe
         # into one stage; past this bytecode size Spark compiles the stage's
         # expressions separately instead of one method the JIT would skip.
@@ -70,6 +72,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def materialize(df):
+    """Compute ``df`` once into the shared checkpoint folder and cut its
+    lineage (a reliable checkpoint: it survives executor loss, unlike a
+    local one). Used for small derived tables that are both size-checked and
+    joined, so they are not computed twice."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark)

@@ -40,10 +40,12 @@ def bulk_write_cells(wide_or_cells: DataFrame, path: str, day: str,
     needs - and the day partition is replaced at commit."""
     cells = (wide_or_cells if "qualifier" in wide_or_cells.columns
              else to_cells(wide_or_cells))
-    n = partitions or cells.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ordered = (cells.select(*CELL_SCHEMA.fieldNames())
-               .repartitionByRange(int(n), "rowkey")
-               .sortWithinPartitions("rowkey", "family", "qualifier"))
+    cells = cells.select(*CELL_SCHEMA.fieldNames())
+    # without an explicit count AQE sizes the range partitions (it only merges
+    # neighbouring ranges, so the files stay sorted and disjoint)
+    ranged = (cells.repartitionByRange(partitions, "rowkey") if partitions
+              else cells.repartitionByRange("rowkey"))
+    ordered = ranged.sortWithinPartitions("rowkey", "family", "qualifier")
     _overwrite_day(ordered.withColumn("day", F.lit(day)), path)
 
 
