@@ -94,3 +94,16 @@ def test_read_day_glob(spark, tmp_path):
         (folder / "part-0.log").write_text("\n".join(LINES[:n]) + "\n")
     assert read_access_log(spark, str(tmp_path / "access" / "20190130" / "*")).count() == 2
     assert read_access_log(spark, str(tmp_path / "access" / "*" / "*")).count() == 3
+
+
+def test_java_split_semantics(spark):
+    # trailing separators do not make missing tokens exist
+    short = "1.2.3.4 - - [30/Jan/2019:00:00:21 +0800] \"GET / HTTP/1.1\" 200 5 \"h\"   "
+    empty_ua_at_end = line("1.2.3.4", "30/Jan/2019:00:00:21 +0800", "/", 200, 5, "-", "").split(' "-" 10.0.0.1')[0]
+    df = spark.createDataFrame([(short,), (empty_ua_at_end,), (LINES[0],)], "value string")
+    good, bad = split_rejects(parse_access_log(df))
+    assert bad.count() == 2 and good.count() == 1
+    from weblens.functions.parse import java_split
+    got = spark.createDataFrame([("a b  ",), ("a\"\"",)], "s string").select(
+        java_split("s", " ").alias("sp"), java_split("s", '"').alias("q")).collect()
+    assert got[0].sp == ["a", "b"] and got[1].q == ["a"]

@@ -47,9 +47,16 @@ def strip_quotes(c) -> Column:
     return F.translate(_col(c), '"', "")
 
 
+def java_split(text, sep: str) -> Column:
+    """Split on a single character the way the original's ``String.split``
+    did: trailing empty pieces are dropped (Spark's ``split`` keeps them).
+    Trimming the trailing separators first gives exactly that list."""
+    return F.split(F.rtrim(_col(text), F.lit(sep)), "\\" + sep if sep in ".$|()[]{}^?*+\\" else sep)
+
+
 def user_agent(line) -> Column:
     """The 8th double-quote-delimited segment of the line."""
-    return F.get(F.split(_col(line), '"'), 7)
+    return F.get(java_split(line, '"'), 7)
 
 
 def time_field(tokens: Column) -> Column:
@@ -87,8 +94,8 @@ def parse_access_log(df: DataFrame, line_col: str = "value",
     the layout needs; other rows keep null fields and ``parse_ok = false`` so
     ``split_rejects`` can route them instead of failing the job."""
     line = F.col(line_col)
-    toks = F.split(line, " ")
-    segs = F.split(line, '"')
+    toks = java_split(line, " ")
+    segs = java_split(line, '"')
     keep = keep or []
     parsed = df.select(
         *keep,
