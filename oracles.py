@@ -190,7 +190,7 @@ ranked AS (
 wide AS (SELECT rowkey, {cols}, event_ts FROM ranked WHERE rn = 1)"""
 
 
-def orders_cte() -> str:
+def orders_cte(min_time: int = 10) -> str:
     """``ord``: parsed order messages (fields as the producer sends them)."""
     k = "json_extract_string(props, '$.k')"
     return f"""ord AS (
@@ -208,7 +208,7 @@ om AS (
          CAST(CASE WHEN flag = '1' THEN 1 ELSE 0 END AS BIGINT) AS success,
          CAST(CASE WHEN flag = '1' THEN coalesce(TRY_CAST(fee AS BIGINT), 0) ELSE 0 END AS BIGINT)
            AS fee_paid
-  FROM ord WHERE length(time) >= 10)"""
+  FROM ord WHERE length(time) >= {min_time})"""
 
 
 def rollup_sql() -> str:
@@ -318,7 +318,7 @@ FROM conversations GROUP BY role""",
                                                         "CASE WHEN q.qualifier = 'status' THEN CAST(2 AS BIGINT) "
                                                         "ELSE CAST(1 AS BIGINT) END AS version")
                                      .replace("WHEN 'status' THEN status", "WHEN 'status' THEN '304'")),
-        "t3_daily_paid": f"WITH {orders_cte()} SELECT day, CAST(sum(success) AS BIGINT) AS paid_count, "
+        "t3_daily_paid": f"WITH {orders_cte(min_time=8)} SELECT day, CAST(sum(success) AS BIGINT) AS paid_count, "
                          "CAST(sum(fee_paid) AS BIGINT) AS paid_fee FROM om GROUP BY day",
         "t4_order_rollup": rollup_sql(),
         "t5_stream_order_counters": rollup_sql(),

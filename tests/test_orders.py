@@ -71,3 +71,11 @@ def test_quality_observation(spark):
     df.observe(obs, F.count(F.lit(1)).alias("rows")).collect()
     assert obs.get["rows"] == len(HAND)
     o.order_rollup(o.observe_quality(df)).collect()  # runs with the observation attached
+
+
+def test_daily_needs_only_the_day(spark):
+    msgs = [msg(time="20190130", fee="3", flag="1", orderid="x"),      # no hour: day total only
+            msg(time="201901301", fee="4", flag="1", orderid="y")]
+    df = o.parse_orders(spark.createDataFrame([(m,) for m in msgs], "value string"))
+    assert rows(o.daily_paid(df)) == [("20190130", 2, 7)]
+    assert o.order_rollup(df).count() == 0
