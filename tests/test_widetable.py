@@ -91,3 +91,10 @@ def test_scan_prunes_and_drops_empty_rows(spark, tmp_path):
     empty.write.mode("overwrite").partitionBy("day").parquet(str(tmp_path / "e"))
     assert spark.read.parquet(str(tmp_path / "e")).select("rowkey", "a", "b").dropna(
         how="all", subset=["a", "b"]).count() == 0
+
+
+def test_equal_versions_resolve_deterministically(spark):
+    cells = spark.createDataFrame([("k", "o", "ip", "b", 1), ("k", "o", "ip", "a", 1),
+                                   ("k", "o", "ip", "z", 0)], wt.CELL_SCHEMA)
+    assert wt.latest_cells(cells).first().value == "b"
+    assert wt.from_cells(cells.repartition(3), ["ip"]).first().ip == "b"

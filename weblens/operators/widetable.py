@@ -98,7 +98,7 @@ def from_cells(cells: DataFrame, qualifiers: list[str], family: str | None = FAM
     src = cells if family is None else cells.where(F.col("family") == family)
     return (src.where(F.col("qualifier").isin(qualifiers))
                .groupBy("rowkey").pivot("qualifier", qualifiers)
-               .agg(F.max_by("value", "version")))
+               .agg(F.max_by("value", _newest())))
 
 
 def sorted_cells(cells: DataFrame) -> DataFrame:
@@ -141,5 +141,11 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
 def latest_cells(cells: DataFrame) -> DataFrame:
     """The newest version of every (rowkey, family, qualifier) cell."""
     return (cells.groupBy("rowkey", "family", "qualifier")
-                 .agg(F.max_by("value", "version").alias("value"),
+                 .agg(F.max_by("value", _newest()).alias("value"),
                       F.max("version").alias("version")))
+
+
+def _newest():
+    # newest version first; equal versions are decided by the value, so the
+    # answer does not depend on which task saw which cell first
+    return F.struct(F.col("version"), F.col("value"))
