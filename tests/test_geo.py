@@ -97,3 +97,34 @@ def test_line_geo_map(spark, ranges):
     assert got[0] == {}
     assert got[1] == {"ip": "1.2.3.4", "country": "美国", "province": None, "city": None}
     assert df.select(ip_to_long(F.lit("1.2.3.4"))).first()[0] == 16909060
+
+
+def _binary_search_answer(ranges, ip):
+    """The original lookup, stated directly: greatest begin <= ip, accepted
+    only if ip <= that range's end (equal begins: the greatest end, then
+    the greatest text, the library's deterministic choice)."""
+    best = None
+    for r in ranges:
+        if r[0] <= ip and (best is None or r > best):
+            best = r
+    return best[2] if best is not None and ip <= best[1] else "未知国家"
+
+
+def test_overlapping_ranges_match_binary_search(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    span = 1 << 18  # a few /16 buckets, so ranges cross bucket borders
+    rng = st.tuples(st.integers(0, span), st.integers(0, 70000))
+
+    @settings(max_examples=4, deadline=None)
+    @given(st.lists(rng, min_size=1, max_size=40), st.lists(st.integers(0, span + 70000), min_size=60, max_size=60))
+    def check(raw, ips):
+        table = [(b, b + w if i % 9 else b - 5, f"c{i}", "a") for i, (b, w) in enumerate(raw)]
+        rdf = spark.createDataFrame(table, "begin_ip long, end_ip long, country string, area string")
+        ipdf = spark.createDataFrame([(i,) for i in ips], "ip_long long")
+        got = geo.locate(ipdf, rdf).collect()
+        assert len(got) == len(ips)  # never duplicates a looked-up row
+        for r in got:
+            assert r.geo_country == _binary_search_answer(table, r.ip_long), (r.ip_long, table)
+    check()

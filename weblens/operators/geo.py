@@ -63,21 +63,54 @@ def _broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def effective_ranges(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
+    """Rewrite any range table into disjoint ranges with the lookup's exact
+    answer: the range with the greatest ``begin <= ip`` answers, and only if
+    ``ip <= end``. So each range really covers ``[begin, min(end, next
+    begin - 1)]``. The next begin is found without a global sort: an
+    overlapping successor starts inside one of the range's buckets, so the
+    smallest per-bucket successor is the one that matters. Ranges with equal
+    begins keep the greatest end; empty or inverted ranges still block their
+    predecessors but cover nothing. Runs on the dimension only (two small
+    shuffles), never on the looked-up rows."""
+    valid = ranges.where(F.col("begin_ip").isNotNull() & F.col("end_ip").isNotNull())
+    one = (valid.groupBy("begin_ip")
+                .agg(F.max(F.struct("end_ip", "country", "area")).alias("_r"))
+                .select("begin_ip", "_r.end_ip", "_r.country", "_r.area"))
+    top = F.greatest(F.col("begin_ip"), F.col("end_ip"))
+    spread = one.select("*", F.explode(F.sequence(F.shiftright("begin_ip", bits),
+                                                  F.shiftright(top, bits))).alias("_bucket"))
+    w = Window.partitionBy("_bucket").orderBy("begin_ip")
+    nxt = (spread.withColumn("_next", F.lead("begin_ip").over(w))
+                 .groupBy("begin_ip", "end_ip", "country", "area")
+                 .agg(F.min("_next").alias("_next")))
+    end = F.when(F.col("_next").isNull(), F.col("end_ip")).otherwise(
+        F.least(F.col("end_ip"), F.col("_next") - 1))
+    return (nxt.select("begin_ip", end.alias("end_ip"), "country", "area")
+               .where(F.col("end_ip") >= F.col("begin_ip")))
+
+
 class RangeTable:
     """A range dimension prepared for repeated lookups: the bucket explode,
     the broadcast decision (one count of the exploded rows, taken once) and,
-    optionally, the disjointness check."""
+    optionally, the disjointness check. ``exact=True`` (the default) first
+    rewrites the table with ``effective_ranges`` so overlapping or duplicate
+    ranges answer like the original binary search and can never duplicate a
+    looked-up row."""
 
     def __init__(self, ranges: DataFrame, bits: int = BUCKET_BITS,
-                 broadcast_max_rows: int = BROADCAST_MAX_ROWS, validate: bool = False):
+                 broadcast_max_rows: int = BROADCAST_MAX_ROWS, validate: bool = False,
+                 exact: bool = True):
         self.bits = bits
-        self.buckets = bucket_ranges(ranges, bits)
-        self.rows = self.buckets.count()
-        self.broadcast = self.rows <= broadcast_max_rows
         if validate:
             bad = check_disjoint(ranges, bits).limit(1).collect()
             if bad:
                 raise ValueError(f"overlapping IP ranges, e.g. {bad[0].asDict()}")
+        if exact:
+            ranges = effective_ranges(ranges, bits)
+        self.buckets = bucket_ranges(ranges, bits)
+        self.rows = self.buckets.count()
+        self.broadcast = self.rows <= broadcast_max_rows
 
     def side(self) -> DataFrame:
         return F.broadcast(self.buckets) if self.broadcast else self.buckets
