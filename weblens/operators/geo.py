@@ -93,7 +93,8 @@ def effective_ranges(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
 class RangeTable:
     """A range dimension prepared for repeated lookups: the bucket explode,
     the broadcast decision (one count of the exploded rows, taken once) and,
-    optionally, the disjointness check. ``exact=True`` (the default) first
+    optionally, the disjointness check. The exploded table is materialised
+    once with a reliable checkpoint. ``exact=True`` (the default) first
     rewrites the table with ``effective_ranges`` so overlapping or duplicate
     ranges answer like the original binary search and can never duplicate a
     looked-up row."""
@@ -108,7 +109,9 @@ class RangeTable:
                 raise ValueError(f"overlapping IP ranges, e.g. {bad[0].asDict()}")
         if exact:
             ranges = effective_ranges(ranges, bits)
-        self.buckets = bucket_ranges(ranges, bits)
+        # computed once into the checkpoint folder (bounded: at most 2^16 + N
+        # rows); every lookup then reads it instead of redoing the rewrite
+        self.buckets = materialize(bucket_ranges(ranges, bits))
         self.rows = self.buckets.count()
         self.broadcast = self.rows <= broadcast_max_rows
 
