@@ -107,3 +107,42 @@ def test_java_split_semantics(spark):
     got = spark.createDataFrame([("a b  ",), ("a\"\"",)], "s string").select(
         java_split("s", " ").alias("sp"), java_split("s", '"').alias("q")).collect()
     assert got[0].sp == ["a", "b"] and got[1].q == ["a"]
+
+
+def _java_split(text, sep):
+    parts = text.split(sep)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def _parse_in_python(text):
+    """The field rules stated directly: space tokens 0, 3+4, 5-9, 11 and the
+    8th quote segment; a line missing any of them is rejected."""
+    toks, segs = _java_split(text, " "), _java_split(text, '"')
+    if len(toks) < 12 or len(segs) < 8 or toks[3] == "":
+        return None
+    return (toks[0], toks[3] + " " + toks[4], toks[5].replace('"', ""), toks[6],
+            toks[7].replace('"', ""), toks[8], toks[9], toks[11], segs[7])
+
+
+def test_parse_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    piece = st.sampled_from([" ", '"', "a", "GET", "/x", "-", "[t", "z]", "200", ""])
+
+    @settings(max_examples=3, deadline=None)
+    @given(st.lists(st.lists(piece, max_size=30).map("".join), min_size=200, max_size=200))
+    def check(texts):
+        texts = texts + LINES
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+        got = {r.i: r for r in parse_access_log(df, keep=["i"]).collect()}
+        cols = ["ip", "time", "method", "url", "protocal", "status", "bytessent", "referer", "ua"]
+        for i, t in enumerate(texts):
+            want = _parse_in_python(t)
+            r = got[i]
+            assert r.parse_ok == (want is not None), repr(t)
+            if want is not None:
+                assert tuple(r[c] for c in cols) == want, repr(t)
+    check()
