@@ -24,7 +24,14 @@ QUERIES = ["j1_ip_range_join", "j1_dense_range_join", "j3_distinct_ip_lookup", "
 
 def tree(df) -> str:
     s = df._jdf.queryExecution().executedPlan().treeString()
-    lines = [re.sub(r"\[plan_id=\d+\]", "", re.sub(r"#\d+L?", "", ln))[:160] for ln in s.splitlines()]
+    lines = []
+    for ln in s.splitlines():
+        ln = re.sub(r"\[plan_id=\d+\]", "", re.sub(r"#\d+L?", "", ln))
+        if "FileScan" in ln:  # keep what was pushed and pruned, drop the path
+            ln = re.sub(r"DataFilters: .*?(PartitionFilters:)", r"\1", ln)
+            lines.append(ln[:400])
+        else:
+            lines.append(ln[:160])
     return "\n".join(lines)
 
 
