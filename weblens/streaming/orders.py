@@ -104,18 +104,59 @@ def start_order_counters(messages: DataFrame, counter_path: str, checkpoint: str
     return writer.start()
 
 
-def read_totals(spark: SparkSession, counter_path: str) -> DataFrame:
-    """Latest absolute totals per key: the row of the highest batch id."""
-    raw = spark.read.schema(COUNTER_SCHEMA).parquet(counter_path)
-    best = F.max_by(F.struct("total", "success", "fee"), F.col("batch"))
+def _latest(raw: DataFrame) -> DataFrame:
+    best = F.max_by(F.struct("total", "success", "fee", "batch"), F.col("batch"))
     return (raw.groupBy("stat_key").agg(best.alias("_t"))
-               .select("stat_key", "_t.total", "_t.success", "_t.fee"))
-
-
-def compact(spark: SparkSession, counter_path: str, out_path: str) -> None:
-    """Fold all batch folders into one snapshot (run periodically)."""
-    (read_totals(spark, counter_path).withColumn("batch", F.lit(-1).cast("long"))
-        .write.mode("overwrite").parquet(out_path))
+               .select("stat_key", "_t.total", "_t.success", "_t.fee", "_t.batch"))
+
+
+def _snapshot(spark: SparkSession, snapshot_path: str | None) -> DataFrame | None:
+    """The newest compacted snapshot version, if any."""
+    if not snapshot_path:
+        return None
+    try:
+        snaps = spark.read.schema(COUNTER_SCHEMA + ", v LONG").parquet(snapshot_path)
+        newest = snaps.agg(F.max("v")).first()[0]
+    except Exception:  # noqa: BLE001 - no snapshot written yet
+        return None
+    if newest is None:
+        return None
+    return snaps.where(F.col("v") == newest).drop("v")
+
+
+def read_totals(spark: SparkSession, counter_path: str,
+                snapshot_path: str | None = None) -> DataFrame:
+    """Latest absolute totals per key: the row of the highest batch id.
+
+    With ``snapshot_path`` the newest compacted snapshot is read together
+    with the batch folders (those it already covers lose to it or tie), so
+    the result is the same before and after compaction."""
+    raw = spark.read.schema(COUNTER_SCHEMA).parquet(counter_path)
+    snap = _snapshot(spark, snapshot_path)
+    if snap is not None:
+        # only batches newer than the snapshot can change a total
+        covered = snap.agg(F.max("batch")).first()[0]
+        raw = snap.unionByName(raw.where(F.col("batch") > F.lit(covered)))
+    return _latest(raw).drop("batch")
+
+
+def compact(spark: SparkSession, counter_path: str, snapshot_path: str) -> int:
+    """Fold the batch folders (and the previous snapshot) into a new snapshot
+    version ``v=<last batch>`` beside them. Nothing that is read is
+    overwritten, so it is safe to run while the stream writes new batches;
+    batch folders up to the snapshot's batch can then be removed. Returns the
+    last batch id covered."""
+    raw = spark.read.schema(COUNTER_SCHEMA).parquet(counter_path)
+    last = raw.agg(F.max("batch")).first()[0]
+    if last is None:
+        return -1
+    snap = _snapshot(spark, snapshot_path)
+    src = raw.where(F.col("batch") <= F.lit(last))
+    if snap is not None:
+        src = snap.unionByName(src)
+    (_latest(src).withColumn("v", F.lit(last).cast("long"))
+        .write.mode("overwrite").parquet(f"{snapshot_path}/v={last}"))
+    return int(last)
 
 
 def counter_table(totals: DataFrame) -> DataFrame:
