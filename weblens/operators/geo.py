@@ -8,6 +8,11 @@ keeps misses). For disjoint ranges the exploded table has at most
 ``2^16 + N`` rows, which bounds the broadcast side independently of the fact
 data; its actual size is checked before broadcasting, and beyond the limit
 the join shuffles on the bucket (AQE splits a hot bucket).
+
+A prepared ``RangeTable`` first rewrites the ranges so the answer is the
+original lookup's for any table, overlapping or not: the range with the
+greatest begin not after the address answers, if the address is not past
+its end.
 """
 
 from __future__ import annotations
@@ -37,7 +42,7 @@ def bucket_ranges(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
     The region of a range depends only on its location text, so it is
     normalised here, once per range, instead of once per looked-up row."""
     region = normalize_region(F.col("country"))
-    return ranges.select(
+    return ranges.where(F.col("begin_ip") <= F.col("end_ip")).select(
         F.explode(F.sequence(F.shiftright("begin_ip", bits),
                              F.shiftright("end_ip", bits))).alias("_bucket"),
         F.col("begin_ip").alias("_begin"), F.col("end_ip").alias("_end"),
