@@ -281,6 +281,12 @@ FROM conversations GROUP BY role""",
         "p11_normalize_region": f"WITH {ev}, {ranges_cte()}, {geo_cte()} SELECT ip, "
                                 f"{r['country']} AS country, {r['province']} AS province, "
                                 f"{r['city']} AS city FROM geo",
+        "p19_line_geo_map": f"""WITH {ev}, {ranges_cte()}, {geo_cte()},
+raw AS (SELECT ip, {r['country']} AS country, {r['province']} AS province, {r['city']} AS city FROM geo)
+SELECT 'ip' AS geo_key, ip AS geo_value FROM raw
+UNION ALL SELECT 'country', country FROM raw
+UNION ALL SELECT 'province', province FROM raw
+UNION ALL SELECT 'city', city FROM raw""",
         "p12_address": located + """SELECT ip_long, trim(
   CASE WHEN geo_country = ' CZ88.NET' THEN '' ELSE coalesce(geo_country, '') END || ' ' ||
   CASE WHEN geo_area = ' CZ88.NET' THEN '' ELSE coalesce(geo_area, '') END) AS address FROM loc""",
