@@ -120,3 +120,25 @@ def test_compaction_keeps_totals(spark, tmp_path):
     assert rows(s.read_totals(spark, out, snap)) == _batch_totals(spark, msgs)
     s.compact(spark, out, snap)  # a second compaction folds the first snapshot in
     assert rows(s.read_totals(spark, out, snap)) == _batch_totals(spark, msgs)
+
+
+def test_late_order_lands_on_its_day(spark, tmp_path):
+    import json
+    src, out, ckpt = (str(tmp_path / x) for x in ("src", "out", "ckpt"))
+
+    def send(*msgs):
+        spark.createDataFrame([(json.dumps(m),) for m in msgs], "value string").write.mode("append").text(src)
+
+    def run():
+        q = s.start_order_counters(s.read_messages(spark, "text", path=src), out, ckpt,
+                                   trigger={"availableNow": True})
+        q.awaitTermination()
+
+    send({"time": "20240110120000", "flag": "1", "fee": "5"})
+    run()
+    send({"time": "20231201080000", "flag": "1", "fee": "7"},   # a month late
+         {"time": "20240110130000", "flag": "0", "fee": "9"})
+    run()
+    got = {r.stat_key: (r.total, r.success, r.fee) for r in s.read_totals(spark, out).collect()}
+    assert got["20231201"] == (1, 1, 7) and got["2023120108"] == (1, 1, 7)
+    assert got["20240110"] == (2, 1, 5)
