@@ -128,3 +128,9 @@ def test_overlapping_ranges_match_binary_search(spark):
         for r in got:
             assert r.geo_country == _binary_search_answer(table, r.ip_long), (r.ip_long, table)
     check()
+
+
+def test_missing_range_file_is_an_error(spark, tmp_path):
+    from weblens.sources.files import load_ranges
+    with pytest.raises(Exception):
+        load_ranges(spark, str(tmp_path / "missing")).count()
