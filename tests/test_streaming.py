@@ -26,7 +26,7 @@ def test_stream_restart_equals_batch(spark, tmp_path):
     half_a.coalesce(2).write.mode("append").text(src)
 
     def run():
-        stream = s.read_messages(spark, "text", {"maxFilesPerTrigger": "1"}, path=src)
+        stream = s.read_messages(spark, "text", path=src, max_per_trigger=1)
         q = s.start_order_counters(stream, out, ckpt, trigger={"availableNow": True})
         q.awaitTermination()
         assert q.exception() is None

@@ -56,7 +56,8 @@ def cmd_report(spark: SparkSession, a: argparse.Namespace) -> None:
 def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> None:
     from weblens.streaming import orders as stream
     options = dict(kv.split("=", 1) for kv in a.option)
-    messages = stream.read_messages(spark, a.format, options, path=a.path)
+    messages = stream.read_messages(spark, a.format, options, path=a.path,
+                                    max_per_trigger=a.max_per_trigger)
     q = stream.start_order_counters(messages, a.counters, a.checkpoint,
                                     trigger={"processingTime": f"{a.trigger_seconds} seconds"},
                                     watermark=a.watermark, name="order_counters")
@@ -96,6 +97,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--trigger-seconds", type=int, default=5)
     s.add_argument("--watermark", default=None)
+    s.add_argument("--max-per-trigger", type=int, default=None,
+                   help="cap on offsets (Kafka) or files per micro-batch")
     s.add_argument("--timeout", type=int, default=None, help="seconds to run (default: forever)")
     return p
 

@@ -27,14 +27,21 @@ COUNTER_SCHEMA = "stat_key STRING, total LONG, success LONG, fee LONG, batch LON
 
 
 def read_messages(spark: SparkSession, fmt: str, options: dict[str, str] | None = None,
-                  path: str | None = None, schema=None) -> DataFrame:
+                  path: str | None = None, schema=None,
+                  max_per_trigger: int | None = None) -> DataFrame:
     """An unbounded DataFrame with the message text in ``value``.
 
     ``kafka``: ``subscribe``/``kafka.bootstrap.servers`` come in ``options``;
     start at the latest offsets unless told otherwise, as the original did.
-    File formats read ``path`` (``maxFilesPerTrigger`` etc. as options)."""
+    File formats read ``path``. ``max_per_trigger`` bounds one micro-batch
+    (offsets for Kafka, files otherwise) so a restart after downtime works
+    through the backlog in steps instead of one huge batch; nothing is
+    dropped."""
     opts = dict(options or {})
     reader = spark.readStream.format(fmt)
+    if max_per_trigger:
+        key = "maxOffsetsPerTrigger" if fmt == "kafka" else "maxFilesPerTrigger"
+        opts.setdefault(key, str(max_per_trigger))
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "latest")
         return reader.options(**opts).load().select(F.col("value").cast("string").alias("value"))
