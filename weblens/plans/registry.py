@@ -20,6 +20,7 @@ from ..session import scratch_path
 from ..sinks import tables
 from ..sources import derived as d
 from ..sources.files import load_ranges, read_access_log
+from ..streaming import orders as stream
 from . import etl
 
 DAY = "20240101"
@@ -87,8 +88,7 @@ def s8_cell_scan(spark, sf_dir):
 
 def s9_read_counter(spark, sf_dir):
     cnt = orders.counters(orders.order_rollup(_orders(spark, sf_dir)))
-    from ..streaming.orders import read_counter
-    return read_counter(cnt, F.length("stat_key") == len(orders.HASH_PREFIX) + 8)
+    return stream.read_counter(cnt, F.length("stat_key") == len(orders.HASH_PREFIX) + 8)
 
 
 # --- parsing and scalar functions ----------------------------------------
@@ -284,18 +284,15 @@ def t4_order_rollup(spark, sf_dir):
 
 
 def t5_stream_order_counters(spark, sf_dir):
-    from ..streaming.orders import run_order_counters_from_events
-    return run_order_counters_from_events(spark, sf_dir)
+    return stream.run_order_counters_from_events(spark, sf_dir)
 
 
 def k5_daily_counters(spark, sf_dir):
-    from ..streaming.orders import daily_counters, run_order_counters_from_events
-    return daily_counters(run_order_counters_from_events(spark, sf_dir))
+    return stream.daily_counters(stream.run_order_counters_from_events(spark, sf_dir))
 
 
 def k6_counter_sink(spark, sf_dir):
-    from ..streaming.orders import counter_table, run_order_counters_from_events
-    return counter_table(run_order_counters_from_events(spark, sf_dir))
+    return stream.counter_table(stream.run_order_counters_from_events(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
