@@ -27,3 +27,18 @@ def test_etl_report_stream(spark, tmp_path, capsys):
     cli.main(["stream", "--format", "text", "--path", msgs, "--counters", counters,
               "--checkpoint", str(tmp_path / "ckpt"), "--trigger-seconds", "1", "--timeout", "8"], spark)
     assert spark.read.parquet(counters).count() > 0
+
+
+def test_run_report_results(spark, tmp_path):
+    from weblens.plans import etl
+    from weblens.plans.report import run_report
+    from weblens.sinks import tables
+    ev = d.read_table(spark, SF_SMALL, "events")
+    ranges = d.ip_ranges(d.read_table(spark, SF_SMALL, "nation"))
+    out = str(tmp_path / "wide")
+    wide = etl.wide_rows(d.access_lines(ev, repeat_keys=True), ranges, "20240101", tz="UTC")
+    tables.write_day(wide, out, "20240101")
+    res = run_report(spark, out, "20240101", 3, str(tmp_path / "stat"), show=False)
+    assert len(res["top_regions"]) == 3
+    counts = [r.cnt for r in res["browsers"]]
+    assert counts == sorted(counts, reverse=True) and sum(counts) == wide.count()

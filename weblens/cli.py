@@ -40,17 +40,8 @@ def cmd_etl(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def cmd_report(spark: SparkSession, a: argparse.Namespace) -> None:
-    from weblens.operators import analytics, widetable
-    from weblens.sinks import tables
-    wide = widetable.scan(spark, a.table, a.day, ["country", "province", "browsername"])
-    rep = analytics.report(wide, a.k)
-    try:
-        rep["top_regions"].show(a.k, truncate=False)
-        rep["browsers"].show(truncate=False)
-        if a.stat_out:
-            tables.replace_day(analytics.browser_stat_rows(rep["_base"], a.day), a.stat_out, a.day)
-    finally:
-        analytics.release(rep)
+    from weblens.plans.report import run_report
+    run_report(spark, a.table, a.day, a.k, a.stat_out)
 
 
 def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> None:
