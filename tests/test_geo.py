@@ -134,3 +134,11 @@ def test_missing_range_file_is_an_error(spark, tmp_path):
     from weblens.sources.files import load_ranges
     with pytest.raises(Exception):
         load_ranges(spark, str(tmp_path / "missing")).count()
+
+
+def test_broadcast_byte_bound(spark):
+    from weblens.session import broadcast_fits
+    df = spark.createDataFrame([("x" * 1000, 1)] * 50, "s string, n long")
+    assert broadcast_fits(df, max_rows=100, max_bytes=100_000)
+    assert not broadcast_fits(df, max_rows=100, max_bytes=10_000)  # ~51 KB of text
+    assert not broadcast_fits(df, max_rows=10, max_bytes=100_000)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parse import is_not_empty
-from ..session import materialize
+from ..session import broadcast_fits, materialize
 from ..sources.files import RULE_SCHEMA
 
 UNKNOWN = "unknown"
@@ -163,6 +163,6 @@ def classify(df: DataFrame, rules=None, ua_col: str = "ua", *, dedup: bool = Fal
     distinct = df.select(ua).where(ua.isNotNull()).distinct()
     # computed once, then both counted and joined from the checkpoint
     answers = materialize(_classified(distinct, ua, rules))
-    if answers.count() <= broadcast_max_rows:
+    if broadcast_fits(answers, broadcast_max_rows):
         answers = F.broadcast(answers)
     return df.join(answers, on=ua_col, how="left")

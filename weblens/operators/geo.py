@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 from ..functions.ip import address, ip_to_long, long_to_ip
 from ..functions.parse import is_not_blank
 from ..functions.region import normalize_region
-from ..session import materialize
+from ..session import broadcast_fits, materialize
 
 # What a lookup answers for an address outside every range.
 NOT_FOUND_COUNTRY = "未知国家"
@@ -32,7 +32,8 @@ NOT_FOUND_AREA = "未知地区"
 UNKNOWN = "unknown"
 
 BUCKET_BITS = 16
-# Exploded range rows allowed on the broadcast side (about 40 bytes each).
+# Exploded range rows allowed on the broadcast side (bytes are bounded too,
+# by session.BROADCAST_MAX_BYTES).
 BROADCAST_MAX_ROWS = 2_000_000
 
 
@@ -64,8 +65,8 @@ def check_disjoint(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
 
 
 def _broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    # an exact row count, taken only on a side whose size is already bounded
-    return F.broadcast(df) if df.count() <= max_rows else df
+    # exact rows and estimated bytes, taken only on a side already bounded
+    return F.broadcast(df) if broadcast_fits(df, max_rows) else df
 
 
 def effective_ranges(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
@@ -117,8 +118,7 @@ class RangeTable:
         # computed once into the checkpoint folder (bounded: at most 2^16 + N
         # rows); every lookup then reads it instead of redoing the rewrite
         self.buckets = materialize(bucket_ranges(ranges, bits))
-        self.rows = self.buckets.count()
-        self.broadcast = self.rows <= broadcast_max_rows
+        self.broadcast = broadcast_fits(self.buckets, broadcast_max_rows)
 
     def side(self) -> DataFrame:
         return F.broadcast(self.buckets) if self.broadcast else self.buckets

@@ -72,6 +72,30 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+# Default bounds for a side we broadcast: rows and estimated bytes.
+BROADCAST_MAX_BYTES = 128 * 1024 * 1024
+
+
+def broadcast_fits(df, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether ``df`` is small enough to broadcast, from one aggregate: its
+    row count and an estimate of its bytes (UTF-8 length of the strings
+    plus 8 bytes for every other field and a row header). Only call it on a
+    side whose size is already bounded (a dimension, a distinct set)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    parts = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        else:
+            parts.append(F.lit(8))
+    size = F.lit(16)
+    for p in parts:
+        size = size + p
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
+
+
 def materialize(df):
     """Compute ``df`` once into the shared checkpoint folder and cut its
     lineage (a reliable checkpoint: it survives executor loss, unlike a
