@@ -2,12 +2,15 @@
 
 The original used a third-party parser with a vendored rule file; we keep the
 behaviour (first matching rule wins, family + version, ``unknown`` when no
-rule matches, all null for an empty agent) and express the rule set as one
-``CASE WHEN ua RLIKE ...`` expression per output column. The rule table is a
-small configuration dimension: it is collected once (with a size check) to
-build the expression, so classification is a plain codegen'd projection with
-no join and no shuffle. ``dedup=True`` classifies each distinct agent once and
-joins the answers back (broadcast when the distinct set is small).
+rule matches, all null for an empty agent) and express the rule set as two
+projections: first, per kind, the index of the first matching rule (a
+``CASE WHEN contains(ua, prefix) AND ua RLIKE pattern`` chain; the cheap
+substring test rejects most rules), then the name by index and the version
+extracted with the matched rule's pattern only. The rule table is a small
+configuration dimension: it is collected once (with a size check) to build
+the expressions, so classification has no join and no shuffle.
+``dedup=True`` classifies each distinct agent once (checkpointed) and joins
+the answers back, broadcast when they fit the row and byte bounds.
 """
 
 from __future__ import annotations
