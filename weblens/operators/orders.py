@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 ORDER_DDL = ("time STRING, userid STRING, courseid STRING, fee STRING, "
              "flag STRING, orderid STRING")
 ORDER_FIELDS = ["time", "userid", "courseid", "fee", "flag", "orderid"]
-# Counter key prefixes and fields of the original sinks.
+# Counter key prefixes: our own neutral names (the layout, prefix + day or
+# day+hour, is the original's; pass another prefix to ``counters``).
 COUNT_PREFIX = "orderCount-"
 FEE_PREFIX = "orderFee-"
 HASH_PREFIX = "order-"
+# The field names of the original per-day / per-hour counters.
 COUNTER_FIELDS = ["total", "success", "fee"]
 
 
