@@ -339,4 +339,5 @@ UNION ALL SELECT 'order-' || stat_key, 'fee', fee FROM t""",
     q["a3_browser_counts_df"] = q["a2_browser_counts"]
     q["a4_browser_counts_sql"] = q["a2_browser_counts"]
     q["j2_rule_match_distinct"] = q["p20_classify_user_agent"]
+    q["j2_rule_match_cached"] = q["p20_classify_user_agent"]
     return q

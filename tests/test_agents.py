@@ -64,3 +64,21 @@ def test_load_rules_from_json(spark, tmp_path):
     df = spark.createDataFrame([("curl/7.64.1",)], "ua string")
     r = agents.classify(df, loaded).first()
     assert (r.browsername, r.browserversion) == ("curl", "7.64.1")
+
+
+def test_classification_cache(spark, tmp_path):
+    cache = str(tmp_path / "ua-cache")
+    day1 = spark.createDataFrame([(u,) for u in list(UAS)[:5]] + [(None,)], "ua string")
+    day2 = spark.createDataFrame([(u,) for u in UAS] + [(None,)], "ua string")
+    # no cache yet: plain per-row classification
+    assert rows(agents.classify_cached(day2, cache)) == rows(agents.classify(day2))
+    assert agents.update_cache(day1, cache) == 5
+    assert agents.update_cache(day1, cache) == 0  # already known
+    got = agents.classify_cached(day2, cache)  # 5 answers from the cache, the rest by rules
+    assert rows(got) == rows(agents.classify(day2))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert agents.update_cache(day2, cache) == len(UAS) - 5  # the empty agent is stored too
+    # another rule set never reuses these answers
+    other = [(1, "browser", "Chrome/([0-9]+)", "Chromium", 1)]
+    assert agents.cache_location(cache, other) != agents.cache_location(cache)

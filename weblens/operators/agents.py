@@ -169,3 +169,67 @@ def classify(df: DataFrame, rules=None, ua_col: str = "ua", *, dedup: bool = Fal
     if broadcast_fits(answers, broadcast_max_rows):
         answers = F.broadcast(answers)
     return df.join(answers, on=ua_col, how="left")
+
+
+# --- a classification cache kept between runs -------------------------------
+
+def _rules_key(rules) -> str:
+    import hashlib
+    text = repr([tuple(r) for r in _rule_list(rules)])
+    return hashlib.sha1(text.encode("utf-8")).hexdigest()[:12]
+
+
+def cache_location(cache_path: str, rules=None) -> str:
+    """Answers are stored per rule set, so changed rules never reuse them."""
+    return f"{cache_path}/rules={_rules_key(rules)}"
+
+
+def _read_cache(spark: SparkSession, location: str) -> DataFrame | None:
+    try:
+        return spark.read.schema("ua STRING, browsername STRING, browserversion STRING, "
+                                 "osname STRING, osversion STRING").parquet(location)
+    except Exception:  # noqa: BLE001 - nothing cached yet
+        return None
+
+
+def classify_cached(df: DataFrame, cache_path: str, rules=None, ua_col: str = "ua", *,
+                    broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``classify`` that first looks agents up in answers stored by
+    ``update_cache``: a broadcast hash join on the agent text, with the rule
+    chain evaluated only for agents not in the cache. Without a usable cache
+    (none yet, or too big to broadcast) it is plain per-row ``classify``."""
+    spark = df.sparkSession
+    known = _read_cache(spark, cache_location(cache_path, rules))
+    if known is None or not broadcast_fits(known, broadcast_max_rows):
+        return classify(df, rules, ua_col)
+    k = known.select(F.col("ua").alias("_k_ua"), *[F.col(c).alias(f"_k_{c}") for c in UA_COLUMNS])
+    joined = df.join(F.broadcast(k), F.col(ua_col) == F.col("_k_ua"), "left")
+    ua = F.col(ua_col)
+    hit = F.col("_k_ua").isNotNull()
+    browser, system = _split(rules)
+    # the rule chain runs only for agents the cache does not know
+    staged = joined.withColumns({k2: F.when(~hit, v) for k2, v in
+                                 _index_columns(ua, browser, system).items()})
+    computed = _output_columns(ua, browser, system)
+    out = staged.withColumns({c: F.when(hit, F.col(f"_k_{c}")).otherwise(computed[c])
+                              for c in UA_COLUMNS})
+    return out.drop("_ua_b", "_ua_o", "_k_ua", *[f"_k_{c}" for c in UA_COLUMNS])
+
+
+def update_cache(df: DataFrame, cache_path: str, rules=None, ua_col: str = "ua") -> int:
+    """Classify the distinct agents of ``df`` that the cache does not know
+    yet and append them (partial aggregation first, then an anti-join).
+    Returns how many were added. Run it after a day's ETL; appends are
+    idempotent in effect because lookups only need one answer per agent."""
+    spark = df.sparkSession
+    location = cache_location(cache_path, rules)
+    ua = F.col(ua_col)
+    distinct = df.select(ua.alias("ua")).where(F.col("ua").isNotNull()).distinct()
+    known = _read_cache(spark, location)
+    if known is not None:
+        distinct = distinct.join(known.select("ua"), "ua", "left_anti")
+    fresh = materialize(_classified(distinct, F.col("ua"), rules).select("ua", *UA_COLUMNS))
+    added = fresh.count()
+    if added:
+        fresh.write.mode("append").parquet(location)
+    return added

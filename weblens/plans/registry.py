@@ -193,6 +193,14 @@ def j2_rule_match_distinct(spark, sf_dir):
     return agents.classify(rec, None, "ua", dedup=True).select("ua", *agents.UA_COLUMNS)
 
 
+def j2_rule_match_cached(spark, sf_dir):
+    # a cache filled from the same lines, as an earlier run would leave it
+    rec = _records(spark, sf_dir)
+    cache = scratch_path(spark, "ua-cache")
+    agents.update_cache(rec, cache)
+    return agents.classify_cached(rec, cache, None, "ua").select("ua", *agents.UA_COLUMNS)
+
+
 def j3_distinct_ip_lookup(spark, sf_dir):
     return geo.locate(_ips(spark, sf_dir), _ranges(spark, sf_dir), dedup=True, keep_range=True)
 
