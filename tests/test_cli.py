@@ -17,6 +17,13 @@ def test_etl_report_stream(spark, tmp_path, capsys):
               "--out", out, "--day", "20240101", "--tz", "UTC"], spark)
     wide = widetable.scan(spark, out, "20240101", ["browsername"])
     assert wide.count() > 0
+    # the same day again through the agent cache: first run fills it, second uses it
+    cached_out = str(tmp_path / "wide-cached")
+    for _ in range(2):
+        cli.main(["etl", "--input", str(logs / "*"), "--ranges", ranges, "--out", cached_out,
+                  "--day", "20240101", "--tz", "UTC", "--ua-cache", str(tmp_path / "ua")], spark)
+    again = widetable.scan(spark, cached_out, "20240101", ["browsername"])
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, wide.collect()))
     cli.main(["report", "--table", out, "--day", "20240101", "--stat-out", stat], spark)
     printed = capsys.readouterr().out
     assert "country" in printed and "browsername" in printed

@@ -36,7 +36,7 @@ def cmd_etl(spark: SparkSession, a: argparse.Namespace) -> None:
     from weblens.sources.files import load_ranges, load_rules
     ranges = geo.RangeTable(load_ranges(spark, a.ranges, a.ranges_format), validate=a.validate_ranges)
     rules = load_rules(spark, a.rules) if a.rules else None
-    etl.run_etl(spark, a.input, ranges, a.out, a.day, rules, tz=a.tz)
+    etl.run_etl(spark, a.input, ranges, a.out, a.day, rules, tz=a.tz, ua_cache=a.ua_cache)
 
 
 def cmd_report(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -76,6 +76,7 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--out", required=True)
     e.add_argument("--day", required=True)
     e.add_argument("--tz", default=None, help="zone of formattime; default: session zone")
+    e.add_argument("--ua-cache", default=None, help="user-agent classification cache folder")
 
     r = sub.add_parser("report", help="top regions and browser counts of one day")
     r.add_argument("--table", required=True)

@@ -22,10 +22,13 @@ def parsed_records(lines: DataFrame, keep: list[str] | None = None) -> DataFrame
 
 
 def enrich(lines: DataFrame, ranges: DataFrame, rules=None, *, geo_dedup: bool = False,
-           ua_dedup: bool = False) -> DataFrame:
-    """Lines -> records with geo and user-agent fields (D3 without formattime)."""
+           ua_dedup: bool = False, ua_cache: str | None = None) -> DataFrame:
+    """Lines -> records with geo and user-agent fields (D3 without formattime).
+    ``ua_cache`` answers known agents from a classification cache."""
     rec = parsed_records(lines)
     rec = geo.enrich_geo(rec, ranges, "ip", dedup=geo_dedup)
+    if ua_cache:
+        return agents.classify_cached(rec, ua_cache, rules, "ua")
     return agents.classify(rec, rules, "ua", dedup=ua_dedup)
 
 
@@ -37,8 +40,12 @@ def wide_rows(lines: DataFrame, ranges: DataFrame, day: str, rules=None, *,
 
 
 def run_etl(spark: SparkSession, input_path, ranges: DataFrame, out_path: str, day: str,
-            rules=None, tz: str | None = None) -> None:
-    """Read a day of logs, enrich, and replace that day of the wide table (K1)."""
+            rules=None, tz: str | None = None, ua_cache: str | None = None) -> None:
+    """Read a day of logs, enrich, and replace that day of the wide table (K1).
+    With ``ua_cache`` known agents come from the cache, and the day's new
+    agents are added to it afterwards (for the next run)."""
     from ..sources.files import read_access_log
     lines = read_access_log(spark, input_path)
-    tables.write_day(wide_rows(lines, ranges, day, rules, tz=tz), out_path, day)
+    tables.write_day(wide_rows(lines, ranges, day, rules, tz=tz, ua_cache=ua_cache), out_path, day)
+    if ua_cache:
+        agents.update_cache(parsed_records(lines), ua_cache, rules)
