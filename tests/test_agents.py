@@ -82,3 +82,13 @@ def test_classification_cache(spark, tmp_path):
     # another rule set never reuses these answers
     other = [(1, "browser", "Chrome/([0-9]+)", "Chromium", 1)]
     assert agents.cache_location(cache, other) != agents.cache_location(cache)
+
+
+def test_cache_duplicates_do_not_duplicate_rows(spark, tmp_path):
+    cache = str(tmp_path / "ua-cache")
+    day = spark.createDataFrame([(u,) for u in UAS], "ua string")
+    agents.update_cache(day, cache)
+    # a second, concurrent-style append of the same answers
+    agents._read_cache(spark, agents.cache_location(cache)).write.mode("append").parquet(
+        agents.cache_location(cache))
+    assert agents.classify_cached(day, cache).count() == day.count()

@@ -202,7 +202,11 @@ def classify_cached(df: DataFrame, cache_path: str, rules=None, ua_col: str = "u
     known = _read_cache(spark, cache_location(cache_path, rules))
     if known is None or not broadcast_fits(known, broadcast_max_rows):
         return classify(df, rules, ua_col)
-    k = known.select(F.col("ua").alias("_k_ua"), *[F.col(c).alias(f"_k_{c}") for c in UA_COLUMNS])
+    # one answer per agent even if two runs appended the same agent (a
+    # duplicate key here would duplicate looked-up rows)
+    one = (known.groupBy("ua").agg(F.min(F.struct(*UA_COLUMNS)).alias("_a"))
+                .select("ua", *[F.col(f"_a.{c}").alias(c) for c in UA_COLUMNS]))
+    k = one.select(F.col("ua").alias("_k_ua"), *[F.col(c).alias(f"_k_{c}") for c in UA_COLUMNS])
     joined = df.join(F.broadcast(k), F.col(ua_col) == F.col("_k_ua"), "left")
     ua = F.col(ua_col)
     hit = F.col("_k_ua").isNotNull()
