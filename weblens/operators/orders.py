@@ -92,20 +92,13 @@ def order_rollup(orders: DataFrame) -> DataFrame:
     """total / success / fee per day and per day+hour (T4):
     ``stat_key`` (8 or 10 digits), ``total, success, fee``.
 
-    Batch form: one aggregation by (day, hour) over the orders, then the days
-    are summed from that small result (at most 24 rows per day), so each
-    order is aggregated once. The stream keeps the single exploded
-    aggregation of ``stat_keys`` (one stateful operator per query)."""
-    m = paid_metrics(orders.where(F.col("valid")))
-    hours = (m.groupBy("day", "hour")
-              .agg(F.sum("total").alias("total"), F.sum("success").alias("success"),
-                   F.sum("fee_paid").alias("fee")))
-    days = (hours.groupBy("day")
-                 .agg(F.sum("total").alias("total"), F.sum("success").alias("success"),
-                      F.sum("fee").alias("fee"))
-                 .select(F.col("day").alias("stat_key"), "total", "success", "fee"))
-    per_hour = hours.select(F.concat("day", "hour").alias("stat_key"), "total", "success", "fee")
-    return per_hour.unionByName(days)
+    One aggregation over both levels (each order exploded to its two keys),
+    the same shape the stream uses. A two-level form (hours, then days from
+    hours) was measured slower here: the partial aggregate over few keys is
+    cheaper than the extra stage."""
+    return (stat_keys(orders).groupBy("stat_key")
+            .agg(F.sum("total").alias("total"), F.sum("success").alias("success"),
+                 F.sum("fee_paid").alias("fee")))
 
 
 def counters(rollup: DataFrame, prefix: str = HASH_PREFIX) -> DataFrame:
