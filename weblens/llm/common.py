@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -41,9 +42,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     remove_on_exit(spark, path)
+    drop_unused_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_unused_shuffles(spark: SparkSession) -> None:
+    """Shuffle files go when the driver's JVM collects the plans that made
+    them; after a written table nothing refers to those below it."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def remove_on_exit(spark: SparkSession, path: str) -> None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, token_counts
+from . import bpe, decontam, minhash, sharding, token_counts, url_filter
 from .common import read_table, remove_on_exit
 
 
@@ -24,6 +24,21 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op2_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"), 8).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(read_table(spark, sf_dir, "documents"),
+                            read_table(spark, sf_dir, "benchmark"))
+
+
+def op4_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache = scratch_path(spark, "token-count-cache")
     remove_on_exit(spark, cache)
@@ -32,9 +47,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_bpe_roundtrip": op1_bpe_roundtrip,
-    "op5_token_counts": op5_token_counts,
+    f.__name__: f for f in (
+        op1_bpe_roundtrip, op2_balanced_shards, op3_benchmark_leaks, op4_url_verdicts,
+        op5_token_counts, op10_near_duplicates)
 }
 
 #: DuckDB SQL of those that SQL can express; the others have brute-force tests.
