@@ -9,13 +9,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from weblens.llm import bpe, decontam, langid, minhash, quality
 from weblens.llm.common import read_table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the classifier, learned from ``labels``, rejects."""
+    return quality.accepted(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a clear language."""
+    return langid.identified(docs, langid.fit(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near copies
+    (five-word shingles, similarity 0.8)."""
+    found = minhash.near_duplicates(docs, words=5, percent=80)
+    return docs.join(found.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in which an item of ``benchmark`` occurs."""
+    return decontam.clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and the digest of what they decode to."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.decode(bpe.encode(docs, path), path).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_filter", quality_filter),
+    ("language_filter", language_filter),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("bpe_encoding", bpe_encoding),
+]
 
 #: SQL cannot express trained classifiers or BPE; tests/llm holds the stages
 #: against brute force instead.

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import scratch_path
 
@@ -28,7 +29,7 @@ def workers_import_package(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str) -> DataFrame:
+              schema: str | StructType) -> DataFrame:
     """``mapInArrow`` whose workers can import this package."""
     workers_import_package(df.sparkSession)
     return df.mapInArrow(func, schema)

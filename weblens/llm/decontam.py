@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -137,13 +138,18 @@ class _Matcher:
 _matchers: dict[str, _Matcher] = {}
 
 
+def _matcher(block, rate) -> _Matcher:
+    """The automaton of a block, built once per worker process."""
+    key = block.value["key"]
+    if key not in _matchers:
+        _matchers.clear()
+        _matchers[key] = _Matcher(block.value["items"], rate)
+    return _matchers[key]
+
+
 def _search(block, rate):
     def run(batches):
-        key = block.value["key"]
-        if key not in _matchers:
-            _matchers.clear()
-            _matchers[key] = _Matcher(block.value["items"], rate)
-        matcher = _matchers[key]
+        matcher = _matcher(block, rate)
         for batch in batches:
             at, hits = [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
@@ -158,24 +164,42 @@ def _search(block, rate):
     return run
 
 
+def _blocks(benchmark: DataFrame, item_col: str, block_bytes: int) -> list:
+    """The items as broadcast blocks of about ``block_bytes``."""
+    sc = benchmark.sparkSession.sparkContext
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"),
+                             F.col("text").cast("string").alias("text")).where("text is not null")
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-size // block_bytes))
+    parts = (items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()
+             for i in range(n))
+    return [sc.broadcast({"key": uuid.uuid4().hex, "items": [tuple(r) for r in rows]})
+            for rows in parts]
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, id_col: str = "doc_id",
             text_col: str = "text", item_col: str = "item_id",
             block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, distance, end, budget): items that occur in documents;
     ``end`` counts characters of the normalised text."""
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = (f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, item_id long, "
               "distance long, end long, budget long")
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"),
-                             F.col("text").cast("string").alias("text")).where("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    out = spark.createDataFrame([], schema)
-    for n in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == n).collect()
-        block = spark.sparkContext.broadcast(
-            {"key": uuid.uuid4().hex, "items": [tuple(r) for r in rows]})
-        found = map_arrow(texts, _search(block, rate), schema)
-        out = found if blocks == 1 else out.union(found)
-    return out
+    found = [map_arrow(texts, _search(block, rate), schema)
+             for block in _blocks(benchmark, item_col, block_bytes)]
+    return reduce(DataFrame.union, found)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE, text_col: str = "text",
+          item_col: str = "item_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no item occurs."""
+    def keep(block):
+        def run(batches):
+            matcher = _matcher(block, rate)
+            for batch in batches:
+                hit = [bool(matcher.find(normalise(t))) for t in batch.column(text_col).to_pylist()]
+                yield batch.filter(pa.array([not h for h in hit], pa.bool_()))
+        return run
+    for block in _blocks(benchmark, item_col, block_bytes):
+        docs = map_arrow(docs, keep(block), docs.schema)
+    return docs

@@ -158,33 +158,56 @@ def decode(margins: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return best, top[:, -1], lead
 
 
+def _predictor(spark, model: dict):
+    """texts -> (language, score, ambiguous) arrays, for use in tasks."""
+    shared = spark.sparkContext.broadcast(model)
+
+    def some(texts):
+        m = shared.value
+        x, known = features(texts)
+        if m["weights"] is None:
+            only = m["languages"][0] if m["languages"] else "und"
+            known = known & (only != "und")
+            names, score, lead = np.full(len(x), only, object), np.ones(len(x)), np.ones(len(x))
+        else:
+            best, score, lead = decode(x @ m["weights"][:-1] + m["weights"][-1], m["code"])
+            names = np.array(m["languages"], object)[best]
+        return (np.where(known, names, "und"), np.where(known, score, 0.0).astype(np.float64),
+                ~known | (lead < AMBIGUOUS))
+
+    def predicted(texts: list[str | None]):
+        if not texts:
+            return np.zeros(0, object), np.zeros(0), np.zeros(0, bool)
+        parts = [some(texts[a:b]) for a, b in slices(texts, lambda t: len(t or ""))]
+        return tuple(np.concatenate(p) for p in zip(*parts))
+    return predicted
+
+
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, lang_pred, score, ambiguous) per row."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    predicted = _predictor(docs.sparkSession, model)
     base = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"),
                        F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        m = shared.value
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in slices(texts, lambda t: len(t or "")):
-                x, known = features(texts[a:b])
-                if m["weights"] is None:
-                    only = m["languages"][0] if m["languages"] else None
-                    known = known & (only is not None)
-                    names, score, lead = [only] * len(x), np.ones(len(x)), np.ones(len(x))
-                else:
-                    margins = x @ m["weights"][:-1] + m["weights"][-1]
-                    best, score, lead = decode(margins, m["code"])
-                    names = [m["languages"][i] for i in best]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), batch.column("held_out").slice(a, b - a),
-                     pa.array([n if k else "und" for n, k in zip(names, known)], pa.string()),
-                     pa.array(np.where(known, score, 0.0).astype(np.float64)),
-                     pa.array(~known | (lead < AMBIGUOUS))],
-                    ["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
+            names, score, ambiguous = predicted(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(names, pa.string()),
+                 pa.array(score), pa.array(ambiguous)],
+                ["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
     return map_arrow(base, run, f"doc_id {base.schema['doc_id'].dataType.simpleString()}, "
                                 "held_out boolean, lang_pred string, score double, ambiguous boolean")
+
+
+def identified(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is clear: not ``und``
+    and not ambiguous."""
+    predicted = _predictor(docs.sparkSession, model)
+
+    def run(batches):
+        for batch in batches:
+            _, _, ambiguous = predicted(batch.column(text_col).to_pylist())
+            yield batch.filter(pa.array(~ambiguous))
+    return map_arrow(docs, run, docs.schema)

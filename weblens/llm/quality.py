@@ -208,26 +208,44 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                          table["label"].to_numpy().astype(np.float64))
 
 
+def _scorer(spark, network: Network | None):
+    """texts -> scores, for use in tasks."""
+    shared = spark.sparkContext.broadcast(network and (network.p, network.mean, network.scale))
+
+    def scores(texts: list[str | None]) -> np.ndarray:
+        if not shared.value or not texts:
+            return np.full(len(texts), 0.5)
+        net = Network()
+        net.p, net.mean, net.scale = shared.value
+        return np.concatenate([net.forward(*passages(texts[a:b]))[0]
+                               for a, b in slices(texts, lambda t: len(t or ""))])
+    return scores
+
+
 def score(docs: DataFrame, network: Network | None, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score) per row."""
-    shared = docs.sparkSession.sparkContext.broadcast(network and (network.p, network.mean, network.scale))
+    scores = _scorer(docs.sparkSession, network)
     base = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"),
                        F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
-        net = Network()
-        if shared.value:
-            net.p, net.mean, net.scale = shared.value
-            net.p = {k: v.astype(np.float32) for k, v in net.p.items()}
-            net.mean, net.scale = net.mean.astype(np.float32), net.scale.astype(np.float32)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for a, b in slices(texts, lambda t: len(t or "")):
-                x, sizes = passages(texts[a:b])
-                s = net.forward(x, sizes)[0] if shared.value else np.full(b - a, 0.5)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), batch.column("held_out").slice(a, b - a),
-                     pa.array(s.astype(np.float64))], ["doc_id", "held_out", "score"])
+            s = scores(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(s.astype(np.float64))],
+                ["doc_id", "held_out", "score"])
     return map_arrow(base, run, f"doc_id {base.schema['doc_id'].dataType.simpleString()}, "
                                 "held_out boolean, score double")
+
+
+def accepted(docs: DataFrame, network: Network | None, threshold: float = THRESHOLD,
+             text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores ``threshold`` or more."""
+    scores = _scorer(docs.sparkSession, network)
+
+    def run(batches):
+        for batch in batches:
+            s = scores(batch.column(text_col).to_pylist())
+            yield batch.filter(pa.array(s >= threshold))
+    return map_arrow(docs, run, docs.schema)

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (ann, bpe, decontam, langid, minhash, quality, sharding, token_counts,
-               url_filter)
+from . import (ann, bpe, decontam, html_extract, langid, minhash, quality, sharding,
+               token_counts, url_filter)
 from .common import read_table, remove_on_exit
 
 
@@ -48,6 +48,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
@@ -70,7 +74,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe_roundtrip, op2_balanced_shards, op3_benchmark_leaks, op4_url_verdicts,
-        op5_token_counts, op7_language, op8_quality, op9_nearest_vectors, op10_near_duplicates)
+        op5_token_counts, op6_main_text, op7_language, op8_quality, op9_nearest_vectors, op10_near_duplicates)
 }
 
 #: DuckDB SQL of those that SQL can express; the others have brute-force tests.
