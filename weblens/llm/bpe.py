@@ -24,7 +24,6 @@ library. Whole texts are used, whatever their length.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -36,17 +35,17 @@ from pyspark.sql import functions as F
 from .common import map_arrow, written
 from .pieces import WordTokenizer, read_spec
 
-HOT_WORDS = 1 << 19
+HOT_WORDS = 1 << 18
 HOT_WORD_BYTES = 48
-#: Distinct words of a task whose counts are held before they are passed on.
-COUNTED_WORDS = 500_000
-#: Words of a task whose codes are remembered.
-REMEMBERED_WORDS = 500_000
+#: Characters of texts that a task splits at once (one document at least).
+SLICE_CHARS = 3_000_000
+#: Documents whose ids a task puts together at once.
+SLICE_ROWS = 1000
 #: Tokens that are decoded at once (one document at least).
-SLICE_TOKENS = 4_000_000
+SLICE_TOKENS = 1_000_000
 
 _ID = np.dtype("<u4")
-_hot_tables: dict[object, tuple] = {}
+_hot_tables: dict[tuple, object] = {}
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -55,27 +54,71 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.hash(text).alias("text_key"))
 
 
+def _slices(batches):
+    """The rows of a task in slices of about ``SLICE_CHARS`` characters."""
+    for batch in batches:
+        chars = pc.utf8_length(batch.column("text")).to_numpy(zero_copy_only=False)
+        part = np.cumsum(chars) // SLICE_CHARS
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
+class _Occurrences:
+    """The pieces of some texts: the distinct ``pieces``, ``at`` the index
+    there of every occurrence in the order of the texts, and ``ends`` the
+    number of occurrences up to the end of each text."""
+
+    def __init__(self, tok, texts: list[str]):
+        fast = [tok.lowered(t) for t in texts]
+        slow = [tok.split(t) for t, f in zip(texts, fast) if f is None]
+        lists = pc.ascii_split_whitespace(pa.array([f for f in fast if f is not None], pa.string()))
+        if slow:
+            is_slow = np.array([f is None for f in fast])
+            order = np.empty(len(texts), np.int64)
+            order[~is_slow] = np.arange(len(lists))
+            order[is_slow] = np.arange(len(lists), len(texts))
+            lists = pa.concat_arrays([lists, pa.array(slow, pa.list_(pa.string()))]).take(pa.array(order))
+        words = lists.flatten().dictionary_encode()
+        pieces, size = (_split_each if slow else _split_joined)(tok, words.dictionary)
+        pieces = pieces.dictionary_encode()
+        self.pieces = pieces.dictionary
+        start = np.cumsum(size) - size
+        word_of = words.indices.to_numpy()
+        sizes = size[word_of]
+        before = np.cumsum(sizes) - sizes
+        piece_at = np.repeat(start[word_of] - before, sizes) + np.arange(sizes.sum())
+        self.at = pieces.indices.to_numpy()[piece_at]
+        text_ends = lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
+        self.ends = np.concatenate([[0], np.cumsum(sizes)])[text_ends]
+
+
+def _split_each(tok, words):
+    """(pieces of the words one after another, how many each word has)."""
+    found = [tok.pieces(w) if w else [] for w in words.to_pylist()]
+    return (pa.array([p for ps in found for p in ps], pa.string()),
+            np.fromiter(map(len, found), np.int64, len(found)))
+
+
+def _split_joined(tok, words):
+    """The same for words of fast texts, by one pass over all of them."""
+    flat = pa.array(tok.pieces_of_lines("\n".join(words.to_pylist())), pa.string())
+    is_end = pc.equal(flat, "\n")
+    ends = np.flatnonzero(is_end.to_numpy(zero_copy_only=False))
+    # words are one more than line ends; each line end is an element itself
+    bounds = np.concatenate([[-1], ends, [len(flat)]])
+    size = np.diff(bounds) - 1
+    return flat.filter(pc.invert(is_end)), size[:len(words)]
+
+
 def _count_words(spec):
     def run(batches):
         tok = WordTokenizer.load(spec.value)
-        words: Counter = Counter()
-
-        def counted():
-            pieces: Counter = Counter()
-            for w, n in words.items():
-                for p in tok.pieces(w):
-                    pieces[p] += n
-            return pa.RecordBatch.from_arrays(
-                [pa.array(pieces.keys(), pa.string()), pa.array(pieces.values(), pa.int64())],
-                ["word", "n"])
-
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                words.update(tok.split(text))
-                if len(words) > COUNTED_WORDS:
-                    yield counted()
-                    words.clear()
-        yield counted()
+        for batch in _slices(batches):
+            seen = _Occurrences(tok, batch.column("text").to_pylist())
+            n = np.bincount(seen.at, minlength=len(seen.pieces)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([seen.pieces, pa.array(n)], ["word", "n"])
     return run
 
 
@@ -116,51 +159,45 @@ def _hot_limit(words: DataFrame, most: int) -> int:
     return limit
 
 
-def _load_hot(hot, spec):
-    """(tokenizer, code of each hot word, ids of each code), once per worker.
-    Code 0 stands for a word that is not in the table."""
-    key = hot.value["key"]
+def _hot_table(hot, form):
+    """``form`` of the broadcast table, made once per worker process; workers
+    that only need the codes or only the ids hold just these."""
+    key = (hot.value["key"], form.__name__)
     if key not in _hot_tables:
         _hot_tables.clear()
-        table = pa.ipc.open_stream(hot.value["table"]).read_all()
-        codes = {w: i for i, w in enumerate(table.column("word").to_pylist(), 1)}
-        _hot_tables[key] = (codes, [b"", *table.column("ids").to_pylist()])
-    return WordTokenizer.load(spec.value), *_hot_tables[key]
+        _hot_tables[key] = form(pa.ipc.open_stream(hot.value["table"]).read_all())
+    return _hot_tables[key]
+
+
+def _code_of_word(table: pa.Table) -> dict[str, int]:
+    """Codes from 1; code 0 stands for a word outside the table."""
+    return {w: i for i, w in enumerate(table.column("word").to_pylist(), 1)}
 
 
-class _Codes(dict):
-    """Word -> codes of its pieces, 4 bytes each; ``rare`` has the pieces
-    without a code of those words that have one."""
+def _ids_of_code(table: pa.Table) -> list[bytes]:
+    return [b"", *table.column("ids").to_pylist()]
 
-    def __init__(self, tok, codes):
-        super().__init__()
-        self.tok, self.codes, self.rare = tok, codes, {}
 
-    def __missing__(self, word):
-        if len(self) > REMEMBERED_WORDS:
-            self.clear()
-            self.rare.clear()
-        pieces = self.tok.pieces(word)
-        found = [self.codes.get(p, 0) for p in pieces]
-        if 0 in found:
-            self.rare[word] = [p for p, c in zip(pieces, found) if not c]
-        self[word] = out = np.asarray(found, _ID).tobytes()
-        return out
+def _codes(tok, code_of, texts: list[str]):
+    """(occurrences, code of each occurrence; 0 outside the hot table)."""
+    seen = _Occurrences(tok, texts)
+    pieces = seen.pieces.to_pylist()
+    codes = np.fromiter((code_of.get(p, 0) for p in pieces), _ID, len(pieces))
+    return seen, codes[seen.at]
 
 
 def _hot_codes(hot, spec):
     """(doc_id, text_key, codes): per document the code of each position, the
     byte planes one after another and compressed."""
     def run(batches):
-        tok, codes, _ = _load_hot(hot, spec)
-        memo = _Codes(tok, codes)
+        tok, code_of = WordTokenizer.load(spec.value), _hot_table(hot, _code_of_word)
         pack = zstandard.ZstdCompressor(level=3, write_content_size=True)
-        for batch in batches:
+        for batch in _slices(batches):
+            seen, codes = _codes(tok, code_of, batch.column("text").to_pylist())
             out = []
-            for text in batch.column("text").to_pylist():
-                flat = b"".join([memo[w] for w in tok.split(text)])
-                planes = np.frombuffer(flat, np.uint8).reshape(-1, 4)[:, :3].T.tobytes()
-                out.append(pack.compress(planes))
+            for a, b in zip([0, *seen.ends.tolist()], seen.ends.tolist()):
+                planes = codes[a:b].view(np.uint8).reshape(-1, 4)[:, :3].T
+                out.append(pack.compress(planes.tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(out, pa.binary())],
                 ["doc_id", "text_key", "codes"])
@@ -171,48 +208,45 @@ def _rare_words(hot, spec):
     """(doc_id, text_key, nth, word): the words outside the hot table, each
     with its place among those of its document."""
     def run(batches):
-        tok, codes, _ = _load_hot(hot, spec)
-        memo = _Codes(tok, codes)
-        for batch in batches:
-            words, of, nth = [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                n = 0
-                for w in tok.split(text):
-                    memo[w]
-                    if w in memo.rare:
-                        words.extend(memo.rare[w])
-                        n += len(memo.rare[w])
-                of.extend([i] * n)
-                nth.extend(range(n))
-            at = pa.array(of, pa.int32())
-            for start in range(0, len(words), 50_000):
-                rows = slice(start, start + 50_000)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(at[rows]), batch.column("text_key").take(at[rows]),
-                     pa.array(nth[rows], pa.int32()), pa.array(words[rows], pa.string())],
-                    ["doc_id", "text_key", "nth", "word"])
+        tok, code_of = WordTokenizer.load(spec.value), _hot_table(hot, _code_of_word)
+        for batch in _slices(batches):
+            seen, codes = _codes(tok, code_of, batch.column("text").to_pylist())
+            rare = np.flatnonzero(codes == 0)
+            text = np.searchsorted(seen.ends, rare, side="right")
+            nth = np.arange(len(rare)) - np.searchsorted(text, text)
+            words = seen.pieces.take(pa.array(seen.at[rare]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(pa.array(text)),
+                 batch.column("text_key").take(pa.array(text)),
+                 pa.array(nth.astype(np.int32)), words], ["doc_id", "text_key", "nth", "word"])
     return run
 
 
-def _assemble(hot, spec):
+def _assemble(hot):
     def run(batches):
-        _, _, ids_of = _load_hot(hot, spec)
+        ids_of = _hot_table(hot, _ids_of_code)
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            out = []
-            for packed, rare in zip(batch.column("codes").to_pylist(),
-                                    batch.column("rare").to_pylist()):
-                planes = np.frombuffer(unpack.decompress(packed), np.uint8).reshape(3, -1)
-                codes = (planes[0].astype(_ID) | planes[1].astype(_ID) << 8
-                         | planes[2].astype(_ID) << 16)
-                ids = [ids_of[c] for c in codes.tolist()]
-                if rare:
-                    by_place = {r["nth"]: r["ids"] for r in rare}
-                    for n, at in enumerate(np.flatnonzero(codes == 0).tolist()):
-                        ids[at] = by_place[n]
-                out.append(b"".join(ids))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.large_binary())
-                                              .cast(pa.binary())], ["doc_id", "ids"])
+        for whole in batches:
+            for start in range(0, len(whole), SLICE_ROWS):
+                batch = whole.slice(start, SLICE_ROWS)
+                rare = batch.column("rare")
+                first = rare.offsets[0].as_py()
+                ends = rare.offsets.to_numpy() - first
+                values = rare.flatten()
+                nth, rare_ids = values.field("nth").to_numpy(), values.field("ids").to_pylist()
+                out = []
+                for i, packed in enumerate(batch.column("codes").to_pylist()):
+                    planes = np.frombuffer(unpack.decompress(packed), np.uint8).reshape(3, -1)
+                    codes = (planes[0].astype(_ID) | planes[1].astype(_ID) << 8
+                             | planes[2].astype(_ID) << 16)
+                    ids = [ids_of[c] for c in codes.tolist()]
+                    places = np.flatnonzero(codes == 0)
+                    for at, r in zip(places[nth[ends[i]:ends[i + 1]]].tolist(),
+                                     rare_ids[ends[i]:ends[i + 1]]):
+                        ids[at] = r
+                    out.append(b"".join(ids))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
     return run
 
 
@@ -244,13 +278,13 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     both = codes.alias("c").join(
         found.alias("r"), F.col("c.doc_id").eqNullSafe(F.col("r.doc_id"))
         & (F.col("c.text_key") == F.col("r.text_key")), "left")
-    return map_arrow(both.select("c.doc_id", "codes", "rare"), _assemble(hot, spec),
+    return map_arrow(both.select("c.doc_id", "codes", "rare"), _assemble(hot),
                      f"doc_id {id_type}, ids binary")
 
 
 def _decode(spec):
     def run(batches):
-        vocab = WordTokenizer.load(spec.value).id_to_piece
+        vocab = WordTokenizer.load(spec.value).id_to_piece()
         size = max(vocab, default=-1) + 1
         pieces = pa.array([vocab.get(i) for i in range(size)], pa.string())
         for batch in batches:

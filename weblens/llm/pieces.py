@@ -20,6 +20,7 @@ import json
 import os
 import re
 from collections.abc import Sequence
+from functools import cached_property
 
 # One task per core: the library must not start threads of its own.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -31,8 +32,17 @@ _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # Fixed value: the split pattern of the word BPE's JSON.
 _WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # The same pattern for words of lower-case ASCII and Latin-1 letters.
-_WORD_PIECES = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+_LATIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+"
+_WORD_PIECES = re.compile(_LATIN_PATTERN)
+_PIECES_OR_END = re.compile(_LATIN_PATTERN + r"|\n")
+
+_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+
+
+def _is_latin(text: str) -> bool:
+    """Only characters that Python and the library class and lower alike."""
+    return not (_CONTROL if text.isascii() else _OTHER_CHARS).search(text)
+
 
 #: Marks a special token's word; no ordinary word has two line ends before it.
 _SPECIAL = "\n\n"
@@ -44,7 +54,6 @@ class WordTokenizer:
     """``split(text)`` gives a text's words, ``encode(words)`` their ids."""
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer, normalizers
         conf = json.loads(spec)
         for t in conf["added_tokens"]:
             if t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"]:
@@ -57,11 +66,28 @@ class WordTokenizer:
         self._special_pattern = re.compile(
             "(" + "|".join(map(re.escape, specials)) + ")") if specials else None
         self._kind = self._known_kind(conf)
-        self._whole = Tokenizer.from_str(spec)
-        self._one = Tokenizer.from_str(spec)  # over a normalized word
-        self._one.normalizer = normalizers.Sequence([])
-        self._one.encode_special_tokens = True
-        self.id_to_piece = {i: p for p, i in self._whole.get_vocab(True).items()}
+        self._spec = spec
+
+    # The library's objects take tens of MB each, so a worker makes only those
+    # that its task uses.
+
+    @cached_property
+    def _whole(self):
+        from tokenizers import Tokenizer
+        return Tokenizer.from_str(self._spec)
+
+    @cached_property
+    def _one(self):
+        """Over a normalized word."""
+        from tokenizers import Tokenizer, normalizers
+        one = Tokenizer.from_str(self._spec)
+        one.normalizer = normalizers.Sequence([])
+        one.encode_special_tokens = True
+        return one
+
+    def id_to_piece(self) -> dict[int, str]:
+        vocab = json.loads(self._spec)["model"]["vocab"]
+        return {i: p for p, i in (vocab | self._special_ids).items()}
 
     @staticmethod
     def _known_kind(conf: dict) -> str:
@@ -93,17 +119,24 @@ class WordTokenizer:
     def split(self, text: str | None) -> list[str]:
         if not text:
             return []
-        if self._special_pattern and self._special_pattern.search(text):
+        if any(t in text for t in self._special_ids):
             out: list[str] = []
             for part in self._special_pattern.split(text):
                 out.extend([_SPECIAL + part] if part in self._special_ids else self._split(part))
             return out
         return self._split(text)
 
+    def lowered(self, text: str) -> str | None:
+        """The text whose white-space runs alone part its words, where that is
+        all there is to ``split``; else None."""
+        if self._kind != "word" or any(t in text for t in self._special_ids) or not _is_latin(text):
+            return None
+        return text.lower()
+
     def _split(self, text: str) -> list[str]:
         if not text:
             return []
-        latin = not _OTHER_CHARS.search(text)
+        latin = _is_latin(text)
         if self._kind == "word":
             if latin:
                 return text.lower().split()
@@ -123,10 +156,15 @@ class WordTokenizer:
         """The pieces of a word that the model encodes alone, as texts."""
         if word.startswith(_SPECIAL) or self._kind == "other":
             return [word]
-        if self._kind == "word" and not _OTHER_CHARS.search(word):
+        if self._kind == "word" and _is_latin(word):
             return _WORD_PIECES.findall(word)
         return [word[a:b] for _, (a, b) in self._whole.pre_tokenizer.pre_tokenize_str(word)]
 
+    def pieces_of_lines(self, lines: str) -> list[str]:
+        """Pieces of words that ``lowered`` texts have, one word to a line,
+        with the line ends between them."""
+        return _PIECES_OR_END.findall(lines)
+
     def encode(self, words: Sequence[str]) -> list[list[int]]:
         """Ids of each word (or piece); give each distinct one once."""
         out = [e.ids for e in self._one.encode_batch_fast(list(words), add_special_tokens=False)]
