@@ -10,11 +10,12 @@ signature coordinates: coordinate k is the least pi(sigma(x) + k mod 2**32).
    coordinate. Documents with equal sets become one class.
 2. Classes that share a band key are candidates. Each is compared with the
    smallest class of its key (a star, not all pairs). Where a key's classes
-   then still fall into several components, its remaining cross pairs are
-   compared too, so every candidate pair is either confirmed, refuted or
-   already joined by confirmed links.
-3. Candidates whose sizes or sketches allow the similarity are compared on
-   their full sets, which are rebuilt from the texts; one class with many
+   then still fall into several components, each is compared with ``HUBS``
+   others, and what is still apart after that with whatever a prefix filter
+   on the differences to the key's hub leaves (see ``_cross_pairs``). So every
+   candidate pair is either confirmed, refuted or already joined.
+3. Candidates whose sizes and sketches allow the similarity are compared on
+   their full sets, which are rebuilt once from the texts; one class with many
    candidates is split over salted groups.
 4. Components of the confirmed links give the result.
 
@@ -31,11 +32,13 @@ not arise; other columns are ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, written
@@ -45,6 +48,10 @@ BANDS, ROWS = 32, 4
 COORDINATES = BANDS * ROWS
 #: Sketch bits that may differ: 12.8 of 128 do at 0.8 on average.
 SKETCH_LIMIT = 35
+#: Classes of a key that all others meet in the second round.
+HUBS = 6
+#: Groups over which the members of one hub are dealt for the prefix filter.
+SALTS = 32
 #: Comparisons with one class that one task group holds.
 GROUP = 256
 #: Characters that a task shingles at once (one document at least).
@@ -146,13 +153,12 @@ def _sketches(words):
 
 
 def _sets(words):
-    """(hub, salt, member, doc_id, shingles) from rows with a text."""
+    """(rep, shingles): the sorted shingle hashes, 8 bytes each."""
     def run(batches):
         for batch in _slices(batches):
             sets = [s.tobytes() for s in shingle_sets(batch.column("text"), words)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("hub", "salt", "member", "doc_id")),
-                 pa.array(sets, pa.binary())], ["hub", "salt", "member", "doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())],
+                                             ["rep", "shingles"])
     return run
 
 
@@ -185,7 +191,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.where(_may_link("a_", "b_", percent)).select("a", "b")
 
 
-def _may_link(p: str, q: str, percent: int):
+def _may_link(p: str, q: str, percent: int) -> Column:
     low = F.least(p + "n_shingles", q + "n_shingles")
     high = F.greatest(p + "n_shingles", q + "n_shingles")
     differ = (F.bit_count(F.col(p + "bits0").bitwiseXOR(F.col(q + "bits0")))
@@ -193,21 +199,24 @@ def _may_link(p: str, q: str, percent: int):
     return (100 * low >= percent * high) & (differ <= SKETCH_LIMIT)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets, rebuilt from the texts, are similar.
-    The texts move once, by id; the sets of a's partners then meet a's own,
-    ``GROUP`` of them to a group."""
-    pairs = written(_salted(pairs), "minhash-pairs")
-    roles = (pairs.select(F.col("b").alias("doc_id"), F.col("a").alias("hub"), "salt",
-                          F.lit(1).alias("member"))
-             .union(pairs.select("a", "a", "salt", F.lit(0)).distinct()))
-    rows = (docs.select("doc_id", "text").join(roles, "doc_id")
-            .select("hub", "salt", "member", "doc_id", "text"))
-    sets = map_arrow(rows, _sets(words),
-                     "hub long, salt int, member int, doc_id long, shingles binary")
-    grouped = (sets.repartition("hub", "salt")
-               .sortWithinPartitions("hub", "salt", "member"))
-    return map_arrow(grouped, _confirm(percent), "a long, b long")
+def _with_hub(members: DataFrame, sets: DataFrame, *extra: str) -> DataFrame:
+    """(hub, salt, member, rep, extra, shingles) for rows (hub, rep, salt,
+    extra), sorted so that in each group the hub's own set comes first."""
+    hub = members.select("hub", F.col("hub").alias("rep"), "salt", F.lit(0).alias("member"),
+                         *(F.lit(None).cast("long").alias(c) for c in extra)).distinct()
+    roles = members.where("rep != hub").select("hub", "rep", "salt", F.lit(1).alias("member"),
+                                               *extra).union(hub)
+    return (sets.join(roles, "rep").select("hub", "salt", "member", "rep", *extra, "shingles")
+            .repartition("hub", "salt").sortWithinPartitions("hub", "salt", "member"))
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar. The sets of a's partners
+    meet a's own, about ``GROUP`` of them to a group."""
+    salted = written(_salted(pairs), "minhash-pairs").select(
+        F.col("a").alias("hub"), F.col("b").alias("rep"), "salt")
+    return written(map_arrow(_with_hub(salted, sets), _confirm(percent), "a long, b long"),
+                   "minhash-links")
 
 
 def _salted(pairs: DataFrame) -> DataFrame:
@@ -236,17 +245,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("hub")) \
         .where("n > 1")
     members = written(keys.join(shared, "key").select("key", "rep", "hub"), "minhash-buckets")
+    involved = written(members.select(F.col("rep").alias("doc_id")).distinct(), "minhash-involved")
+    sets = written(map_arrow(docs.join(involved, "doc_id").dropDuplicates(["doc_id"]),
+                             _sets(words), "rep long, shingles binary"), "minhash-sets")
+
     star = (members.where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
             .distinct())
-    star = written(_plausible(star, classes, percent), "minhash-star")
-    links = written(confirm(star, docs, words, percent), "minhash-links")
+    tested = written(_plausible(star, classes, percent), "minhash-star")
+    links = confirm(tested, sets, percent)
     found = written(components(links, "a", "b"), "minhash-components")
-
-    rest = _cross_pairs(members, classes, found, percent)
-    rest = written(rest.join(star, ["a", "b"], "left_anti"), "minhash-cross")
-    if not rest.isEmpty():
-        links = links.union(confirm(rest, docs, words, percent))
-        found = written(components(links, "a", "b"), "minhash-components")
+    for further in (_other_hubs, _cross_pairs):
+        pairs = _plausible(further(_mixed(members, found), sets, percent), classes, percent)
+        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-candidates")
+        if not pairs.isEmpty():
+            tested = tested.union(pairs)
+            links = links.union(confirm(pairs, sets, percent))
+            found = written(components(links, "a", "b"), "minhash-components")
 
     of_class = (classes.select("digest", "rep")
                 .join(found, F.col("rep") == F.col("node"), "left")
@@ -259,25 +273,103 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
                     own.eqNullSafe(F.col("doc_id")).alias("kept")))
 
 
-def _cross_pairs(members: DataFrame, classes: DataFrame, found: DataFrame,
-                 percent: int) -> DataFrame:
-    """(a, b), a < b: classes with a common key in different components. Of a
-    key with several components, the largest component's classes need no
-    comparison with one another, so the others meet all of the key."""
-    labelled = (members.select("key", "rep")
-                .join(found, F.col("rep") == F.col("node"), "left")
-                .select("key", "rep", F.coalesce("component", "rep").alias("component")))
-    sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"),
-                                      F.max_by("component", "n").alias("main"))
-             .where("parts > 1").select("key", "main"))
-    rows = written(labelled.join(mixed, "key")
-                   .join(classes.select("rep", "n_shingles", "bits0", "bits1"), "rep"),
-                   "minhash-mixed")
-    side = lambda p: rows.select("key", *(F.col(c).alias(p + c) for c in
-                                          ("rep", "component", "main", "n_shingles", "bits0", "bits1")))
-    small = side("a_").where("a_component != a_main")
-    pairs = small.join(side("b_"), "key").where(
-        (F.col("a_component") != F.col("b_component")) & _may_link("a_", "b_", percent))
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of those keys whose classes are in several components."""
+    labelled = (members.join(found, F.col("rep") == F.col("node"), "left")
+                .select("key", "rep", "hub", F.coalesce("component", "rep").alias("component")))
+    mixed = (labelled.groupBy("key").agg(F.min("component").alias("low"),
+                                         F.max("component").alias("high"))
+             .where("low < high").select("key"))
+    return written(labelled.join(mixed, "key"), "minhash-mixed")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a_rep", "b_rep").alias("a"),
                         F.greatest("a_rep", "b_rep").alias("b")).distinct()
+
+
+def _other_hubs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each class of a mixed key and ``HUBS`` of the key's classes in
+    other components, the same ones for keys with the same classes."""
+    hubs = mixed.groupBy("key").agg(F.array_distinct(F.array(*(
+        F.min_by(F.struct("rep", "component"), F.xxhash64("rep", F.lit(i))) for i in range(HUBS))))
+        .alias("hubs"))
+    hubs = hubs.select("key", F.explode("hubs").alias("h")).select(
+        "key", F.col("h.rep").alias("a_rep"), F.col("h.component").alias("a_component"))
+    members = mixed.select("key", F.col("rep").alias("b_rep"), F.col("component").alias("b_component"))
+    return _ordered(members.join(hubs, "key").where("a_component != b_component"))
+
+
+def _cross_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs with a common key in different components that can be
+    similar, found by a prefix filter on differences to the key's hub.
+
+    Let D be the symmetric difference of a set and the hub's. Two sets of a
+    similarity of ``percent`` have D's with t elements in common, where t grows
+    with the D's sizes. Linked to the hub are those with a small D; these are
+    in one component, so one of a pair is a stray with a large D. Under one
+    order of all elements, D's with t common elements share one of the first
+    |D| - t + 1 of each; the order puts what the hub lacks first, which copies
+    rarely have in common. So the strays of a group meet few others, and the
+    group's pairs are never listed."""
+    members = mixed.select("hub", "rep", "component").distinct()
+    rows = map_arrow(_with_hub(members.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS))),
+                               sets, "component"),
+                     _prefixes(percent), "hub long, rep long, component long, element long, "
+                                         "wide boolean, narrow boolean, place long, d long, n long")
+    rows = written(rows, "minhash-prefixes")
+    side = lambda p, kind: rows.where(kind).select("hub", "element", *(
+        F.col(c).alias(p + c) for c in ("rep", "component", "place", "d", "n")))
+    # what the D's can have in common if this element is the first
+    common = F.least(F.expr("a_d - a_place"), F.expr("b_d - b_place"))
+    a, b = _ratio(percent)
+    enough = 2 * b * common >= F.expr(f"{b} * (a_d + b_d) - {a} * (a_n + b_n)")
+    return _ordered(side("a_", "wide").join(side("b_", "narrow"), ["hub", "element"])
+                    .where((F.col("a_component") != F.col("b_component")) & enough))
+
+
+def _ratio(percent: int) -> tuple[int, int]:
+    """(a, b): sets of sizes m and n are similar when their symmetric
+    difference is at most (m + n) * a / b."""
+    a, b = 100 - percent, 100 + percent
+    return a // math.gcd(a, b), b // math.gcd(a, b)
+
+
+def _prefixes(percent):
+    """One row for each element that a set is found by: ``wide`` ones of a
+    stray, ``narrow`` ones of any set as the partner of a stray."""
+    a, b = _ratio(percent)
+
+    def run(batches):
+        at, hub_set = None, None
+        for batch in batches:
+            out = [[] for _ in range(9)]
+            for hub, salt, member, rep, component, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                shingles = np.frombuffer(raw, np.uint64)
+                if not member:
+                    at, hub_set = (hub, salt), shingles
+                    continue
+                if (hub, salt) != at:
+                    continue
+                own = np.setdiff1d(shingles, hub_set, assume_unique=True)
+                lost = np.setdiff1d(hub_set, shingles, assume_unique=True)
+                d, n, h = len(own) + len(lost), len(shingles), len(hub_set)
+                is_stray = b * d > a * (n + h)
+                by_stray = d + 1 - -(-(b * d + a * (h - n) + 1) // (2 * b))
+                by_any = d + 1 - max(1, -(-(b * d - a * (n + 100 * n // percent)) // (2 * b)))
+                size = max(by_stray, by_any) if is_stray else by_stray
+                if size <= 0:
+                    continue
+                first = np.concatenate([own, lost])[:size]
+                place = np.arange(len(first))
+                row = (np.full(len(first), hub), np.full(len(first), rep),
+                       np.full(len(first), component), first.view(np.int64),
+                       (place < by_any) & is_stray, place < by_stray, place,
+                       np.full(len(first), d), np.full(len(first), n))
+                for column, values in zip(out, row):
+                    column.append(values)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(c)) for c in out],
+                    ["hub", "rep", "component", "element", "wide", "narrow", "place", "d", "n"])
+    return run
