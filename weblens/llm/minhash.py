@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_arrow, written
@@ -309,15 +309,22 @@ def _cross_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     with the D's sizes. Linked to the hub are those with a small D; these are
     in one component, so one of a pair is a stray with a large D. Under one
     order of all elements, D's with t common elements share one of the first
-    |D| - t + 1 of each; the order puts what the hub lacks first, which copies
-    rarely have in common. So the strays of a group meet few others, and the
-    group's pairs are never listed."""
+    |D| - t + 1 of each; the order puts elements first that few D's of the hub
+    hold. So the strays of a group meet few others, and the group's pairs are
+    never listed."""
     members = mixed.select("hub", "rep", "component").distinct()
     rows = map_arrow(_with_hub(members.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS))),
                                sets, "component"),
-                     _prefixes(percent), "hub long, rep long, component long, element long, "
-                                         "wide boolean, narrow boolean, place long, d long, n long")
-    rows = written(rows, "minhash-prefixes")
+                     _differences(percent), "hub long, rep long, component long, element long, "
+                                            "wide long, narrow long, d long, n long")
+    rows = written(rows, "minhash-differences")
+    held = rows.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("held"))
+    rarest = Window.partitionBy("hub", "rep").orderBy("held", "element")  # one document's elements
+    rows = (rows.join(held, ["hub", "element"])
+            .withColumn("place", (F.row_number().over(rarest) - 1).cast("long"))
+            .where(F.col("place") < F.greatest("wide", "narrow")))
+    rows = written(rows.withColumn("wide", F.col("place") < F.col("wide"))
+                   .withColumn("narrow", F.col("place") < F.col("narrow")), "minhash-prefixes")
     side = lambda p, kind: rows.where(kind).select("hub", "element", *(
         F.col(c).alias(p + c) for c in ("rep", "component", "place", "d", "n")))
     # what the D's can have in common if this element is the first
@@ -335,15 +342,15 @@ def _ratio(percent: int) -> tuple[int, int]:
     return a // math.gcd(a, b), b // math.gcd(a, b)
 
 
-def _prefixes(percent):
-    """One row for each element that a set is found by: ``wide`` ones of a
-    stray, ``narrow`` ones of any set as the partner of a stray."""
+def _differences(percent):
+    """The elements of each D with the lengths of the prefixes by which it is
+    found: ``wide`` as a stray (0: it is none), ``narrow`` as the partner of one."""
     a, b = _ratio(percent)
 
     def run(batches):
         at, hub_set = None, None
         for batch in batches:
-            out = [[] for _ in range(9)]
+            out, elements = [[] for _ in range(7)], []
             for hub, salt, member, rep, component, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 shingles = np.frombuffer(raw, np.uint64)
                 if not member:
@@ -351,25 +358,17 @@ def _prefixes(percent):
                     continue
                 if (hub, salt) != at:
                     continue
-                own = np.setdiff1d(shingles, hub_set, assume_unique=True)
-                lost = np.setdiff1d(hub_set, shingles, assume_unique=True)
-                d, n, h = len(own) + len(lost), len(shingles), len(hub_set)
+                diff = np.setxor1d(shingles, hub_set, assume_unique=True)
+                d, n, h = len(diff), len(shingles), len(hub_set)
                 is_stray = b * d > a * (n + h)
-                by_stray = d + 1 - -(-(b * d + a * (h - n) + 1) // (2 * b))
-                by_any = d + 1 - max(1, -(-(b * d - a * (n + 100 * n // percent)) // (2 * b)))
-                size = max(by_stray, by_any) if is_stray else by_stray
-                if size <= 0:
-                    continue
-                first = np.concatenate([own, lost])[:size]
-                place = np.arange(len(first))
-                row = (np.full(len(first), hub), np.full(len(first), rep),
-                       np.full(len(first), component), first.view(np.int64),
-                       (place < by_any) & is_stray, place < by_stray, place,
-                       np.full(len(first), d), np.full(len(first), n))
-                for column, values in zip(out, row):
-                    column.append(values)
-            if out[0]:
+                narrow = d + 1 - -(-(b * d + a * (h - n) + 1) // (2 * b))
+                wide = d + 1 - max(1, -(-(b * d - a * (n + 100 * n // percent)) // (2 * b)))
+                elements.append(diff.view(np.int64))
+                for column, value in zip(out, (hub, rep, component, wide if is_stray else 0, narrow, d, n)):
+                    column.append(np.full(d, value))
+            if elements:
+                hub, rep, component, *rest = (pa.array(np.concatenate(c)) for c in out)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in out],
-                    ["hub", "rep", "component", "element", "wide", "narrow", "place", "d", "n"])
+                    [hub, rep, component, pa.array(np.concatenate(elements)), *rest],
+                    ["hub", "rep", "component", "element", "wide", "narrow", "d", "n"])
     return run
