@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, written
+from .common import drop_unused_shuffles, map_arrow, written
 from .pieces import WordTokenizer, read_spec
 
 HOT_WORDS = 1 << 18
@@ -260,6 +260,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     id_type = texts.schema["doc_id"].dataType.simpleString()
     spec = spark.sparkContext.broadcast(read_spec(tokenizer_path))
     words = word_table(texts, spec)
+    drop_unused_shuffles(spark)  # those of the counts
     is_hot = ((F.octet_length("word") <= HOT_WORD_BYTES)
               & (F.col("n") >= _hot_limit(words, hot_words)))
     # at most hot_words rows of at most HOT_WORD_BYTES bytes: a proven bound
