@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from weblens.functions.parse import (format_time, is_not_blank, is_not_empty, parse_access_log,
                                      rowkey, split_rejects)
 
-UA_A = ("Mozilla/5.0 (Windows NT 10.0; WOW64) AppleWebKit/537.36 (KHTML, like Gecko) "
-        "Chrome/58.0.3029.110 Safari/537.36 SE 2.X MetaSr 1.0")
-UA_B = "swcd (unknown version) CFNetwork/974.2.1 Darwin/18.0.0"
-UA_C = "Go-http-client/1.1"
+UA_A = ("Mozilla/5.0 (Windows NT 6.3; x64) AppleWebKit/600.9 (KHTML, like Gecko) "
+        "Chrome/88.7.10.20 Safari/600.9 SE 2.X MetaSr 3.5")
+UA_B = "PhotoSync/12 CFNetwork/1121.2.2 Darwin/19.3.0"
+UA_C = "Go-http-client/2.0"
 
 
 def line(ip, time, url, status, size, referer, ua, method="GET"):
@@ -20,11 +20,11 @@ def line(ip, time, url, status, size, referer, ua, method="GET"):
 
 
 LINES = [
-    line("110.85.18.234", "30/Jan/2019:00:00:21 +0800", "/course/list?c=cb", 200, 12800,
-         "https://www.example.com/course/list?c=data", UA_A),
-    line("218.74.48.154", "30/Jan/2019:00:00:22 +0800", "/.well-known/apple-app-site-association",
+    line("110.20.30.40", "14/Mar/2021:00:00:21 +0800", "/shop/hats?colour=red", 200, 4321,
+         "https://www.example.com/shop/shoes?size=42", UA_A),
+    line("203.0.113.77", "14/Mar/2021:00:00:22 +0800", "/robots.txt",
          200, 165, "-", UA_B),
-    line("194.54.83.182", "30/Jan/2019:00:00:22 +0800", "/", 301, 178, "-", UA_C),
+    line("198.51.100.99", "14/Mar/2021:00:00:22 +0800", "/", 301, 178, "-", UA_C),
 ]
 
 
@@ -33,31 +33,31 @@ def test_parse_fields(spark):
     good, bad = split_rejects(parse_access_log(df))
     assert bad.count() == 0
     r = {x.ip: x for x in good.collect()}
-    first = r["110.85.18.234"]
-    assert first.time == "[30/Jan/2019:00:00:21 +0800]"
-    assert (first.method, first.url, first.protocal) == ("GET", "/course/list?c=cb", "HTTP/1.1")
-    assert (first.status, first.bytessent) == ("200", "12800")
-    assert first.referer == '"https://www.example.com/course/list?c=data"'  # quotes kept
+    first = r["110.20.30.40"]
+    assert first.time == "[14/Mar/2021:00:00:21 +0800]"
+    assert (first.method, first.url, first.protocal) == ("GET", "/shop/hats?colour=red", "HTTP/1.1")
+    assert (first.status, first.bytessent) == ("200", "4321")
+    assert first.referer == '"https://www.example.com/shop/shoes?size=42"'  # quotes kept
     assert first.ua == UA_A
-    assert r["194.54.83.182"].status == "301"
-    assert r["218.74.48.154"].referer == '"-"'
+    assert r["198.51.100.99"].status == "301"
+    assert r["203.0.113.77"].referer == '"-"'
 
 
-@pytest.mark.parametrize("tz,expected", [("UTC", "201901291600"), ("Asia/Shanghai", "201901300000")])
+@pytest.mark.parametrize("tz,expected", [("UTC", "202103131600"), ("Asia/Shanghai", "202103140000")])
 def test_format_time_zone(spark, tz, expected):
-    df = spark.createDataFrame([("[30/Jan/2019:00:00:21 +0800]",)], "time string")
+    df = spark.createDataFrame([("[14/Mar/2021:00:00:21 +0800]",)], "time string")
     assert df.select(format_time("time", tz)).first()[0] == expected
 
 
 def test_format_time_default_is_session_zone(spark):
-    df = spark.createDataFrame([("[30/Jan/2019:00:00:21 +0800]",), ("[garbage]",), (None,)], "time string")
+    df = spark.createDataFrame([("[14/Mar/2021:00:00:21 +0800]",), ("[garbage]",), (None,)], "time string")
     got = [r[0] for r in df.select(format_time("time")).collect()]
-    assert got == ["201901291600", None, None]  # session zone is UTC in tests
+    assert got == ["202103131600", None, None]  # session zone is UTC in tests
 
 
 def test_rejects_are_routed_not_lost(spark):
     odd = ["", "a b c d e", "no quotes at all in this line but many many tokens here ok",
-           line("::1", "30/Jan/2019:00:00:21 +0800", "/", 200, 1, "-", "")]
+           line("::1", "14/Mar/2021:00:00:21 +0800", "/", 200, 1, "-", "")]
     df = spark.createDataFrame([(x,) for x in LINES + odd], "value string")
     good, bad = split_rejects(parse_access_log(df))
     assert good.count() + bad.count() == len(LINES) + len(odd)
@@ -69,15 +69,15 @@ def test_rejects_are_routed_not_lost(spark):
 def test_rowkey_matches_crc32(spark):
     df = spark.createDataFrame([(x,) for x in LINES], "value string")
     good, _ = split_rejects(parse_access_log(df))
-    for r in good.select("referer", "url", "ip", "ua", rowkey("20190130").alias("k")).collect():
+    for r in good.select("referer", "url", "ip", "ua", rowkey("20210314").alias("k")).collect():
         crc = zlib.crc32((r.referer + r.url + r.ip + r.ua).encode("utf-8"))
-        assert r.k == f"20190130_{crc}"
+        assert r.k == f"20210314_{crc}"
 
 
 def test_rowkey_empty_info_is_zero(spark):
     df = spark.createDataFrame([(None, None, None, None)],
                                "referer string, url string, ip string, ua string")
-    assert df.select(rowkey("20190130")).first()[0] == "20190130_0"
+    assert df.select(rowkey("20210314")).first()[0] == "20210314_0"
 
 
 def test_blank_and_empty(spark):
@@ -88,18 +88,18 @@ def test_blank_and_empty(spark):
 
 def test_read_day_glob(spark, tmp_path):
     from weblens.sources.files import read_access_log
-    for day, n in (("20190130", 2), ("20190131", 1)):
+    for day, n in (("20210314", 2), ("20190131", 1)):
         folder = tmp_path / "access" / day
         folder.mkdir(parents=True)
         (folder / "part-0.log").write_text("\n".join(LINES[:n]) + "\n")
-    assert read_access_log(spark, str(tmp_path / "access" / "20190130" / "*")).count() == 2
+    assert read_access_log(spark, str(tmp_path / "access" / "20210314" / "*")).count() == 2
     assert read_access_log(spark, str(tmp_path / "access" / "*" / "*")).count() == 3
 
 
 def test_java_split_semantics(spark):
     # trailing separators do not make missing tokens exist
-    short = "1.2.3.4 - - [30/Jan/2019:00:00:21 +0800] \"GET / HTTP/1.1\" 200 5 \"h\"   "
-    empty_ua_at_end = line("1.2.3.4", "30/Jan/2019:00:00:21 +0800", "/", 200, 5, "-", "").split(' "-" 10.0.0.1')[0]
+    short = "1.2.3.4 - - [14/Mar/2021:00:00:21 +0800] \"GET / HTTP/1.1\" 200 5 \"h\"   "
+    empty_ua_at_end = line("1.2.3.4", "14/Mar/2021:00:00:21 +0800", "/", 200, 5, "-", "").split(' "-" 10.0.0.1')[0]
     df = spark.createDataFrame([(short,), (empty_ua_at_end,), (LINES[0],)], "value string")
     good, bad = split_rejects(parse_access_log(df))
     assert bad.count() == 2 and good.count() == 1

@@ -62,3 +62,21 @@ def test_ensure_table_and_describe(spark, tmp_path):
     described = dict(tables.describe(spark))
     assert described[name] == ["rowkey", "day"]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_an_empty_day_replaces_the_old_one(spark, tmp_path):
+    stats = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    target = str(tmp_path / "stats")
+    tables.replace_day(stats, target, "20210314")
+    tables.replace_day(stats, target, "20210315")
+    tables.replace_day(stats.limit(0), target, "20210314")
+    assert {r["day"] for r in spark.read.parquet(target).collect()} == {20210315}
+
+
+def test_a_recreated_table_is_empty(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.ensure_table(spark, "recreated", "k string", path=path)
+    spark.sql("INSERT INTO recreated VALUES ('old')")
+    assert tables.ensure_table(spark, "recreated", "k string", path=path, replace=True)
+    assert spark.table("recreated").count() == 0
+    spark.sql("DROP TABLE recreated")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parse import is_not_empty
-from ..session import broadcast_fits, materialize
+from ..session import broadcast_fits, materialize, path_exists
 from ..sources.files import RULE_SCHEMA
 
 UNKNOWN = "unknown"
@@ -185,11 +185,10 @@ def cache_location(cache_path: str, rules=None) -> str:
 
 
 def _read_cache(spark: SparkSession, location: str) -> DataFrame | None:
-    try:
-        return spark.read.schema("ua STRING, browsername STRING, browserversion STRING, "
-                                 "osname STRING, osversion STRING").parquet(location)
-    except Exception:  # noqa: BLE001 - nothing cached yet
+    if not path_exists(spark, location):
         return None
+    return spark.read.schema("ua STRING, browsername STRING, browserversion STRING, "
+                             "osname STRING, osversion STRING").parquet(location)
 
 
 def classify_cached(df: DataFrame, cache_path: str, rules=None, ua_col: str = "ua", *,

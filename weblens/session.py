@@ -105,6 +105,23 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def _fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever store the path names."""
+    fs, jpath = _fs(spark, path)
+    return fs.exists(jpath)
+
+
+def clear_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder with all it holds."""
+    fs, jpath = _fs(spark, path)
+    fs.delete(jpath, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark)

@@ -3,7 +3,7 @@
 The original's sinks were a column-family store (put, write-ahead-log-free
 put, sorted bulk load) and a relational table updated in one transaction.
 Their user-visible contract is "replace one day, atomically, idempotently";
-here that is a dynamic partition overwrite of the ``day`` partition: Spark's
+here that is an overwrite of the folder of the ``day`` partition: Spark's
 commit protocol stages task output and publishes it at job commit, so a
 rerun (or a retried task) replaces rather than duplicates.
 """
@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.widetable import CELL_SCHEMA, WIDE_COLUMNS, to_cells
+from ..session import clear_path
 
 
-def _overwrite_day(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("day").format(fmt).save(path))
+def _overwrite_day(df: DataFrame, path: str, day: str, fmt: str = "parquet") -> None:
+    """Overwrite the day's own folder, so that no rows replace the day too."""
+    df.drop("day").write.mode("overwrite").format(fmt).save(f"{path}/day={day}")
 
 
 def write_day(wide: DataFrame, path: str, day: str, fmt: str = "parquet") -> None:
@@ -27,7 +28,7 @@ def write_day(wide: DataFrame, path: str, day: str, fmt: str = "parquet") -> Non
     Rows should already be one per key (``upsert_latest``); only the stored
     columns are written."""
     out = wide.select("rowkey", *WIDE_COLUMNS).withColumn("day", F.lit(day))
-    _overwrite_day(out, path, fmt)
+    _overwrite_day(out, path, day, fmt)
 
 
 def bulk_write_cells(wide_or_cells: DataFrame, path: str, day: str,
@@ -46,7 +47,7 @@ def bulk_write_cells(wide_or_cells: DataFrame, path: str, day: str,
     ranged = (cells.repartitionByRange(partitions, "rowkey") if partitions
               else cells.repartitionByRange("rowkey"))
     ordered = ranged.sortWithinPartitions("rowkey", "family", "qualifier")
-    _overwrite_day(ordered.withColumn("day", F.lit(day)), path)
+    _overwrite_day(ordered, path, day)
 
 
 def replace_day(stats: DataFrame, target: str, day: str, *, fmt: str = "parquet",
@@ -60,7 +61,7 @@ def replace_day(stats: DataFrame, target: str, day: str, *, fmt: str = "parquet"
     result is small, so it is coalesced to one writer (R7)."""
     rows = stats.withColumn("day", F.lit(day))
     if jdbc is None:
-        _overwrite_day(rows.coalesce(1), target, fmt)
+        _overwrite_day(rows.coalesce(1), target, day, fmt)
         return
     staging = f"{target}_staging"
     (rows.coalesce(1).write.format("jdbc").mode("overwrite")
@@ -103,6 +104,8 @@ def ensure_table(spark: SparkSession, name: str, schema: str, *, replace: bool =
         return False
     if exists:
         spark.sql(f"DROP TABLE {name}")
+        if path:  # an external table's files outlive it
+            clear_path(spark, path)
     part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
     loc = f" LOCATION '{path}'" if path else ""
     spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet{part}{loc}")

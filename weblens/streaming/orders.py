@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import orders as o
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 from ..sources import derived as d
 
 COUNTER_SCHEMA = "stat_key STRING, total LONG, success LONG, fee LONG, batch LONG"
@@ -56,9 +56,12 @@ def running_totals(messages: DataFrame, watermark: str | None = None) -> DataFra
     parsed = o.observe_quality(o.parse_orders(messages))
     keyed = o.stat_keys(parsed)
     if watermark:
-        # optional bound on state: drop keys older than the watermark
-        ts = F.to_timestamp(F.rpad(F.col("stat_key"), 10, "0"), "yyyyMMddHH")
-        keyed = keyed.withColumn("_event_ts", ts).withWatermark("_event_ts", watermark)
+        # optional bound on state. A day key stands for its midnight, so the
+        # delay is one day longer than asked for: no message that is at most
+        # ``watermark`` late loses its day. Keys that are no time are dropped.
+        ts = F.try_to_timestamp(F.rpad(F.col("stat_key"), 10, "0"), F.lit("yyyyMMddHH"))
+        keyed = (keyed.withColumn("_event_ts", ts).where("_event_ts is not null")
+                 .withWatermark("_event_ts", f"1 day {watermark}"))
         group = [F.col("stat_key"), F.col("_event_ts")]
     else:
         group = [F.col("stat_key")]
@@ -122,13 +125,11 @@ def _latest(raw: DataFrame) -> DataFrame:
 
 def _snapshot(spark: SparkSession, snapshot_path: str | None) -> DataFrame | None:
     """The newest compacted snapshot version, if any."""
-    if not snapshot_path:
-        return None
-    try:
-        snaps = spark.read.schema(COUNTER_SCHEMA + ", v LONG").parquet(snapshot_path)
-        newest = snaps.agg(F.max("v")).first()[0]
-    except Exception:  # noqa: BLE001 - no snapshot written yet
+    if not snapshot_path or not path_exists(spark, snapshot_path):
         return None
+    # a snapshot that is there but unreadable must fail, not count as none
+    snaps = spark.read.schema(COUNTER_SCHEMA + ", v LONG").parquet(snapshot_path)
+    newest = snaps.agg(F.max("v")).first()[0]
     if newest is None:
         return None
     return snaps.where(F.col("v") == newest).drop("v")
