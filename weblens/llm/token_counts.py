@@ -29,8 +29,9 @@ from .common import map_arrow, path_exists
 from .pieces import WordTokenizer, read_spec
 
 CACHE_SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long"
-#: Distinct words of a task whose counts are remembered.
+#: Distinct words whose counts a worker process remembers between its tasks.
 REMEMBERED_WORDS = 1_000_000
+_known: dict[str, dict[str, int]] = {}
 
 
 def read_cache(spark, path: str, tokenizer_digest: str) -> DataFrame:
@@ -45,13 +46,13 @@ def read_cache(spark, path: str, tokenizer_digest: str) -> DataFrame:
 def _count_tokens(spec):
     def run(batches):
         tok = WordTokenizer.load(spec.value)
-        known: dict[str, int] = {}
+        known = _known.setdefault(tok.digest, {})
         for batch in batches:
             counts = []
             for text in batch.column("text").to_pylist():
                 words = tok.split(text)
-                if not known.keys() >= (distinct := set(words)):
-                    new = list(distinct - known.keys())
+                # looked up one by one: a set less a dict's keys walks all the keys
+                if new := [w for w in set(words) if w not in known]:
                     known.update(zip(new, map(len, tok.encode(new))))
                 counts.append(sum(map(known.__getitem__, words)))
                 if len(known) > REMEMBERED_WORDS:
