@@ -29,7 +29,10 @@ def _ip_text(n: str) -> str:
 
 
 def events_cte(repeat_keys: bool = False) -> str:
-    """``ev``: events plus the derived address, url and log fields."""
+    """``ev``: events plus the derived address, url and log fields; ``lg``:
+    the log lines with their unusable addresses; ``good``: the parsable ones."""
+    bad = " ".join(f"WHEN {k} THEN {_q(v)}" for k, v in d.BAD_ADDRESSES.items())
+    unlocated = ", ".join(str(k) for k in [*d.BAD_ADDRESSES, d.MALFORMED_LINE])
     ip = (f"(user_id * {d.IP_USER_FACTOR}) % 4294967296" if repeat_keys else
           f"(user_id * {d.IP_USER_FACTOR} + event_id * {d.IP_EVENT_FACTOR}) % 4294967296")
     k = "TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -46,14 +49,21 @@ def events_cte(repeat_keys: bool = False) -> str:
          '"' || {_list(d.REFERERS)}[(user_id % {len(d.REFERERS)}) + 1] || '"' AS referer,
          {_list(d.USER_AGENTS)}[(user_id % {len(d.USER_AGENTS)}) + 1] AS ua,
          strftime(ts, '%Y%m%d%H%M') AS formattime,
-         date_trunc('second', ts) AS event_ts
-  FROM events)"""
+         date_trunc('second', ts) AS event_ts,
+         event_id % {d.LINE_MODULUS} AS kind
+  FROM events),
+lg AS (
+  SELECT * REPLACE (CASE kind {bad} WHEN {d.MALFORMED_LINE} THEN 'malformed' ELSE ip END AS ip,
+                    CASE WHEN kind IN ({unlocated}) THEN NULL ELSE ip_long END AS ip_long)
+  FROM ev),
+good AS (SELECT * FROM lg WHERE kind <> {d.MALFORMED_LINE})"""
 
 
 def lines_select() -> str:
-    return (f"""ip || ' - - ' || time || ' "' || method || ' ' || url || ' ' || protocal """
+    return (f"""CASE WHEN kind = {d.MALFORMED_LINE} THEN 'malformed ' || event_id ELSE """
+            f"""ip || ' - - ' || time || ' "' || method || ' ' || url || ' ' || protocal """
             f"""|| '" ' || status || ' ' || bytessent || ' "{d.HOST}" ' || referer """
-            f"""|| ' - "' || ua || '" ' || '{d.LOG_TAIL}'""")
+            f"""|| ' - "' || ua || '" ' || '{d.LOG_TAIL}' END""")
 
 
 def ranges_cte() -> str:
@@ -114,6 +124,12 @@ def region_sql(c: str) -> dict[str, str]:
     return {"country": country, "province": province, "city": city}
 
 
+def located_region_sql() -> dict[str, str]:
+    """The region fields of a located row; null where the address is none."""
+    return {k: f"CASE WHEN ip_long IS NOT NULL THEN {v} END"
+            for k, v in region_sql("loc_country").items()}
+
+
 def ua_sql(ua: str) -> dict[str, str]:
     """The default user-agent rules as CASE expressions over ``ua``."""
     rules = sorted(DEFAULT_RULES)
@@ -150,9 +166,9 @@ def crc32_sql(text: str) -> str:
             f"4294967295::BIGINT), 4294967295)")
 
 
-def geo_cte(src: str = "ev", name: str = "geo") -> str:
+def geo_cte(src: str = "good", name: str = "geo") -> str:
     """``name``: rows of ``src`` with located country/area and region fields."""
-    r = region_sql("loc_country")
+    r = located_region_sql()
     return f"""{name}_loc AS (
   SELECT s.*, CASE WHEN r.begin_ip IS NULL THEN '未知国家' ELSE r.country END AS loc_country,
          CASE WHEN r.begin_ip IS NULL THEN '未知地区' ELSE r.area END AS loc_area
@@ -185,30 +201,45 @@ enriched AS (
     return base + f""",
 ranked AS (
   SELECT rowkey, {cols}, event_ts,
-         row_number() OVER (PARTITION BY rowkey ORDER BY {order}) AS rn
+         row_number() OVER (PARTITION BY referer, url, ip, ua ORDER BY {order}) AS rn
   FROM enriched),
 wide AS (SELECT rowkey, {cols}, event_ts FROM ranked WHERE rn = 1)"""
 
 
-def orders_cte(min_time: int = 10) -> str:
-    """``ord``: parsed order messages (fields as the producer sends them)."""
+def orders_cte(digits: int = 12) -> str:
+    """``ord``: parsed order messages (fields as the producer sends them, null
+    where the message is broken); ``metric``: with their paid metrics; ``om``:
+    those whose time begins with ``digits`` digits."""
     k = "json_extract_string(props, '$.k')"
-    return f"""ord AS (
+    return f"""sent AS (
   SELECT strftime(ts, '%Y%m%d%H%M%S') AS time,
          CAST(user_id AS VARCHAR) AS userid,
          {k} AS courseid,
          CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS fee,
          CASE WHEN event_type = 'purchase' THEN '1' ELSE '0' END AS flag,
-         CAST(event_id AS VARCHAR) AS orderid
+         CAST(event_id AS VARCHAR) AS orderid,
+         event_id % {d.ORDER_MODULUS} AS kind, strftime(ts, '%Y-%m-%d %H:%M') AS dashed
   FROM events),
-om AS (
+ord AS (
+  SELECT CASE kind WHEN {d.BROKEN_JSON} THEN NULL WHEN {d.DAY_ONLY} THEN substring(time, 1, 8)
+                   WHEN {d.NO_MINUTE} THEN substring(time, 1, 10)
+                   WHEN {d.DASHED_TIME} THEN dashed ELSE time END AS time,
+         CASE WHEN kind <> {d.BROKEN_JSON} THEN userid END AS userid,
+         CASE WHEN kind <> {d.BROKEN_JSON} THEN courseid END AS courseid,
+         CASE WHEN kind = {d.TEXT_FEE} THEN 'n/a'
+              WHEN kind NOT IN ({d.NO_FEE}, {d.BROKEN_JSON}) THEN fee END AS fee,
+         CASE WHEN kind NOT IN ({d.NO_FLAG}, {d.BROKEN_JSON}) THEN flag END AS flag,
+         CASE WHEN kind <> {d.BROKEN_JSON} THEN orderid END AS orderid
+  FROM sent),
+metric AS (
   SELECT *, substring(time, 1, 8) AS day, substring(time, 9, 2) AS hour,
          substring(time, 11, 2) AS minute,
          CAST(1 AS BIGINT) AS total,
          CAST(CASE WHEN flag = '1' THEN 1 ELSE 0 END AS BIGINT) AS success,
          CAST(CASE WHEN flag = '1' THEN coalesce(TRY_CAST(fee AS BIGINT), 0) ELSE 0 END AS BIGINT)
            AS fee_paid
-  FROM ord WHERE length(time) >= {min_time})"""
+  FROM ord),
+om AS (SELECT * FROM metric WHERE regexp_matches(time, '^[0-9]{{{digits}}}'))"""
 
 
 def rollup_sql() -> str:
@@ -230,7 +261,7 @@ def oracle_queries(day: str = "20240101") -> dict[str, str]:
     evr = events_cte(True)
     recs = f"WITH {ev}\n"
     u = ua_sql("ua")
-    r = region_sql("loc_country")
+    r = located_region_sql()
     cells = ("SELECT rowkey, 'o' AS family, q.qualifier, q.value, CAST(0 AS BIGINT) AS version "
              "FROM wide, (SELECT unnest(["
              + ", ".join(f"'{c}'" for c in WIDE_COLUMNS) + "]) AS qualifier) AS qn, "
@@ -252,12 +283,12 @@ SELECT s.ip_long, r.begin_ip AS range_begin, r.end_ip AS range_end,
 FROM ev s LEFT JOIN rg r ON s.ip_long BETWEEN r.begin_ip AND r.end_ip"""
     q = {
         "j1_dense_range_join": dense,
-        "s1_read_access_log": recs + f"SELECT {lines_select()} AS value FROM ev",
+        "s1_read_access_log": recs + f"SELECT {lines_select()} AS value FROM lg",
         "s3_widetable_scan": _wide_select(day, "SELECT country, province, browsername FROM wide"),
         "s5_load_ranges": f"WITH {ranges_cte()} SELECT begin_ip, end_ip, country, area FROM rg",
         "s7_get_by_rowkey": _wide_select(
             day, f"SELECT w.rowkey, {', '.join('w.' + c for c in WIDE_COLUMNS)}, "
-                 f"'{day}' AS day FROM wide w WHERE w.rowkey IN (SELECT rowkey FROM enriched)"),
+                 f"'{day}' AS day FROM wide w WHERE w.rowkey IN (SELECT rowkey FROM enriched WHERE url LIKE '/purchase/%')"),
         "s8_cell_scan": _wide_select(day, cells),
         "s9_read_counter": f"""WITH t AS ({rollup_sql()}),
 c AS (
@@ -265,23 +296,24 @@ c AS (
   UNION ALL SELECT 'order-' || stat_key, 'success', success FROM t
   UNION ALL SELECT 'order-' || stat_key, 'fee', fee FROM t)
 SELECT * FROM c WHERE length(stat_key) = 14""",
-        "p1_parse_access_log": recs + "SELECT ip, time, method, url, protocal, status, bytessent, referer, ua FROM ev",
-        "p2_strip_quotes": recs + "SELECT method, protocal, referer FROM ev",
-        "p3_user_agent": recs + "SELECT ua FROM ev",
-        "p4_time_field": recs + "SELECT time FROM ev",
-        "p5_format_time": recs + "SELECT time, formattime FROM ev",
+        "p1_parse_access_log": recs + "SELECT ip, time, method, url, protocal, status, bytessent, referer, ua FROM good",
+        "p1_rejects": recs + f"SELECT {lines_select()} AS value FROM lg WHERE kind = {d.MALFORMED_LINE}",
+        "p2_strip_quotes": recs + "SELECT method, protocal, referer FROM good",
+        "p3_user_agent": recs + "SELECT ua FROM good",
+        "p4_time_field": recs + "SELECT time FROM good",
+        "p5_format_time": recs + "SELECT time, formattime FROM good",
         "p6_blank_tests": """SELECT role,
   CAST(sum(CASE WHEN regexp_matches(text, '\\S') THEN 1 ELSE 0 END) AS BIGINT) AS not_blank,
   CAST(sum(CASE WHEN length(text) > 0 THEN 1 ELSE 0 END) AS BIGINT) AS not_empty,
   count(*) AS n
 FROM conversations GROUP BY role""",
         "p7_fill_unknown_geo": f"WITH {ev}, {ranges_cte()}, {geo_cte()} SELECT ip, country, province, city FROM geo",
-        "p8_ip_to_long": recs + "SELECT ip, ip_long FROM ev",
+        "p8_ip_to_long": recs + "SELECT ip, ip_long FROM good",
         "p9_long_to_ip": recs + "SELECT ip_long, ip FROM ev",
         "p11_normalize_region": f"WITH {ev}, {ranges_cte()}, {geo_cte()} SELECT ip, "
                                 f"{r['country']} AS country, {r['province']} AS province, "
                                 f"{r['city']} AS city FROM geo",
-        "p19_line_geo_map": f"""WITH {ev}, {ranges_cte()}, {geo_cte()},
+        "p19_line_geo_map": f"""WITH {ev}, {ranges_cte()}, {geo_cte("lg")},
 raw AS (SELECT ip, {r['country']} AS country, {r['province']} AS province, {r['city']} AS city FROM geo)
 SELECT 'ip' AS geo_key, ip AS geo_value FROM raw
 UNION ALL SELECT 'country', country FROM raw
@@ -291,15 +323,16 @@ UNION ALL SELECT 'city', city FROM raw""",
   CASE WHEN geo_country = ' CZ88.NET' THEN '' ELSE coalesce(geo_country, '') END || ' ' ||
   CASE WHEN geo_area = ' CZ88.NET' THEN '' ELSE coalesce(geo_area, '') END) AS address FROM loc""",
         "p13_rowkey": f"WITH {ev}, {CRC_TABLE_CTE}\nSELECT url, ip, '{day}_' || CAST("
-                      + crc32_sql("referer || url || ip || ua") + " AS VARCHAR) AS rowkey FROM ev, crc",
-        "p14_time_parts": f"WITH {orders_cte()} SELECT orderid, day, hour, minute FROM om",
+                      + crc32_sql("referer || url || ip || ua") + " AS VARCHAR) AS rowkey FROM good, crc",
+        "p14_time_parts": f"WITH {orders_cte()} SELECT orderid, day, hour, minute FROM metric",
         "p15_parse_orders": f"WITH {orders_cte()} SELECT time, userid, courseid, fee, flag, orderid, "
                             "TRY_CAST(fee AS BIGINT) AS fee_long FROM ord",
-        "p16_paid_metric": f"WITH {orders_cte()} SELECT orderid, day, total, success, fee_paid AS fee FROM om",
-        "p20_classify_user_agent": recs + "SELECT ua, " + ", ".join(f"{v} AS {k}" for k, v in u.items()) + " FROM ev",
-        "p21_encode_orders": f"WITH {orders_cte()} SELECT CAST(json_object('time', time, 'userid', userid, "
-                             "'courseid', courseid, 'fee', fee, 'flag', flag, 'orderid', orderid) AS VARCHAR) "
-                             "AS value FROM ord",
+        "p16_paid_metric": f"WITH {orders_cte()} SELECT orderid, day, total, success, fee_paid AS fee FROM metric",
+        "p20_classify_user_agent": recs + "SELECT ua, " + ", ".join(f"{v} AS {k}" for k, v in u.items()) + " FROM good",
+        "p21_encode_orders": f"WITH {orders_cte()} SELECT '{{' || concat_ws(',', "
+                             + ", ".join(f"""'"{c}":"' || {c} || '"'""" for c in
+                                         ("time", "userid", "courseid", "fee", "flag", "orderid"))
+                             + ") || '}' AS value FROM ord",
         "j1_ip_range_join": located + "SELECT ip_long, begin_ip AS range_begin, end_ip AS range_end, "
                                       "geo_country, geo_area FROM loc",
         "j3_distinct_ip_lookup": located + "SELECT ip_long, begin_ip AS range_begin, end_ip AS range_end, "
@@ -324,18 +357,28 @@ UNION ALL SELECT 'city', city FROM raw""",
                                                         "CASE WHEN q.qualifier = 'status' THEN CAST(2 AS BIGINT) "
                                                         "ELSE CAST(1 AS BIGINT) END AS version")
                                      .replace("WHEN 'status' THEN status", "WHEN 'status' THEN '304'")),
-        "t3_daily_paid": f"WITH {orders_cte(min_time=8)} SELECT day, CAST(sum(success) AS BIGINT) AS paid_count, "
+        "t3_daily_paid": f"WITH {orders_cte(8)} SELECT day, CAST(sum(success) AS BIGINT) AS paid_count, "
                          "CAST(sum(fee_paid) AS BIGINT) AS paid_fee FROM om GROUP BY day",
         "t4_order_rollup": rollup_sql(),
         "t5_stream_order_counters": rollup_sql(),
-        "k5_daily_counters": f"""WITH t AS ({rollup_sql()})
-SELECT 'orderCount-' || stat_key AS stat_key, success AS value FROM t WHERE length(stat_key) = 8
-UNION ALL SELECT 'orderFee-' || stat_key, fee FROM t WHERE length(stat_key) = 8""",
+        "k5_daily_counters": f"""WITH {orders_cte(8)},
+t AS (SELECT day, CAST(sum(success) AS BIGINT) AS success, CAST(sum(fee_paid) AS BIGINT) AS fee
+      FROM om GROUP BY day)
+SELECT 'orderCount-' || day AS stat_key, success AS value FROM t
+UNION ALL SELECT 'orderFee-' || day, fee FROM t""",
         "k6_counter_sink": f"""WITH t AS ({rollup_sql()})
 SELECT 'order-' || stat_key AS stat_key, 'total' AS field, total AS value FROM t
 UNION ALL SELECT 'order-' || stat_key, 'success', success FROM t
 UNION ALL SELECT 'order-' || stat_key, 'fee', fee FROM t""",
     }
+    # the curl rule replaced by one rule a major version (up to 999)
+    q["s6_load_rules"] = (
+        recs + "SELECT ua, "
+        + f"CASE WHEN regexp_matches(ua, '^curl/[0-9]{{1,3}}[.][0-9.]') "
+          f"THEN 'curl ' || regexp_extract(ua, '^curl/([0-9]+)', 1) ELSE {u['browsername']} END AS browsername, "
+        + f"CASE WHEN regexp_matches(ua, '^curl/[0-9]{{1,3}}[.][0-9.]') "
+          f"THEN regexp_extract(ua, '^curl/[0-9]+[.]([0-9.]+)', 1) ELSE {u['browserversion']} END AS browserversion, "
+        + f"{u['osname']} AS osname, {u['osversion']} AS osversion FROM good")
     q["a3_browser_counts_df"] = q["a2_browser_counts"]
     q["a4_browser_counts_sql"] = q["a2_browser_counts"]
     q["j2_rule_match_distinct"] = q["p20_classify_user_agent"]

@@ -36,7 +36,8 @@ def cmd_etl(spark: SparkSession, a: argparse.Namespace) -> None:
     from weblens.sources.files import load_ranges, load_rules
     ranges = geo.RangeTable(load_ranges(spark, a.ranges, a.ranges_format), validate=a.validate_ranges)
     rules = load_rules(spark, a.rules) if a.rules else None
-    etl.run_etl(spark, a.input, ranges, a.out, a.day, rules, tz=a.tz, ua_cache=a.ua_cache)
+    etl.run_etl(spark, a.input, ranges, a.out, a.day, rules, tz=a.tz, ua_cache=a.ua_cache,
+                rejects_path=a.rejects)
 
 
 def cmd_report(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -52,7 +53,8 @@ def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> None:
     trigger = ({"availableNow": True} if a.available_now
                else {"processingTime": f"{a.trigger_seconds} seconds"})
     q = stream.start_order_counters(messages, a.counters, a.checkpoint, trigger=trigger,
-                                    watermark=a.watermark, name="order_counters")
+                                    watermark=a.watermark, name="order_counters",
+                                    daily=a.daily)
     if a.available_now:
         q.awaitTermination()  # ends by itself once the backlog is processed
     elif a.timeout:
@@ -76,6 +78,8 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--out", required=True)
     e.add_argument("--day", required=True)
     e.add_argument("--tz", default=None, help="zone of formattime; default: session zone")
+    e.add_argument("--rejects", default=None,
+                   help="folder of the lines that cannot be parsed; default: OUT_rejects")
     e.add_argument("--ua-cache", default=None, help="user-agent classification cache folder")
 
     r = sub.add_parser("report", help="top regions and browser counts of one day")
@@ -92,6 +96,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--trigger-seconds", type=int, default=5)
     s.add_argument("--watermark", default=None)
+    s.add_argument("--daily", action="store_true", help="count days only, not hours")
     s.add_argument("--max-per-trigger", type=int, default=None,
                    help="cap on offsets (Kafka) or files per micro-batch")
     s.add_argument("--timeout", type=int, default=None, help="seconds to run (default: forever)")

@@ -108,8 +108,9 @@ def parse_access_log(df: DataFrame, line_col: str = "value",
         F.get(toks, 9).alias("bytessent"),
         F.get(toks, 11).alias("referer"),
         F.get(segs, 7).alias("ua"),
-        ((F.size(toks) >= 12) & (F.size(segs) >= 8)
-         & is_not_empty(F.get(toks, 3))).alias("parse_ok"),
+        # never null: a null line is a reject, in neither half it would be lost
+        F.coalesce((F.size(toks) >= 12) & (F.size(segs) >= 8)
+                   & is_not_empty(F.get(toks, 3)), F.lit(False)).alias("parse_ok"),
     )
     return parsed
 
@@ -128,7 +129,3 @@ def rowkey(day, referer="referer", url="url", ip="ip", ua="ua") -> Column:
     info = F.concat_ws("", *[F.coalesce(_col(c), F.lit("")) for c in (referer, url, ip, ua)])
     day_col = F.lit(day) if isinstance(day, str) else day
     return F.concat(day_col, F.lit("_"), F.crc32(info.cast("binary")).cast("string"))
-
-
-def with_rowkey(df: DataFrame, day) -> DataFrame:
-    return df.withColumn("rowkey", rowkey(day))

@@ -7,8 +7,9 @@ projections: first, per kind, the index of the first matching rule (a
 ``CASE WHEN contains(ua, prefix) AND ua RLIKE pattern`` chain; the cheap
 substring test rejects most rules), then the name by index and the version
 extracted with the matched rule's pattern only. The rule table is a small
-configuration dimension: it is collected once (with a size check) to build
-the expressions, so classification has no join and no shuffle.
+configuration dimension: it is collected to build the expressions (up to
+``INLINE_RULES``; a larger one is read as one array value), so classification
+has no join and no shuffle.
 ``dedup=True`` classifies each distinct agent once (checkpointed) and joins
 the answers back, broadcast when they fit the row and byte bounds.
 """
@@ -23,7 +24,9 @@ from ..session import broadcast_fits, materialize, path_exists
 from ..sources.files import RULE_SCHEMA
 
 UNKNOWN = "unknown"
-MAX_RULES = 10_000
+# Rule tables up to this size become a CASE chain; larger ones are evaluated
+# from one array value, so plans do not grow with the rules.
+INLINE_RULES = 500
 BROADCAST_MAX_ROWS = 2_000_000
 
 # The default rule set (priority, kind, pattern, name,
@@ -68,10 +71,7 @@ def _rule_list(rules) -> list[tuple]:
     if rules is None:
         return sorted(DEFAULT_RULES)
     if isinstance(rules, DataFrame):
-        rows = rules.limit(MAX_RULES + 1).collect()
-        if len(rows) > MAX_RULES:
-            raise ValueError(f"rule table larger than {MAX_RULES} rows")
-        rules = [tuple(r) for r in rows]
+        rules = [tuple(r) for r in rules.collect()]
     return sorted(rules, key=lambda r: (r[0], r[1], r[2]))
 
 
@@ -151,7 +151,46 @@ def _output_columns(ua: Column, browser, system) -> dict[str, Column]:
     return {k: F.when(present, v) for k, v in cols.items()}
 
 
+def _is_large(rules) -> bool:
+    return isinstance(rules, DataFrame) and len(rules.limit(INLINE_RULES + 1).collect()) > INLINE_RULES
+
+
+def _rule_array(rules: DataFrame) -> DataFrame:
+    """All rules in priority order as one value: the table is configuration,
+    read by a scalar subquery instead of passing through the driver."""
+    p, k, x, n, g = rules.columns
+    row = F.struct(F.col(p).alias("priority"), F.col(k).alias("kind"), F.col(x).alias("pattern"),
+                   F.col(n).alias("name"), F.col(g).alias("version_group"))
+    return rules.agg(F.sort_array(F.collect_list(row)).alias("rules"))
+
+
+def _classified_by_array(df: DataFrame, ua: Column, rules: DataFrame) -> DataFrame:
+    """The same answers as the CASE chains for a large rule table."""
+    staged = df.withColumn("_rules", _rule_array(rules).scalar())
+
+    def first(*kinds):
+        return F.get(F.filter("_rules", lambda r: r["kind"].isin(*kinds)
+                              & F.rlike(ua, r["pattern"])), 0)
+
+    staged = staged.withColumns({"_ua_b": first("browser", "robot"), "_ua_o": first("os")})
+
+    def version(rule):
+        found = F.call_function("regexp_extract", ua, rule["pattern"], rule["version_group"])
+        return F.coalesce(F.when(rule["version_group"] > 0, F.nullif(found, F.lit(""))),
+                          F.lit(UNKNOWN))
+
+    cols = {}
+    for kind, c in (("browser", F.col("_ua_b")), ("os", F.col("_ua_o"))):
+        cols[f"{kind}name"] = F.coalesce(c["name"], F.lit(UNKNOWN))
+        cols[f"{kind}version"] = version(c)
+    present = is_not_empty(ua)
+    return (staged.withColumns({c: F.when(present, v) for c, v in cols.items()})
+            .drop("_rules", "_ua_b", "_ua_o"))
+
+
 def _classified(df: DataFrame, ua: Column, rules) -> DataFrame:
+    if _is_large(rules):
+        return _classified_by_array(df, ua, rules)
     browser, system = _split(rules)
     staged = df.withColumns(_index_columns(ua, browser, system))
     return staged.withColumns(_output_columns(ua, browser, system)).drop("_ua_b", "_ua_o")
@@ -175,6 +214,8 @@ def classify(df: DataFrame, rules=None, ua_col: str = "ua", *, dedup: bool = Fal
 
 def _rules_key(rules) -> str:
     import hashlib
+    if _is_large(rules):
+        return _rule_array(rules).select(F.sha1(F.to_json("rules").cast("binary"))).first()[0][:12]
     text = repr([tuple(r) for r in _rule_list(rules)])
     return hashlib.sha1(text.encode("utf-8")).hexdigest()[:12]
 
@@ -194,19 +235,22 @@ def _read_cache(spark: SparkSession, location: str) -> DataFrame | None:
 def classify_cached(df: DataFrame, cache_path: str, rules=None, ua_col: str = "ua", *,
                     broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``classify`` that first looks agents up in answers stored by
-    ``update_cache``: a broadcast hash join on the agent text, with the rule
-    chain evaluated only for agents not in the cache. Without a usable cache
-    (none yet, or too big to broadcast) it is plain per-row ``classify``."""
+    ``update_cache``: a join on the agent text (broadcast below the bounds,
+    by shuffle above), with the rule chain evaluated only for agents not in
+    the cache. Without a cache, or with a large rule table, it is plain
+    per-row ``classify``."""
     spark = df.sparkSession
     known = _read_cache(spark, cache_location(cache_path, rules))
-    if known is None or not broadcast_fits(known, broadcast_max_rows):
+    if known is None or _is_large(rules):
         return classify(df, rules, ua_col)
     # one answer per agent even if two runs appended the same agent (a
     # duplicate key here would duplicate looked-up rows)
     one = (known.groupBy("ua").agg(F.min(F.struct(*UA_COLUMNS)).alias("_a"))
                 .select("ua", *[F.col(f"_a.{c}").alias(c) for c in UA_COLUMNS]))
     k = one.select(F.col("ua").alias("_k_ua"), *[F.col(c).alias(f"_k_{c}") for c in UA_COLUMNS])
-    joined = df.join(F.broadcast(k), F.col(ua_col) == F.col("_k_ua"), "left")
+    if broadcast_fits(known, broadcast_max_rows):
+        k = F.broadcast(k)
+    joined = df.join(k, F.col(ua_col) == F.col("_k_ua"), "left")
     ua = F.col(ua_col)
     hit = F.col("_k_ua").isNotNull()
     browser, system = _split(rules)

@@ -17,7 +17,7 @@ its end.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,6 +32,8 @@ NOT_FOUND_AREA = "未知地区"
 UNKNOWN = "unknown"
 
 BUCKET_BITS = 16
+# Numbers of IPv4 addresses run from 0 to below this.
+ADDRESSES = 1 << 32
 # Exploded range rows allowed on the broadcast side (bytes are bounded too,
 # by session.BROADCAST_MAX_BYTES).
 BROADCAST_MAX_ROWS = 2_000_000
@@ -43,9 +45,11 @@ def bucket_ranges(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
     The region of a range depends only on its location text, so it is
     normalised here, once per range, instead of once per looked-up row."""
     region = normalize_region(F.col("country"))
-    return ranges.where(F.col("begin_ip") <= F.col("end_ip")).select(
-        F.explode(F.sequence(F.shiftright("begin_ip", bits),
-                             F.shiftright("end_ip", bits))).alias("_bucket"),
+    begin, end = F.col("begin_ip").cast("long"), F.col("end_ip").cast("long")
+    some = (begin <= end) & (end >= 0) & (begin < ADDRESSES)
+    return ranges.where(some).select(
+        F.explode(F.sequence(F.shiftright(F.greatest(begin, F.lit(0).cast("long")), bits),
+                             F.shiftright(F.least(end, F.lit(ADDRESSES - 1)), bits))).alias("_bucket"),
         F.col("begin_ip").alias("_begin"), F.col("end_ip").alias("_end"),
         F.col("country").alias("_country"), F.col("area").alias("_area"),
         region["country"].alias("_r_country"), region["province"].alias("_r_province"),
@@ -73,27 +77,40 @@ def effective_ranges(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
     """Rewrite any range table into disjoint ranges with the lookup's exact
     answer: the range with the greatest ``begin <= ip`` answers, and only if
     ``ip <= end``. So each range really covers ``[begin, min(end, next
-    begin - 1)]``. The next begin is found without a global sort: an
-    overlapping successor starts inside one of the range's buckets, so the
-    smallest per-bucket successor is the one that matters. Ranges with equal
-    begins keep the greatest end; empty or inverted ranges still block their
-    predecessors but cover nothing. Runs on the dimension only (two small
-    shuffles), never on the looked-up rows."""
-    valid = ranges.where(F.col("begin_ip").isNotNull() & F.col("end_ip").isNotNull())
-    one = (valid.groupBy("begin_ip")
-                .agg(F.max(F.struct("end_ip", "country", "area")).alias("_r"))
-                .select("begin_ip", "_r.end_ip", "_r.country", "_r.area"))
-    top = F.greatest(F.col("begin_ip"), F.col("end_ip"))
-    spread = one.select("*", F.explode(F.sequence(F.shiftright("begin_ip", bits),
-                                                  F.shiftright(top, bits))).alias("_bucket"))
+    begin - 1)]``. Ranges with equal begins keep the greatest end; inverted
+    ranges still block their predecessors but cover nothing; ends outside the
+    address space are cut to it, and of the ranges that begin before it only
+    the last can answer.
+
+    The next begin needs no global sort and no explode of the (possibly
+    overlapping) ranges: it is the next one in the bucket of ``begin``, else
+    the first of the next bucket of the same group of 256 buckets, else the
+    first of the next group. Groups are at most ``2^(24 - bits)``, a bounded
+    array. Runs on the dimension only, never on the looked-up rows."""
+    valid = ranges.where(F.col("begin_ip").isNotNull() & F.col("end_ip").isNotNull()
+                         & (F.col("begin_ip") < ADDRESSES))
+    one = (valid.groupBy(F.greatest(F.col("begin_ip").cast("long"), F.lit(0).cast("long")).alias("_at"))
+                .agg(F.max(F.struct("begin_ip", "end_ip", "country", "area")).alias("_r"))
+                .select(F.col("_at").alias("begin_ip"),
+                        F.least(F.col("_r.end_ip").cast("long"), F.lit(ADDRESSES - 1)).alias("end_ip"),
+                        "_r.country", "_r.area",
+                        F.shiftright("_at", bits).alias("_bucket"),
+                        F.shiftright("_at", bits + 8).alias("_group")))
+    firsts = (one.groupBy("_group", "_bucket").agg(F.min("begin_ip").alias("_first"))
+                 .withColumn("_after", F.lead("_first").over(
+                     Window.partitionBy("_group").orderBy("_bucket")))
+                 .select("_bucket", "_after"))
+    heads = (one.groupBy("_group").agg(F.min("begin_ip").alias("_head"))
+                .agg(F.sort_array(F.collect_list("_head")).alias("heads")))
     w = Window.partitionBy("_bucket").orderBy("begin_ip")
-    nxt = (spread.withColumn("_next", F.lead("begin_ip").over(w))
-                 .groupBy("begin_ip", "end_ip", "country", "area")
-                 .agg(F.min("_next").alias("_next")))
-    end = F.when(F.col("_next").isNull(), F.col("end_ip")).otherwise(
-        F.least(F.col("end_ip"), F.col("_next") - 1))
-    return (nxt.select("begin_ip", end.alias("end_ip"), "country", "area")
-               .where(F.col("end_ip") >= F.col("begin_ip")))
+    staged = (one.withColumn("_inside", F.lead("begin_ip").over(w))
+                 .join(firsts, "_bucket")
+                 .withColumn("_heads", heads.scalar()))
+    later = F.get(F.filter("_heads", lambda h: F.shiftright(h, bits + 8) > F.col("_group")), 0)
+    nxt = F.coalesce("_inside", "_after", later)
+    end = F.when(nxt.isNull(), F.col("end_ip")).otherwise(F.least(F.col("end_ip"), nxt - 1))
+    return (staged.select("begin_ip", end.alias("end_ip"), "country", "area")
+                  .where(F.col("end_ip") >= F.col("begin_ip")))
 
 
 class RangeTable:
@@ -234,8 +251,3 @@ def line_geo_map(lines: DataFrame, ranges: DataFrame, line_col: str = "value", *
     empty = F.create_map().cast("map<string,string>")
     return geo.withColumn("geo", F.when(F.col("_blank"), empty).otherwise(m)).drop(
         "_blank", "_ip", "country", "province", "city")
-
-
-def region_of(c) -> Column:
-    """Column form of the region rules for a location text."""
-    return normalize_region(c)

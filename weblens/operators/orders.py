@@ -29,17 +29,25 @@ def parse_orders(messages: DataFrame, value_col: str = "value",
     """JSON text -> typed fields (P15, P17) and time parts.
 
     Invalid JSON gives null fields; ``fee_long`` is the fee as a number
-    (null when missing or not numeric); ``valid`` marks rows whose time has
-    at least 10 characters, so day and hour exist (Q15)."""
+    (null when missing or not numeric). ``valid_day`` marks rows whose time
+    starts with a real day (8 digits: enough for the daily totals), ``valid``
+    those whose time is real up to the minute (12 digits), which the hourly
+    rollup asks for (Q15); other times would make keys without end."""
     msg = F.from_json(F.col(value_col).cast("string"), ORDER_DDL)
     parsed = messages.select(*(keep or []), *[msg[f].alias(f) for f in ORDER_FIELDS])
     return parsed.withColumns({
         "fee_long": F.col("fee").try_cast("long"),
         **time_parts(F.col("time")),
-        "valid": F.coalesce(F.length("time") >= 10, F.lit(False)),
+        "valid_day": _is_time(8, "yyyyMMdd"),
+        "valid": _is_time(12, "yyyyMMddHHmm"),
     })
 
 
+def _is_time(digits: int, pattern: str) -> Column:
+    text = F.substring("time", 1, digits)
+    return F.try_to_timestamp(text, F.lit(pattern)).isNotNull()
+
+
 def time_parts(time: Column) -> dict[str, Column]:
     """day ``[0,8)``, hour ``[8,10)``, minute ``[10,12)`` of the time text."""
     return {"day": F.substring(time, 1, 8), "hour": F.substring(time, 9, 2),
@@ -62,8 +70,8 @@ def paid_metrics(orders: DataFrame) -> DataFrame:
 def daily_paid(orders: DataFrame) -> DataFrame:
     """Paid-order count and paid amount per day (T3). Unpaid orders add 0,
     so a day with no paid order still appears. Only the day is needed, so
-    any time of at least 8 characters counts (the per-hour rollup needs 10)."""
-    m = paid_metrics(orders.where(F.coalesce(F.length("time") >= 8, F.lit(False))))
+    any time that starts with a day counts (the per-hour rollup needs more)."""
+    m = paid_metrics(orders.where(F.col("valid_day")))
     return m.groupBy("day").agg(F.sum("success").alias("paid_count"),
                                 F.sum("fee_paid").alias("paid_fee"))
 
@@ -88,6 +96,12 @@ def stat_keys(orders: DataFrame) -> DataFrame:
     return m.select(F.explode(keys).alias("stat_key"), "total", "success", "fee_paid")
 
 
+def day_keys(orders: DataFrame) -> DataFrame:
+    """One row per order with a usable day, under the day key alone."""
+    m = paid_metrics(orders.where(F.col("valid_day")))
+    return m.select(F.col("day").alias("stat_key"), "total", "success", "fee_paid")
+
+
 def order_rollup(orders: DataFrame) -> DataFrame:
     """total / success / fee per day and per day+hour (T4):
     ``stat_key`` (8 or 10 digits), ``total, success, fee``.

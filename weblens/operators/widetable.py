@@ -20,6 +20,8 @@ from ..functions.parse import event_time, minute_of, rowkey
 
 FAMILY = "o"
 UNKNOWN = "unknown"
+# The fields that say whether two log lines are the same visit (P13's parts).
+VISIT_KEY = ["referer", "url", "ip", "ua"]
 # The qualifiers of the wide row, in the original's order.
 WIDE_COLUMNS = ["ip", "country", "province", "city", "formattime", "method", "url",
                 "protocal", "status", "bytessent", "referer", "browsername",
@@ -50,7 +52,8 @@ def to_wide(enriched: DataFrame, day: str, tz: str | None = None) -> DataFrame:
     instant) for the last-write-wins choice; ``ua`` and raw ``time`` are not
     stored, as in the original."""
     # the time text is parsed once; the minute is rendered from the instant
-    parsed = enriched.withColumn("event_ts", event_time("time"))
+    parsed = (enriched if "event_ts" in enriched.columns
+              else enriched.withColumn("event_ts", event_time("time")))
     with_time = parsed.withColumns({
         "formattime": minute_of("event_ts", tz),
         "rowkey": rowkey(day),
@@ -59,21 +62,34 @@ def to_wide(enriched: DataFrame, day: str, tz: str | None = None) -> DataFrame:
                                           F.lit(day).alias("day"))
 
 
-def upsert_latest(wide: DataFrame, key: str = "rowkey",
+def latest_visits(records: DataFrame) -> DataFrame:
+    """One parsed record per visit identity, the last one winning (A5).
+
+    The identity is the four source texts themselves: the row key's 32-bit
+    checksum is equal for some different visits and must not merge them.
+    Run before enrichment, so that location and agent fields (functions of
+    the identity) are found for the survivors only and never shuffled. The
+    raw ``time`` becomes ``event_ts``."""
+    return upsert_latest(records.withColumn("event_ts", event_time("time")).drop("time"),
+                         VISIT_KEY)
+
+
+def upsert_latest(wide: DataFrame, key: str | list[str] = "rowkey",
                   order: list[str] | None = None) -> DataFrame:
-    """One row per key, the last write winning (A5).
+    """One row per key (a column or several), the last write winning (A5).
 
     "Last" is made deterministic: latest ``event_ts``, then the greatest
     (status, bytessent, method, protocal, then every other column). The
     choice is one ``max(struct)`` aggregate, so a hot key is reduced map-side
     (partial aggregation) before the shuffle and never lands whole in one
     task."""
-    rest = [c for c in wide.columns if c != key]
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in wide.columns if c not in keys]
     first = [c for c in (order or ["event_ts", "status", "bytessent", "method", "protocal"])
              if c in rest]
     ordered = first + [c for c in rest if c not in first]
     best = F.max(F.struct(*[F.col(c) for c in ordered])).alias("_best")
-    return wide.groupBy(key).agg(best).select(key, *[F.col(f"_best.{c}").alias(c) for c in rest])
+    return wide.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
 
 
 def to_cells(wide: DataFrame, family: str = FAMILY, columns: list[str] | None = None,

@@ -1,8 +1,9 @@
 """End-to-end plans: the log ETL (E1) and the statistics job.
 
-``enrich`` is one Catalyst plan: text scan -> parse (Project) -> range join
-against the broadcast, bucketed range table -> rule projection for agents
--> row key -> last-write-wins aggregate. There is no per-row Python.
+``wide_rows`` is one Catalyst plan: text scan -> parse (Project) ->
+last-write-wins aggregate on the visit identity -> range join against the
+broadcast, bucketed range table -> rule projection for agents -> row key.
+There is no per-row Python.
 """
 
 from __future__ import annotations
@@ -15,17 +16,26 @@ from ..sinks import tables
 
 
 def parsed_records(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Parsable lines as D2 records (rejects dropped here; use
-    ``parse_access_log`` + ``split_rejects`` to keep them)."""
+    """Parsable lines as D2 records (the others: ``rejected_lines``)."""
     good, _ = split_rejects(parse_access_log(lines, keep=keep))
     return good
 
 
-def enrich(lines: DataFrame, ranges: DataFrame, rules=None, *, geo_dedup: bool = False,
-           ua_dedup: bool = False, ua_cache: str | None = None) -> DataFrame:
-    """Lines -> records with geo and user-agent fields (D3 without formattime).
-    ``ua_cache`` answers known agents from a classification cache."""
-    rec = parsed_records(lines)
+def rejected_lines(lines: DataFrame) -> DataFrame:
+    """The raw text (``value``) of the lines that cannot be parsed (Q1)."""
+    _, bad = split_rejects(parse_access_log(lines, keep=["value"]))
+    return bad.select("value")
+
+
+def enrich(lines: DataFrame, ranges: DataFrame, rules=None, **kw) -> DataFrame:
+    """Lines -> records with geo and user-agent fields (D3 without formattime)."""
+    return enrich_records(parsed_records(lines), ranges, rules, **kw)
+
+
+def enrich_records(rec: DataFrame, ranges: DataFrame, rules=None, *, geo_dedup: bool = False,
+                   ua_dedup: bool = False, ua_cache: str | None = None) -> DataFrame:
+    """Parsed records with geo and user-agent fields added. ``ua_cache``
+    answers known agents from a classification cache."""
     rec = geo.enrich_geo(rec, ranges, "ip", dedup=geo_dedup)
     if ua_cache:
         return agents.classify_cached(rec, ua_cache, rules, "ua")
@@ -34,18 +44,25 @@ def enrich(lines: DataFrame, ranges: DataFrame, rules=None, *, geo_dedup: bool =
 
 def wide_rows(lines: DataFrame, ranges: DataFrame, day: str, rules=None, *,
               tz: str | None = None, dedup: bool = True, **kw) -> DataFrame:
-    """Lines -> keyed wide rows of ``day``; with ``dedup`` one row per key (A5)."""
-    wide = widetable.to_wide(enrich(lines, ranges, rules, **kw), day, tz)
-    return widetable.upsert_latest(wide) if dedup else wide
+    """Lines -> keyed wide rows of ``day``; with ``dedup`` one row per visit
+    identity (A5), chosen before the enrichment."""
+    rec = parsed_records(lines)
+    if dedup:
+        rec = widetable.latest_visits(rec)
+    return widetable.to_wide(enrich_records(rec, ranges, rules, **kw), day, tz)
 
 
 def run_etl(spark: SparkSession, input_path, ranges: DataFrame, out_path: str, day: str,
-            rules=None, tz: str | None = None, ua_cache: str | None = None) -> None:
+            rules=None, tz: str | None = None, ua_cache: str | None = None,
+            rejects_path: str | None = None) -> None:
     """Read a day of logs, enrich, and replace that day of the wide table (K1).
+    The lines that cannot be parsed replace the day in ``rejects_path``
+    (default: ``out_path`` + ``_rejects``), so no line is lost silently.
     With ``ua_cache`` known agents come from the cache, and the day's new
     agents are added to it afterwards (for the next run)."""
     from ..sources.files import read_access_log
     lines = read_access_log(spark, input_path)
     tables.write_day(wide_rows(lines, ranges, day, rules, tz=tz, ua_cache=ua_cache), out_path, day)
+    tables.write_lines(rejected_lines(lines), rejects_path or out_path.rstrip("/") + "_rejects", day)
     if ua_cache:
         agents.update_cache(parsed_records(lines), ua_cache, rules)

@@ -19,7 +19,7 @@ from ..operators import agents, analytics, geo, orders, widetable
 from ..session import scratch_path
 from ..sinks import tables
 from ..sources import derived as d
-from ..sources.files import load_ranges, read_access_log
+from ..sources.files import load_ranges, load_rules, read_access_log
 from ..streaming import orders as stream
 from . import etl
 
@@ -75,10 +75,25 @@ def s5_load_ranges(spark, sf_dir):
     return load_ranges(spark, path)
 
 
+def s6_load_rules(spark, sf_dir):
+    # a rule table of our own, larger than the inline limit: one rule a page
+    # kind of the log and the agents' first product, written and loaded back
+    path = scratch_path(spark, "rules")
+    rows = spark.range(2 * agents.INLINE_RULES).select(
+        (F.col("id") + 100).cast("int").alias("priority"), F.lit("browser").alias("kind"),
+        F.concat(F.lit("^curl/"), F.col("id").cast("string"), F.lit(r"\.([0-9.]+)")).alias("pattern"),
+        F.concat(F.lit("curl "), F.col("id").cast("string")).alias("name"),
+        F.lit(1).alias("version_group"))
+    agents.default_rules(spark).where("name <> 'curl'").union(rows).write.json(path)
+    rec = _records(spark, sf_dir)
+    return agents.classify(rec, load_rules(spark, path), "ua").select("ua", *agents.UA_COLUMNS)
+
+
 def s7_get_by_rowkey(spark, sf_dir):
-    # point reads for the key of every log line (a semi-join of all keys)
+    # point reads for the keys of the visits to one page group (a semi-join)
     wide = _wide(spark, sf_dir)
-    keys = _records(spark, sf_dir, True).select(rowkey(DAY).alias("rowkey"))
+    visits = _records(spark, sf_dir, True).where(F.col("url").startswith("/purchase/"))
+    keys = visits.select(rowkey(DAY).alias("rowkey"))
     return widetable.get(wide, keys).drop("event_ts")
 
 
@@ -97,6 +112,10 @@ def p1_parse_access_log(spark, sf_dir):
     return _records(spark, sf_dir)
 
 
+def p1_rejects(spark, sf_dir):
+    return etl.rejected_lines(_lines(spark, sf_dir))
+
+
 def p2_strip_quotes(spark, sf_dir):
     return _records(spark, sf_dir).select("method", "protocal", "referer")
 
@@ -296,7 +315,7 @@ def t5_stream_order_counters(spark, sf_dir):
 
 
 def k5_daily_counters(spark, sf_dir):
-    return stream.daily_counters(stream.run_order_counters_from_events(spark, sf_dir))
+    return stream.daily_counters(stream.run_order_counters_from_events(spark, sf_dir, daily=True))
 
 
 def k6_counter_sink(spark, sf_dir):

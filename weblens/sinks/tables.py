@@ -31,6 +31,11 @@ def write_day(wide: DataFrame, path: str, day: str, fmt: str = "parquet") -> Non
     _overwrite_day(out, path, day, fmt)
 
 
+def write_lines(lines: DataFrame, path: str, day: str) -> None:
+    """Replace the ``day`` partition of a table of raw lines (rejects, Q1)."""
+    _overwrite_day(lines.select("value"), path, day)
+
+
 def bulk_write_cells(wide_or_cells: DataFrame, path: str, day: str,
                      partitions: int | None = None) -> None:
     """Sorted bulk write of cells.

@@ -8,6 +8,10 @@ the work grows with the tables. The oracle SQL applies the same formulas.
 * access lines: one line per event;
 * IP ranges: one range per nation, with gaps;
 * order messages: one JSON message per event.
+
+A few rows are unusable on purpose, by fixed remainders of ``event_id``:
+malformed lines, invalid and IPv6 addresses, broken JSON, null flags, missing
+and non-numeric fees, short and misspelt times.
 """
 
 from __future__ import annotations
@@ -47,6 +51,12 @@ RANGE_COUNTRIES = [
     "北京", "重庆市云阳县", "香港", "澳门", "美国",
     "日本东京都", "日", " CZ88.NET", "", None,
 ]
+# Remainders of event_id that make an unusable line or message.
+LINE_MODULUS = 97
+BAD_ADDRESSES = {1: "999.1.2.3", 2: "2001:db8::1"}
+MALFORMED_LINE = 3
+ORDER_MODULUS = 89
+DAY_ONLY, NO_MINUTE, DASHED_TIME, TEXT_FEE, NO_FEE, NO_FLAG, BROKEN_JSON = 1, 2, 3, 4, 5, 6, 7
 LOG_TAIL = '"-" 192.0.2.10:8080 200 0.004 0.003'
 
 
@@ -79,14 +89,20 @@ def access_lines(events: DataFrame, repeat_keys: bool = False,
     url = F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), url_k.cast("string"))
     cents = F.floor(F.col("value") * 100).cast("long").cast("string")
     ts = F.date_format(F.col("ts").cast("timestamp_ntz"), "dd/MMM/yyyy:HH:mm:ss")
+    kind = F.pmod(F.col("event_id"), F.lit(LINE_MODULUS))
+    ip = long_to_ip(event_ip(repeat_keys))
+    for remainder, text in BAD_ADDRESSES.items():
+        ip = F.when(kind == remainder, F.lit(text)).otherwise(ip)
     line = F.concat(
-        long_to_ip(event_ip(repeat_keys)), F.lit(" - - ["), ts, F.lit(' +0000] "GET '),
+        ip, F.lit(" - - ["), ts, F.lit(' +0000] "GET '),
         url, F.lit(' HTTP/1.1" 200 '), cents, F.lit(f' "{HOST}" "'),
         _pick(REFERERS, F.pmod(F.col("user_id"), F.lit(len(REFERERS)))),
         F.lit('" - "'),
         _pick(USER_AGENTS, F.pmod(F.col("user_id"), F.lit(len(USER_AGENTS)))),
         F.lit('" ' + LOG_TAIL),
     )
+    malformed = F.concat(F.lit("malformed "), F.col("event_id").cast("string"))
+    line = F.when(kind == MALFORMED_LINE, malformed).otherwise(line)
     return events.select(*(keep or []), line.alias("value"))
 
 
@@ -123,13 +139,24 @@ def order_messages(events: DataFrame, keep: list[str] | None = None) -> DataFram
     """One JSON order message (column ``value``) per event; every field is a
     JSON string, as the producer sends them."""
     from ..operators.orders import encode_orders
+    kind = F.pmod(F.col("event_id"), F.lit(ORDER_MODULUS))
+    ts = F.col("ts").cast("timestamp_ntz")
+    time = F.date_format(ts, "yyyyMMddHHmmss")
+    fee = F.floor(F.col("value")).cast("long").cast("string")
+    flag = F.when(F.col("event_type") == "purchase", F.lit("1")).otherwise(F.lit("0"))
+    broken = F.concat(F.lit("{broken "), F.col("event_id").cast("string"))
     fields = events.select(
         *(keep or []),
-        F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyyMMddHHmmss").alias("time"),
+        F.when(kind == BROKEN_JSON, broken).alias("_broken"),
+        F.when(kind == DAY_ONLY, F.substring(time, 1, 8))
+         .when(kind == NO_MINUTE, F.substring(time, 1, 10))
+         .when(kind == DASHED_TIME, F.date_format(ts, "yyyy-MM-dd HH:mm"))
+         .otherwise(time).alias("time"),
         F.col("user_id").cast("string").alias("userid"),
         F.get_json_object("props", "$.k").alias("courseid"),
-        F.floor(F.col("value")).cast("long").cast("string").alias("fee"),
-        F.when(F.col("event_type") == "purchase", F.lit("1")).otherwise(F.lit("0")).alias("flag"),
+        F.when(kind == TEXT_FEE, F.lit("n/a")).when(kind != NO_FEE, fee).alias("fee"),
+        F.when(kind != NO_FLAG, flag).alias("flag"),
         F.col("event_id").cast("string").alias("orderid"),
     )
-    return encode_orders(fields, keep)
+    messages = encode_orders(fields, [*(keep or []), "_broken"])
+    return messages.withColumn("value", F.coalesce("_broken", "value")).drop("_broken")

@@ -50,11 +50,13 @@ def read_messages(spark: SparkSession, fmt: str, options: dict[str, str] | None
     return reader.options(**opts).load(path)
 
 
-def running_totals(messages: DataFrame, watermark: str | None = None) -> DataFrame:
+def running_totals(messages: DataFrame, watermark: str | None = None,
+                   daily: bool = False) -> DataFrame:
     """Messages -> running ``total, success, fee`` per day and day+hour key
-    (T4 on a stream). One stateful aggregation serves both levels."""
+    (T4 on a stream). One stateful aggregation serves both levels. With
+    ``daily`` only day keys, for every order whose day is known (T3)."""
     parsed = o.observe_quality(o.parse_orders(messages))
-    keyed = o.stat_keys(parsed)
+    keyed = o.day_keys(parsed) if daily else o.stat_keys(parsed)
     if watermark:
         # optional bound on state. A day key stands for its midnight, so the
         # delay is one day longer than asked for: no message that is at most
@@ -90,7 +92,7 @@ STATE_PARTITIONS = 4
 
 def start_order_counters(messages: DataFrame, counter_path: str, checkpoint: str, *,
                          trigger: dict | None = None, watermark: str | None = None,
-                         name: str | None = None,
+                         name: str | None = None, daily: bool = False,
                          state_partitions: int | None = STATE_PARTITIONS) -> StreamingQuery:
     """Start the counter query (T1, T2, T5, K6). ``trigger`` defaults to
     5-second micro-batches; tests pass ``{"availableNow": True}``.
@@ -104,10 +106,11 @@ def start_order_counters(messages: DataFrame, counter_path: str, checkpoint: str
         spark.conf.set(key, str(state_partitions))
         try:
             return start_order_counters(messages, counter_path, checkpoint, trigger=trigger,
-                                        watermark=watermark, name=name, state_partitions=None)
+                                        watermark=watermark, name=name, daily=daily,
+                                        state_partitions=None)
         finally:
             spark.conf.set(key, previous)
-    writer = (running_totals(messages, watermark).writeStream
+    writer = (running_totals(messages, watermark, daily).writeStream
               .outputMode("update")
               .option("checkpointLocation", checkpoint)
               .foreachBatch(_upsert_batch(counter_path))
@@ -177,7 +180,8 @@ def counter_table(totals: DataFrame) -> DataFrame:
 
 def daily_counters(totals: DataFrame) -> DataFrame:
     """Totals -> the per-day string counters of the first version (K5):
-    paid count and paid amount per day."""
+    paid count and paid amount per day. Totals of a ``daily`` stream also
+    hold the orders whose time has a day but no minute."""
     day = totals.where(F.length("stat_key") == 8)
     return day.select(
         F.explode(F.array(
@@ -205,13 +209,14 @@ def event_order_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) ->
     return d.order_messages(events)
 
 
-def run_order_counters_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run_order_counters_from_events(spark: SparkSession, sf_dir: str,
+                                   daily: bool = False) -> DataFrame:
     """Run the counter stream to completion over the events table and return
     the totals it left in the sink."""
     counter_path = scratch_path(spark, "order-counters")
     q = start_order_counters(event_order_stream(spark, sf_dir), counter_path,
                              scratch_path(spark, "order-counters-ckpt"),
-                             trigger={"availableNow": True})
+                             trigger={"availableNow": True}, daily=daily)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
