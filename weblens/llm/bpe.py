@@ -8,7 +8,9 @@ back to the words' positions:
   each, go to every task as one broadcast table, so that no frequent word is
   a join key. Its size has that bound, whatever the corpus.
 * Every other word joins the word table by a shuffle on the word, and returns
-  to its document by a shuffle on the document, one row per occurrence.
+  to its document by a shuffle on the document, one row per occurrence. These
+  ids are written to the shared folder, a row a document, and joined with the
+  codes of the frequent words.
 
 ``decode`` looks each id up in the id-to-piece table (a map-side join: the
 table is the fixed vocabulary) and joins a document's pieces as the tokenizer
@@ -275,6 +277,9 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     rare = map_arrow(texts, _rare_words(hot, spec), f"{schema}, nth int, word string")
     found = (rare.join(words.where(~is_hot).select("word", "ids"), "word")
              .groupBy(*keys).agg(F.collect_set(F.struct("nth", "ids")).alias("rare")))
+    # written before the codes are made, so the occurrences' two shuffles and
+    # the codes' are not on disk together
+    found = written(found, "bpe-rare")
     codes = map_arrow(texts, _hot_codes(hot, spec), f"{schema}, codes binary")
     both = codes.alias("c").join(
         found.alias("r"), F.col("c.doc_id").eqNullSafe(F.col("r.doc_id"))
