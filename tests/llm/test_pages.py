@@ -71,3 +71,26 @@ def test_main_text(spark):
 ])
 def test_simple_tree_matching(a, b, score):
     assert html_extract.match(a, b)[0] == score
+
+
+def _texts(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = html_extract.extract(pages).collect()
+    assert len(got) == len(rows)
+    return {r["page_id"]: r["text"] for r in got}
+
+
+def test_slots_decide_marked_pages(spark):
+    """On pages with an <article>, constant slots are template and varying ones content."""
+    page = ("<body><div>Site of all</div><article><p>Read our paper</p><h1>T {i}</h1><p>Para {i}</p>{x}"
+            "</article><div>By author {i}</div></body>")
+    rows = [(i, f"http://a.com/{i}", page.format(i=i, x="<p>More</p>" if i == 3 else "")) for i in range(5)]
+    # the same article with another date on each page: the mark keeps it
+    rows += [(10 + i, f"http://b.com/{i}", f"<article><p>One text</p></article><p>Day {i}</p>") for i in range(4)]
+    # too few pages: the mark decides
+    rows += [(20, "http://c.com/", "<div>Site</div><article>Own <b>a</b> <i>b</i></article>")]
+    got = _texts(spark, rows)
+    for i in range(5):
+        assert got[i] == f"T {i} Para {i}{' More' if i == 3 else ''} By author {i}"
+    assert [got[10 + i] for i in range(4)] == [f"One text Day {i}" for i in range(4)]
+    assert got[20] == "Own a b"

@@ -2,35 +2,43 @@
 
 Every page is parsed into a tree of blocks. Parts that their tag, role, class or
 id names as menu, header, footer, sidebar, notice, advert, form, comment and
-the like are cut. Where a page marks its article (``article``, ``main`` or the
-like), that subtree is its content. The other pages go through a wrapper:
-pages of one host are aligned with the host's first such page by simple tree
-matching; a text that nearly all aligned pages have at the same node is
-constant, texts that vary and nodes without a partner are not. Blocks of
-constant texts are template, all others are content.
-
-Alignment is one row of work for each page; only the host's compact first tree
-is joined to its pages, by a join that AQE can split for a large host, and the
-statistics of a node are summed map-side.
+the like are cut. Each page, whether it marks its article or not, is then
+aligned with the first page of its host by simple tree matching: a text that
+nearly all aligned pages have at the same node is constant, other texts at a
+node that enough pages have vary. Blocks of constant texts are template, blocks
+with a varying text are content.
+
+The mark of an article (``article``, ``main`` or the like) only breaks ties and
+checks: texts that the slots leave open (without a partner, or at a node that
+too few pages have) are content inside the page's strongest mark, and
+everywhere on a page without one; and if the template leaves nothing of a
+marked article, as among pages that differ in a date only, the article is kept.
+
+Alignment is one row of work for each page; the hosts' compact first trees are
+broadcast below a measured size, else joined by a join that AQE can split for a
+large host, and the statistics of a node are summed map-side.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined in page order by one space.
 
 Defined results: a null, empty or unparsable html has the empty text; a page
 without ``://`` in its url, or with a null url, belongs to the host ``""``; on a
-host with fewer than ``MIN_PAGES`` unmarked pages nothing is template; rows
+host with fewer than ``MIN_PAGES`` pages nothing is template; rows
 repeat with equal results; the first page of a host is the one with the
-smallest id (null ids last), ties by html; other columns are ignored; an empty
+smallest id (null ids last), ties by tree; other columns are ignored; an empty
 table gives an empty table.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +48,12 @@ from .url_filter import host_of
 MIN_PAGES = 3
 #: Share of the aligned pages that must have the same text at a template node.
 CONSTANT = 0.8
+#: Largest size of all first trees together that is broadcast with their slots.
+BROADCAST_BYTES = 64 << 20
+#: Cells of an alignment table above which equal shapes at the ends are paired first.
+TABLE_CELLS = 4_000_000
+#: Shapes and scores that a worker remembers between pages.
+REMEMBERED = 200_000
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
          "source", "track", "wbr"}
@@ -116,6 +130,9 @@ class _Tree(HTMLParser):
                 del self.open[i:]
                 return
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def handle_data(self, data):
         if not self.open[-1].cut:
             self.open[-1].children.append(data)
@@ -128,45 +145,6 @@ def parse(html: str | None) -> _Node:
     return tree.root
 
 
-def marked(root: _Node) -> list[_Node]:
-    """The outermost uncut nodes with the strongest mark of an article."""
-    best, found = 0, []
-    stack = [root]
-    while stack:
-        node = stack.pop()
-        if node.cut:
-            continue
-        if node.main > best:
-            best, found = node.main, []
-        if node.main and node.main == best:
-            found.append(node)
-            stack.extend(c for c in node.children if isinstance(c, _Node) and c.main != best)
-            continue
-        stack.extend(c for c in reversed(node.children) if isinstance(c, _Node))
-    return found
-
-
-def leaves(root: _Node) -> list[tuple[str, int]]:
-    """(text, block) of the uncut texts in page order."""
-    out, block = [], 0
-    stack: list = [root]
-    while stack:
-        item = stack.pop()
-        if isinstance(item, str):
-            out.append((item, block))
-        elif item is None:
-            block += 1
-        elif not item.cut:
-            is_block = item.tag not in _INLINE
-            if is_block:
-                block += 1
-                stack.append(None)
-            stack.extend(reversed(item.children))
-        else:
-            block += 1
-    return out
-
-
 def join_blocks(parts: list[tuple[str, int]]) -> str:
     out, last = [], None
     for text, block in parts:
@@ -178,75 +156,192 @@ def join_blocks(parts: list[tuple[str, int]]) -> str:
 
 
 def compact(root: _Node) -> list:
-    """The uncut tree as nested lists: [label, children] or [text leaf, block]
-    without empty branches; leaves in the order of ``leaves``."""
-    block = [0]
-
-    def build(node):
-        is_block = node.tag not in _INLINE
-        block[0] += is_block
-        children = []
-        for c in node.children:
-            if isinstance(c, str):
-                if c.strip():
-                    children.append([c, block[0]])
-            elif not c.cut and (child := build(c)):
-                children.append(child)
-            elif c.cut:
-                block[0] += 1
-        block[0] += is_block
-        return [f"{node.tag} {node.names}", children] if children else None
-    return build(root) or ["#root ", []]
+    """The uncut tree in page order, without empty branches: [depth, label] of
+    an element, [depth, text, block, mark] of a text, where mark is the
+    strongest mark of an article around it."""
+    out, block, space = [], 0, -1
+    stack: list = [(root, 0, 0)]
+    while stack:
+        item, depth, mark = stack.pop()
+        if item is None:
+            block += 1
+        elif isinstance(item, str):
+            if words := " ".join(item.split()):
+                before = " " if space == block or item[0].isspace() else ""
+                out.append([depth, f"{before}{words}{' ' if item[-1].isspace() else ''}", block, mark])
+                space = -1
+            else:  # white space alone parts the texts around it
+                space = block
+        elif item.cut:
+            block += 1
+        else:
+            out.append([depth, f"{item.tag} {item.names}"])
+            mark = max(mark, item.main)
+            if item.tag not in _INLINE:
+                block += 1
+                stack.append((None, 0, 0))
+            stack.extend((c, depth + 1, mark) for c in reversed(item.children))
+    kept, below = [], -1
+    for item in reversed(out):
+        if len(item) == 4 or below > item[0]:
+            kept.append(item)
+            below = item[0]
+    return kept[::-1]
+
+
+def nested(items: list) -> list:
+    """The same as nested lists: [label, children] or [text, block] leaves."""
+    path: list = []
+    for item in items:
+        node = [item[1], item[2] if len(item) == 4 else []]
+        del path[item[0]:]
+        if path:
+            path[-1][1].append(node)
+        path.append(node)
+    return path[0]
 
 
 def _is_leaf(node) -> bool:
     return isinstance(node[1], int)
 
 
-def match(a: list, b: list) -> tuple[int, list]:
-    """Simple tree matching: the largest number of node pairs of two ordered
-    trees that keep labels, order and ancestry; and the pairs of leaves."""
-    if _is_leaf(a) or _is_leaf(b):
-        return (1, [(a, b)]) if _is_leaf(a) and _is_leaf(b) else (0, [])
-    if a[0] != b[0]:
-        return 0, []
-    xs, ys = a[1], b[1]
-    # equal ends align by themselves and keep the table small
-    head = 0
-    while head < min(len(xs), len(ys)) and xs[head] == ys[head]:
+class _Matcher:
+    """Simple tree matching. Trees are numbered bottom up by their shape (labels
+    and order) and by shape and texts; scores of two shapes are made once."""
+
+    def __init__(self):
+        self.shapes, self.fulls, self.scores = {}, {}, {}
+        self.parts, self.sizes = [("", ())], [1]  # shape 0 is a text
+
+    def crowded(self) -> bool:
+        return len(self.shapes) + len(self.fulls) + len(self.scores) > REMEMBERED
+
+    def number(self, tree: list) -> dict[int, tuple[int, int]]:
+        """(shape, shape and texts) of each node by its ``id``."""
+        order, stack = [], [tree]
+        while stack:
+            node = stack.pop()
+            order.append(node)
+            if not _is_leaf(node):
+                stack.extend(node[1])
+        found: dict[int, tuple[int, int]] = {}
+        for node in reversed(order):
+            if _is_leaf(node):
+                shape, key = 0, node[0].strip()
+            else:
+                below = [found[id(c)] for c in node[1]]
+                part = (node[0], tuple(s for s, _ in below))
+                shape = self.shapes.get(part)
+                if shape is None:
+                    shape = self.shapes[part] = len(self.parts)
+                    self.parts.append(part)
+                    self.sizes.append(1 + sum(self.sizes[s] for s in part[1]))
+                key = (node[0], tuple(f for _, f in below))
+            found[id(node)] = shape, self.fulls.setdefault(key, len(self.fulls))
+        return found
+
+    def score(self, a: int, b: int) -> int:
+        """Pairs of two shapes; asks for missing scores on a stack of its own."""
+        stack = [(a, b)]
+        while stack:
+            x, y = stack[-1]
+            if self._known(x, y) is not None:
+                stack.pop()
+                continue
+            xs, ys = _without_ends(self.parts[x][1], self.parts[y][1])[:2]
+            missing = [(p, q) for p in set(xs) for q in set(ys) if self._known(p, q) is None]
+            if missing:
+                stack.extend(missing)
+                continue
+            inner = int(_table(self._weights(xs, ys))[-1][-1]) if xs and ys else 0
+            ends = self.sizes[x] - 1 - sum(self.sizes[s] for s in xs)
+            self.scores[x, y] = 1 + ends + inner
+            stack.pop()
+        return self._known(a, b)
+
+    def _known(self, a: int, b: int) -> int | None:
+        if a == b:
+            return self.sizes[a]
+        if not a or not b or self.parts[a][0] != self.parts[b][0]:
+            return 0
+        return self.scores.get((a, b))
+
+    def _weights(self, xs, ys) -> np.ndarray:
+        rows: dict[int, list[int]] = {}
+        for x in xs:
+            if x not in rows:
+                one = {y: self.score(x, y) for y in dict.fromkeys(ys)}
+                rows[x] = [one[y] for y in ys]
+        return np.array([rows[x] for x in xs], np.int64)
+
+    def pairs(self, a: list, b: list, na: dict, nb: dict) -> list:
+        """The pairs of leaves of a largest matching; of equal ones, one that
+        pairs more equal subtrees."""
+        out, stack = [], [(a, b)]
+        while stack:
+            x, y = stack.pop()
+            if _is_leaf(x) or _is_leaf(y):
+                if _is_leaf(x) and _is_leaf(y):
+                    out.append((x, y))
+                continue
+            if x[0] != y[0]:
+                continue
+            xs, ys = x[1], y[1]
+            left, right = [na[id(c)] for c in xs], [nb[id(c)] for c in ys]
+            # equal ends align by themselves and keep the table small
+            _, _, head, tail = _without_ends([f for _, f in left], [f for _, f in right])
+            if (len(xs) - head - tail) * (len(ys) - head - tail) > TABLE_CELLS:
+                _, _, head, tail = _without_ends([s for s, _ in left], [s for s, _ in right])
+            stack.extend(zip(xs[:head], ys[:head]))
+            stack.extend(zip(xs[len(xs) - tail:], ys[len(ys) - tail:]))
+            xs, left = xs[head:len(xs) - tail], left[head:len(left) - tail]
+            ys, right = ys[head:len(ys) - tail], right[head:len(right) - tail]
+            if not xs or not ys:
+                continue
+            if len(xs) == len(ys) == 1:
+                stack.append((xs[0], ys[0]))
+                continue
+            weights = self._weights([s for s, _ in left], [s for s, _ in right])
+            equal = np.equal.outer([f for _, f in left], [f for _, f in right])
+            weights = weights * (min(len(xs), len(ys)) + 1) + equal
+            table = _table(weights).tolist()
+            i, j = len(xs), len(ys)
+            while i and j:
+                if table[i][j] == table[i - 1][j]:
+                    i -= 1
+                elif table[i][j] == table[i][j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    stack.append((xs[i], ys[j]))
+        return out
+
+
+def _without_ends(xs, ys) -> tuple:
+    """Both without their common head and tail, and the lengths of these."""
+    head, most = 0, min(len(xs), len(ys))
+    while head < most and xs[head] == ys[head]:
         head += 1
     tail = 0
-    while tail < min(len(xs), len(ys)) - head and xs[-1 - tail] == ys[-1 - tail]:
+    while tail < most - head and xs[-1 - tail] == ys[-1 - tail]:
         tail += 1
-    score, pairs = 1, []
-    for x, y in [*zip(xs[:head], ys[:head]), *zip(xs[len(xs) - tail:], ys[len(ys) - tail:])]:
-        s, p = match(x, y) if not _is_leaf(x) else (1, [(x, y)])
-        score += s
-        pairs += p
-    xs, ys = xs[head:len(xs) - tail], ys[head:len(ys) - tail]
-    if xs and ys:
-        best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-        kept = {}
-        for i, x in enumerate(xs, 1):
-            for j, y in enumerate(ys, 1):
-                s, p = match(x, y)
-                option = best[i - 1][j - 1] + s
-                if s and option > max(best[i - 1][j], best[i][j - 1]):
-                    best[i][j] = option
-                    kept[i, j] = p
-                else:
-                    best[i][j] = max(best[i - 1][j], best[i][j - 1])
-        i, j = len(xs), len(ys)
-        score += best[i][j]
-        while i and j:
-            if (i, j) in kept:
-                pairs += kept[i, j]
-                i, j = i - 1, j - 1
-            elif best[i - 1][j] >= best[i][j - 1]:
-                i -= 1
-            else:
-                j -= 1
-    return score, pairs
+    return xs[head:len(xs) - tail], ys[head:len(ys) - tail], head, tail
+
+
+def _table(weights: np.ndarray) -> np.ndarray:
+    """Largest sums of weights of ordered pairs of the first i and j."""
+    best = np.zeros((weights.shape[0] + 1, weights.shape[1] + 1), np.int64)
+    for i, row in enumerate(weights):
+        np.maximum.accumulate(np.maximum(best[i, 1:], best[i, :-1] + row), out=best[i + 1, 1:])
+    return best
+
+
+def match(a: list, b: list, matcher: _Matcher | None = None) -> tuple[int, list]:
+    """Simple tree matching: the largest number of node pairs of two ordered
+    trees that keep labels, order and ancestry; and the pairs of leaves."""
+    matcher = matcher or _Matcher()
+    na, nb = matcher.number(a), matcher.number(b)
+    return matcher.score(na[id(a)][0], nb[id(b)][0]), matcher.pairs(a, b, na, nb)
 
 
 def _number_leaves(tree: list) -> list:
@@ -260,82 +355,122 @@ def _number_leaves(tree: list) -> list:
     return out
 
 
+def _pack(tree: list) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(json.dumps(tree, ensure_ascii=False)
+                                                      .encode("utf-8", "surrogatepass"))
+
+
+def _unpack(packed: bytes) -> list:
+    return json.loads(zstandard.ZstdDecompressor().decompress(packed).decode("utf-8", "surrogatepass"))
+
+
 def _parse_pages(batches):
+    """The packed compact tree of each page, null without a text, and its digest."""
     for batch in batches:
-        texts, trees = [], []
-        for html in batch.column("html").to_pylist():
-            root = parse(html)
-            found = marked(root)
-            texts.append(" ".join(filter(None, (join_blocks(leaves(n)) for n in found)))
-                         if found else None)
-            trees.append(None if found else json.dumps(compact(root)))
+        trees = [compact(parse(html)) for html in batch.column("html").to_pylist()]
+        packed = [_pack(t) if t else None for t in trees]
+        keys = [p and hashlib.blake2b(p, digest_size=16).digest() for p in packed]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("row", "page_id", "url", "host")),
-             pa.array(texts, pa.string()), pa.array(trees, pa.string())],
-            ["row", "page_id", "url", "host", "text", "tree"])
+            [*(batch.column(c) for c in ("page_id", "url", "host")),
+             pa.array(packed, pa.binary()), pa.array(keys, pa.binary())],
+            ["page_id", "url", "host", "tree", "tree_key"])
+
+
+class _Aligner:
+    """Aligns pages with their seeds; seeds are unpacked once."""
+
+    def __init__(self):
+        self.matcher, self.seeds = _Matcher(), {}
+
+    def slots(self, items: list, seed: bytes) -> list[tuple[int, bool]]:
+        """For each text of the page its node in the seed (-1: none), and
+        whether it equals the text there."""
+        if self.matcher.crowded():
+            self.__init__()
+        if seed not in self.seeds:
+            tree = nested(_unpack(seed))
+            self.seeds[seed] = (tree, self.matcher.number(tree),
+                                {id(leaf): i for i, leaf in enumerate(_number_leaves(tree))})
+        first, numbers, nodes = self.seeds[seed]
+        page = nested(items)
+        partner = {id(y): x for x, y in
+                   self.matcher.pairs(first, page, numbers, self.matcher.number(page))}
+        return [(nodes[id(x)], x[0].strip() == leaf[0].strip()) if (x := partner.get(id(leaf))) else (-1, False)
+                for leaf in _number_leaves(page)]
 
 
 def _align(batches):
-    """(row, host, parts): a page's texts with their node in the host's tree
-    (-1: none) and whether they equal the text there."""
+    """(host, tree_key, slots): the nodes of the host's seed that a page's
+    texts are aligned with, each as 2 * node + (equal to the text there)."""
+    aligner = _Aligner()
     for batch in batches:
-        out = []
-        for tree, seed in zip(batch.column("tree").to_pylist(), batch.column("seed").to_pylist()):
-            page, first = json.loads(tree), json.loads(seed)
-            number = {id(leaf): i for i, leaf in enumerate(_number_leaves(first))}
-            partner = {id(y): x for x, y in match(first, page)[1]}
-            out.append([{"text": leaf[0], "block": leaf[1],
-                         "node": number[id(partner[id(leaf)])] if id(leaf) in partner else -1,
-                         "same": id(leaf) in partner and partner[id(leaf)][0].split() == leaf[0].split()}
-                        for leaf in _number_leaves(page)])
+        out = [[2 * node + same for node, same in aligner.slots(_unpack(tree), seed) if node >= 0]
+               for tree, seed in zip(batch.column("tree").to_pylist(), batch.column("seed").to_pylist())]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), batch.column("host"), pa.array(out, _PARTS)],
-            ["row", "host", "parts"])
+            [batch.column("host"), batch.column("tree_key"), pa.array(out, pa.list_(pa.int32()))],
+            ["host", "tree_key", "slots"])
 
 
-_PARTS = pa.list_(pa.struct([("text", pa.string()), ("block", pa.int32()), ("node", pa.int32()),
-                             ("same", pa.bool_())]))
+def content(items: list, slots: list[tuple[int, bool]], decided: dict[int, bool]) -> str:
+    """The page's text. ``decided``: the seed's nodes that enough pages have,
+    and whether their text is constant."""
+    texts = [i for i in items if len(i) == 4]
+    best = max(t[3] for t in texts)
+    wanted = set()  # a block with any content is content as a whole
+    for text, (node, same) in zip(texts, slots):
+        varies = not (same and decided[node]) if node in decided else text[3] == best
+        if varies:
+            wanted.add(text[2])
+    if best and not any(t[3] == best and t[2] in wanted for t in texts):
+        wanted.update(t[2] for t in texts if t[3] == best)
+    return join_blocks([(t[1], t[2]) for t in texts if t[2] in wanted])
 
 
 def _assemble(batches):
+    aligner = _Aligner()
     for batch in batches:
         texts = []
-        for parts, template in zip(batch.column("parts").to_pylist(),
-                                   batch.column("template").to_pylist()):
-            fixed = set(template or ())
-            # a block with any varying text is content as a whole
-            varies = {p["block"] for p in parts if not (p["same"] and p["node"] in fixed)}
-            texts.append(join_blocks([(p["text"], p["block"]) for p in parts
-                                      if p["block"] in varies]))
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())],
-                                         ["row", "content"])
+        for tree, seed, decided in zip(batch.column("tree").to_pylist(), batch.column("seed").to_pylist(),
+                                       batch.column("decided").to_pylist()):
+            if tree is None:
+                texts.append("")
+                continue
+            items = _unpack(tree)
+            texts.append(content(items, aligner.slots(items, seed),
+                                 {s // 2: s % 2 == 1 for s in decided or ()}))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
+            ["page_id", "url", "text"])
+
+
+def _small(table: DataFrame, *columns: str) -> DataFrame:
+    """``table`` marked for a broadcast if its columns are small together."""
+    size = sum((F.coalesce(F.length(c), F.lit(0)) for c in columns), F.lit(64))
+    total = table.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
+    return F.broadcast(table) if total <= BROADCAST_BYTES else table
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) per row of ``pages``."""
     url = F.col(url_col).cast("string")
-    rows = pages.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("page_id"),
-                        url.alias("url"), host_of(url).alias("host"),
+    rows = pages.select(F.col(id_col).alias("page_id"), url.alias("url"), host_of(url).alias("host"),
                         F.col(html_col).cast("string").alias("html"))
     id_type = rows.schema["page_id"].dataType.simpleString()
-    parsed = written(map_arrow(rows, _parse_pages, f"row long, page_id {id_type}, url string, "
-                                                   "host string, text string, tree string"), "html-parsed")
-    unmarked = parsed.where("tree is not null").select("row", "page_id", "host", "tree")
-    seeds = unmarked.groupBy("host").agg(
-        F.min_by("tree", F.struct(F.col("page_id").isNull(), "page_id", "tree")).alias("seed"))
-    aligned = written(map_arrow(unmarked.join(seeds, "host").select("row", "host", "tree", "seed"),
-                                _align, "row long, host string, parts array<struct<text: string, "
-                                        "block: int, node: int, same: boolean>>"), "html-aligned")
-    nodes = (aligned.select("host", F.explode("parts").alias("p")).where("p.node >= 0")
-             .groupBy("host", F.col("p.node").alias("node"))
-             .agg(F.count(F.lit(1)).alias("pages"),
-                  F.sum(F.col("p.same").cast("long")).alias("same"))
-             .where((F.col("pages") >= MIN_PAGES) & (F.col("same") >= CONSTANT * F.col("pages"))))
-    template = nodes.groupBy("host").agg(F.collect_set("node").alias("template"))
-    content = map_arrow(aligned.join(template, "host", "left").select("row", "parts", "template"),
-                        _assemble, "row long, content string")
-    done = parsed.select("row", "page_id", "url", "text").join(content, "row", "left")
-    text = F.coalesce("text", "content", F.lit(""))
-    return done.select("page_id", "url", text.alias("text"),
-                       F.char_length(text).cast("long").alias("n_chars"))
+    parsed = written(map_arrow(rows, _parse_pages, f"page_id {id_type}, url string, host string, "
+                                                   "tree binary, tree_key binary"), "html-parsed")
+    seeds = written(parsed.where("tree is not null").groupBy("host").agg(
+        F.min_by("tree", F.struct(F.col("page_id").isNull(), "page_id", "tree")).alias("seed")), "html-seeds")
+    aligned = map_arrow(parsed.where("tree is not null").join(_small(seeds, "seed"), "host")
+                        .select("host", "tree_key", "tree", "seed"), _align,
+                        "host string, tree_key binary, slots array<int>")
+    nodes = (aligned.select("host", F.explode("slots").alias("slot"))
+             .groupBy("host", F.shiftright("slot", 1).alias("node"))
+             .agg(F.count(F.lit(1)).alias("pages"), F.sum(F.col("slot") % 2).alias("same"))
+             .where(F.col("pages") >= MIN_PAGES))
+    constant = (F.col("same") >= CONSTANT * F.col("pages")).cast("int")
+    decided = nodes.groupBy("host").agg(F.collect_set(2 * F.col("node") + constant).alias("decided"))
+    wrappers = _small(written(seeds.join(decided, "host", "left"), "html-wrappers"), "seed")
+    done = map_arrow(parsed.join(wrappers, "host", "left").select("page_id", "url", "tree", "seed", "decided"),
+                     _assemble, f"page_id {id_type}, url string, text string")
+    return done.withColumn("n_chars", F.char_length("text").cast("long"))
