@@ -94,3 +94,19 @@ def test_slots_decide_marked_pages(spark):
         assert got[i] == f"T {i} Para {i}{' More' if i == 3 else ''} By author {i}"
     assert [got[10 + i] for i in range(4)] == [f"One text Day {i}" for i in range(4)]
     assert got[20] == "Own a b"
+
+
+def test_copies_count_once_and_seeds_have_texts(spark):
+    page = "<body><div>Site of all</div><p>Para {i}</p><p>More {i}</p></body>"
+    # a host of copies: nothing is known to be template
+    rows = [(i, "http://a.com/", page.format(i=7)) for i in range(8)]
+    # copies are most rows, but one of four different pages
+    rows += [(20 + i, "http://b.com/", page.format(i=max(0, i - 6))) for i in range(10)]
+    # pages without a text have the smallest ids of their host
+    rows += [(30, "http://c.com/", None), (31, "http://c.com/", " "), (32, "http://c.com/", "<img>")]
+    rows += [(40 + i, "http://c.com/", page.format(i=i)) for i in range(4)]
+    got = _texts(spark, rows)
+    assert {got[i] for i in range(8)} == {"Site of all Para 7 More 7"}
+    assert all(got[20 + i] == "Para {0} More {0}".format(max(0, i - 6)) for i in range(10))
+    assert got[30] == got[31] == got[32] == ""
+    assert all(got[40 + i] == f"Para {i} More {i}" for i in range(4))

@@ -10,7 +10,7 @@ with a varying text are content.
 
 The mark of an article (``article``, ``main`` or the like) only breaks ties and
 checks: texts that the slots leave open (without a partner, or at a node that
-too few pages have) are content inside the page's strongest mark, and
+too few different pages have) are content inside the page's strongest mark, and
 everywhere on a page without one; and if the template leaves nothing of a
 marked article, as among pages that differ in a date only, the article is kept.
 
@@ -23,9 +23,10 @@ space, blocks are trimmed and joined in page order by one space.
 
 Defined results: a null, empty or unparsable html has the empty text; a page
 without ``://`` in its url, or with a null url, belongs to the host ``""``; on a
-host with fewer than ``MIN_PAGES`` pages nothing is template; rows
-repeat with equal results; the first page of a host is the one with the
-smallest id (null ids last), ties by tree; other columns are ignored; an empty
+host with fewer than ``MIN_PAGES`` different trees nothing is template; rows
+repeat with equal results, as copies of a tree count once; the first page of a
+host is the one with the smallest id (null ids last) among those with a text,
+ties by tree; other columns are ignored; an empty
 table gives an empty table.
 """
 
@@ -404,6 +405,10 @@ def _align(batches):
     texts are aligned with, each as 2 * node + (equal to the text there)."""
     aligner = _Aligner()
     for batch in batches:
+        first = {}  # each tree of a host once
+        for at, key in enumerate(zip(batch.column("host").to_pylist(), batch.column("tree_key").to_pylist())):
+            first.setdefault(key, at)
+        batch = batch.take(pa.array(first.values(), pa.int64()))
         out = [[2 * node + same for node, same in aligner.slots(_unpack(tree), seed) if node >= 0]
                for tree, seed in zip(batch.column("tree").to_pylist(), batch.column("seed").to_pylist())]
         yield pa.RecordBatch.from_arrays(
@@ -429,15 +434,17 @@ def content(items: list, slots: list[tuple[int, bool]], decided: dict[int, bool]
 def _assemble(batches):
     aligner = _Aligner()
     for batch in batches:
-        texts = []
+        texts, done = [], {}
         for tree, seed, decided in zip(batch.column("tree").to_pylist(), batch.column("seed").to_pylist(),
                                        batch.column("decided").to_pylist()):
             if tree is None:
                 texts.append("")
                 continue
-            items = _unpack(tree)
-            texts.append(content(items, aligner.slots(items, seed),
-                                 {s // 2: s % 2 == 1 for s in decided or ()}))
+            if (tree, seed) not in done:
+                items = _unpack(tree)
+                done[tree, seed] = content(items, aligner.slots(items, seed),
+                                           {s // 2: s % 2 == 1 for s in decided or ()})
+            texts.append(done[tree, seed])
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
             ["page_id", "url", "text"])
@@ -464,7 +471,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     aligned = map_arrow(parsed.where("tree is not null").join(_small(seeds, "seed"), "host")
                         .select("host", "tree_key", "tree", "seed"), _align,
                         "host string, tree_key binary, slots array<int>")
-    nodes = (aligned.select("host", F.explode("slots").alias("slot"))
+    # copies of a tree count once
+    nodes = (aligned.dropDuplicates(["host", "tree_key"]).select("host", F.explode("slots").alias("slot"))
              .groupBy("host", F.shiftright("slot", 1).alias("node"))
              .agg(F.count(F.lit(1)).alias("pages"), F.sum(F.col("slot") % 2).alias("same"))
              .where(F.col("pages") >= MIN_PAGES))
