@@ -110,3 +110,15 @@ def test_copies_count_once_and_seeds_have_texts(spark):
     assert all(got[20 + i] == "Para {0} More {0}".format(max(0, i - 6)) for i in range(10))
     assert got[30] == got[31] == got[32] == ""
     assert all(got[40 + i] == f"Para {i} More {i}" for i in range(4))
+
+
+def test_odd_pages_do_not_end_the_query(spark):
+    deep = "".join(f"<{t}>" for t in ("div", "span", "font")) * 2000
+    rows = [(1, "http://a.com/", "a<![foo bar]><p>b"), (2, "http://a.com/", "<p>c<![ x"),
+            (3, "http://a.com/", "<![CDATA[x]]>d<![if IE]>e<![endif]>"),
+            (4, "http://a.com/", "<p>first</p>" + deep + "in"), (5, "http://a.com/", "<p>first</p>" + deep + "out<p>x")]
+    # the deep page as the seed
+    rows += [(6 + i, "http://b.com/", deep + f"text {i}<p>p {i}") for i in range(4)]
+    got = _texts(spark, rows)
+    assert [got[i] for i in range(1, 6)] == ["a b", "c", "de", "first in", "first out x"]
+    assert all(got[6 + i] == f"text {i} p {i}" for i in range(4))

@@ -21,7 +21,8 @@ large host, and the statistics of a node are summed map-side.
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined in page order by one space.
 
-Defined results: a null, empty or unparsable html has the empty text; a page
+Defined results: a null, empty or text-less html has the empty text, bad
+declarations are skipped and nesting may have any depth; a page
 without ``://`` in its url, or with a null url, belongs to the host ``""``; on a
 host with fewer than ``MIN_PAGES`` different trees nothing is template; rows
 repeat with equal results, as copies of a tree count once; the first page of a
@@ -131,6 +132,11 @@ class _Tree(HTMLParser):
                 del self.open[i:]
                 return
 
+    def parse_marked_section(self, i, report=1):
+        """``<![`` begins a comment up to the next ``>``, as in browsers."""
+        end = self.rawdata.find(">", i + 3)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
     def updatepos(self, i, j):
         return j  # line numbers are not needed
 
