@@ -122,3 +122,34 @@ def test_near_duplicates_on_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs, 2).collect()}
     assert got == brute(rows, 2)
+
+
+def _cut(rows, got):
+    """Shards of each text that more than one row has."""
+    text, shards, n = dict(rows), defaultdict(set), defaultdict(int)
+    for r in got:
+        shards[text[r["doc_id"]]].add(r["shard"])
+        n[text[r["doc_id"]]] += 1
+    return {t: len(s) for t, s in shards.items() if n[t] > 1 and len(s) > 1}
+
+
+def _shard(spark, rows):
+    got = sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    _check_shards(rows, got, 8)
+    return _cut(rows, got)
+
+
+def test_all_rows_linked_keep_most_links(spark):
+    texts = [f"g{i // 5}" for i in range(2000)]
+    assert len(_shard(spark, list(enumerate(texts)))) <= 24  # at the borders of shards
+    # a group of a third of all rows leaves room for the others
+    texts = ["a third of all"] * 800 + [f"g{i // 2}" for i in range(800)] + [f"own {i}" for i in range(800)]
+    cut = _shard(spark, list(enumerate(texts)))
+    assert cut.pop("a third of all") <= 5 and not cut
+
+
+def test_admitted_moves_respect_room():
+    wanted = {(0, 1): 10, (1, 0): 4, (2, 1): 7}
+    may = sharding._admitted(wanted, {0: 100, 1: 100, 2: 50}, {0: 100, 1: 102, 2: 100})
+    assert all(may[e] <= n for e, n in wanted.items()) and may[1, 0] == 4
+    assert may[0, 1] >= 1 and 100 - 4 + may[0, 1] + may[2, 1] <= 102 and 100 + 4 - may[0, 1] <= 100

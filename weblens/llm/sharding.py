@@ -2,12 +2,19 @@
 
 Rows that share a group (here: equal texts) are linked. Every row starts in a
 shard dealt by its hash; in each round the links vote: Spark counts a group's
-rows by shard, adds the counts up over a row's groups, and a row wants to move
-to the shard with most of its neighbours. Each shard takes movers, largest
-gain first and a group's rows together, up to its capacity quota. The rounds
-end when nothing wants to move, or after ``ROUNDS``. At last each shard keeps
-exactly its even share of rows, unlinked rows leaving first, and the excess
-fills the shards that lack rows.
+rows by shard, adds the counts up over a row's groups, itself included, and a
+row wants to move to the shard with most votes; of equal ones to the one that a
+hash of the group names first, so the rows of a group that is split evenly agree
+on one shard and no shard is preferred. Unlinked
+rows take no room in the rounds: they give up their places. Between each two
+shards as many rows move as their wishes and the room of both allow, where rows
+that leave make room (``_admitted``); largest gain first and a group's rows
+together. Groups larger than a shard take no part. The rounds end
+when nothing wants to move or may move, or the cut links no longer become fewer.
+The groups that are cut then, and those larger than a shard, fill the room that
+the others left, one shard after another, so few of them are cut at the borders.
+At last each shard keeps exactly its even share of rows, unlinked rows leaving
+first, and the excess fills the shards that lack rows.
 
 A group may hold any share of all rows: its votes are counted map-side, ranks
 come from a range-partitioned sort whose keys are unique, and the excess of a
@@ -19,8 +26,8 @@ slots run from 0 without gaps.
 
 Defined results: a null text counts as the empty text (1 byte with the row's
 own); rows with equal or null ids are rows of their own; ties of votes go to
-the row's own shard, then to the shard with the smallest number; other columns
-are ignored; an empty table gives an empty table.
+the shard that a hash of the smallest group names first; other columns are
+ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -31,7 +38,6 @@ from pyspark.sql import functions as F
 from .common import shuffle_partitions, written
 
 SHARDS = 8
-ROUNDS = 4
 #: A shard may hold this much more than its even share during the rounds.
 SLACK = 0.02
 
@@ -79,45 +85,107 @@ def _wishes(memberships: DataFrame, state: DataFrame) -> DataFrame:
              .select("row", F.col("shard").alias("own"), "group", F.explode("options").alias("o"))
              .groupBy("row", "own", F.col("o.shard").alias("shard"))
              .agg(F.sum(F.col("o.n") - (F.col("o.shard") == F.col("own")).cast("long")).alias("votes"),
-                  F.min("group").alias("label")))
+                  F.min("group").alias("label"))
+             .withColumn("order", F.col("shard") == F.col("own")))
     best = total.groupBy("row").agg(
-        F.max(F.struct("votes", F.col("shard") == F.col("own"), -F.col("shard"), "label")).alias("b"),
+        F.max(F.struct("votes", "order", "shard", "label")).alias("b"),
         F.max(F.when(F.col("shard") == F.col("own"), F.col("votes")).otherwise(0)).alias("here"),
         F.min("own").alias("own"))
-    return (best.select("row", (-F.col("b.col3")).alias("shard"), "own", F.col("b.label").alias("label"),
+    return (best.select("row", F.col("b.shard").alias("shard"), "own", F.col("b.label").alias("label"),
                         (F.col("b.votes") - F.col("here")).alias("gain"))
-            .where("gain > 0"))
-
-
-def propagate(rows: DataFrame, memberships: DataFrame, shards: int = SHARDS,
-              rounds: int = ROUNDS) -> DataFrame:
+            .where("shard != own"))
+
+
+def _admitted(wanted: dict[tuple[int, int], int], held: dict[int, int],
+              capacity: dict[int, int]) -> dict[tuple[int, int], int]:
+    """How many of the rows that want to go from one shard to another may:
+    all, less what no shard has room for after those that leave it."""
+    may = dict(wanted)
+    while True:
+        for t in capacity:
+            into = [e for e in may if e[1] == t and may[e]]
+            over = (held.get(t, 0) + sum(may[e] for e in into)
+                    - sum(n for e, n in may.items() if e[0] == t) - capacity[t])
+            if over > 0 and into:
+                # the fewest rows that may still come, dealt over the shards they come from
+                total = sum(may[e] for e in into)
+                left = max(0, total - over)
+                for e in into:
+                    n = may[e]
+                    may[e] = left * n // total
+                break
+        else:
+            return may
+
+
+def _cut_links(linked: DataFrame, state: DataFrame) -> float:
+    """Pairs of rows of a group that are in different shards."""
+    n = F.col("n").cast("double")
+    by_group = (linked.join(state.select("row", "shard"), "row")
+                .groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n"))
+                .groupBy("group").agg((F.sum(n) * F.sum(n) - F.sum(n * n)).alias("cut")))
+    return by_group.agg(F.coalesce(F.sum("cut"), F.lit(0.0)).alias("cut")).first()["cut"] / 2
+
+
+def propagate(rows: DataFrame, memberships: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(row, shard, slot) for each ``row`` of ``rows``, linked by
     ``memberships`` (row, group): rows of a group are neighbours."""
     total = rows.count()
     quota = {s: total // shards + (s < total % shards) for s in range(shards)}
     capacity = {s: int(q * (1 + SLACK)) + 1 for s, q in quota.items()}
     sizes = memberships.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    linked = written(memberships.join(sizes.select("group"), "group").select("row", "group"),
-                     "shard-links")
-    labels = linked.groupBy("row").agg(F.min("group").alias("label"))
+    fits = F.col("n") <= max(quota.values())
+    links = written(memberships.join(sizes.withColumn("fits", fits).drop("n"), "group")
+                    .select("row", "group", "fits"), "shard-links")
+    labels = links.groupBy("row").agg(F.max("fits").alias("fits"), F.min_by(
+        "group", F.struct(~F.col("fits"), "group")).alias("label"))
+    linked = links.where("fits").select("row", "group")
+    # 0: links that a shard can hold, 1: groups that none can hold, 2: no links
+    kind = F.when(F.col("fits"), 0).when(F.col("label").isNotNull(), 1).otherwise(2)
     state = written(rows.select("row").join(labels, "row", "left").select(
-        "row", "label", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard")),
-        "shard-state")
-    for _ in range(rounds):
-        counts = dict(state.groupBy("shard").count().collect())
-        wishes, wanted = _number(_wishes(linked, state.select("row", "shard"))
-                                 .select("row", "shard", "own", "label", (-F.col("gain")).alias("loss")),
-                                 "shard-wishes", "loss", "label", "row")
-        if not wanted:
+        "row", "label", kind.alias("kind"),
+        F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard")), "shard-state")
+    cut = _cut_links(linked, state)
+    while cut:
+        held = dict(state.where("kind = 0").groupBy("shard").count().collect())
+        # one shard after another of each shard's movers: at most shards squared
+        pair = (F.col("own") * shards + F.col("to")).cast("int")
+        wishes, wanted = _number(
+            _wishes(linked, state.select("row", "shard")).withColumnRenamed("shard", "to")
+            .select("row", "to", pair.alias("shard"), "label", (-F.col("gain")).alias("loss")),
+            "shard-wishes", "loss", "label", "row")
+        may = _admitted({divmod(p, shards): n for p, n in wanted}, held, capacity)
+        if not any(may.values()):
+            break
+        places = links.sparkSession.createDataFrame(
+            [(o * shards + t, n) for (o, t), n in may.items()], "shard int, places long")
+        moves = wishes.join(F.broadcast(places), "shard").where("rank < places").select("row", "to")
+        moved = written(state.join(moves, "row", "left").select(
+            "row", "label", "kind", F.coalesce("to", "shard").alias("shard")), "shard-state")
+        before, cut = cut, _cut_links(linked, moved)
+        if cut >= before:
             break
-        free = {s: max(0, capacity[s] - counts.get(s, 0)) for s in range(shards)}
-        moves = wishes.where(F.col("rank") < _case("shard", free)).select(
-            "row", F.col("shard").alias("to"))
-        state = written(state.join(moves, "row", "left").select(
-            "row", "label", F.coalesce("to", "shard").alias("shard")), "shard-state")
+        state = moved
+    if cut:  # groups that are still cut
+        spread = linked.join(state.select("row", "shard"), "row").groupBy("group").agg(
+            F.min("shard").alias("least"), F.max("shard").alias("most")).where("least != most")
+        split = linked.join(spread.select("group"), "group").select("row").distinct()
+        state = written(state.join(split.withColumn("split", F.lit(1)), "row", "left").select(
+            "row", "label", F.coalesce("split", "kind").alias("kind"), "shard"), "shard-state")
+    if state.where("kind = 1").limit(1).count():
+        # these and the groups that no shard can hold fill what the others left
+        held = dict(state.where("kind = 0").groupBy("shard").count().collect())
+        room = sorted(((max(0, quota[s] - held.get(s, 0)), s) for s in quota), reverse=True)
+        large, _ = _number(state.where("kind = 1").select("row", "label", F.lit(0).alias("shard")),
+                           "shard-large", "label", "row")
+        to, filled = F.lit(room[-1][1]), sum(n for n, _ in room)
+        for n, s in reversed(room):
+            to = F.when(F.col("rank") < filled, F.lit(s)).otherwise(to)
+            filled -= n
+        state = written(state.join(large.select("row", to.alias("to")), "row", "left").select(
+            "row", "label", "kind", F.coalesce("to", "shard").alias("shard")), "shard-state")
     # linked rows first, so that the excess of a shard is made of others
-    order = state.withColumn("loose", F.col("label").isNull())
-    ranked, counts = _number(order, "shard-ranks", "loose", "label", "row")
+    ranked, counts = _number(state, "shard-ranks", "kind", "label", "row")
     held = dict(counts)
     stay = {s: min(quota[s], held.get(s, 0)) for s in range(shards)}
     excess, start = {}, 0  # before the excess of each shard
