@@ -139,6 +139,14 @@ def _shard(spark, rows):
     return _cut(rows, got)
 
 
+def test_linked_third_ends_in_one_shard_each(spark):
+    """A third of all rows in pairs, fours, fives and larger groups: no link is cut."""
+    texts = [f"g{size}-{g}" for size, groups in ((2, 100), (4, 50), (5, 40), (50, 4)) for g in range(groups)
+             for _ in range(size)]
+    texts += [f"own {i}" for i in range(1600)]
+    assert _shard(spark, list(enumerate(texts))) == {}
+
+
 def test_all_rows_linked_keep_most_links(spark):
     texts = [f"g{i // 5}" for i in range(2000)]
     assert len(_shard(spark, list(enumerate(texts)))) <= 24  # at the borders of shards

@@ -84,9 +84,9 @@ def _wishes(memberships: DataFrame, state: DataFrame) -> DataFrame:
     total = (held.join(by_group, "group")
              .select("row", F.col("shard").alias("own"), "group", F.explode("options").alias("o"))
              .groupBy("row", "own", F.col("o.shard").alias("shard"))
-             .agg(F.sum(F.col("o.n") - (F.col("o.shard") == F.col("own")).cast("long")).alias("votes"),
+             .agg(F.sum("o.n").alias("votes"),
                   F.min("group").alias("label"))
-             .withColumn("order", F.col("shard") == F.col("own")))
+             .withColumn("order", F.xxhash64("label", "shard")))
     best = total.groupBy("row").agg(
         F.max(F.struct("votes", "order", "shard", "label")).alias("b"),
         F.max(F.when(F.col("shard") == F.col("own"), F.col("votes")).otherwise(0)).alias("here"),
