@@ -78,3 +78,23 @@ def held_out(doc_id: Column | str) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(df: DataFrame, name: str, *order: str) -> DataFrame:
+    """``df`` written in the order of ``order`` with ``nth``, a row's place from
+    0. The sort is range-partitioned and only a count for each partition
+    reaches the driver; end ``order`` with a unique column, so that no key is
+    too large for a task."""
+    spark = df.sparkSession
+    rows = written(df.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
+                   .withColumn("_at", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_at", 33)
+    firsts = (rows.groupBy(part.alias("part")).agg(F.min("_at").alias("first"), F.count(F.lit(1)).alias("n"))
+              .orderBy("part").collect())  # one row for each partition
+    shifts, before = [], 0
+    for r in firsts:
+        shifts.append((r["part"], before - r["first"]))
+        before += r["n"]
+    table = spark.createDataFrame(shifts, "_part long, _shift long")
+    return (rows.join(F.broadcast(table), part == F.col("_part"))
+            .withColumn("nth", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_shift"))

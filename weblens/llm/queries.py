@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (ann, bpe, decontam, html_extract, langid, minhash, quality, sharding,
-               token_counts, url_filter)
+from . import (ann, bpe, collocations, decontam, html_extract, langid, minhash, mixing, oracle,
+               prefix_trie, quality, sharding, token_counts, url_filter)
 from .common import read_table, remove_on_exit
 
 
@@ -71,11 +71,28 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=2)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def rebuild(turns: DataFrame, convs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        heads = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(6))
+        return prefix_trie.with_shared_heads(turns, convs, heads, F.col("conv_id") - F.col("conv_id") % 100, 5)
+    return prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"), rebuild).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_bpe_roundtrip, op2_balanced_shards, op3_benchmark_leaks, op4_url_verdicts,
-        op5_token_counts, op6_main_text, op7_language, op8_quality, op9_nearest_vectors, op10_near_duplicates)
+        op5_token_counts, op6_main_text, op7_language, op8_quality, op9_nearest_vectors, op10_near_duplicates,
+        op11_prefix_trie, op12_source_mix, op13_collocations)
 }
 
 #: DuckDB SQL of those that SQL can express; the others have brute-force tests.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_prefix_trie": oracle.PREFIX_TRIE, "op13_collocations": oracle.COLLOCATIONS}
