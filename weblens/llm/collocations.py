@@ -5,12 +5,14 @@ Every position of a text is a suffix, cut at the end of its piece and after
 the corpus, so the tree is cut by prefixes:
 
 1. words are counted; those below the least count can be in no candidate;
-2. prefixes of two words are counted. One below the least count holds no
-   candidate in its subtree and is left out. The others are the units: they are dealt by a hash
-   over as many groups as the memory budget asks for; a unit whose subtree alone is above the budget is
-   extended by a word, and its extensions are units (again up to ``DEPTH``);
+2. phrases of two and three, then four and five frequent words are counted by
+   hash buckets; a bucket below the least count holds no candidate. Prefixes
+   of two words in the other buckets are counted exactly. Those that reach the
+   least count are the units: they are dealt by a hash over as many groups as the memory budget asks
+   for; a unit whose subtree alone is above the budget is extended by a word, and
+   its extensions are units (again up to ``DEPTH``);
 3. each task cuts its texts into suffixes once more and sends those of a unit to its group,
-   equal ones added up before. A suffix ends before the first pair of words that is
+   equal ones added up before. A suffix ends before the first phrase whose bucket is
    below the least count, as no candidate goes on there;
 4. a group reads its suffixes in order, which is the depth-first order of its
    subtrees: leaves carry their totals, an inner node's count is the sum of the leaves
@@ -19,8 +21,8 @@ the corpus, so the tree is cut by prefixes:
 Scores are joins of the candidates' parts with the counts, in 128-bit decimals;
 ranks come from a range-partitioned sort.
 
-Scale: what tasks know of the frequent words and pairs is a bit filter of at
-most ``MOST_BITS`` bits (false positives cost rows, not results), and the
+Scale: what tasks know of the frequent words and phrases are bit filters of at
+most ``MOST_BITS`` bits each (false positives cost rows, not results), and the
 extended units, at most all suffixes / budget. Tables of a task are emptied at a fixed size, texts are
 read in slices, so neither a long text nor a hot word needs more memory.
 
@@ -32,6 +34,7 @@ frequent pair, gives an empty table.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections import Counter
@@ -129,6 +132,11 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from emptied()
 
 
+def _power(wanted: int, least: int, most: int) -> int:
+    """The power of two of ``wanted`` or more, within two others."""
+    return min(max(1 << max(0, wanted - 1).bit_length(), least), most)
+
+
 class Filter:
     """A set of (lang, phrase) as one bit for each checksum."""
 
@@ -143,9 +151,7 @@ class Filter:
     def of(cls, phrases: DataFrame, bits_for: int) -> Filter:
         """The filter of a table with ``bits_for`` rows; at most ``MOST_BITS`` / 8
         bytes come to the driver, in pieces of 4 KB."""
-        bits = LEAST_BITS
-        while bits < min(8 * bits_for, MOST_BITS):
-            bits *= 2
+        bits = _power(8 * bits_for, LEAST_BITS, MOST_BITS)
         place = cls.key(bits) + 1  # bitmaps count from 1
         pieces = (phrases.groupBy(F.bitmap_bucket_number(place).alias("number"))
                   .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("piece")).collect())
@@ -161,30 +167,117 @@ class Filter:
 
 
 class _Ids:
-    """Numbers of the frequent words of a language; 0 is any other word."""
+    """Numbers of the frequent words of a language, 0 for any other word, and a
+    64-bit hash of each."""
 
     def __init__(self, words: Filter, lang: str):
         self.words, self.lang = words, lang.encode()
         self.of: dict[bytes, int] = {STOP: 0}
         self.names: list[bytes] = [b""]
+        self.hashes = np.zeros(1, np.uint64)
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         new = [w for w in dict.fromkeys(words) if w not in self.of]
         if new:
+            known = len(self.names)
             for w, ok in zip(new, self.words.holds(self.lang, new).tolist()):
                 self.of[w] = len(self.names) if ok else 0
                 if ok:
                     self.names.append(w)
+            more = [int.from_bytes(hashlib.blake2b(w, digest_size=8, key=self.lang[:64]).digest(), "little")
+                    for w in self.names[known:]]
+            self.hashes = np.concatenate([self.hashes, np.array(more, np.uint64)])
         return np.fromiter(map(self.of.__getitem__, words), np.int64, len(words))
 
     def phrase(self, ids) -> bytes:
         return SEP.join(self.names[i] for i in ids)
 
 
-def _windows(ids: np.ndarray, own: int, depth: int) -> np.ndarray:
-    """``depth`` numbers from each own position on."""
-    padded = np.concatenate([ids, np.zeros(depth, np.int64)])
-    return np.stack([padded[i:i + own] for i in range(depth)], axis=1)
+class Grams:
+    """The phrases of k words that may reach the least count, as one bit for each
+    bucket of a hash; ``members[k]`` are the bits of length k."""
+
+    def __init__(self, buckets: int, members: dict[int, np.ndarray]):
+        self.buckets, self.members = buckets, members
+
+    def keys(self, ids: np.ndarray, hashes: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+        """The buckets of the k words from each of the places ``at`` on."""
+        key = np.full(len(at), k, np.uint64)
+        for i in range(k):
+            key = key * np.uint64(0x9E3779B97F4A7C15) + hashes[ids[at + i]]
+            key ^= key >> np.uint64(29)
+        return (key * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.int64) & (self.buckets - 1)
+
+    def places(self, ids: np.ndarray, hashes: np.ndarray, upto: int) -> dict[int, np.ndarray]:
+        """For each k the places where a phrase of k words may reach the least
+        count: both its parts of k - 1 words do, and its bucket if that is known."""
+        good = ids > 0
+        out = {1: np.flatnonzero(good)}
+        for k in range(2, upto + 1):
+            good[:-1] &= good[1:]
+            good[-1:] = False
+            at = np.flatnonzero(good)
+            if k in self.members:
+                key = self.keys(ids, hashes, at, k)
+                ok = (self.members[k][key >> 3] >> (key & 7).astype(np.uint8)) & 1 == 1
+                good[at[~ok]] = False
+                at = at[ok]
+            out[k] = at
+        return out
+
+
+#: Buckets of a row; a row holds offsets and counts of those in use.
+_BLOCK = 1 << 16
+
+
+class _Buckets:
+    """Counts of buckets by length, emptied at ``ENTRIES``."""
+
+    def __init__(self, least: int):
+        self.least = least
+        self.parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.size = 0
+
+    def add(self, k: int, keys: np.ndarray) -> None:
+        part = np.unique(keys, return_counts=True)
+        self.parts.setdefault(k, []).append(part)
+        self.size += len(part[0])
+
+    def emptied(self) -> Iterator[tuple[int, int, bytes]]:
+        for k, parts in self.parts.items():
+            keys, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            n = np.bincount(where, weights=np.concatenate([p[1] for p in parts]))
+            n = np.minimum(n, self.least).astype(np.uint32 if self.least > 255 else np.uint8)
+            cuts = np.flatnonzero(np.diff(keys >> 16)) + 1
+            for off, c in zip(np.split(keys, cuts), np.split(n, cuts)):
+                if len(off):
+                    yield k, int(off[0] >> 16), (off & (_BLOCK - 1)).astype(np.uint16).tobytes() + c.tobytes()
+        self.parts, self.size = {}, 0
+
+
+def _bucket_bits(least: int):
+    """(k, block, bits): the buckets of each block whose counts reach ``least``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = 6 if least > 255 else 3
+        here, counts = None, None
+
+        def row() -> pa.RecordBatch:
+            bits = np.packbits(counts >= least, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([here[0]], pa.int32()), pa.array([here[1]], pa.int32()),
+                                               pa.array([bits], pa.binary())], ["k", "block", "data"])
+
+        for b in batches:
+            for k, block, data in zip(*(b.column(c).to_pylist() for c in ("k", "block", "data"))):
+                if (k, block) != here:
+                    if here:
+                        yield row()
+                    here, counts = (k, block), np.zeros(_BLOCK, np.int64)
+                n = len(data) // width
+                counts[np.frombuffer(data, np.uint16, n)] += np.frombuffer(
+                    data, np.uint32 if width == 6 else np.uint8, n, 2 * n)
+        if here:
+            yield row()
+    return run
 
 
 def _distinct(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -232,35 +325,59 @@ class _Table:
         self.rows, self.ids, self.size, self.least = {}, {}, 0, 0
 
 
-def _count_prefixes(depth: int, words: Filter, known: frozenset | None):
-    """Counts of ``depth`` frequent words in a row; with ``known``, of those only that go
-    on from one of these (lang, prefix)."""
+_FOUND = "lang string, phrase string, f long, k int, block int, data binary"
+
+
+def _found(grams: list[tuple[str, bytes, int]] = (), buckets: list[tuple[int, int, bytes]] = ()) -> pa.RecordBatch:
+    langs, phrases, fs = zip(*grams) if grams else ((), (), ())
+    ks, blocks, data = zip(*buckets) if buckets else ((), (), ())
+    a, b = [None] * len(grams), [None] * len(buckets)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([*langs, *b], pa.string()), pa.array([*phrases, *b], pa.binary()).cast(pa.string()),
+         pa.array([*fs, *b], pa.int64()), pa.array([*a, *ks], pa.int32()), pa.array([*a, *blocks], pa.int32()),
+         pa.array([*a, *data], pa.binary())], ["lang", "phrase", "f", "k", "block", "data"])
+
+
+def _survey(words: Filter, grams: Grams, lengths: tuple[int, ...], least: int, depth: int = 0,
+            known: frozenset | None = None):
+    """Bucket counts of the phrases of ``lengths`` words whose shorter parts may
+    reach the least count, and counts of phrases of ``depth`` words; with
+    ``known``, of those only that go on from one of these (lang, prefix)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _Table(words)
+        table, buckets = _Table(words), _Buckets(least)
 
-        def emptied() -> Iterator[pa.RecordBatch]:
+        def rows_of_table() -> Iterator[pa.RecordBatch]:
             for lang in list(table.rows):
                 ids, (rows, n) = table.of(lang), table.merged(lang)
-                phrases = [ids.phrase(r) for r in rows.tolist()]
-                keep = range(len(phrases)) if known is None else [
-                    i for i, p in enumerate(phrases) if (lang, p.rpartition(SEP)[0]) in known]
-                yield _batch([lang] * len(keep), [phrases[i] for i in keep], [int(n[i]) for i in keep])
+                found = ((lang, ids.phrase(r), c) for r, c in zip(rows.tolist(), n.tolist()))
+                yield _found([x for x in found if known is None or (lang, x[1].rpartition(SEP)[0]) in known])
             table.clear()
 
         for lang, tokens, own in _slices(batches):
-            rows = _windows(table.of(lang).numbers(tokens), own, depth)
-            table.add(lang, rows[(rows > 0).all(axis=1)])
+            names = table.of(lang)
+            ids = names.numbers(tokens)
+            places = grams.places(ids, names.hashes, max(depth, *lengths, 2))
+            for k in lengths:
+                at = places[k]
+                buckets.add(k, grams.keys(ids, names.hashes, at[at < own], k))
+            if depth:
+                at = places[depth]
+                at = at[at < own]
+                table.add(lang, np.stack([ids[at + i] for i in range(depth)], axis=1))
             if table.full():
-                yield from emptied()
-        yield from emptied()
+                yield from rows_of_table()
+            if buckets.size > ENTRIES:
+                yield _found(buckets=list(buckets.emptied()))
+        yield from rows_of_table()
+        yield _found(buckets=list(buckets.emptied()))
     return run
 
 
-def _suffixes(words: Filter, pairs: Filter, hot: list[frozenset]):
-    """(lang, phrase, f, unit): suffixes with the number of words of their unit."""
+def _suffixes(words: Filter, grams: Grams, hot: list[frozenset]):
+    """(lang, phrase, f, unit): suffixes of three words and more with the number of
+    words of their unit."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _Table(words)
-        linked: dict[str, dict[int, bool]] = {}
 
         def emptied() -> Iterator[pa.RecordBatch]:
             for lang in list(table.rows):
@@ -275,29 +392,18 @@ def _suffixes(words: Filter, pairs: Filter, hot: list[frozenset]):
                     units.append(unit)
                 yield _batch([lang] * len(phrases), phrases, n, units)
             table.clear()
-            linked.clear()
 
         for lang, tokens, own in _slices(batches):
-            ids = table.of(lang)
-            rows = _windows(ids.numbers(tokens), own, DEPTH)
-            rows = rows[(rows[:, 0] > 0) & (rows[:, 1] > 0)]
-            seen = linked.setdefault(lang, {})
-            goes_on = np.ones(len(rows), bool)
-            for c in range(1, DEPTH):
-                codes, where = np.unique((rows[:, c - 1] << 32) | rows[:, c], return_inverse=True)
-                codes = codes.tolist()
-                new = [k for k in codes if k not in seen and k >> 32 and k & 0xffffffff]
-                if new:
-                    ok = pairs.holds(ids.lang, [ids.phrase((k >> 32, k & 0xffffffff)) for k in new])
-                    seen.update(zip(new, ok.tolist()))
-                goes_on &= np.array([seen.get(k, False) for k in codes], bool)[where]
-                if c == 1:
-                    rows, goes_on = rows[goes_on], goes_on[goes_on]
-                else:
-                    rows[~goes_on, c] = 0
+            names = table.of(lang)
+            ids = names.numbers(tokens)
+            places = grams.places(ids, names.hashes, DEPTH)
+            reach = np.zeros(len(ids), np.int64)
+            for k in range(3, DEPTH + 1):
+                reach[places[k]] = k
+            at = np.flatnonzero(reach[:own])
+            padded = np.concatenate([ids, np.zeros(DEPTH, np.int64)])
+            rows = np.stack([np.where(reach[at] > i, padded[at + i], 0) for i in range(DEPTH)], axis=1)
             table.add(lang, rows)
-            if len(seen) > ENTRIES:
-                seen.clear()
             if table.full():
                 yield from emptied()
         yield from emptied()
@@ -306,7 +412,7 @@ def _suffixes(words: Filter, pairs: Filter, hot: list[frozenset]):
 
 def _subtree_counts(least: int, extended: frozenset):
     """Counts of the nodes of subtrees from their leaves in depth-first order;
-    those of ``extended`` prefixes are known."""
+    those of units are known, also of the ``extended`` ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lang, path, totals = None, [], []  # the open nodes, from the unit's first word on
         out: list[tuple[str, str, int]] = []
@@ -314,7 +420,7 @@ def _subtree_counts(least: int, extended: frozenset):
         def close(depth: int) -> None:
             while len(path) > depth:
                 f = totals.pop()
-                if f >= least and len(path) > 1 and (lang, phrase := "\t".join(path)) not in extended:
+                if f >= least and len(path) > 2 and (lang, phrase := "\t".join(path)) not in extended:
                     out.append((lang, phrase, f))
                 path.pop()
                 if totals:
@@ -369,35 +475,45 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, memory: int = MEMORY) ->
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= least)
     of_words = Filter.of(frequent, frequent.count())
-
-    def prefixes(depth: int, known: frozenset | None) -> DataFrame:
-        found = map_arrow(texts, _count_prefixes(depth, of_words, known), _COUNTS)
-        return written(found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-                       .where(F.col("f") >= least), "colloc-prefixes")
-
-    units = prefixes(2, None)
-    n_units, n_suffixes = units.agg(F.count(F.lit(1)), F.sum("f")).first()
-    of_pairs = Filter.of(units, n_units)
+    n, n_words = shuffle_partitions(spark), totals.agg(F.sum("n")).first()[0] or 0
+    grams = Grams(_power(n_words // 8, LEAST_BITS // 16, MOST_BITS), {})
+
+    def survey(lengths: tuple[int, ...], depth: int = 0, known: frozenset | None = None) -> DataFrame:
+        """Adds the bits of ``lengths`` to ``grams``, returns the counts of ``depth`` words."""
+        found = written(map_arrow(texts, _survey(of_words, grams, lengths, least, depth, known), _FOUND),
+                        "colloc-survey")
+        parts = (found.where("k IS NOT NULL").select("k", "block", "data")
+                 .repartition(n, "k", "block").sortWithinPartitions("k", "block"))
+        for k in lengths:
+            grams.members[k] = np.zeros(grams.buckets // 8, np.uint8)
+        for k, block, data in map_arrow(parts, _bucket_bits(least), "k int, block int, data binary").collect():
+            bits = np.frombuffer(data, np.uint8)[:grams.buckets // 8]
+            grams.members[k][block * _BLOCK // 8:][:len(bits)] = bits
+        return written(found.where("k IS NULL").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+                       .where(F.col("f") >= least), "colloc-prefixes") if depth else None
+
+    survey((2, 3))
+    pairs = units = survey((4, 5), 2)
+    n_suffixes = units.agg(F.sum("f")).first()[0] or 0
     hot: list[frozenset] = []  # units above the budget: at most all suffixes / budget
-    known: list[DataFrame] = []
+    known: list[DataFrame] = [pairs]
     for depth in range(3, DEPTH + 1):
-        above = units.where(F.col("f") > memory)
-        over = frozenset((r["lang"], r["phrase"].encode()) for r in above.collect())
+        over = frozenset((r["lang"], r["phrase"].encode())
+                         for r in units.where(F.col("f") > memory).collect())
         if not over:
             break
         hot.append(over)
-        known.append(above)
         if depth < DEPTH:
-            units = prefixes(depth, over)
-    n = shuffle_partitions(spark)
-    groups = max(n, -(-(n_suffixes or 0) // memory))
-    leaves = map_arrow(texts, _suffixes(of_words, of_pairs, hot), _COUNTS + ", unit byte")
+            units = survey((), depth, over)
+            known.append(units.where(F.col("f") > memory))
+    groups = max(n, -(-n_suffixes // memory))
+    leaves = map_arrow(texts, _suffixes(of_words, grams, hot), _COUNTS + ", unit byte")
     unit = F.expr("substring_index(phrase, '\t', unit)")
     dealt = leaves.select(F.pmod(F.xxhash64("lang", unit), F.lit(groups)).alias("group"), "lang", "phrase", "f")
     in_order = dealt.repartition(n, "group").sortWithinPartitions("group", "lang", "phrase")
     extended = frozenset((lang, p.decode()) for over in hot for lang, p in over)
     nodes = map_arrow(in_order.select("lang", "phrase", "f"), _subtree_counts(least, extended), _COUNTS)
-    # an extended unit's subtree is in several groups; its prefix was counted before
+    # pairs, and longer units whose subtree is in several groups, were counted before
     for table in known:
         nodes = nodes.union(table.select("lang", "phrase", "f"))
     return written(nodes.union(frequent.select("lang", "phrase", "f")), "colloc-counts"), totals
