@@ -325,34 +325,64 @@ class _Table:
         self.rows, self.ids, self.size, self.least = {}, {}, 0, 0
 
 
-_FOUND = "lang string, phrase string, f long, k int, block int, data binary"
+_FOUND = "lang string, k int, block int, data binary"
 
 
-def _found(grams: list[tuple[str, bytes, int]] = (), buckets: list[tuple[int, int, bytes]] = ()) -> pa.RecordBatch:
-    langs, phrases, fs = zip(*grams) if grams else ((), (), ())
-    ks, blocks, data = zip(*buckets) if buckets else ((), (), ())
-    a, b = [None] * len(grams), [None] * len(buckets)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([*langs, *b], pa.string()), pa.array([*phrases, *b], pa.binary()).cast(pa.string()),
-         pa.array([*fs, *b], pa.int64()), pa.array([*a, *ks], pa.int32()), pa.array([*a, *blocks], pa.int32()),
-         pa.array([*a, *data], pa.binary())], ["lang", "phrase", "f", "k", "block", "data"])
+def _found(rows: list[tuple[str | None, int, int, bytes]]) -> pa.RecordBatch:
+    langs, ks, blocks, data = zip(*rows) if rows else ((), (), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(ks, pa.int32()),
+                                       pa.array(blocks, pa.int32()), pa.array(data, pa.binary())],
+                                      ["lang", "k", "block", "data"])
+
+
+def _merged_counts(least: int):
+    """(lang, phrase, f) of the phrases that reach ``least`` from the packed rows
+    of a part, which come one after the other."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, counts = None, Counter()
+
+        def part() -> Iterator[pa.RecordBatch]:
+            kept = [(here[0], p.decode(), f) for p, f in counts.items() if f >= least]
+            if kept:
+                yield _node_batch(kept)
+
+        for b in batches:
+            for lang, block, data in zip(*(b.column(c).to_pylist() for c in ("lang", "block", "data"))):
+                if (lang, block) != here:
+                    if here:
+                        yield from part()
+                    here, counts = (lang, block), Counter()
+                for line in data.split(b"\n"):
+                    phrase, _, f = line.rpartition(SEP)
+                    counts[phrase] += int(f)
+        if here:
+            yield from part()
+    return run
 
 
 def _survey(words: Filter, grams: Grams, lengths: tuple[int, ...], least: int, depth: int = 0,
-            known: frozenset | None = None):
+            known: frozenset | None = None, parts: int = 1):
     """Bucket counts of the phrases of ``lengths`` words whose shorter parts may
-    reach the least count, and counts of phrases of ``depth`` words; with
-    ``known``, of those only that go on from one of these (lang, prefix)."""
+    reach the least count, and counts of phrases of ``depth`` words (k = 0), packed
+    by a hash into ``parts``; with ``known``, of those only that go on from one
+    of these (lang, prefix)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, buckets = _Table(words), _Buckets(least)
 
         def rows_of_table() -> Iterator[pa.RecordBatch]:
             for lang in list(table.rows):
                 ids, (rows, n) = table.of(lang), table.merged(lang)
-                found = ((lang, ids.phrase(r), c) for r, c in zip(rows.tolist(), n.tolist()))
-                yield _found([x for x in found if known is None or (lang, x[1].rpartition(SEP)[0]) in known])
+                packed: dict[int, list[bytes]] = {}
+                for r, c in zip(rows.tolist(), n.tolist()):
+                    phrase = ids.phrase(r)
+                    if known is None or (lang, phrase.rpartition(SEP)[0]) in known:
+                        packed.setdefault(zlib.crc32(phrase) % parts, []).append(b"%s\t%d" % (phrase, c))
+                yield _found([(lang, 0, part, b"\n".join(lines)) for part, lines in packed.items()])
             table.clear()
 
+        def rows_of_buckets() -> Iterator[pa.RecordBatch]:
+            yield _found([(None, *x) for x in buckets.emptied()])
+
         for lang, tokens, own in _slices(batches):
             names = table.of(lang)
             ids = names.numbers(tokens)
@@ -367,9 +397,9 @@ def _survey(words: Filter, grams: Grams, lengths: tuple[int, ...], least: int, d
             if table.full():
                 yield from rows_of_table()
             if buckets.size > ENTRIES:
-                yield _found(buckets=list(buckets.emptied()))
+                yield from rows_of_buckets()
         yield from rows_of_table()
-        yield _found(buckets=list(buckets.emptied()))
+        yield from rows_of_buckets()
     return run
 
 
@@ -478,19 +508,25 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, memory: int = MEMORY) ->
     n, n_words = shuffle_partitions(spark), totals.agg(F.sum("n")).first()[0] or 0
     grams = Grams(_power(n_words // 8, LEAST_BITS // 16, MOST_BITS), {})
 
-    def survey(lengths: tuple[int, ...], depth: int = 0, known: frozenset | None = None) -> DataFrame:
+    def survey(lengths: tuple[int, ...], depth: int = 0, known: frozenset | None = None) -> DataFrame | None:
         """Adds the bits of ``lengths`` to ``grams``, returns the counts of ``depth`` words."""
-        found = written(map_arrow(texts, _survey(of_words, grams, lengths, least, depth, known), _FOUND),
+        # a part holds some ten thousand of the phrases that may reach the least count
+        candidates = int(np.bitwise_count(grams.members[2]).sum()) if depth else 0
+        parts = max(n, candidates >> 14)
+        found = written(map_arrow(texts, _survey(of_words, grams, lengths, least, depth, known, parts), _FOUND),
                         "colloc-survey")
-        parts = (found.where("k IS NOT NULL").select("k", "block", "data")
-                 .repartition(n, "k", "block").sortWithinPartitions("k", "block"))
+        blocks = (found.where("k > 0").select("k", "block", "data")
+                  .repartition(n, "k", "block").sortWithinPartitions("k", "block"))
         for k in lengths:
             grams.members[k] = np.zeros(grams.buckets // 8, np.uint8)
-        for k, block, data in map_arrow(parts, _bucket_bits(least), "k int, block int, data binary").collect():
+        for k, block, data in map_arrow(blocks, _bucket_bits(least), "k int, block int, data binary").collect():
             bits = np.frombuffer(data, np.uint8)[:grams.buckets // 8]
             grams.members[k][block * _BLOCK // 8:][:len(bits)] = bits
-        return written(found.where("k IS NULL").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-                       .where(F.col("f") >= least), "colloc-prefixes") if depth else None
+        if not depth:
+            return None
+        exact = (found.where("k = 0").select("lang", "block", "data")
+                 .repartition(n, "lang", "block").sortWithinPartitions("lang", "block"))
+        return written(map_arrow(exact, _merged_counts(least), _COUNTS), "colloc-prefixes")
 
     survey((2, 3))
     pairs = units = survey((4, 5), 2)
