@@ -379,6 +379,12 @@ UNION ALL SELECT 'order-' || stat_key, 'fee', fee FROM t""",
         + f"CASE WHEN regexp_matches(ua, '^curl/[0-9]{{1,3}}[.][0-9.]') "
           f"THEN regexp_extract(ua, '^curl/[0-9]+[.]([0-9.]+)', 1) ELSE {u['browserversion']} END AS browserversion, "
         + f"{u['osname']} AS osname, {u['osversion']} AS osversion FROM good")
+    shop = f"{_list(d.USER_AGENTS)}[(user_id % {len(d.USER_AGENTS)}) + 1] || ' shop/' || user_id || '.' || (event_id % 7)"
+    q["p20_rule_index"] = (
+        f"WITH s AS (SELECT {shop} AS ua, user_id, event_id FROM events) SELECT ua, "
+        f"CASE WHEN user_id < 10000 THEN 'shop ' || user_id ELSE {u['browsername']} END AS browsername, "
+        f"CASE WHEN user_id < 10000 THEN CAST(event_id % 7 AS VARCHAR) ELSE {u['browserversion']} END AS browserversion, "
+        f"{u['osname']} AS osname, {u['osversion']} AS osversion FROM s")
     q["a3_browser_counts_df"] = q["a2_browser_counts"]
     q["a4_browser_counts_sql"] = q["a2_browser_counts"]
     q["j2_rule_match_distinct"] = q["p20_classify_user_agent"]

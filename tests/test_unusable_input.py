@@ -57,7 +57,7 @@ def test_day_counters_keep_times_without_a_minute(spark):
 def test_large_rule_table_answers_like_the_chain(spark):
     uas = spark.createDataFrame([(r[2].replace("([0-9.]+)", "4.2"),) for r in agents.DEFAULT_RULES]
                                 + [("",), (None,), ("nothing known",)], "ua string")
-    more = [(1000 + i, "browser", f"NoSuchAgent{i}/", f"n{i}", 0) for i in range(agents.INLINE_RULES)]
+    more = [(1000 + i, "browser", f"NoSuchAgent{i}/", f"n{i}", 0) for i in range(agents.INLINE_RULES + 1)]
     large = agents.default_rules(spark).union(
         spark.createDataFrame(more, agents.RULE_SCHEMA))
     assert rows(agents.classify(uas, large)) == rows(agents.classify(uas))

@@ -6,12 +6,12 @@ rule matches, all null for an empty agent) and express the rule set as two
 projections: first, per kind, the index of the first matching rule (a
 ``CASE WHEN contains(ua, prefix) AND ua RLIKE pattern`` chain; the cheap
 substring test rejects most rules), then the name by index and the version
-extracted with the matched rule's pattern only. The rule table is a small
-configuration dimension: it is collected to build the expressions (up to
-``INLINE_RULES``; a larger one is read as one array value), so classification
-has no join and no shuffle.
-``dedup=True`` classifies each distinct agent once (checkpointed) and joins
-the answers back, broadcast when they fit the row and byte bounds.
+extracted with the matched rule's pattern only. A rule table of up to
+``INLINE_RULES`` rows is collected to build the expressions, so classification
+has no join and no shuffle. A larger one is answered through an inverted index
+(``rule_index``): each distinct agent meets only the rules that it may match.
+``dedup=True`` classifies each distinct agent once and joins the answers back,
+broadcast when they fit the row and byte bounds.
 """
 
 from __future__ import annotations
@@ -20,13 +20,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parse import is_not_empty
-from ..session import broadcast_fits, materialize, path_exists
+from ..session import BROADCAST_MAX_BYTES, broadcast_fits, materialize_sized, path_exists
 from ..sources.files import RULE_SCHEMA
+from .rule_index import RuleIndex
 
 UNKNOWN = "unknown"
-# Rule tables up to this size become a CASE chain; larger ones are evaluated
-# from one array value, so plans do not grow with the rules.
-INLINE_RULES = 500
+# Rule tables up to this size become a CASE chain; larger ones are looked up
+# in an index, so neither plans nor the work for an agent grow with the rules.
+INLINE_RULES = 100
 BROADCAST_MAX_ROWS = 2_000_000
 
 # The default rule set (priority, kind, pattern, name,
@@ -155,59 +156,44 @@ def _is_large(rules) -> bool:
     return isinstance(rules, DataFrame) and len(rules.limit(INLINE_RULES + 1).collect()) > INLINE_RULES
 
 
-def _rule_array(rules: DataFrame) -> DataFrame:
-    """All rules in priority order as one value: the table is configuration,
-    read by a scalar subquery instead of passing through the driver."""
-    p, k, x, n, g = rules.columns
-    row = F.struct(F.col(p).alias("priority"), F.col(k).alias("kind"), F.col(x).alias("pattern"),
-                   F.col(n).alias("name"), F.col(g).alias("version_group"))
-    return rules.agg(F.sort_array(F.collect_list(row)).alias("rules"))
+def _answers(agents: DataFrame, rules, ua: str = "ua") -> DataFrame:
+    """Distinct agents with their answers."""
+    if not _is_large(rules) and not isinstance(rules, RuleIndex):
+        browser, system = _split(rules)
+        staged = agents.withColumns(_index_columns(F.col(ua), browser, system))
+        return staged.withColumns(_output_columns(F.col(ua), browser, system)).drop("_ua_b", "_ua_o")
+    index = rules if isinstance(rules, RuleIndex) else RuleIndex(rules)
+    found = index.first_rules(agents.withColumnRenamed(ua, "ua"))
 
-
-def _classified_by_array(df: DataFrame, ua: Column, rules: DataFrame) -> DataFrame:
-    """The same answers as the CASE chains for a large rule table."""
-    staged = df.withColumn("_rules", _rule_array(rules).scalar())
-
-    def first(*kinds):
-        return F.get(F.filter("_rules", lambda r: r["kind"].isin(*kinds)
-                              & F.rlike(ua, r["pattern"])), 0)
-
-    staged = staged.withColumns({"_ua_b": first("browser", "robot"), "_ua_o": first("os")})
-
-    def version(rule):
-        found = F.call_function("regexp_extract", ua, rule["pattern"], rule["version_group"])
-        return F.coalesce(F.when(rule["version_group"] > 0, F.nullif(found, F.lit(""))),
-                          F.lit(UNKNOWN))
+    def version(rule: Column) -> Column:
+        text = F.call_function("regexp_extract", F.col("ua"), rule["pattern"], rule["version_group"])
+        return F.coalesce(F.when(rule["version_group"] > 0, F.nullif(text, F.lit(""))), F.lit(UNKNOWN))
 
     cols = {}
-    for kind, c in (("browser", F.col("_ua_b")), ("os", F.col("_ua_o"))):
-        cols[f"{kind}name"] = F.coalesce(c["name"], F.lit(UNKNOWN))
-        cols[f"{kind}version"] = version(c)
-    present = is_not_empty(ua)
-    return (staged.withColumns({c: F.when(present, v) for c, v in cols.items()})
-            .drop("_rules", "_ua_b", "_ua_o"))
+    for kind in ("browser", "os"):
+        cols[f"{kind}name"] = F.coalesce(F.col(f"{kind}.name"), F.lit(UNKNOWN))
+        cols[f"{kind}version"] = version(F.col(kind))
+    present = is_not_empty("ua")
+    return found.select(F.col("ua").alias(ua), *[F.when(present, v).alias(c) for c, v in cols.items()])
 
 
-def _classified(df: DataFrame, ua: Column, rules) -> DataFrame:
-    if _is_large(rules):
-        return _classified_by_array(df, ua, rules)
-    browser, system = _split(rules)
-    staged = df.withColumns(_index_columns(ua, browser, system))
-    return staged.withColumns(_output_columns(ua, browser, system)).drop("_ua_b", "_ua_o")
+def _join_answers(df: DataFrame, answers: DataFrame, ua_col: str, max_rows: int) -> DataFrame:
+    """Answers of the distinct agents back on all rows; written once, with
+    the size that decides between broadcast and shuffle taken on the way."""
+    table, rows, size = materialize_sized(answers)
+    if rows <= max_rows and size <= BROADCAST_MAX_BYTES:
+        table = F.broadcast(table)
+    return df.join(table, on=ua_col, how="left")
 
 
 def classify(df: DataFrame, rules=None, ua_col: str = "ua", *, dedup: bool = False,
              broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Add ``browsername, browserversion, osname, osversion``."""
-    ua = F.col(ua_col)
-    if not dedup:
-        return _classified(df, ua, rules)
-    distinct = df.select(ua).where(ua.isNotNull()).distinct()
-    # computed once, then both counted and joined from the checkpoint
-    answers = materialize(_classified(distinct, ua, rules))
-    if broadcast_fits(answers, broadcast_max_rows):
-        answers = F.broadcast(answers)
-    return df.join(answers, on=ua_col, how="left")
+    """Add ``browsername, browserversion, osname, osversion``.
+    ``rules``: a table, a list, a prepared ``RuleIndex``, or the default rules."""
+    if dedup or isinstance(rules, RuleIndex) or _is_large(rules):
+        distinct = df.select(ua_col).where(F.col(ua_col).isNotNull()).distinct()
+        return _join_answers(df, _answers(distinct, rules, ua_col), ua_col, broadcast_max_rows)
+    return _answers(df, rules, ua_col)
 
 
 # --- a classification cache kept between runs -------------------------------
@@ -215,8 +201,12 @@ def classify(df: DataFrame, rules=None, ua_col: str = "ua", *, dedup: bool = Fal
 def _rules_key(rules) -> str:
     import hashlib
     if _is_large(rules):
-        return _rule_array(rules).select(F.sha1(F.to_json("rules").cast("binary"))).first()[0][:12]
-    text = repr([tuple(r) for r in _rule_list(rules)])
+        # the same for the same rows in any order
+        row = F.xxhash64(*rules.columns)
+        text = repr(tuple(rules.distinct().agg(F.count(F.lit(1)), F.bit_xor(row),
+                                               F.sum(F.pmod(row, F.lit(1 << 31)))).first()))
+    else:
+        text = repr([tuple(r) for r in _rule_list(rules)])
     return hashlib.sha1(text.encode("utf-8")).hexdigest()[:12]
 
 
@@ -237,16 +227,21 @@ def classify_cached(df: DataFrame, cache_path: str, rules=None, ua_col: str = "u
     """``classify`` that first looks agents up in answers stored by
     ``update_cache``: a join on the agent text (broadcast below the bounds,
     by shuffle above), with the rule chain evaluated only for agents not in
-    the cache. Without a cache, or with a large rule table, it is plain
-    per-row ``classify``."""
+    the cache, or the rule index asked for these if the rule table is large.
+    Without a cache it is plain ``classify``."""
     spark = df.sparkSession
     known = _read_cache(spark, cache_location(cache_path, rules))
-    if known is None or _is_large(rules):
+    if known is None:
         return classify(df, rules, ua_col)
     # one answer per agent even if two runs appended the same agent (a
     # duplicate key here would duplicate looked-up rows)
     one = (known.groupBy("ua").agg(F.min(F.struct(*UA_COLUMNS)).alias("_a"))
                 .select("ua", *[F.col(f"_a.{c}").alias(c) for c in UA_COLUMNS]))
+    if _is_large(rules):
+        new = (df.select(F.col(ua_col).alias("ua")).where(F.col("ua").isNotNull()).distinct()
+               .join(known.select("ua"), "ua", "left_anti"))
+        both = one.union(_answers(new, rules).select("ua", *UA_COLUMNS)).withColumnRenamed("ua", ua_col)
+        return _join_answers(df, both, ua_col, broadcast_max_rows)
     k = one.select(F.col("ua").alias("_k_ua"), *[F.col(c).alias(f"_k_{c}") for c in UA_COLUMNS])
     if broadcast_fits(known, broadcast_max_rows):
         k = F.broadcast(k)
@@ -275,8 +270,7 @@ def update_cache(df: DataFrame, cache_path: str, rules=None, ua_col: str = "ua")
     known = _read_cache(spark, location)
     if known is not None:
         distinct = distinct.join(known.select("ua"), "ua", "left_anti")
-    fresh = materialize(_classified(distinct, F.col("ua"), rules).select("ua", *UA_COLUMNS))
-    added = fresh.count()
+    fresh, added, _ = materialize_sized(_answers(distinct, rules).select("ua", *UA_COLUMNS))
     if added:
         fresh.write.mode("append").parquet(location)
     return added

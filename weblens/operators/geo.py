@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 from ..functions.ip import address, ip_to_long, long_to_ip
 from ..functions.parse import is_not_blank
 from ..functions.region import normalize_region
-from ..session import broadcast_fits, materialize
+from ..session import BROADCAST_MAX_BYTES, materialize_sized
 
 # What a lookup answers for an address outside every range.
 NOT_FOUND_COUNTRY = "未知国家"
@@ -68,11 +68,6 @@ def check_disjoint(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
              .select("_bucket", "_begin", "_end", "_prev_end"))
 
 
-def _broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    # exact rows and estimated bytes, taken only on a side already bounded
-    return F.broadcast(df) if broadcast_fits(df, max_rows) else df
-
-
 def effective_ranges(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
     """Rewrite any range table into disjoint ranges with the lookup's exact
     answer: the range with the greatest ``begin <= ip`` answers, and only if
@@ -134,8 +129,8 @@ class RangeTable:
             ranges = effective_ranges(ranges, bits)
         # computed once into the checkpoint folder (bounded: at most 2^16 + N
         # rows); every lookup then reads it instead of redoing the rewrite
-        self.buckets = materialize(bucket_ranges(ranges, bits))
-        self.broadcast = broadcast_fits(self.buckets, broadcast_max_rows)
+        self.buckets, rows, size = materialize_sized(bucket_ranges(ranges, bits))
+        self.broadcast = rows <= broadcast_max_rows and size <= BROADCAST_MAX_BYTES
 
     def side(self) -> DataFrame:
         return F.broadcast(self.buckets) if self.broadcast else self.buckets
@@ -191,9 +186,10 @@ def locate(df: DataFrame, ranges: DataFrame | RangeTable, ip_col: str = "ip_long
         return finish(_range_join(df, ip_col, table))
 
     keys = df.select(ip).where(ip.isNotNull()).distinct()
-    # computed once, then both counted and joined from the checkpoint
-    answers = materialize(finish(_range_join(keys, ip_col, table)))
-    answers = _broadcast_if_small(answers, broadcast_max_rows)
+    # written once, with the size that decides about the broadcast
+    answers, rows, size = materialize_sized(finish(_range_join(keys, ip_col, table)))
+    if rows <= broadcast_max_rows and size <= BROADCAST_MAX_BYTES:
+        answers = F.broadcast(answers)
     return df.join(answers, on=ip_col, how="left")
 
 

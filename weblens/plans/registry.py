@@ -79,7 +79,7 @@ def s6_load_rules(spark, sf_dir):
     # a rule table of our own, larger than the inline limit: one rule a page
     # kind of the log and the agents' first product, written and loaded back
     path = scratch_path(spark, "rules")
-    rows = spark.range(2 * agents.INLINE_RULES).select(
+    rows = spark.range(1000).select(
         (F.col("id") + 100).cast("int").alias("priority"), F.lit("browser").alias("kind"),
         F.concat(F.lit("^curl/"), F.col("id").cast("string"), F.lit(r"\.([0-9.]+)")).alias("pattern"),
         F.concat(F.lit("curl "), F.col("id").cast("string")).alias("name"),
@@ -192,6 +192,22 @@ def p20_classify_user_agent(spark, sf_dir):
     return agents.classify(rec, None, "ua").select("ua", *agents.UA_COLUMNS)
 
 
+def p20_rule_index(spark, sf_dir):
+    """Agents of many shop clients, one rule for each of 10,000 clients before
+    the default rules: answered through the index."""
+    rec = _events(spark, sf_dir).select(F.concat(
+        F.element_at(F.array(*[F.lit(u) for u in d.USER_AGENTS]),
+                     (F.pmod(F.col("user_id"), F.lit(len(d.USER_AGENTS))) + 1).cast("int")),
+        F.lit(" shop/"), F.col("user_id").cast("string"), F.lit("."),
+        F.pmod(F.col("event_id"), F.lit(7)).cast("string")).alias("ua"))
+    clients = spark.range(10_000).select(
+        F.lit(1).alias("priority"), F.lit("browser").alias("kind"),
+        F.concat(F.lit(" shop/"), F.col("id").cast("string"), F.lit(r"\.([0-9]+)$")).alias("pattern"),
+        F.concat(F.lit("shop "), F.col("id").cast("string")).alias("name"), F.lit(1).alias("version_group"))
+    rules = clients.union(agents.default_rules(spark))
+    return agents.classify(rec, rules, "ua").select("ua", *agents.UA_COLUMNS)
+
+
 def p21_encode_orders(spark, sf_dir):
     return orders.encode_orders(_orders(spark, sf_dir))
 

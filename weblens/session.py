@@ -76,26 +76,47 @@ def checkpoint_dir(spark: SparkSession) -> str:
 BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 
 
-def broadcast_fits(df, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
-    """Whether ``df`` is small enough to broadcast, from one aggregate: its
-    row count and an estimate of its bytes (UTF-8 length of the strings
-    plus 8 bytes for every other field and a row header). Only call it on a
-    side whose size is already bounded (a dimension, a distinct set)."""
+def _row_bytes(df):
+    """An estimate of a row's bytes: UTF-8 length of the strings, 8 bytes for
+    every other field, 64 for a nested one, and a row header."""
     from pyspark.sql import functions as F
     from pyspark.sql import types as T
-    parts = []
+    size = F.lit(16)
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+            size = size + F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            size = size + F.lit(16) + F.coalesce(F.octet_length(F.to_json(F.col(f.name))), F.lit(0))
         else:
-            parts.append(F.lit(8))
-    size = F.lit(16)
-    for p in parts:
-        size = size + p
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
+            size = size + F.lit(8)
+    return size
+
+
+def broadcast_fits(df, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """Whether ``df`` is small enough to broadcast, from one aggregate: its
+    row count and an estimate of its bytes. Only call it on a side whose size
+    is already bounded (a dimension, a distinct set)."""
+    from pyspark.sql import functions as F
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
     return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
 
 
+def materialize_sized(df):
+    """(table, rows, bytes): ``df`` written once under the shared checkpoint
+    folder and read back, with its row count and estimated bytes taken by the same
+    job. The folder is removed when the driver's JVM ends."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).write.parquet(path)
+    fs, jpath = _fs(spark, path)
+    fs.deleteOnExit(jpath)
+    got = seen.get
+    return spark.read.schema(df.schema).parquet(path), got["n"], got["b"] or 0
+
+
 def materialize(df):
     """Compute ``df`` once into the shared checkpoint folder and cut its
     lineage (a reliable checkpoint: it survives executor loss, unlike a
