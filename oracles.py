@@ -206,22 +206,24 @@ ranked AS (
 wide AS (SELECT rowkey, {cols}, event_ts FROM ranked WHERE rn = 1)"""
 
 
-def orders_cte(digits: int = 12) -> str:
+def orders_cte(digits: int = 12, far_future: bool = False) -> str:
     """``ord``: parsed order messages (fields as the producer sends them, null
     where the message is broken); ``metric``: with their paid metrics; ``om``:
     those whose time begins with ``digits`` digits."""
     k = "json_extract_string(props, '$.k')"
+    at = ("CASE WHEN event_id % 83 = 0 THEN make_timestamp(2099, month(ts), 1, hour(ts), minute(ts), second(ts)) ELSE ts END"
+          if far_future else "ts")
     return f"""sent AS (
-  SELECT strftime(ts, '%Y%m%d%H%M%S') AS time,
+  SELECT ts, event_id, CAST(event_id AS VARCHAR) AS sent_id, strftime({at}, '%Y%m%d%H%M%S') AS time,
          CAST(user_id AS VARCHAR) AS userid,
          {k} AS courseid,
          CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) AS fee,
          CASE WHEN event_type = 'purchase' THEN '1' ELSE '0' END AS flag,
          CAST(event_id AS VARCHAR) AS orderid,
-         event_id % {d.ORDER_MODULUS} AS kind, strftime(ts, '%Y-%m-%d %H:%M') AS dashed
+         event_id % {d.ORDER_MODULUS} AS kind, strftime({at}, '%Y-%m-%d %H:%M') AS dashed
   FROM events),
 ord AS (
-  SELECT CASE kind WHEN {d.BROKEN_JSON} THEN NULL WHEN {d.DAY_ONLY} THEN substring(time, 1, 8)
+  SELECT ts, event_id, sent_id, kind, CASE kind WHEN {d.BROKEN_JSON} THEN NULL WHEN {d.DAY_ONLY} THEN substring(time, 1, 8)
                    WHEN {d.NO_MINUTE} THEN substring(time, 1, 10)
                    WHEN {d.DASHED_TIME} THEN dashed ELSE time END AS time,
          CASE WHEN kind <> {d.BROKEN_JSON} THEN userid END AS userid,
@@ -371,6 +373,22 @@ SELECT 'order-' || stat_key AS stat_key, 'total' AS field, total AS value FROM t
 UNION ALL SELECT 'order-' || stat_key, 'success', success FROM t
 UNION ALL SELECT 'order-' || stat_key, 'fee', fee FROM t""",
     }
+    q["s4_dead_letters"] = f"""WITH {orders_cte()}
+SELECT CASE WHEN kind = {d.BROKEN_JSON} THEN '{{broken ' || orderid_sent ELSE value END AS value
+FROM (SELECT metric.kind, metric.sent_id AS orderid_sent, '{{' || concat_ws(',', """ + ", ".join(
+        f"""'"{c}":"' || metric.{c} || '"'""" for c in ("time", "userid", "courseid", "fee", "flag", "orderid")) + f""") || '}}' AS value, metric.time
+FROM metric) WHERE time IS NULL OR NOT regexp_matches(time, '^[0-9]{{12}}')"""
+    hours = lambda h, far: f"""WITH {orders_cte(12, far)},
+late AS (SELECT *, ts + to_hours(CAST(event_id % {h} AS INT)) AS arrival FROM om),
+keys AS (
+  SELECT day AS stat_key, total, success, fee_paid, arrival, strptime(day, '%Y%m%d') + INTERVAL 24 HOURS AS over FROM late
+  UNION ALL SELECT day || hour, total, success, fee_paid, arrival, strptime(day || hour, '%Y%m%d%H') + INTERVAL 1 HOUR FROM late)"""
+    q["t6_watermark_day_total"] = hours(24, True) + """
+SELECT stat_key, CAST(sum(total) AS BIGINT) AS total, CAST(sum(success) AS BIGINT) AS success,
+       CAST(sum(fee_paid) AS BIGINT) AS fee FROM keys GROUP BY stat_key"""
+    q["t6_late_orders"] = hours(5, False) + """
+SELECT stat_key, count(*) AS total, CASE WHEN arrival > over + INTERVAL 1 HOUR THEN 'late' ELSE 'counted' END AS outcome
+FROM keys GROUP BY ALL"""
     # the curl rule replaced by one rule a major version (up to 999)
     q["s6_load_rules"] = (
         recs + "SELECT ua, "

@@ -1,7 +1,9 @@
 """Day-replacing sinks are idempotent and leave other days alone."""
 
 import glob
+import os
 
+import pytest
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
@@ -80,3 +82,46 @@ def test_a_recreated_table_is_empty(spark, tmp_path):
     assert tables.ensure_table(spark, "recreated", "k string", path=path, replace=True)
     assert spark.table("recreated").count() == 0
     spark.sql("DROP TABLE recreated")
+
+
+def _rows_of(spark, path):
+    return sorted((r["k"], r["n"], str(r["day"])) for r in spark.read.parquet(path).collect())
+
+
+def test_a_failing_rerun_keeps_the_old_day(spark, tmp_path):
+    stats = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    target = str(tmp_path / "stats")
+    tables.replace_day(stats, target, "20210314")
+    with pytest.raises(Exception, match="wrong row"):
+        tables.replace_day(stats.withColumn("n", F.raise_error(F.lit("wrong row")).cast("int")), target, "20210314")
+    assert _rows_of(spark, target) == [("a", 1, "20210314"), ("b", 2, "20210314")]
+    assert sorted(os.listdir(target)) == ["day=20210314"]  # nothing is left beside it
+
+
+def test_a_plan_may_read_the_day_it_replaces(spark, tmp_path):
+    target = str(tmp_path / "stats")
+    tables.replace_day(spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int"), target, "20210314")
+    more = spark.read.parquet(target).select("k", (F.col("n") + 10).alias("n"))
+    tables.replace_day(more, target, "20210314")
+    assert _rows_of(spark, target) == [("a", 11, "20210314"), ("b", 12, "20210314")]
+
+
+def test_the_old_day_comes_back_if_the_new_one_cannot_take_its_place(spark, tmp_path):
+    from weblens.session import replace_path
+    (tmp_path / "day").mkdir()
+    (tmp_path / "day" / "f").write_text("old")
+    with pytest.raises(OSError):
+        replace_path(spark, str(tmp_path / "missing"), str(tmp_path / "day"))
+    assert (tmp_path / "day" / "f").read_text() == "old"
+
+
+def test_a_recreated_table_clears_its_own_folder_only(spark, tmp_path):
+    old, other = str(tmp_path / "old"), tmp_path / "other"
+    other.mkdir()
+    (other / "keep.txt").write_text("x")
+    tables.ensure_table(spark, "moved", "k string", path=old)
+    spark.sql("INSERT INTO moved VALUES ('old')")
+    assert tables.ensure_table(spark, "moved", "k string", replace=True)
+    assert (other / "keep.txt").exists() and not glob.glob(f"{old}/*.parquet")
+    assert spark.table("moved").count() == 0
+    spark.sql("DROP TABLE moved")

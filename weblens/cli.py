@@ -42,19 +42,21 @@ def cmd_etl(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def cmd_report(spark: SparkSession, a: argparse.Namespace) -> None:
     from weblens.plans.report import run_report
-    run_report(spark, a.table, a.day, a.k, a.stat_out)
+    jdbc = dict(kv.split("=", 1) for kv in a.jdbc)
+    run_report(spark, a.table, a.day, a.k, a.stat_out, jdbc=jdbc or None)
 
 
 def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> None:
     from weblens.streaming import orders as stream
     options = dict(kv.split("=", 1) for kv in a.option)
-    messages = stream.read_messages(spark, a.format, options, path=a.path,
-                                    max_per_trigger=a.max_per_trigger)
+    messages = stream.read_messages(spark, a.format, options, path=a.path, max_per_trigger=a.max_per_trigger,
+                                    with_arrival=bool(a.watermark))
     trigger = ({"availableNow": True} if a.available_now
                else {"processingTime": f"{a.trigger_seconds} seconds"})
     q = stream.start_order_counters(messages, a.counters, a.checkpoint, trigger=trigger,
-                                    watermark=a.watermark, name="order_counters",
-                                    daily=a.daily)
+                                    watermark=a.watermark, name="order_counters", daily=a.daily,
+                                    prefix=a.prefix, prefixes=(a.count_prefix, a.fee_prefix),
+                                    dead_path=a.dead, late_path=a.late)
     if a.available_now:
         q.awaitTermination()  # ends by itself once the backlog is processed
     elif a.timeout:
@@ -65,6 +67,7 @@ def cmd_stream(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def parser() -> argparse.ArgumentParser:
+    from weblens.operators import orders
     p = argparse.ArgumentParser(prog="weblens")
     p.add_argument("--master", default=None, help="only for local runs; spark-submit sets it")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -87,6 +90,8 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("--day", required=True)
     r.add_argument("--k", type=int, default=10)
     r.add_argument("--stat-out", default=None, help="replace the day in this browser-stat table")
+    r.add_argument("--jdbc", action="append", default=[],
+                   help="key=value connection option (url, driver, user, ...): --stat-out is a table there")
 
     s = sub.add_parser("stream", help="paid-order counters from a message stream")
     s.add_argument("--format", required=True, help="kafka, text, json, ...")
@@ -95,7 +100,13 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--counters", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--trigger-seconds", type=int, default=5)
-    s.add_argument("--watermark", default=None)
+    s.add_argument("--watermark", default=None,
+                   help="how long after its hour or day an order may arrive, e.g. '1 hour'; default: any time")
+    s.add_argument("--prefix", default=orders.HASH_PREFIX, help="prefix of the hash counters' keys")
+    s.add_argument("--count-prefix", default=orders.COUNT_PREFIX, help="of the daily counts, with --daily")
+    s.add_argument("--fee-prefix", default=orders.FEE_PREFIX, help="of the daily amounts, with --daily")
+    s.add_argument("--dead", default=None, help="folder of unusable messages; default: COUNTERS_dead")
+    s.add_argument("--late", default=None, help="folder of late orders; default: COUNTERS_late")
     s.add_argument("--daily", action="store_true", help="count days only, not hours")
     s.add_argument("--max-per-trigger", type=int, default=None,
                    help="cap on offsets (Kafka) or files per micro-batch")

@@ -88,18 +88,18 @@ def observe_quality(orders: DataFrame, name: str = "order_quality") -> DataFrame
         F.sum((paid & F.col("fee_long").isNull() & F.col("valid")).cast("long")).alias("bad_fee"))
 
 
-def stat_keys(orders: DataFrame) -> DataFrame:
+def stat_keys(orders: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One row per (order, level): the day key and the day+hour key, so both
     levels come out of a single aggregation (and a single state store)."""
     m = paid_metrics(orders.where(F.col("valid")))
     keys = F.array(F.col("day"), F.concat(F.col("day"), F.col("hour")))
-    return m.select(F.explode(keys).alias("stat_key"), "total", "success", "fee_paid")
+    return m.select(F.explode(keys).alias("stat_key"), "total", "success", "fee_paid", *(keep or []))
 
 
-def day_keys(orders: DataFrame) -> DataFrame:
+def day_keys(orders: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One row per order with a usable day, under the day key alone."""
     m = paid_metrics(orders.where(F.col("valid_day")))
-    return m.select(F.col("day").alias("stat_key"), "total", "success", "fee_paid")
+    return m.select(F.col("day").alias("stat_key"), "total", "success", "fee_paid", *(keep or []))
 
 
 def order_rollup(orders: DataFrame) -> DataFrame:

@@ -327,15 +327,53 @@ def t4_order_rollup(spark, sf_dir):
 
 
 def t5_stream_order_counters(spark, sf_dir):
-    return stream.run_order_counters_from_events(spark, sf_dir)
+    return stream.read_totals(spark, stream.run_order_counters_from_events(spark, sf_dir))
+
+
+def _delayed_messages(hours, far_future):
+    """Order messages with their arrival, ``event_id % hours`` hours after the
+    order; every 83rd carries a time of the year 2099."""
+    def messages(events):
+        ahead = F.pmod(F.col("event_id"), F.lit(83)) == 0
+        sent = events.withColumn("_sent", F.col("ts"))
+        if far_future:
+            sent = sent.withColumn("ts", F.when(ahead, F.make_timestamp_ntz(
+                F.lit(2099), F.month("ts"), F.lit(1), F.hour("ts"), F.minute("ts"), F.second("ts"))
+                .cast(events.schema["ts"].dataType)).otherwise(F.col("ts")))
+        delay = F.pmod(F.col("event_id"), F.lit(hours)).cast("int")
+        arrival = (F.col("_sent").cast("timestamp_ntz") + F.make_interval(hours=delay)).cast("timestamp")
+        return d.order_messages(sent.withColumn("arrival", arrival), ["arrival"])
+    return messages
+
+
+def t6_watermark_day_total(spark, sf_dir):
+    # all arrive within 24 hours, some carry a time far ahead: every order counts
+    path = stream.run_order_counters_from_events(
+        spark, sf_dir, _delayed_messages(24, True), watermark="24 hours")
+    return stream.read_totals(spark, path)
+
+
+def t6_late_orders(spark, sf_dir):
+    # with an hour allowed, some orders miss their hour (not their day); none is lost
+    path = stream.run_order_counters_from_events(
+        spark, sf_dir, _delayed_messages(5, False), watermark="1 hour")
+    late = stream.read_batches(spark, f"{path}_late", "stat_key STRING, value STRING, arrival TIMESTAMP")
+    counted = stream.read_totals(spark, path).select("stat_key", "total", F.lit("counted").alias("outcome"))
+    return counted.union(late.groupBy("stat_key").agg(F.count(F.lit(1)).alias("total"))
+                         .select("stat_key", "total", F.lit("late").alias("outcome")))
+
+
+def s4_dead_letters(spark, sf_dir):
+    path = stream.run_order_counters_from_events(spark, sf_dir)
+    return stream.read_batches(spark, f"{path}_dead", "value STRING, arrival TIMESTAMP").select("value")
 
 
 def k5_daily_counters(spark, sf_dir):
-    return stream.daily_counters(stream.run_order_counters_from_events(spark, sf_dir, daily=True))
+    return stream.read_daily_counters(spark, stream.run_order_counters_from_events(spark, sf_dir, daily=True))
 
 
 def k6_counter_sink(spark, sf_dir):
-    return stream.counter_table(stream.run_order_counters_from_events(spark, sf_dir))
+    return stream.read_hash_counters(spark, stream.run_order_counters_from_events(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

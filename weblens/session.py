@@ -143,6 +143,33 @@ def clear_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder."""
+    fs, jpath = _fs(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(jpath)]
+
+
+def replace_path(spark: SparkSession, new: str, target: str) -> None:
+    """Put the folder ``new`` in the place of ``target``. The old folder is moved
+    aside first and comes back if the new one cannot take its place."""
+    fs, jnew = _fs(spark, new)
+    _, jtarget = _fs(spark, target)
+    _, jold = _fs(spark, f"{new}-old")
+    held = fs.exists(jtarget)
+    if held and not fs.rename(jtarget, jold):
+        raise OSError(f"cannot move {target} aside")
+    try:  # some stores raise, some say false
+        why, moved = None, fs.rename(jnew, jtarget)
+    except Exception as e:  # noqa: BLE001
+        why, moved = e, False
+    if not moved:
+        if held:
+            fs.rename(jold, jtarget)
+        raise OSError(f"cannot move {new} to {target}") from why
+    if held:
+        fs.delete(jold, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark)

@@ -3,23 +3,32 @@
 The original's sinks were a column-family store (put, write-ahead-log-free
 put, sorted bulk load) and a relational table updated in one transaction.
 Their user-visible contract is "replace one day, atomically, idempotently";
-here that is an overwrite of the folder of the ``day`` partition: Spark's
-commit protocol stages task output and publishes it at job commit, so a
+here a day's rows are written whole beside the table first and then take the
+place of the ``day`` folder. A job that fails leaves the old day as it was, a
+plan may read the day that it replaces, a day without rows replaces too, and a
 rerun (or a retried task) replaces rather than duplicates.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.widetable import CELL_SCHEMA, WIDE_COLUMNS, to_cells
-from ..session import clear_path
+from ..session import clear_path, replace_path
 
 
 def _overwrite_day(df: DataFrame, path: str, day: str, fmt: str = "parquet") -> None:
-    """Overwrite the day's own folder, so that no rows replace the day too."""
-    df.drop("day").write.mode("overwrite").format(fmt).save(f"{path}/day={day}")
+    """Replace the day's folder. Readers skip names that begin with ``_``."""
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    try:
+        df.drop("day").write.format(fmt).save(staged)
+    except Exception:
+        clear_path(df.sparkSession, staged)
+        raise
+    replace_path(df.sparkSession, staged, f"{path}/day={day}")
 
 
 def write_day(wide: DataFrame, path: str, day: str, fmt: str = "parquet") -> None:
@@ -59,7 +68,7 @@ def replace_day(stats: DataFrame, target: str, day: str, *, fmt: str = "parquet"
                 jdbc: dict[str, str] | None = None) -> None:
     """Idempotently replace one day of a result table (K4).
 
-    File targets: dynamic overwrite of the ``day`` partition. JDBC targets:
+    File targets: the ``day`` folder is replaced. JDBC targets:
     the rows go (from the executors, in parallel) into a staging table, then
     one transaction on the driver deletes the day and inserts the staging
     rows - only SQL statements pass through the driver, never the data. The
@@ -68,12 +77,13 @@ def replace_day(stats: DataFrame, target: str, day: str, *, fmt: str = "parquet"
     if jdbc is None:
         _overwrite_day(rows.coalesce(1), target, day, fmt)
         return
-    staging = f"{target}_staging"
+    staging = f"{target}_staging_{uuid.uuid4().hex[:8]}"  # two jobs may run at once
     (rows.coalesce(1).write.format("jdbc").mode("overwrite")
          .options(**jdbc).option("dbtable", staging).save())
     _jdbc_transaction(stats.sparkSession, jdbc, [
         (f"DELETE FROM {target} WHERE day = ?", [day]),
         (f"INSERT INTO {target} SELECT * FROM {staging}", []),
+        (f"DROP TABLE {staging}", []),
     ])
 
 
@@ -108,9 +118,10 @@ def ensure_table(spark: SparkSession, name: str, schema: str, *, replace: bool =
     if exists and not replace:
         return False
     if exists:
+        told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
         spark.sql(f"DROP TABLE {name}")
-        if path:  # an external table's files outlive it
-            clear_path(spark, path)
+        if told.get("Type") == "EXTERNAL":  # its files outlive it, wherever they are
+            clear_path(spark, told["Location"])
     part = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
     loc = f" LOCATION '{path}'" if path else ""
     spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet{part}{loc}")

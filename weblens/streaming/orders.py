@@ -4,13 +4,18 @@ The original ran 5-second micro-batches over a message queue and added each
 batch's per-day / per-hour deltas to external counters with increments - a
 retried task or replayed batch double-counted, and nothing was checkpointed.
 
-Here one Structured Streaming query keeps the running totals in Spark's
-state store (checkpointed), emits only the keys a batch changed
-(``update`` mode) and upserts their **absolute** totals: each micro-batch is
-written to its own ``batch=<id>`` folder with overwrite, so replaying a batch
-after a failure rewrites the same files, and readers take, per key, the row
-of the highest batch id. No watermark by default: an order a month late
-still lands on its own day (state holds one row per day and per day-hour).
+Here each micro-batch is reduced to its deltas and added to a written counter
+table (``sinks.counters``), which a replayed batch leaves unchanged. The totals
+live in that table, as in the original they lived outside the job, so the
+stream keeps no state that a watermark would have to bound, and an order
+of any age lands on its own day.
+
+A micro-batch has two more outputs, each one folder a batch that a replay
+rewrites: messages that cannot be counted (``dead``), and, with ``watermark``, orders
+that came too late (``late``). Lateness is judged for every order and level by
+its own arrival: late is what arrives more than the watermark after the end
+of its hour (or day). No other order's time matters, so one with a time
+in the future makes no other late.
 """
 
 from __future__ import annotations
@@ -20,15 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import orders as o
-from ..session import path_exists, scratch_path
+from ..session import scratch_path
+from ..sinks.counters import add_counters, read_counters
 from ..sources import derived as d
 
-COUNTER_SCHEMA = "stat_key STRING, total LONG, success LONG, fee LONG, batch LONG"
-
-
 def read_messages(spark: SparkSession, fmt: str, options: dict[str, str] | None = None,
-                  path: str | None = None, schema=None,
-                  max_per_trigger: int | None = None) -> DataFrame:
+                  path: str | None = None, schema=None, max_per_trigger: int | None = None,
+                  with_arrival: bool = False) -> DataFrame:
     """An unbounded DataFrame with the message text in ``value``.
 
     ``kafka``: ``subscribe``/``kafka.bootstrap.servers`` come in ``options``;
@@ -36,7 +39,8 @@ def read_messages(spark: SparkSession, fmt: str, options: dict[str, str] | None
     File formats read ``path``. ``max_per_trigger`` bounds one micro-batch
     (offsets for Kafka, files otherwise) so a restart after downtime works
     through the backlog in steps instead of one huge batch; nothing is
-    dropped."""
+    dropped. ``with_arrival`` adds when a message arrived (the queue's own
+    time stamp, or the file's)."""
     opts = dict(options or {})
     reader = spark.readStream.format(fmt)
     if max_per_trigger:
@@ -44,151 +48,116 @@ def read_messages(spark: SparkSession, fmt: str, options: dict[str, str] | None
         opts.setdefault(key, str(max_per_trigger))
     if fmt == "kafka":
         opts.setdefault("startingOffsets", "latest")
-        return reader.options(**opts).load().select(F.col("value").cast("string").alias("value"))
+        cols = [F.col("timestamp").alias("arrival")] if with_arrival else []
+        return reader.options(**opts).load().select(F.col("value").cast("string").alias("value"), *cols)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.options(**opts).load(path)
+    rows = reader.options(**opts).load(path)
+    return rows.withColumn("arrival", F.col("_metadata.file_modification_time")) if with_arrival else rows
 
 
-def running_totals(messages: DataFrame, watermark: str | None = None,
-                   daily: bool = False) -> DataFrame:
-    """Messages -> running ``total, success, fee`` per day and day+hour key
-    (T4 on a stream). One stateful aggregation serves both levels. With
-    ``daily`` only day keys, for every order whose day is known (T3)."""
+def running_totals(messages: DataFrame, daily: bool = False) -> DataFrame:
+    """Messages -> ``total, success, fee`` per day and day+hour key (T4), on a
+    stream as one stateful aggregation. With ``daily`` only day keys, for
+    every order whose day is known (T3)."""
     parsed = o.observe_quality(o.parse_orders(messages))
     keyed = o.day_keys(parsed) if daily else o.stat_keys(parsed)
-    if watermark:
-        # optional bound on state. A day key stands for its midnight, so the
-        # delay is one day longer than asked for: no message that is at most
-        # ``watermark`` late loses its day. Keys that are no time are dropped.
-        ts = F.try_to_timestamp(F.rpad(F.col("stat_key"), 10, "0"), F.lit("yyyyMMddHH"))
-        keyed = (keyed.withColumn("_event_ts", ts).where("_event_ts is not null")
-                 .withWatermark("_event_ts", f"1 day {watermark}"))
-        group = [F.col("stat_key"), F.col("_event_ts")]
-    else:
-        group = [F.col("stat_key")]
-    agg = keyed.groupBy(*group).agg(F.sum("total").alias("total"),
-                                    F.sum("success").alias("success"),
-                                    F.sum("fee_paid").alias("fee"))
-    return agg.drop("_event_ts") if watermark else agg
-
-
-def _upsert_batch(path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # the changed keys of one batch are a few rows per day: one writer,
-        # reached by a small shuffle so the stateful stage stays parallel
-        # (coalesce would fold the state partitions into a single task)
-        (batch.select("stat_key", "total", "success", "fee")
-              .repartition(1)
-              .write.mode("overwrite").parquet(f"{path}/batch={batch_id}"))
-    return write
+    return keyed.groupBy("stat_key").agg(F.sum("total").alias("total"), F.sum("success").alias("success"),
+                                         F.sum("fee_paid").alias("fee"))
 
 
-# The state holds one row per day and per day-hour (about 25 per day), so a
-# few state partitions suffice at any input size: the input is reduced by
-# the partial aggregate on every input partition before this shuffle.
-STATE_PARTITIONS = 4
+def _period_end():
+    """The end of the period that a ``stat_key`` (day, or day and hour) stands for."""
+    hourly = F.length("stat_key") == 10
+    start = F.try_to_timestamp(F.rpad("stat_key", 10, "0"), F.lit("yyyyMMddHH"))
+    return start + F.when(hourly, F.expr("INTERVAL 1 HOUR")).otherwise(F.expr("INTERVAL 24 HOURS"))
 
 
-def start_order_counters(messages: DataFrame, counter_path: str, checkpoint: str, *,
-                         trigger: dict | None = None, watermark: str | None = None,
-                         name: str | None = None, daily: bool = False,
-                         state_partitions: int | None = STATE_PARTITIONS) -> StreamingQuery:
-    """Start the counter query (T1, T2, T5, K6). ``trigger`` defaults to
-    5-second micro-batches; tests pass ``{"availableNow": True}``.
-
-    ``state_partitions`` fixes the number of state-store partitions on the
-    first start (a restart keeps what the checkpoint recorded)."""
-    spark = messages.sparkSession
-    if state_partitions:
-        key = "spark.sql.shuffle.partitions"
-        previous = spark.conf.get(key)
-        spark.conf.set(key, str(state_partitions))
+def _deltas(keyed: DataFrame, daily: bool, prefixes: tuple[str, str], prefix: str) -> DataFrame:
+    """Counter rows of the keyed orders: named counters by day (K5), or the
+    fields of a key's hash (K6)."""
+    sums = (keyed.groupBy("stat_key").agg(F.sum("total").alias("total"), F.sum("success").alias("success"),
+                                          F.sum("fee_paid").alias("fee")))
+    day = F.substring("stat_key", 1, 8).alias("day")
+    if daily:
+        pairs = F.array(F.struct(F.lit(prefixes[0]).alias("p"), F.col("success").alias("value")),
+                        F.struct(F.lit(prefixes[1]).alias("p"), F.col("fee").alias("value")))
+        return sums.select("stat_key", day, F.explode(pairs).alias("c")).select(
+            F.concat("c.p", "stat_key").alias("stat_key"), F.lit("").alias("field"), "c.value", "day")
+    return (sums.select("*", day).unpivot(["stat_key", "day"], o.COUNTER_FIELDS, "field", "value")
+            .select(F.concat(F.lit(prefix), "stat_key").alias("stat_key"), "field", "value", "day"))
+
+
+def _rewrite(rows: DataFrame, path: str, batch_id: int) -> None:
+    """The batch's own folder, only if it has rows; the same after a replay."""
+    if rows.limit(1).count():
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def count_batch(counter_path: str, *, daily: bool = False, watermark: str | None = None,
+                prefix: str = o.HASH_PREFIX, prefixes: tuple[str, str] = (o.COUNT_PREFIX, o.FEE_PREFIX),
+                dead_path: str | None = None, late_path: str | None = None):
+    """The ``foreachBatch`` function: parsed orders (with ``value`` and ``arrival``)
+    -> counters, dead letters, late orders."""
+    usable = F.col("valid_day") if daily else F.col("valid")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.persist()  # three outputs of one read, as the original cached it
         try:
-            return start_order_counters(messages, counter_path, checkpoint, trigger=trigger,
-                                        watermark=watermark, name=name, daily=daily,
-                                        state_partitions=None)
+            keep = ["value", "arrival"]
+            keyed = o.day_keys(rows, keep) if daily else o.stat_keys(rows, keep)
+            if watermark:
+                late = F.coalesce(F.col("arrival") > _period_end() + F.expr(f"INTERVAL {watermark}"), F.lit(False))
+                _rewrite(keyed.where(late).select("stat_key", *keep), late_path or f"{counter_path}_late", batch_id)
+                keyed = keyed.where(~late)
+            _rewrite(rows.where(~usable).select(*keep), dead_path or f"{counter_path}_dead", batch_id)
+            add_counters(_deltas(keyed, daily, prefixes, prefix), counter_path, batch_id)
         finally:
-            spark.conf.set(key, previous)
-    writer = (running_totals(messages, watermark, daily).writeStream
-              .outputMode("update")
+            rows.unpersist()
+    return write
+
+
+def start_order_counters(messages: DataFrame, counter_path: str, checkpoint: str, *,
+                         trigger: dict | None = None, name: str | None = None, **counting) -> StreamingQuery:
+    """Start the counter query (T1, T2, T5, K5, K6). ``trigger`` defaults to
+    5-second micro-batches; tests pass ``{"availableNow": True}``. The other
+    arguments are those of ``count_batch``; ``watermark`` is an interval such as
+    ``1 hour``, measured by the messages' ``arrival`` (or, without that column, the
+    time of processing)."""
+    arrival = F.col("arrival") if "arrival" in messages.columns else F.current_timestamp()
+    parsed = o.parse_orders(messages.select("value", arrival.alias("arrival")), keep=["value", "arrival"])
+    writer = (o.observe_quality(parsed).writeStream
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(_upsert_batch(counter_path))
+              .foreachBatch(count_batch(counter_path, **counting))
               .trigger(**(trigger or {"processingTime": "5 seconds"})))
     if name:
         writer = writer.queryName(name)
     return writer.start()
 
 
-def _latest(raw: DataFrame) -> DataFrame:
-    best = F.max_by(F.struct("total", "success", "fee", "batch"), F.col("batch"))
-    return (raw.groupBy("stat_key").agg(best.alias("_t"))
-               .select("stat_key", "_t.total", "_t.success", "_t.fee", "_t.batch"))
-
-
-def _snapshot(spark: SparkSession, snapshot_path: str | None) -> DataFrame | None:
-    """The newest compacted snapshot version, if any."""
-    if not snapshot_path or not path_exists(spark, snapshot_path):
-        return None
-    # a snapshot that is there but unreadable must fail, not count as none
-    snaps = spark.read.schema(COUNTER_SCHEMA + ", v LONG").parquet(snapshot_path)
-    newest = snaps.agg(F.max("v")).first()[0]
-    if newest is None:
-        return None
-    return snaps.where(F.col("v") == newest).drop("v")
-
-
-def read_totals(spark: SparkSession, counter_path: str,
-                snapshot_path: str | None = None) -> DataFrame:
-    """Latest absolute totals per key: the row of the highest batch id.
-
-    With ``snapshot_path`` the newest compacted snapshot is read together
-    with the batch folders (those it already covers lose to it or tie), so
-    the result is the same before and after compaction."""
-    raw = spark.read.schema(COUNTER_SCHEMA).parquet(counter_path)
-    snap = _snapshot(spark, snapshot_path)
-    if snap is not None:
-        # only batches newer than the snapshot can change a total
-        covered = snap.agg(F.max("batch")).first()[0]
-        raw = snap.unionByName(raw.where(F.col("batch") > F.lit(covered)))
-    return _latest(raw).drop("batch")
-
-
-def compact(spark: SparkSession, counter_path: str, snapshot_path: str) -> int:
-    """Fold the batch folders (and the previous snapshot) into a new snapshot
-    version ``v=<last batch>`` beside them. Nothing that is read is
-    overwritten, so it is safe to run while the stream writes new batches;
-    batch folders up to the snapshot's batch can then be removed. Returns the
-    last batch id covered."""
-    raw = spark.read.schema(COUNTER_SCHEMA).parquet(counter_path)
-    last = raw.agg(F.max("batch")).first()[0]
-    if last is None:
-        return -1
-    snap = _snapshot(spark, snapshot_path)
-    src = raw.where(F.col("batch") <= F.lit(last))
-    if snap is not None:
-        src = snap.unionByName(src)
-    (_latest(src).withColumn("v", F.lit(last).cast("long"))
-        .write.mode("overwrite").parquet(f"{snapshot_path}/v={last}"))
-    return int(last)
-
-
-def counter_table(totals: DataFrame) -> DataFrame:
-    """Totals -> hash-style counters ``stat_key, field, value`` (K6)."""
-    return o.counters(totals)
-
-
-def daily_counters(totals: DataFrame) -> DataFrame:
-    """Totals -> the per-day string counters of the first version (K5):
-    paid count and paid amount per day. Totals of a ``daily`` stream also
-    hold the orders whose time has a day but no minute."""
-    day = totals.where(F.length("stat_key") == 8)
-    return day.select(
-        F.explode(F.array(
-            F.struct(F.concat(F.lit(o.COUNT_PREFIX), "stat_key").alias("stat_key"),
-                     F.col("success").alias("value")),
-            F.struct(F.concat(F.lit(o.FEE_PREFIX), "stat_key").alias("stat_key"),
-                     F.col("fee").alias("value")))).alias("c")).select("c.*")
+def read_totals(spark: SparkSession, counter_path: str, prefix: str = o.HASH_PREFIX) -> DataFrame:
+    """``stat_key, total, success, fee`` from the written hash counters (K6)."""
+    fields = [F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in o.COUNTER_FIELDS]
+    return (read_counters(spark, counter_path).groupBy("stat_key").agg(*fields)
+            .withColumn("stat_key", F.expr(f"substring(stat_key, {len(prefix) + 1})")))
+
+
+def read_hash_counters(spark: SparkSession, counter_path: str) -> DataFrame:
+    """The written hash counters ``stat_key, field, value`` (K6)."""
+    return read_counters(spark, counter_path).drop("day")
+
+
+def read_daily_counters(spark: SparkSession, counter_path: str) -> DataFrame:
+    """The written named counters ``stat_key, value`` (K5)."""
+    return read_counters(spark, counter_path).select("stat_key", "value")
+
+
+def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows of the dead letters or late orders of all batches, if there are any."""
+    from ..session import path_exists
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_counter(counters: DataFrame, key) -> DataFrame:
@@ -200,24 +169,24 @@ def read_counter(counters: DataFrame, key) -> DataFrame:
     return counters.where(key)
 
 
-def event_order_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """Order messages streamed from the ``events`` parquet table (test source)."""
+def event_order_stream(spark: SparkSession, sf_dir: str, max_files: int = 1, messages=None) -> DataFrame:
+    """Order messages streamed from the ``events`` parquet table (test source);
+    ``messages`` makes them from the events (default ``derived.order_messages``)."""
     schema = d.read_table(spark, sf_dir, "events").schema
     events = read_messages(spark, "parquet", {"pathGlobFilter": "events.parquet",
                                               "maxFilesPerTrigger": str(max_files)},
                            path=sf_dir, schema=schema)
-    return d.order_messages(events)
+    return (messages or d.order_messages)(events)
 
 
-def run_order_counters_from_events(spark: SparkSession, sf_dir: str,
-                                   daily: bool = False) -> DataFrame:
+def run_order_counters_from_events(spark: SparkSession, sf_dir: str, messages=None, **counting) -> str:
     """Run the counter stream to completion over the events table and return
-    the totals it left in the sink."""
+    the path of the counters that it wrote."""
     counter_path = scratch_path(spark, "order-counters")
-    q = start_order_counters(event_order_stream(spark, sf_dir), counter_path,
+    q = start_order_counters(event_order_stream(spark, sf_dir, messages=messages), counter_path,
                              scratch_path(spark, "order-counters-ckpt"),
-                             trigger={"availableNow": True}, daily=daily)
+                             trigger={"availableNow": True}, **counting)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return read_totals(spark, counter_path)
+    return counter_path
