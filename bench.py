@@ -97,7 +97,6 @@ def main():
                                               ["country", "province", "browsername"]))
         rep["top_regions"].collect()
         rep["browsers"].collect()
-        analytics.release(rep)
 
     def b5_upsert_day_overwrite():
         wide = etl.wide_rows(read_access_log(spark, dup_log_path), ranges, DAY, tz="UTC")

@@ -166,6 +166,12 @@ def crc32_sql(text: str) -> str:
             f"4294967295::BIGINT), 4294967295)")
 
 
+def visit_sql() -> str:
+    """The 128-bit identity of a visit."""
+    parts = ", ".join(f"coalesce(octet_length(encode({c})) || ':' || {c}, '-')" for c in ("referer", "url", "ip", "ua"))
+    return f"md5(concat_ws(',', {parts}))"
+
+
 def geo_cte(src: str = "good", name: str = "geo") -> str:
     """``name``: rows of ``src`` with located country/area and region fields."""
     r = located_region_sql()
@@ -191,19 +197,19 @@ def wide_cte(day: str, dedup: bool = True) -> str:
 {geo_cte()},
 enriched AS (
   SELECT geo.*, {", ".join(f"{v} AS {k}" for k, v in u.items())},
-         '{day}_' || CAST({key} AS VARCHAR) AS rowkey
+         '{day}_' || CAST({key} AS VARCHAR) AS rowkey, {visit_sql()} AS visit
   FROM geo, crc)"""
     if not dedup:
-        return base + f",\nwide AS (SELECT rowkey, {cols}, event_ts FROM enriched)"
+        return base + f",\nwide AS (SELECT rowkey, visit, {cols}, event_ts FROM enriched)"
     order = ("event_ts DESC, status DESC, bytessent DESC, method DESC, protocal DESC, "
              + ", ".join(f"{c} DESC" for c in WIDE_COLUMNS
                          if c not in ("status", "bytessent", "method", "protocal")))
     return base + f""",
 ranked AS (
-  SELECT rowkey, {cols}, event_ts,
+  SELECT rowkey, visit, {cols}, event_ts,
          row_number() OVER (PARTITION BY referer, url, ip, ua ORDER BY {order}) AS rn
   FROM enriched),
-wide AS (SELECT rowkey, {cols}, event_ts FROM ranked WHERE rn = 1)"""
+wide AS (SELECT rowkey, visit, {cols}, event_ts FROM ranked WHERE rn = 1)"""
 
 
 def orders_cte(digits: int = 12, far_future: bool = False) -> str:
@@ -264,7 +270,7 @@ def oracle_queries(day: str = "20240101") -> dict[str, str]:
     recs = f"WITH {ev}\n"
     u = ua_sql("ua")
     r = located_region_sql()
-    cells = ("SELECT rowkey, 'o' AS family, q.qualifier, q.value, CAST(0 AS BIGINT) AS version "
+    cells = ("SELECT rowkey, visit, 'o' AS family, q.qualifier, q.value, CAST(0 AS BIGINT) AS version "
              "FROM wide, (SELECT unnest(["
              + ", ".join(f"'{c}'" for c in WIDE_COLUMNS) + "]) AS qualifier) AS qn, "
              "LATERAL (SELECT qn.qualifier AS qualifier, CASE qn.qualifier "
@@ -289,8 +295,9 @@ FROM ev s LEFT JOIN rg r ON s.ip_long BETWEEN r.begin_ip AND r.end_ip"""
         "s3_widetable_scan": _wide_select(day, "SELECT country, province, browsername FROM wide"),
         "s5_load_ranges": f"WITH {ranges_cte()} SELECT begin_ip, end_ip, country, area FROM rg",
         "s7_get_by_rowkey": _wide_select(
-            day, f"SELECT w.rowkey, {', '.join('w.' + c for c in WIDE_COLUMNS)}, "
-                 f"'{day}' AS day FROM wide w WHERE w.rowkey IN (SELECT rowkey FROM enriched WHERE url LIKE '/purchase/%')"),
+            day, f"SELECT w.rowkey, w.visit, {', '.join('w.' + c for c in WIDE_COLUMNS)}, "
+                 f"'{day}' AS day FROM wide w WHERE w.rowkey IN (SELECT rowkey FROM enriched WHERE url LIKE '/purchase/%')"
+                 " AND url LIKE '/purchase/%'"),
         "s8_cell_scan": _wide_select(day, cells),
         "s9_read_counter": f"""WITH t AS ({rollup_sql()}),
 c AS (
@@ -348,10 +355,10 @@ UNION ALL SELECT 'city', city FROM raw""",
                                             "GROUP BY country, province "
                                             "ORDER BY cnt DESC, country ASC NULLS FIRST, province ASC NULLS FIRST LIMIT 10"),
         "a2_browser_counts": _wide_select(day, "SELECT browsername, count(*) AS cnt FROM wide GROUP BY browsername"),
-        "a5_upsert_latest": _wide_select(day, f"SELECT rowkey, {wide_cols} FROM wide"),
-        "r3_cells_to_rows": _wide_select(day, f"SELECT rowkey, {wide_cols} FROM wide"),
+        "a5_upsert_latest": _wide_select(day, f"SELECT rowkey, visit, {wide_cols} FROM wide"),
+        "r3_cells_to_rows": _wide_select(day, f"SELECT rowkey, visit, {wide_cols} FROM wide"),
         "r4_sorted_cells": _wide_select(day, cells),
-        "k1_write_day": _wide_select(day, f"SELECT rowkey, {wide_cols}, '{day}' AS day FROM wide"),
+        "k1_write_day": _wide_select(day, f"SELECT rowkey, visit, {wide_cols}, '{day}' AS day FROM wide"),
         "k3_bulk_write_cells": _wide_select(day, cells),
         "k4_replace_day": _wide_select(day, "SELECT browsername AS browser, count(*) AS cnt, "
                                             f"'{day}' AS day FROM wide GROUP BY browsername"),
@@ -389,6 +396,20 @@ SELECT stat_key, CAST(sum(total) AS BIGINT) AS total, CAST(sum(success) AS BIGIN
     q["t6_late_orders"] = hours(5, False) + """
 SELECT stat_key, count(*) AS total, CASE WHEN arrival > over + INTERVAL 1 HOUR THEN 'late' ELSE 'counted' END AS outcome
 FROM keys GROUP BY ALL"""
+    q["p1_one_pass"] = _wide_select(
+        day, "SELECT (SELECT count(*) FROM wide) AS stored, (SELECT count(*) FROM lg) AS lines, "
+             "(SELECT count(*) FROM good) AS good, (SELECT count(*) FROM lg) - (SELECT count(*) FROM good) AS rejected")
+    q["k2_cluster_day"] = q["k1_write_day"]
+    q["s7_point_read"] = _wide_select(
+        day, f"SELECT rowkey, visit, {wide_cols}, '{day}' AS day FROM wide "
+             "WHERE rowkey IN (SELECT rowkey FROM wide WHERE ip = (SELECT min(ip) FROM good))")
+    q["k3_raw_cells"] = f"WITH {wide_cte(day, False)}\n" + (
+        "SELECT rowkey, visit, 'o' AS family, 'status' AS qualifier, status AS value, "
+        "CAST(epoch(event_ts) AS BIGINT) AS version FROM wide "
+        "UNION ALL SELECT rowkey, visit, 'o', 'bytessent', bytessent, CAST(epoch(event_ts) AS BIGINT) FROM wide")
+    q["r8_report"] = _wide_select(day, "(SELECT country, province, NULL AS browsername, count(*) AS cnt FROM wide "
+        "GROUP BY country, province ORDER BY cnt DESC, country ASC NULLS FIRST, province ASC NULLS FIRST LIMIT 10) "
+        "UNION ALL SELECT NULL, NULL, browsername, count(*) FROM wide GROUP BY browsername")
     # the curl rule replaced by one rule a major version (up to 999)
     q["s6_load_rules"] = (
         recs + "SELECT ua, "

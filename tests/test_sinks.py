@@ -11,6 +11,7 @@ from weblens.operators import analytics
 from weblens.operators import widetable as wt
 from weblens.sinks import tables
 
+from conftest import rows
 from test_widetable import _wide
 
 
@@ -125,3 +126,66 @@ def test_a_recreated_table_clears_its_own_folder_only(spark, tmp_path):
     assert (other / "keep.txt").exists() and not glob.glob(f"{old}/*.parquet")
     assert spark.table("moved").count() == 0
     spark.sql("DROP TABLE moved")
+
+
+def test_a_point_read_opens_one_file(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    wide = _wide(spark)
+    tables.write_day(wide, path, "20240101", clustered=True, files=6)
+    files = glob.glob(f"{path}/day=20240101/*.parquet")
+    assert len(files) == 6
+    spans = sorted((min(k), max(k)) for k in (pq.read_table(f, columns=["rowkey"])["rowkey"].to_pylist() for f in files))
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    for f in files:
+        keys = pq.read_table(f, columns=["rowkey", "visit"]).to_pylist()
+        assert keys == sorted(keys, key=lambda r: (r["rowkey"], r["visit"]))
+    key = wide.agg(F.max("rowkey")).first()[0]
+    got = tables.get_rows(spark, path, key)
+    assert len(got.inputFiles()) == 1
+    assert got.select("rowkey").collect() == [(key,)]
+    assert tables.get_rows(spark, path, ["20240101_x", "20990101_5", "no key"]).count() == 0
+    assert len(tables.get_rows(spark, path, [key, spans[0][0]]).inputFiles()) == 2
+    # readers of the whole table do not see the key ranges
+    assert rows(spark.read.schema(wt.WIDE_SCHEMA).parquet(path).drop("day")) == rows(wide.drop("day", "event_ts"))
+
+
+def test_point_reads_without_clustering_and_an_empty_day(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    wide = _wide(spark)
+    tables.write_day(wide, path, "20240101")
+    key = wide.first()["rowkey"]
+    assert tables.get_rows(spark, path, key).count() == 1
+    tables.cluster_day(spark, path, "20240101", files=3)
+    assert tables.get_rows(spark, path, key).count() == 1
+    tables.write_day(wide.limit(0), path, "20240101", clustered=True)
+    assert tables.get_rows(spark, path, key).count() == 0
+
+
+def test_a_row_with_a_third_of_all_cells_spreads_over_tasks(spark, tmp_path):
+    path = str(tmp_path / "cells")
+    hot = spark.range(4000).select(F.lit("20240101_7").alias("rowkey"), F.lit("v").alias("visit"), F.lit("o").alias("family"),
+                                   F.lit("status").alias("qualifier"), F.lit("200").alias("value"), F.col("id").alias("version"))
+    rest = spark.range(8000).select(F.concat(F.lit("20240101_"), F.col("id").cast("string")).alias("rowkey"), F.lit("w").alias("visit"),
+                                    F.lit("o").alias("family"), F.lit("url").alias("qualifier"), F.lit("/").alias("value"),
+                                    F.lit(0).cast("long").alias("version"))
+    tables.bulk_write_cells(hot.union(rest), path, "20240101", partitions=12)
+    spans, holding = [], 0
+    for f in glob.glob(f"{path}/day=20240101/*.parquet"):
+        t = pq.read_table(f).to_pylist()
+        order = [tuple(r[c] for c in ("rowkey", "visit", "family", "qualifier", "version", "value")) for r in t]
+        assert order == sorted(order)
+        spans += [(order[0], order[-1])] if order else []
+        holding += any(r["rowkey"] == "20240101_7" for r in t)
+        assert len(t) < 2500
+    spans.sort()
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and holding >= 3
+
+
+def test_report_reads_its_input_once(spark):
+    rep = analytics.report(_wide(spark))
+    wide = _wide(spark)
+    assert rows(rep["top_regions"]) == rows(analytics.top_regions(wide))
+    assert rows(rep["browsers"]) == rows(analytics.browser_counts(wide))
+    for df in rep.values():  # what is left to do reads the written aggregate only
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" not in plan and "event_id" not in plan

@@ -129,3 +129,14 @@ def rowkey(day, referer="referer", url="url", ip="ip", ua="ua") -> Column:
     info = F.concat_ws("", *[F.coalesce(_col(c), F.lit("")) for c in (referer, url, ip, ua)])
     day_col = F.lit(day) if isinstance(day, str) else day
     return F.concat(day_col, F.lit("_"), F.crc32(info.cast("binary")).cast("string"))
+
+
+def visit_key(referer="referer", url="url", ip="ip", ua="ua") -> Column:
+    """The 128-bit identity of a visit as hex text: the MD5 of its four texts with
+    their lengths (``-`` for null). The row key's 32-bit checksum is equal for
+    some different visits; this key is kept beside it."""
+    parts = []
+    for c in (referer, url, ip, ua):
+        text = _col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.md5(F.concat_ws(",", *parts).cast("binary"))

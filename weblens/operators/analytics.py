@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize_sized
+
 
 def top_regions(wide: DataFrame, k: int = 10) -> DataFrame:
     """Visits per (country, province), the ``k`` largest."""
@@ -35,19 +37,28 @@ def browser_counts_sql(spark: SparkSession, wide: DataFrame, view: str = "tmp")
 
 
 def report(wide: DataFrame, k: int = 10) -> dict[str, DataFrame]:
-    """Both statistics from one persisted three-column projection.
-
-    The caller materialises the outputs, then calls ``release(report)``."""
-    base = wide.select("country", "province", "browsername").persist()
-    return {"top_regions": top_regions(base, k), "browsers": browser_counts(base),
-            "_base": base}
+    """Both statistics and the rows of the browser table from one scan (R8): one
+    aggregate over two grouping sets, written once (its size is that of the
+    results), instead of the same input twice."""
+    grouped = wide.groupingSets([["country", "province"], ["browsername"]],
+                                "country", "province", "browsername").agg(
+        F.count(F.lit(1)).alias("cnt"), F.grouping("browsername").alias("of_region"))
+    base, _, _ = materialize_sized(grouped)
+    regions = (base.where("of_region = 1").select("country", "province", "cnt")
+               .orderBy(F.desc("cnt"), F.asc_nulls_first("country"), F.asc_nulls_first("province")).limit(k))
+    browsers = (base.where("of_region = 0").select("browsername", "cnt")
+                .orderBy(F.desc("cnt"), F.asc_nulls_first("browsername")))
+    none = F.lit(None).cast("string")
+    both = regions.select("country", "province", none.alias("browsername"), "cnt").unionByName(
+        browsers.select(none.alias("country"), none.alias("province"), "browsername", "cnt"))
+    return {"top_regions": regions, "browsers": browsers, "both": both}
 
 
-def release(rep: dict[str, DataFrame]) -> None:
-    rep["_base"].unpersist()
+def stat_rows(browsers: DataFrame, day: str) -> DataFrame:
+    """Browser counts as rows of the relational statistic ``day, browser, cnt`` (K4)."""
+    return browsers.select(F.lit(day).alias("day"), F.col("browsername").alias("browser"), "cnt")
 
 
 def browser_stat_rows(wide: DataFrame, day: str) -> DataFrame:
     """Rows of the relational browser statistic ``day, browser, cnt`` (K4)."""
-    return (wide.groupBy("browsername").agg(F.count(F.lit(1)).alias("cnt"))
-                .select(F.lit(day).alias("day"), F.col("browsername").alias("browser"), "cnt"))
+    return stat_rows(browser_counts(wide), day)

@@ -4,7 +4,8 @@ The original stored each log record as one row of a column-family store:
 row key ``day_crc32(...)``, family ``o`` and 15 qualifiers; a later put with
 the same key overwrote the earlier one. Here the wide form is a Parquet
 table partitioned by ``day`` and the cell form a long table
-``rowkey, family, qualifier, value, version``.
+``rowkey, visit, family, qualifier, value, version``. ``visit`` is the visit's
+128-bit identity: two visits with one row key stay two rows in either form.
 
 Operators: fill_unknown (P7), upsert_latest (A5), to_cells (R2/S8),
 from_cells (R3), sorted_cells (R4), scan (S3), get (S7), put_cells (K9).
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parse import event_time, minute_of, rowkey
+from ..functions.parse import event_time, minute_of, rowkey, visit_key
 
 FAMILY = "o"
 UNKNOWN = "unknown"
@@ -26,10 +27,13 @@ VISIT_KEY = ["referer", "url", "ip", "ua"]
 WIDE_COLUMNS = ["ip", "country", "province", "city", "formattime", "method", "url",
                 "protocal", "status", "bytessent", "referer", "browsername",
                 "browserversion", "osname", "osversion"]
+# What names a row: the row key of the layout, and the visit's full identity.
+ROW_IDS = ["rowkey", "visit"]
 WIDE_SCHEMA = T.StructType(
-    [T.StructField("rowkey", T.StringType())]
+    [T.StructField(c, T.StringType()) for c in ROW_IDS]
     + [T.StructField(c, T.StringType()) for c in WIDE_COLUMNS]
     + [T.StructField("day", T.StringType())])
+# A cell as the original's; stored cells also hold the visit.
 CELL_SCHEMA = T.StructType([
     T.StructField("rowkey", T.StringType()),
     T.StructField("family", T.StringType()),
@@ -37,6 +41,7 @@ CELL_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
     T.StructField("version", T.LongType()),
 ])
+STORED_CELLS = T.StructType([CELL_SCHEMA[0], T.StructField("visit", T.StringType()), *CELL_SCHEMA[1:]])
 
 
 def fill_unknown(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -57,8 +62,9 @@ def to_wide(enriched: DataFrame, day: str, tz: str | None = None) -> DataFrame:
     with_time = parsed.withColumns({
         "formattime": minute_of("event_ts", tz),
         "rowkey": rowkey(day),
+        "visit": visit_key(),
     })
-    return fill_unknown(with_time).select("rowkey", *WIDE_COLUMNS, "event_ts",
+    return fill_unknown(with_time).select(*ROW_IDS, *WIDE_COLUMNS, "event_ts",
                                           F.lit(day).alias("day"))
 
 
@@ -92,35 +98,41 @@ def upsert_latest(wide: DataFrame, key: str | list[str] = "rowkey",
     return wide.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
 
 
+def row_ids(df: DataFrame) -> list[str]:
+    """The columns that name a row: ``rowkey``, and ``visit`` where it is known."""
+    return [c for c in ROW_IDS if c in df.columns]
+
+
 def to_cells(wide: DataFrame, family: str = FAMILY, columns: list[str] | None = None,
              version=None) -> DataFrame:
     """Melt each wide row into one cell per qualifier (R2, S8); null values
     become ``unknown``. ``version`` (a column or literal) stamps the cells."""
-    cols = columns or [c for c in WIDE_COLUMNS if c in wide.columns]
-    filled = wide.select("rowkey", *[F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias(c)
-                                     for c in cols],
+    cols, ids = columns or [c for c in WIDE_COLUMNS if c in wide.columns], row_ids(wide)
+    filled = wide.select(*ids, *[F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN)).alias(c)
+                                 for c in cols],
                          (F.lit(0) if version is None else
                           (F.lit(version) if not hasattr(version, "alias") else version))
                          .cast("long").alias("version"))
-    cells = filled.unpivot(["rowkey", "version"], cols, "qualifier", "value")
-    return cells.select("rowkey", F.lit(family).alias("family"), "qualifier", "value", "version")
+    cells = filled.unpivot([*ids, "version"], cols, "qualifier", "value")
+    return cells.select(*ids, F.lit(family).alias("family"), "qualifier", "value", "version")
 
 
 def from_cells(cells: DataFrame, qualifiers: list[str], family: str | None = FAMILY) -> DataFrame:
-    """Cells -> one row per key with the chosen qualifiers as columns.
+    """Cells -> one row per row key and visit with the chosen qualifiers as
+    columns (R3).
 
     The newest version of each cell wins; missing cells give null. The
     pivot values are given, so no extra job discovers them."""
     src = cells if family is None else cells.where(F.col("family") == family)
     return (src.where(F.col("qualifier").isin(qualifiers))
-               .groupBy("rowkey").pivot("qualifier", qualifiers)
+               .groupBy(*row_ids(cells)).pivot("qualifier", qualifiers)
                .agg(F.max_by("value", _newest())))
 
 
 def sorted_cells(cells: DataFrame) -> DataFrame:
-    """Cells in (rowkey, family, qualifier) order (R4): a range-partitioned
+    """Cells in (row, family, qualifier) order (R4): a range-partitioned
     global sort, each output partition holding one contiguous key range."""
-    return cells.orderBy("rowkey", "family", "qualifier")
+    return cells.orderBy(*row_ids(cells), "family", "qualifier")
 
 
 def scan(spark: SparkSession, path: str, day: str | None, columns: list[str]) -> DataFrame:
@@ -136,27 +148,33 @@ def scan(spark: SparkSession, path: str, day: str | None, columns: list[str]) ->
 
 
 def get(wide: DataFrame, keys) -> DataFrame:
-    """Point read by row key (S7): one key, a list of keys, or a DataFrame of
-    ``rowkey`` values (a left-semi join)."""
+    """Point read by row key (S7): one key, a list of keys, or a DataFrame with
+    ``rowkey`` and perhaps ``visit`` values (a left-semi join)."""
     if isinstance(keys, DataFrame):
-        return wide.join(keys.select("rowkey").distinct(), "rowkey", "left_semi")
-    if isinstance(keys, str):
-        keys = [keys]
-    return wide.where(F.col("rowkey").isin(list(keys)))
+        on = [c for c in row_ids(keys) if c in wide.columns]
+        return wide.join(keys.select(*on).distinct(), on, "left_semi")
+    return wide.where(F.col("rowkey").isin([keys] if isinstance(keys, str) else list(keys)))
 
 
 def put_cells(cells: DataFrame, path: str) -> None:
     """Append cells (K9); readers take the newest version per cell."""
-    cells.select(*CELL_SCHEMA.fieldNames()).write.mode("append").parquet(path)
+    stored_cells(cells).write.mode("append").parquet(path)
+
+
+def stored_cells(cells: DataFrame) -> DataFrame:
+    """The columns of the cell table; cells without a visit have null there."""
+    if "visit" not in cells.columns:
+        cells = cells.withColumn("visit", F.lit(None).cast("string"))
+    return cells.select(*STORED_CELLS.fieldNames())
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CELL_SCHEMA).parquet(path)
+    return spark.read.schema(STORED_CELLS).parquet(path)
 
 
 def latest_cells(cells: DataFrame) -> DataFrame:
-    """The newest version of every (rowkey, family, qualifier) cell."""
-    return (cells.groupBy("rowkey", "family", "qualifier")
+    """The newest version of every (row, family, qualifier) cell."""
+    return (cells.groupBy(*row_ids(cells), "family", "qualifier")
                  .agg(F.max_by("value", _newest()).alias("value"),
                       F.max("version").alias("version")))
 

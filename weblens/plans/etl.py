@@ -8,11 +8,14 @@ There is no per-row Python.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.parse import parse_access_log, split_rejects
 from ..operators import agents, geo, widetable
+from ..session import remove_on_exit, scratch_path
 from ..sinks import tables
+from ..sources.files import read_access_log
 
 
 def parsed_records(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -46,23 +49,46 @@ def wide_rows(lines: DataFrame, ranges: DataFrame, day: str, rules=None, *,
               tz: str | None = None, dedup: bool = True, **kw) -> DataFrame:
     """Lines -> keyed wide rows of ``day``; with ``dedup`` one row per visit
     identity (A5), chosen before the enrichment."""
-    rec = parsed_records(lines)
+    return wide_of_records(parsed_records(lines), ranges, day, rules, tz=tz, dedup=dedup, **kw)
+
+
+def wide_of_records(rec: DataFrame, ranges: DataFrame, day: str, rules=None, *,
+                    tz: str | None = None, dedup: bool = True, **kw) -> DataFrame:
     if dedup:
         rec = widetable.latest_visits(rec)
     return widetable.to_wide(enrich_records(rec, ranges, rules, **kw), day, tz)
 
 
+def parsed_once(lines: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """(records, rejected lines, counts) from one scan and one parse: both go
+    into one table, in folders of their own, and are counted on the way."""
+    spark = lines.sparkSession
+    seen, path = Observation(), scratch_path(spark, "parsed")
+    ok = F.col("parse_ok")
+    parsed = parse_access_log(lines, keep=["value"]).withColumn("value", F.when(~ok, F.col("value")))
+    (parsed.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(ok).alias("good"),
+                    F.count_if(~ok).alias("rejected"))
+           .write.partitionBy("parse_ok").parquet(path))
+    schema = parsed.schema
+    stored = spark.read.schema(schema).parquet(path)
+    remove_on_exit(spark, path)
+    return (stored.where(ok).drop("parse_ok", "value"), stored.where(~ok).select("value"), dict(seen.get))
+
+
 def run_etl(spark: SparkSession, input_path, ranges: DataFrame, out_path: str, day: str,
             rules=None, tz: str | None = None, ua_cache: str | None = None,
-            rejects_path: str | None = None) -> None:
+            rejects_path: str | None = None) -> dict[str, int]:
     """Read a day of logs, enrich, and replace that day of the wide table (K1).
     The lines that cannot be parsed replace the day in ``rejects_path``
     (default: ``out_path`` + ``_rejects``), so no line is lost silently.
-    With ``ua_cache`` known agents come from the cache, and the day's new
-    agents are added to it afterwards (for the next run)."""
-    from ..sources.files import read_access_log
-    lines = read_access_log(spark, input_path)
-    tables.write_day(wide_rows(lines, ranges, day, rules, tz=tz, ua_cache=ua_cache), out_path, day)
-    tables.write_lines(rejected_lines(lines), rejects_path or out_path.rstrip("/") + "_rejects", day)
+    The text is scanned and parsed once, and both days are written before either
+    is replaced. With ``ua_cache`` known agents come from the cache, and the day's
+    new agents are added to it afterwards (for the next run). Returns how many lines
+    were read, parsed and rejected."""
+    rec, bad, counts = parsed_once(read_access_log(spark, input_path))
+    wide = wide_of_records(rec, ranges, day, rules, tz=tz, ua_cache=ua_cache)
+    tables.write_days([(tables.stored_rows(wide), out_path),
+                       (bad, rejects_path or out_path.rstrip("/") + "_rejects")], day)
     if ua_cache:
-        agents.update_cache(parsed_records(lines), ua_cache, rules)
+        agents.update_cache(rec, ua_cache, rules)
+    return counts

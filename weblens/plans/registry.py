@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ip as ipf
-from ..functions.parse import format_time, is_not_blank, is_not_empty, rowkey
+from ..functions.parse import format_time, is_not_blank, is_not_empty, rowkey, visit_key
 from ..operators import agents, analytics, geo, orders, widetable
 from ..session import scratch_path
 from ..sinks import tables
@@ -93,10 +93,20 @@ def s7_get_by_rowkey(spark, sf_dir):
     # point reads for the keys of the visits to one page group (a semi-join)
     wide = _wide(spark, sf_dir)
     visits = _records(spark, sf_dir, True).where(F.col("url").startswith("/purchase/"))
-    keys = visits.select(rowkey(DAY).alias("rowkey"))
+    keys = visits.select(rowkey(DAY).alias("rowkey"), visit_key().alias("visit"))
     return widetable.get(wide, keys).drop("event_ts")
 
 
+def s7_point_read(spark, sf_dir):
+    # the visits of one address, by their keys, from a clustered table
+    path = scratch_path(spark, "wide")
+    wide = _wide(spark, sf_dir)
+    tables.write_day(wide, path, DAY, clustered=True, files=8)
+    first = _records(spark, sf_dir, True).agg(F.min("ip")).first()[0]
+    keys = [r[0] for r in wide.where(F.col("ip") == first).select("rowkey").distinct().collect()]
+    return tables.get_rows(spark, path, keys)
+
+
 def s8_cell_scan(spark, sf_dir):
     return widetable.to_cells(_wide(spark, sf_dir))
 
@@ -116,6 +126,18 @@ def p1_rejects(spark, sf_dir):
     return etl.rejected_lines(_lines(spark, sf_dir))
 
 
+def p1_one_pass(spark, sf_dir):
+    # the whole job on written lines: both outputs of the one parse, by their sizes
+    logs, out = scratch_path(spark, "access-log"), scratch_path(spark, "wide")
+    _lines(spark, sf_dir, True).write.text(logs)
+    counts = etl.run_etl(spark, logs, _ranges(spark, sf_dir), out, DAY, tz="UTC")
+    wide = spark.read.schema(widetable.WIDE_SCHEMA).parquet(out)
+    bad = spark.read.schema("value STRING").parquet(f"{out}_rejects")
+    return (wide.agg(F.count(F.lit(1)).alias("stored")).select(
+        "stored", F.lit(counts["lines"]).alias("lines"), F.lit(counts["good"]).alias("good"),
+        bad.agg(F.count(F.lit(1))).scalar().alias("rejected")))
+
+
 def p2_strip_quotes(spark, sf_dir):
     return _records(spark, sf_dir).select("method", "protocal", "referer")
 
@@ -274,6 +296,10 @@ def a5_upsert_latest(spark, sf_dir):
     return _wide(spark, sf_dir).drop("day", "event_ts")
 
 
+def r8_report(spark, sf_dir):
+    return analytics.report(_wide(spark, sf_dir), 10)["both"]
+
+
 def r3_cells_to_rows(spark, sf_dir):
     cells = widetable.to_cells(_wide(spark, sf_dir))
     return widetable.from_cells(cells, widetable.WIDE_COLUMNS)
@@ -298,6 +324,23 @@ def k3_bulk_write_cells(spark, sf_dir):
     return spark.read.parquet(path).drop("day")
 
 
+def k2_cluster_day(spark, sf_dir):
+    # a stored day rewritten for point reads holds the same rows
+    path = scratch_path(spark, "wide")
+    tables.write_day(_wide(spark, sf_dir), path, DAY)
+    tables.cluster_day(spark, path, DAY, files=8)
+    return spark.read.schema(widetable.WIDE_SCHEMA).parquet(path)
+
+
+def k3_raw_cells(spark, sf_dir):
+    # every visit as it was logged, a version for each: hot rows have many cells
+    path = scratch_path(spark, "cells")
+    wide = _wide(spark, sf_dir, dedup=False)
+    version = F.unix_timestamp("event_ts")
+    tables.bulk_write_cells(widetable.to_cells(wide, columns=["status", "bytessent"], version=version), path, DAY)
+    return spark.read.parquet(path).drop("day")
+
+
 def k4_replace_day(spark, sf_dir):
     path = scratch_path(spark, "browser-stat")
     stats = analytics.browser_stat_rows(_wide(spark, sf_dir), DAY)

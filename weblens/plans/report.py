@@ -1,6 +1,6 @@
 """The statistics job (E2): one pruned scan of a day of the wide table feeds
-the top regions and the browser counts (one persisted three-column
-projection), and the browser statistic replaces that day of a result table.
+the top regions and the browser counts (one aggregate over two grouping
+sets), and the browser statistic replaces that day of a result table.
 """
 
 from __future__ import annotations
@@ -19,14 +19,10 @@ def run_report(spark: SparkSession, table: str, day: str, k: int = 10,
     two small results as lists of rows."""
     wide = widetable.scan(spark, table, day, ["country", "province", "browsername"])
     rep = analytics.report(wide, k)
-    try:
-        out = {"top_regions": rep["top_regions"].collect(), "browsers": rep["browsers"].collect()}
-        if show:
-            rep["top_regions"].show(k, truncate=False)
-            rep["browsers"].show(truncate=False)
-        if stat_out:
-            tables.replace_day(analytics.browser_stat_rows(rep["_base"], day), stat_out, day,
-                               jdbc=jdbc)
-        return out
-    finally:
-        analytics.release(rep)
+    out = {"top_regions": rep["top_regions"].collect(), "browsers": rep["browsers"].collect()}
+    if show:
+        rep["top_regions"].show(k, truncate=False)
+        rep["browsers"].show(truncate=False)
+    if stat_out:
+        tables.replace_day(analytics.stat_rows(rep["browsers"], day), stat_out, day, jdbc=jdbc)
+    return out

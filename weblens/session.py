@@ -111,8 +111,7 @@ def materialize_sized(df):
     path = scratch_path(spark, "table")
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).write.parquet(path)
-    fs, jpath = _fs(spark, path)
-    fs.deleteOnExit(jpath)
+    remove_on_exit(spark, path)
     got = seen.get
     return spark.read.schema(df.schema).parquet(path), got["n"], got["b"] or 0
 
@@ -143,6 +142,12 @@ def clear_path(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def remove_on_exit(spark: SparkSession, path: str) -> None:
+    """Remove the path when the driver's JVM ends."""
+    fs, jpath = _fs(spark, path)
+    fs.deleteOnExit(jpath)
+
+
 def list_path(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a folder."""
     fs, jpath = _fs(spark, path)

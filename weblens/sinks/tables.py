@@ -16,52 +16,140 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.widetable import CELL_SCHEMA, WIDE_COLUMNS, to_cells
-from ..session import clear_path, replace_path
+from ..operators.widetable import ROW_IDS, WIDE_COLUMNS, WIDE_SCHEMA, stored_cells, to_cells
+from ..session import clear_path, path_exists, replace_path
 
 
-def _overwrite_day(df: DataFrame, path: str, day: str, fmt: str = "parquet") -> None:
-    """Replace the day's folder. Readers skip names that begin with ``_``."""
-    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+def _staged_path(path: str) -> str:
+    return f"{path}/_staged-{uuid.uuid4().hex}"  # readers skip names that begin with _
+
+
+def _stage(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    staged = _staged_path(path)
     try:
         df.drop("day").write.format(fmt).save(staged)
     except Exception:
         clear_path(df.sparkSession, staged)
         raise
-    replace_path(df.sparkSession, staged, f"{path}/day={day}")
+    return staged
+
+
+def _overwrite_day(df: DataFrame, path: str, day: str, fmt: str = "parquet") -> None:
+    """Replace the day's folder by these rows."""
+    replace_path(df.sparkSession, _stage(df, path, fmt), f"{path}/day={day}")
+
+
+def write_days(parts: list[tuple[DataFrame, str]], day: str) -> None:
+    """Replace the day of several tables (rows, path): all are written before
+    the first takes its place, so a failure leaves every old day."""
+    staged: list[tuple[DataFrame, str, str]] = []
+    try:
+        for df, path in parts:
+            staged.append((df, _stage(df, path), path))
+    except Exception:
+        for df, rows, _ in staged:
+            clear_path(df.sparkSession, rows)
+        raise
+    for df, rows, path in staged:
+        replace_path(df.sparkSession, rows, f"{path}/day={day}")
 
 
-def write_day(wide: DataFrame, path: str, day: str, fmt: str = "parquet") -> None:
+def stored_rows(wide: DataFrame) -> DataFrame:
+    """The columns of the wide table."""
+    return wide.select(*ROW_IDS, *WIDE_COLUMNS)
+
+
+def write_day(wide: DataFrame, path: str, day: str, fmt: str = "parquet", *,
+              clustered: bool = False, files: int | None = None) -> None:
     """Replace the ``day`` partition of the wide table with these rows (K1, K2).
 
     Rows should already be one per key (``upsert_latest``); only the stored
-    columns are written."""
-    out = wide.select("rowkey", *WIDE_COLUMNS).withColumn("day", F.lit(day))
-    _overwrite_day(out, path, day, fmt)
+    columns are written. ``clustered`` also sorts them into files by row key for
+    point reads (``cluster_day``)."""
+    out = stored_rows(wide)
+    if not clustered:
+        _overwrite_day(out, path, day, fmt)
+        return
+    spark, rows = wide.sparkSession, _staged_path(path)
+    try:
+        out.write.parquet(rows)
+        _cluster(spark, rows, path, day, files)
+    finally:
+        clear_path(spark, rows)
 
 
-def write_lines(lines: DataFrame, path: str, day: str) -> None:
-    """Replace the ``day`` partition of a table of raw lines (rejects, Q1)."""
-    _overwrite_day(lines.select("value"), path, day)
+# The key range of each of a day's files, kept in a folder that readers skip.
+FILE_RANGES = "_ranges"
+_RANGE_DDL = "file STRING, first STRING, last STRING"
+
+
+def _cluster(spark: SparkSession, rows: str, path: str, day: str, files: int | None) -> None:
+    stored = spark.read.schema(WIDE_SCHEMA).parquet(rows).drop("day")
+    # the sample for the boundaries reads the key column only
+    ranged = stored.repartitionByRange(files, "rowkey") if files else stored.repartitionByRange("rowkey")
+    staged = _staged_path(path)
+    try:
+        (ranged.sortWithinPartitions(*ROW_IDS).write.option("parquet.bloom.filter.enabled#rowkey", "true")
+               .parquet(staged))
+        (spark.read.schema(WIDE_SCHEMA).parquet(staged)
+              .groupBy(F.col("_metadata.file_name").alias("file"))
+              .agg(F.min("rowkey").alias("first"), F.max("rowkey").alias("last"))
+              .coalesce(1).write.parquet(f"{staged}/{FILE_RANGES}"))
+    except Exception:
+        clear_path(spark, staged)
+        raise
+    replace_path(spark, staged, f"{path}/day={day}")
+
+
+def cluster_day(spark: SparkSession, path: str, day: str, files: int | None = None) -> None:
+    """Rewrite a stored day for point reads (S7): files of disjoint row-key ranges,
+    sorted, with bloom filters on the key, and a small table of the ranges."""
+    _cluster(spark, f"{path}/day={day}", path, day, files)
+
+
+def get_rows(spark: SparkSession, path: str, keys: str | list[str]) -> DataFrame:
+    """Point read of the stored wide table (S7). The day is the key's own, and of a
+    clustered day only the files whose key ranges hold a key are opened."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    by_day: dict[str, list[str]] = {}
+    for k in keys:
+        by_day.setdefault(k.rpartition("_")[0], []).append(k)
+    found = spark.createDataFrame([], WIDE_SCHEMA)
+    for day, wanted in by_day.items():
+        folder = f"{path}/day={day}"
+        if not path_exists(spark, folder):
+            continue
+        names = [folder]
+        if path_exists(spark, f"{folder}/{FILE_RANGES}"):
+            ranges = spark.read.schema(_RANGE_DDL).parquet(f"{folder}/{FILE_RANGES}")
+            held = F.exists(F.array(*[F.lit(k) for k in wanted]),
+                            lambda k: (k >= F.col("first")) & (k <= F.col("last")))
+            names = [f"{folder}/{r['file']}" for r in ranges.where(held).collect()]  # at most one a key
+        if names:
+            rows = spark.read.schema(WIDE_SCHEMA).option("basePath", path).parquet(*names)
+            found = found.unionByName(rows.where(F.col("rowkey").isin(wanted)))
+    return found
 
 
 def bulk_write_cells(wide_or_cells: DataFrame, path: str, day: str,
                      partitions: int | None = None) -> None:
     """Sorted bulk write of cells.
 
-    Cells are range-partitioned by row key (sampled boundaries, no single
-    reducer) and sorted within each partition, so every output file holds
-    one sorted, non-overlapping key range - the layout a sorted bulk load
-    needs - and the day partition is replaced at commit."""
-    cells = (wide_or_cells if "qualifier" in wide_or_cells.columns
-             else to_cells(wide_or_cells))
-    cells = cells.select(*CELL_SCHEMA.fieldNames())
+    Cells are range-partitioned (sampled boundaries, no single reducer) and
+    sorted within each partition, so every output file holds one sorted,
+    non-overlapping key range - the layout a sorted bulk load needs - and the
+    day is replaced at commit. Wide rows are split between row keys. Raw cells
+    may hold any number of versions of a row, so their boundaries go on to
+    qualifier, version and value: a key with a third of all cells is spread
+    over many tasks."""
+    raw = "qualifier" in wide_or_cells.columns
+    cells = stored_cells(wide_or_cells if raw else to_cells(wide_or_cells))
+    order = [*ROW_IDS, "family", "qualifier", *(["version", "value"] if raw else [])]
+    bounds = order if raw else ["rowkey"]
     # without an explicit count AQE sizes the range partitions (it only merges
     # neighbouring ranges, so the files stay sorted and disjoint)
-    ranged = (cells.repartitionByRange(partitions, "rowkey") if partitions
-              else cells.repartitionByRange("rowkey"))
-    ordered = ranged.sortWithinPartitions("rowkey", "family", "qualifier")
-    _overwrite_day(ordered, path, day)
+    ranged = cells.repartitionByRange(partitions, *bounds) if partitions else cells.repartitionByRange(*bounds)
+    _overwrite_day(ranged.sortWithinPartitions(*order), path, day)
 
 
 def replace_day(stats: DataFrame, target: str, day: str, *, fmt: str = "parquet",
