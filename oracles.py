@@ -399,6 +399,15 @@ FROM keys GROUP BY ALL"""
     q["p1_one_pass"] = _wide_select(
         day, "SELECT (SELECT count(*) FROM wide) AS stored, (SELECT count(*) FROM lg) AS lines, "
              "(SELECT count(*) FROM good) AS good, (SELECT count(*) FROM lg) - (SELECT count(*) FROM good) AS rejected")
+    q["j1_crowded_ranges"] = f"""WITH rg AS (
+  SELECT {d.CROWDED_BEGIN} + CAST(o_orderkey AS BIGINT) * {d.CROWDED_STRIDE} AS begin_ip,
+         {_list(d.RANGE_COUNTRIES)}[(CAST(o_orderkey AS BIGINT) % {len(d.RANGE_COUNTRIES)}) + 1] AS country,
+         o_orderpriority AS area FROM orders),
+s AS (SELECT {d.CROWDED_BEGIN} + event_id * 7 + user_id % 11 AS ip_long FROM events)
+SELECT s.ip_long, r.begin_ip AS range_begin, r.begin_ip + {d.CROWDED_LENGTH - 1} AS range_end,
+       CASE WHEN r.begin_ip IS NULL THEN '未知国家' ELSE r.country END AS geo_country,
+       CASE WHEN r.begin_ip IS NULL THEN '未知地区' ELSE r.area END AS geo_area
+FROM s LEFT JOIN rg r ON s.ip_long BETWEEN r.begin_ip AND r.begin_ip + {d.CROWDED_LENGTH - 1}"""
     q["k2_cluster_day"] = q["k1_write_day"]
     q["s7_point_read"] = _wide_select(
         day, f"SELECT rowkey, visit, {wide_cols}, '{day}' AS day FROM wide "

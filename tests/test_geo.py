@@ -142,3 +142,51 @@ def test_broadcast_byte_bound(spark):
     assert broadcast_fits(df, max_rows=100, max_bytes=100_000)
     assert not broadcast_fits(df, max_rows=100, max_bytes=10_000)  # ~51 KB of text
     assert not broadcast_fits(df, max_rows=10, max_bytes=100_000)
+
+
+def test_crowded_blocks_are_split(spark):
+    # half a million ranges of two addresses in eight /16s, and a few wide ones around them
+    dense = spark.range(500_000).select((F.lit(1 << 24) + F.col("id")
+                                         ).cast("long").alias("begin_ip"))
+    dense = dense.select("begin_ip", F.col("begin_ip").alias("end_ip"), F.concat(F.lit("c"), "begin_ip").alias("country"),
+                         F.lit("x").alias("area"))
+    wide = spark.createDataFrame([(0, (1 << 24) - 10, "before", "y"), ((1 << 24) + 500_010, (1 << 32) - 1, "after", "z")],
+                                 "begin_ip long, end_ip long, country string, area string")
+    table = geo.RangeTable(dense.union(wide))
+    assert len(table.crowded) == 2
+    most = table.blocks.groupBy("_block").count().agg(F.max("count")).first()[0]
+    assert most <= geo.MOST_RANGES
+    assert table.blocks.count() < 2 * 500_002 + 70_000
+    ips = spark.createDataFrame([(i,) for i in [0, (1 << 24) - 10, (1 << 24) - 9, 1 << 24, (1 << 24) + 77_777,
+                                                (1 << 24) + 499_999, (1 << 24) + 500_000, (1 << 24) + 500_010, (1 << 32) - 1]]
+                                + [(None,)], "ip_long long")
+    out = geo.locate(ips, table, not_found=("none", "none"))
+    got = {r.ip_long: r.geo_country for r in out.collect()}
+    base = 1 << 24
+    assert got == {0: "before", base - 10: "before", base - 9: "none", base: f"c{base}", base + 77_777: f"c{base + 77_777}",
+                   base + 499_999: f"c{base + 499_999}", base + 500_000: "none", base + 500_010: "after",
+                   (1 << 32) - 1: "after", None: None}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_split_blocks_equal_the_search(spark):
+    import random
+    rng = random.Random(11)
+    ranges = []
+    for _ in range(600):  # crowded in a few places, overlapping, inverted
+        begin = rng.choice([0, 70_000, 1 << 20, (1 << 32) - 3000]) + rng.randrange(3000)
+        ranges.append((begin, begin + rng.choice([-3, 0, 1, 7, 300, 90_000]), f"c{len(ranges)}", "x"))
+    df = spark.createDataFrame(ranges, "begin_ip long, end_ip long, country string, area string")
+    ips = sorted({max(0, min((1 << 32) - 1, r[0] + k)) for r in ranges for k in (-1, 0, 2, 400)} | {1 << 31})
+    probe = spark.createDataFrame([(i,) for i in ips], "ip_long long")
+
+    def search(ip):
+        best = max((r for r in ranges if r[0] <= ip), default=None)
+        return best[2] if best and ip <= best[1] else "none"
+    want = {ip: search(ip) for ip in ips}
+    for options in ({"most_ranges": 4}, {"most_ranges": 4, "broadcast_max_rows": 0}):
+        table = geo.RangeTable(df, **options)
+        assert table.crowded
+        got = {r.ip_long: r.geo_country for r in geo.locate(probe, table, not_found=("none", "none")).collect()}
+        assert got == want

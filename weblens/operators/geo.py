@@ -9,6 +9,13 @@ keeps misses). For disjoint ranges the exploded table has at most
 data; its actual size is checked before broadcasting, and beyond the limit
 the join shuffles on the bucket (AQE splits a hot bucket).
 
+Real tables crowd: one ``/16`` may hold thousands of ranges, and every address in
+it would be compared with all of them. A bucket with more than ``MOST_RANGES``
+ranges is split into ``/24`` blocks, and these into ``/28`` blocks of 16 addresses,
+so an address is compared with that many ranges at most. Which blocks are
+split is a small table that addresses meet first; a table without crowded
+buckets has none.
+
 A prepared ``RangeTable`` first rewrites the ranges so the answer is the
 original lookup's for any table, overlapping or not: the range with the
 greatest begin not after the address answers, if the address is not past
@@ -32,6 +39,10 @@ NOT_FOUND_AREA = "未知地区"
 UNKNOWN = "unknown"
 
 BUCKET_BITS = 16
+# Ranges of a block that is not split, and the steps of splitting (bits below
+# the block's prefix; 2^4 addresses hold 16 disjoint ranges at most).
+MOST_RANGES = 32
+FINER_BITS = (8, 4)
 # Numbers of IPv4 addresses run from 0 to below this.
 ADDRESSES = 1 << 32
 # Exploded range rows allowed on the broadcast side (bytes are bounded too,
@@ -108,18 +119,31 @@ def effective_ranges(ranges: DataFrame, bits: int = BUCKET_BITS) -> DataFrame:
                   .where(F.col("end_ip") >= F.col("begin_ip")))
 
 
+def _block_key(prefix, bits: int):
+    """A block's key: the bits below its prefix, and the prefix."""
+    return F.lit(bits << 40).cast("long") + prefix
+
+
+def _split_blocks(blocks: DataFrame, bits: int, finer: int) -> DataFrame:
+    """Rows of crowded blocks, one for each finer block that the range overlaps."""
+    start = F.shiftleft(F.col("_bucket"), bits)
+    first = F.shiftright(F.greatest("_begin", start), finer)
+    last = F.shiftright(F.least(F.col("_end"), start + ((1 << bits) - 1)), finer)
+    return blocks.withColumn("_bucket", F.explode(F.sequence(first, last)))
+
+
 class RangeTable:
     """A range dimension prepared for repeated lookups: the bucket explode,
-    the broadcast decision (one count of the exploded rows, taken once) and,
-    optionally, the disjointness check. The exploded table is materialised
-    once with a reliable checkpoint. ``exact=True`` (the default) first
-    rewrites the table with ``effective_ranges`` so overlapping or duplicate
-    ranges answer like the original binary search and can never duplicate a
-    looked-up row."""
+    the split of crowded buckets, the broadcast decision and, optionally, the
+    disjointness check. The tables are written once, sized by the job that
+    writes them. ``exact=True`` (the default) first rewrites the table with
+    ``effective_ranges`` so overlapping or duplicate ranges answer like the
+    original binary search and can never duplicate a looked-up row; only
+    such a table is split."""
 
     def __init__(self, ranges: DataFrame, bits: int = BUCKET_BITS,
                  broadcast_max_rows: int = BROADCAST_MAX_ROWS, validate: bool = False,
-                 exact: bool = True):
+                 exact: bool = True, most_ranges: int = MOST_RANGES):
         self.bits = bits
         if validate:
             bad = check_disjoint(ranges, bits).limit(1).collect()
@@ -127,22 +151,46 @@ class RangeTable:
                 raise ValueError(f"overlapping IP ranges, e.g. {bad[0].asDict()}")
         if exact:
             ranges = effective_ranges(ranges, bits)
-        # computed once into the checkpoint folder (bounded: at most 2^16 + N
-        # rows); every lookup then reads it instead of redoing the rewrite
-        self.buckets, rows, size = materialize_sized(bucket_ranges(ranges, bits))
+        # computed once (at most 2^16 + N rows); every lookup then reads it
+        # instead of redoing the rewrite
+        blocks, rows, size = materialize_sized(bucket_ranges(ranges, bits))
+        self.crowded: list[tuple[int, DataFrame]] = []  # finer bits, blocks that have them
+        kept, at = [], bits
+        for finer in [b for b in FINER_BITS if exact and b < bits]:
+            dense = blocks.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_ranges)
+            dense, n, dense_size = materialize_sized(dense.select("_bucket"))
+            if not n:
+                break
+            if n <= broadcast_max_rows and dense_size <= BROADCAST_MAX_BYTES:
+                dense = F.broadcast(dense)
+            kept.append(blocks.join(dense, "_bucket", "left_anti").withColumn("_block", _block_key(F.col("_bucket"), at)))
+            self.crowded.append((finer, dense.select(_block_key(F.col("_bucket"), at).alias("_split"))))
+            blocks = _split_blocks(blocks.join(dense, "_bucket", "left_semi"), at, finer)
+            at = finer
+        out = blocks.withColumn("_block", _block_key(F.col("_bucket"), at))
+        for part in kept:
+            out = out.unionByName(part)
+        out = out.drop("_bucket")
+        if kept:
+            out, rows, size = materialize_sized(out)
+        self.blocks = out
         self.broadcast = rows <= broadcast_max_rows and size <= BROADCAST_MAX_BYTES
 
     def side(self) -> DataFrame:
-        return F.broadcast(self.buckets) if self.broadcast else self.buckets
+        return F.broadcast(self.blocks) if self.broadcast else self.blocks
 
 
 def _range_join(df: DataFrame, ip_col: str, table: RangeTable) -> DataFrame:
-    b = table.side()
     ip = F.col(ip_col)
-    probe = df.withColumn("_probe", F.shiftright(ip, table.bits))
-    cond = ((probe["_probe"] == b["_bucket"])
+    probe = df.withColumn("_probe", _block_key(F.shiftright(ip, table.bits), table.bits))
+    for finer, split in table.crowded:
+        probe = (probe.join(split, F.col("_probe") == F.col("_split"), "left")
+                 .withColumn("_probe", F.when(F.col("_split").isNotNull(), _block_key(F.shiftright(ip, finer), finer))
+                             .otherwise(F.col("_probe"))).drop("_split"))
+    b = table.side()
+    cond = ((probe["_probe"] == b["_block"])
             & (ip >= b["_begin"]) & (ip <= b["_end"]))
-    return probe.join(b, cond, "left").drop("_probe", "_bucket")
+    return probe.join(b, cond, "left").drop("_probe", "_block")
 
 
 def locate(df: DataFrame, ranges: DataFrame | RangeTable, ip_col: str = "ip_long", *,

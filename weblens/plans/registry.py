@@ -245,6 +245,12 @@ def j1_dense_range_join(spark, sf_dir):
     return geo.locate(_ips(spark, sf_dir), dense, keep_range=True)
 
 
+def j1_crowded_ranges(spark, sf_dir):
+    crowded = d.crowded_ip_ranges(d.read_table(spark, sf_dir, "orders"))
+    ips = _events(spark, sf_dir).select(d.crowded_event_ip().alias("ip_long"))
+    return geo.locate(ips, crowded, keep_range=True)
+
+
 def j2_rule_match_distinct(spark, sf_dir):
     rec = _records(spark, sf_dir)
     return agents.classify(rec, None, "ua", dedup=True).select("ua", *agents.UA_COLUMNS)

@@ -135,6 +135,25 @@ def dense_ip_ranges(orders: DataFrame) -> DataFrame:
                          F.col("o_orderpriority").alias("area"))
 
 
+# Where the crowded ranges begin, their stride and length.
+CROWDED_BEGIN, CROWDED_STRIDE, CROWDED_LENGTH = 3232235520, 5, 4
+
+
+def crowded_ip_ranges(orders: DataFrame) -> DataFrame:
+    """One range of four addresses per order, one after the other with a gap of
+    one: thousands of ranges in each ``/16`` that they reach."""
+    k = F.col("o_orderkey").cast("long")
+    begin = F.lit(CROWDED_BEGIN).cast("long") + k * CROWDED_STRIDE
+    return orders.select(begin.alias("begin_ip"), (begin + (CROWDED_LENGTH - 1)).alias("end_ip"),
+                         _pick(RANGE_COUNTRIES, F.pmod(k, F.lit(len(RANGE_COUNTRIES)))).alias("country"),
+                         F.col("o_orderpriority").alias("area"))
+
+
+def crowded_event_ip() -> Column:
+    """An address among the crowded ranges for each event."""
+    return F.lit(CROWDED_BEGIN).cast("long") + F.col("event_id") * 7 + F.pmod(F.col("user_id"), F.lit(11))
+
+
 def order_messages(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """One JSON order message (column ``value``) per event; every field is a
     JSON string, as the producer sends them."""
