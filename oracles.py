@@ -4,15 +4,49 @@ Each query of ``__spark_entry__.queries()`` has an equivalent here that
 DuckDB runs on the same parquet tables (views ``events``, ``nation`` ...).
 The derived inputs (access lines, IP ranges, order messages) are rebuilt by
 the same formulas as ``weblens.sources.derived``; every rule (regions, user
-agents, row-key CRC32) is re-expressed independently in SQL.
+agents, row-key CRC32) and its lists are stated independently here.
 """
 
 from __future__ import annotations
 
-from weblens.functions.region import (AUTONOMOUS_REGIONS, MUNICIPALITIES, SPECIAL_REGIONS)
-from weblens.operators.agents import DEFAULT_RULES
-from weblens.operators.widetable import WIDE_COLUMNS
-from weblens.sources import derived as d
+from weblens.sources import derived as d  # the formulas of the inputs; no code under test
+
+# Fixed values, stated here again so that the library's own lists are tested.
+AUTONOMOUS_REGIONS = ["广西", "西藏", "宁夏", "新疆"]
+MUNICIPALITIES = ["上海", "北京", "重庆", "天津"]
+SPECIAL_REGIONS = ["香港", "澳门"]
+WIDE_COLUMNS = ["ip", "country", "province", "city", "formattime", "method", "url", "protocal", "status",
+                "bytessent", "referer", "browsername", "browserversion", "osname", "osversion"]
+# (pattern, name, version group) in order of priority.
+BROWSERS = [
+    (r"Sogou web spider/([0-9.]+)", "Sogou web spider", 1),
+    (r"Baiduspider(?:-[a-z]+)?/([0-9.]+)", "Baiduspider", 1),
+    (r"Googlebot/([0-9.]+)", "Googlebot", 1),
+    (r"bingbot/([0-9.]+)", "bingbot", 1),
+    (r"MetaSr ([0-9.]+)", "Sogou Explorer", 1),
+    (r"Edge?/([0-9.]+)", "Edge", 1),
+    (r"OPR/([0-9.]+)", "Opera", 1),
+    (r"MicroMessenger/([0-9.]+)", "WeChat", 1),
+    (r"Chrome/([0-9.]+)", "Chrome", 1),
+    (r"Firefox/([0-9.]+)", "Firefox", 1),
+    (r"Version/([0-9.]+).*Safari/", "Safari", 1),
+    (r"MSIE ([0-9.]+)", "IE", 1),
+    (r"Trident/.*rv:([0-9.]+)", "IE", 1),
+    (r"CFNetwork/([0-9.]+)", "CFNetwork", 1),
+    (r"Go-http-client/([0-9.]+)", "Go-http-client", 1),
+    (r"curl/([0-9.]+)", "curl", 1),
+    (r"python-requests/([0-9.]+)", "Python Requests", 1),
+    (r"okhttp/([0-9.]+)", "OkHttp", 1),
+]
+SYSTEMS = [
+    (r"Windows NT ([0-9.]+)", "Windows", 1),
+    (r"iPhone OS ([0-9_]+)", "iOS", 1),
+    (r"Android ([0-9.]+)", "Android", 1),
+    (r"Mac OS X ([0-9_.]+)", "Mac OS X", 1),
+    (r"Darwin/([0-9.]+)", "Darwin", 1),
+    (r"CrOS", "Chrome OS", 0),
+    (r"Linux", "Linux", 0),
+]
 
 
 def _q(s: str | None) -> str:
@@ -132,13 +166,9 @@ def located_region_sql() -> dict[str, str]:
 
 def ua_sql(ua: str) -> dict[str, str]:
     """The default user-agent rules as CASE expressions over ``ua``."""
-    rules = sorted(DEFAULT_RULES)
-    browser = [r for r in rules if r[1] in ("browser", "robot")]
-    system = [r for r in rules if r[1] == "os"]
-
     def chain(rs, version):
         parts = []
-        for _, _, pat, name, grp in rs:
+        for pat, name, grp in rs:
             val = ("'unknown'" if not grp else
                    f"coalesce(nullif(regexp_extract({ua}, {_q(pat)}, {grp}), ''), 'unknown')") \
                 if version else _q(name)
@@ -146,8 +176,8 @@ def ua_sql(ua: str) -> dict[str, str]:
         body = " ".join(parts)
         return f"CASE WHEN {ua} IS NULL OR length({ua}) = 0 THEN NULL {body} ELSE 'unknown' END"
 
-    return {"browsername": chain(browser, False), "browserversion": chain(browser, True),
-            "osname": chain(system, False), "osversion": chain(system, True)}
+    return {"browsername": chain(BROWSERS, False), "browserversion": chain(BROWSERS, True),
+            "osname": chain(SYSTEMS, False), "osversion": chain(SYSTEMS, True)}
 
 
 # CRC32 (polynomial 0xEDB88320) of the UTF-8 bytes of a text, in SQL: the
@@ -408,6 +438,14 @@ SELECT s.ip_long, r.begin_ip AS range_begin, r.begin_ip + {d.CROWDED_LENGTH - 1}
        CASE WHEN r.begin_ip IS NULL THEN '未知国家' ELSE r.country END AS geo_country,
        CASE WHEN r.begin_ip IS NULL THEN '未知地区' ELSE r.area END AS geo_area
 FROM s LEFT JOIN rg r ON s.ip_long BETWEEN r.begin_ip AND r.begin_ip + {d.CROWDED_LENGTH - 1}"""
+    q["t1_micro_batches"] = q["t4_order_rollup"]
+    q["k3_etl_cells"] = q["k3_bulk_write_cells"]
+    q["k7_ensure_table"] = _wide_select(
+        day, "SELECT true AS created, false AS again, (SELECT count(DISTINCT coalesce(browsername, '-')) FROM wide) AS stored, "
+             "true AS replaced, CAST(0 AS BIGINT) AS left_rows")
+    q["k8_describe"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS source, CAST(column_index - 1 AS INT) AS place, column_name FROM duckdb_columns() "
+        f"WHERE table_name = '{t}'" for t in ("nation", "events", "orders"))
     q["k2_cluster_day"] = q["k1_write_day"]
     q["s7_point_read"] = _wide_select(
         day, f"SELECT rowkey, visit, {wide_cols}, '{day}' AS day FROM wide "

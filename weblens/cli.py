@@ -37,7 +37,7 @@ def cmd_etl(spark: SparkSession, a: argparse.Namespace) -> None:
     ranges = geo.RangeTable(load_ranges(spark, a.ranges, a.ranges_format), validate=a.validate_ranges)
     rules = load_rules(spark, a.rules) if a.rules else None
     etl.run_etl(spark, a.input, ranges, a.out, a.day, rules, tz=a.tz, ua_cache=a.ua_cache,
-                rejects_path=a.rejects)
+                rejects_path=a.rejects, cells=a.cells)
 
 
 def cmd_report(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -83,6 +83,7 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--tz", default=None, help="zone of formattime; default: session zone")
     e.add_argument("--rejects", default=None,
                    help="folder of the lines that cannot be parsed; default: OUT_rejects")
+    e.add_argument("--cells", action="store_true", help="write sorted cells instead of rows")
     e.add_argument("--ua-cache", default=None, help="user-agent classification cache folder")
 
     r = sub.add_parser("report", help="top regions and browser counts of one day")

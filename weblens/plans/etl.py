@@ -77,8 +77,9 @@ def parsed_once(lines: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, int]]
 
 def run_etl(spark: SparkSession, input_path, ranges: DataFrame, out_path: str, day: str,
             rules=None, tz: str | None = None, ua_cache: str | None = None,
-            rejects_path: str | None = None) -> dict[str, int]:
-    """Read a day of logs, enrich, and replace that day of the wide table (K1).
+            rejects_path: str | None = None, cells: bool = False) -> dict[str, int]:
+    """Read a day of logs, enrich, and replace that day of the wide table (K1),
+    or with ``cells`` that day of a cell table, as sorted files (K3).
     The lines that cannot be parsed replace the day in ``rejects_path``
     (default: ``out_path`` + ``_rejects``), so no line is lost silently.
     The text is scanned and parsed once, and both days are written before either
@@ -87,7 +88,7 @@ def run_etl(spark: SparkSession, input_path, ranges: DataFrame, out_path: str, d
     were read, parsed and rejected."""
     rec, bad, counts = parsed_once(read_access_log(spark, input_path))
     wide = wide_of_records(rec, ranges, day, rules, tz=tz, ua_cache=ua_cache)
-    tables.write_days([(tables.stored_rows(wide), out_path),
+    tables.write_days([(tables.bulk_cells(wide) if cells else tables.stored_rows(wide), out_path),
                        (bad, rejects_path or out_path.rstrip("/") + "_rejects")], day)
     if ua_cache:
         agents.update_cache(rec, ua_cache, rules)

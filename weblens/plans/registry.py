@@ -8,6 +8,7 @@ checkpoint folder and return what they read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -338,6 +339,14 @@ def k2_cluster_day(spark, sf_dir):
     return spark.read.schema(widetable.WIDE_SCHEMA).parquet(path)
 
 
+def k3_etl_cells(spark, sf_dir):
+    # the whole job in its sorted-cells mode
+    logs, out = scratch_path(spark, "access-log"), scratch_path(spark, "cells")
+    _lines(spark, sf_dir, True).write.text(logs)
+    etl.run_etl(spark, logs, _ranges(spark, sf_dir), out, DAY, tz="UTC", cells=True)
+    return spark.read.parquet(out).drop("day")
+
+
 def k3_raw_cells(spark, sf_dir):
     # every visit as it was logged, a version for each: hot rows have many cells
     path = scratch_path(spark, "cells")
@@ -355,6 +364,40 @@ def k4_replace_day(spark, sf_dir):
     return spark.read.schema("browser STRING, cnt LONG, day STRING").parquet(path)
 
 
+def _table_name(what):
+    return f"weblens_{what}_{uuid.uuid4().hex[:8]}"
+
+
+def k7_ensure_table(spark, sf_dir):
+    name, path = _table_name("k7"), scratch_path(spark, "k7")
+    schema = "browser STRING, cnt LONG"
+    try:
+        created = tables.ensure_table(spark, name, schema, path=path)
+        analytics.browser_counts(_wide(spark, sf_dir)).write.insertInto(name)
+        again = tables.ensure_table(spark, name, schema, path=path)
+        stored = spark.table(name).count()
+        replaced = tables.ensure_table(spark, name, schema, path=path, replace=True)
+        left = spark.table(name).count()
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame([(created, again, stored, replaced, left)],
+                                 "created boolean, again boolean, stored long, replaced boolean, left_rows long")
+
+
+def k8_describe(spark, sf_dir):
+    # a table with the columns of each given table it is asked for
+    found = []
+    for source in ("nation", "events", "orders"):
+        name = _table_name("k8")
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in d.read_table(spark, sf_dir, source).schema)
+        try:
+            tables.ensure_table(spark, name, schema, path=scratch_path(spark, "k8"))
+            found += [(source, i, c) for i, c in enumerate(dict(tables.describe(spark))[name])]
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame(found, "source string, place int, column_name string")
+
+
 def k9_put_cells(spark, sf_dir):
     path = scratch_path(spark, "put-cells")
     wide = _wide(spark, sf_dir)
@@ -367,6 +410,16 @@ def k9_put_cells(spark, sf_dir):
 
 # --- orders and streaming ---------------------------------------------------
 
+def t1_micro_batches(spark, sf_dir):
+    # the messages in several files, one a micro-batch; every batch adds to the counters
+    path, out = scratch_path(spark, "messages"), scratch_path(spark, "order-counters")
+    d.order_messages(_events(spark, sf_dir)).repartition(4, "value").write.text(path)
+    q = stream.start_order_counters(stream.read_messages(spark, "text", path=path, max_per_trigger=1), out,
+                                    scratch_path(spark, "order-counters-ckpt"), trigger={"availableNow": True})
+    q.awaitTermination()
+    return stream.read_totals(spark, out)
+
+
 def t3_daily_paid(spark, sf_dir):
     return orders.daily_paid(_orders(spark, sf_dir))
 

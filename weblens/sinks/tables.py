@@ -131,9 +131,8 @@ def get_rows(spark: SparkSession, path: str, keys: str | list[str]) -> DataFrame
     return found
 
 
-def bulk_write_cells(wide_or_cells: DataFrame, path: str, day: str,
-                     partitions: int | None = None) -> None:
-    """Sorted bulk write of cells.
+def bulk_cells(wide_or_cells: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Cells laid out for a sorted bulk write.
 
     Cells are range-partitioned (sampled boundaries, no single reducer) and
     sorted within each partition, so every output file holds one sorted,
@@ -149,7 +148,14 @@ def bulk_write_cells(wide_or_cells: DataFrame, path: str, day: str,
     # without an explicit count AQE sizes the range partitions (it only merges
     # neighbouring ranges, so the files stay sorted and disjoint)
     ranged = cells.repartitionByRange(partitions, *bounds) if partitions else cells.repartitionByRange(*bounds)
-    _overwrite_day(ranged.sortWithinPartitions(*order), path, day)
+    return ranged.sortWithinPartitions(*order)
+
+
+def bulk_write_cells(wide_or_cells: DataFrame, path: str, day: str,
+                     partitions: int | None = None) -> None:
+    """Sorted bulk write of cells (K3): the day's files are replaced by those of
+    ``bulk_cells``."""
+    _overwrite_day(bulk_cells(wide_or_cells, partitions), path, day)
 
 
 def replace_day(stats: DataFrame, target: str, day: str, *, fmt: str = "parquet",
