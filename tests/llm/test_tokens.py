@@ -5,6 +5,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from weblens.llm import bpe, token_counts
@@ -58,3 +59,11 @@ def test_token_counts_and_cache(spark, odd_docs, no_docs):
         assert stored.count() == stored.select("content_digest").distinct().count()
         assert stored.count() == odd_docs.fillna("", ["text"]).select("text").distinct().count()
     assert token_counts.count(no_docs, BYTE, cache).count() == 0
+
+
+def test_rows_without_ids_whose_short_hashes_collide(spark):
+    words = spark.range(200_000).select(F.concat(F.lit("qz"), F.md5(F.col("id").cast("string"))).alias("text"))
+    twins = (words.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("t"))
+             .where(F.size("t") > 1).first()["t"])
+    docs = spark.createDataFrame([(None, t) for t in twins], "doc_id long, text string")
+    _check_bpe(spark, docs, 0)

@@ -40,20 +40,21 @@ from .pieces import WordTokenizer, read_spec
 HOT_WORDS = 1 << 18
 HOT_WORD_BYTES = 48
 #: Characters of texts that a task splits at once (one document at least).
-SLICE_CHARS = 3_000_000
-#: Documents whose ids a task puts together at once.
-SLICE_ROWS = 1000
-#: Tokens that are decoded at once (one document at least).
+SLICE_CHARS = 4_000_000
+#: Words that are put together, and tokens that are decoded, at once (one
+#: document at least).
 SLICE_TOKENS = 1_000_000
 
 _ID = np.dtype("<u4")
+#: A document's row: its id, which may be null or not its own, and 128 bits of its text.
+KEYS = ["doc_id", "key_a", "key_b"]
 _hot_tables: dict[tuple, object] = {}
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"),
-                       F.hash(text).alias("text_key"))
+                       F.xxhash64(text).alias("key_a"), F.xxhash64(F.lit(1), text).alias("key_b"))
 
 
 def _slices(batches):
@@ -176,8 +177,11 @@ def _code_of_word(table: pa.Table) -> dict[str, int]:
     return {w: i for i, w in enumerate(table.column("word").to_pylist(), 1)}
 
 
-def _ids_of_code(table: pa.Table) -> list[bytes]:
-    return [b"", *table.column("ids").to_pylist()]
+def _ids_of_code(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids one after another, where those of each code start, how many)."""
+    ids = [b"", *table.column("ids").to_pylist()]
+    size = np.fromiter((len(i) // 4 for i in ids), np.int64, len(ids))
+    return np.frombuffer(b"".join(ids), _ID), np.cumsum(size) - size, size
 
 
 def _codes(tok, code_of, texts: list[str]):
@@ -189,7 +193,7 @@ def _codes(tok, code_of, texts: list[str]):
 
 
 def _hot_codes(hot, spec):
-    """(doc_id, text_key, codes): per document the code of each position, the
+    """(doc_id, key_a, key_b, codes): per document the code of each position, the
     byte planes one after another and compressed."""
     def run(batches):
         tok, code_of = WordTokenizer.load(spec.value), _hot_table(hot, _code_of_word)
@@ -201,13 +205,12 @@ def _hot_codes(hot, spec):
                 planes = codes[a:b].view(np.uint8).reshape(-1, 4)[:, :3].T
                 out.append(pack.compress(planes.tobytes()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(out, pa.binary())],
-                ["doc_id", "text_key", "codes"])
+                [*(batch.column(c) for c in KEYS), pa.array(out, pa.binary())], [*KEYS, "codes"])
     return run
 
 
 def _rare_words(hot, spec):
-    """(doc_id, text_key, nth, word): the words outside the hot table, each
+    """(doc_id, key_a, key_b, nth, word): the words outside the hot table, each
     with its place among those of its document."""
     def run(batches):
         tok, code_of = WordTokenizer.load(spec.value), _hot_table(hot, _code_of_word)
@@ -218,37 +221,48 @@ def _rare_words(hot, spec):
             nth = np.arange(len(rare)) - np.searchsorted(text, text)
             words = seen.pieces.take(pa.array(seen.at[rare]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(text)),
-                 batch.column("text_key").take(pa.array(text)),
-                 pa.array(nth.astype(np.int32)), words], ["doc_id", "text_key", "nth", "word"])
+                [*(batch.column(c).take(pa.array(text)) for c in KEYS),
+                 pa.array(nth.astype(np.int32)), words], [*KEYS, "nth", "word"])
     return run
 
 
 def _assemble(hot):
+    def together(batch: pa.RecordBatch, codes: list[np.ndarray]) -> pa.RecordBatch:
+        pool, start, size = _hot_table(hot, _ids_of_code)
+        of_doc = np.cumsum([len(c) for c in codes])
+        codes = np.concatenate(codes).astype(np.int64)
+        rare = batch.column("rare")
+        values = rare.flatten()
+        doc = np.repeat(np.arange(len(rare)), np.diff(rare.offsets.to_numpy()))
+        order = np.lexsort((values.field("nth").to_numpy(), doc))  # as their places follow
+        ids = values.field("ids").take(pa.array(order)).to_pylist()
+        rare_size = np.fromiter((len(i) // 4 for i in ids), np.int64, len(ids))
+        places = np.flatnonzero(codes == 0)
+        n, at = size[codes], start[codes]
+        n[places] = rare_size
+        at[places] = len(pool) + np.cumsum(rare_size) - rare_size
+        all_ids = np.concatenate([pool, np.frombuffer(b"".join(ids), _ID)])
+        ends = np.cumsum(n)
+        source = np.repeat(at - (ends - n), n)
+        source += np.arange(len(source))
+        tokens = all_ids[source]
+        cuts = np.concatenate([[0], ends])[of_doc].tolist()
+        out = [tokens[a:b].tobytes() for a, b in zip([0, *cuts], cuts)]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
+
     def run(batches):
-        ids_of = _hot_table(hot, _ids_of_code)
         unpack = zstandard.ZstdDecompressor()
-        for whole in batches:
-            for start in range(0, len(whole), SLICE_ROWS):
-                batch = whole.slice(start, SLICE_ROWS)
-                rare = batch.column("rare")
-                first = rare.offsets[0].as_py()
-                ends = rare.offsets.to_numpy() - first
-                values = rare.flatten()
-                nth, rare_ids = values.field("nth").to_numpy(), values.field("ids").to_pylist()
-                out = []
-                for i, packed in enumerate(batch.column("codes").to_pylist()):
-                    planes = np.frombuffer(unpack.decompress(packed), np.uint8).reshape(3, -1)
-                    codes = (planes[0].astype(_ID) | planes[1].astype(_ID) << 8
-                             | planes[2].astype(_ID) << 16)
-                    ids = [ids_of[c] for c in codes.tolist()]
-                    places = np.flatnonzero(codes == 0)
-                    for at, r in zip(places[nth[ends[i]:ends[i + 1]]].tolist(),
-                                     rare_ids[ends[i]:ends[i + 1]]):
-                        ids[at] = r
-                    out.append(b"".join(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "ids"])
+        for batch in batches:
+            start, held, size = 0, [], 0
+            for i, packed in enumerate(batch.column("codes").to_pylist()):
+                planes = np.frombuffer(unpack.decompress(packed), np.uint8).reshape(3, -1).astype(_ID)
+                held.append(planes[0] | planes[1] << 8 | planes[2] << 16)
+                size += len(held[-1])
+                if size > SLICE_TOKENS:
+                    yield together(batch.slice(start, i + 1 - start), held)
+                    start, held, size = i + 1, [], 0
+            if held:
+                yield together(batch.slice(start), held)
     return run
 
 
@@ -262,7 +276,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     id_type = texts.schema["doc_id"].dataType.simpleString()
     spec = spark.sparkContext.broadcast(read_spec(tokenizer_path))
     words = word_table(texts, spec)
-    drop_unused_shuffles(spark)  # those of the counts
+    drop_unused_shuffles(spark, 1.0)  # those of the counts
     is_hot = ((F.octet_length("word") <= HOT_WORD_BYTES)
               & (F.col("n") >= _hot_limit(words, hot_words)))
     # at most hot_words rows of at most HOT_WORD_BYTES bytes: a proven bound
@@ -272,18 +286,19 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
         w.write_table(table)
     hot = spark.sparkContext.broadcast({"key": uuid.uuid4().hex, "table": sink.getvalue().to_pybytes()})
 
-    keys = ["doc_id", "text_key"]
-    schema = f"doc_id {id_type}, text_key int"
+    schema = f"doc_id {id_type}, key_a long, key_b long"
     rare = map_arrow(texts, _rare_words(hot, spec), f"{schema}, nth int, word string")
     found = (rare.join(words.where(~is_hot).select("word", "ids"), "word")
-             .groupBy(*keys).agg(F.collect_set(F.struct("nth", "ids")).alias("rare")))
+             .groupBy(*KEYS).agg(F.collect_set(F.struct("nth", "ids")).alias("rare")))
     # written before the codes are made, so the occurrences' two shuffles and
     # the codes' are not on disk together
     found = written(found, "bpe-rare")
+    del rare
+    drop_unused_shuffles(spark, 1.0)
     codes = map_arrow(texts, _hot_codes(hot, spec), f"{schema}, codes binary")
     both = codes.alias("c").join(
         found.alias("r"), F.col("c.doc_id").eqNullSafe(F.col("r.doc_id"))
-        & (F.col("c.text_key") == F.col("r.text_key")), "left")
+        & (F.col("c.key_a") == F.col("r.key_a")) & (F.col("c.key_b") == F.col("r.key_b")), "left")
     return map_arrow(both.select("c.doc_id", "codes", "rare"), _assemble(hot),
                      f"doc_id {id_type}, ids binary")
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -30,9 +32,23 @@ def workers_import_package(spark: SparkSession) -> None:
 
 def map_arrow(df: DataFrame, func: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package."""
+    """``mapInArrow`` whose workers can import this package, and give back what
+    their largest slice took: they stay for the next task."""
     workers_import_package(df.sparkSession)
-    return df.mapInArrow(func, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from func(batches)
+        free_memory()
+    return df.mapInArrow(run, schema)
+
+
+def free_memory() -> None:
+    """Give free memory of this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # not this C library
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -41,16 +57,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     is removed when the driver's JVM ends."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    # a copy: ``df`` itself, which the caller holds, never runs and keeps no shuffle
+    df.select("*").write.parquet(path)
     remove_on_exit(spark, path)
     drop_unused_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_unused_shuffles(spark: SparkSession) -> None:
+def drop_unused_shuffles(spark: SparkSession, wait: float = 0.0) -> None:
     """Shuffle files go when the driver's JVM collects the plans that made
-    them; after a written table nothing refers to those below it."""
+    them; after a written table nothing refers to those below it. Python lets
+    go of its plans in the background: ``wait`` for that where much is on disk."""
     gc.collect()
+    time.sleep(wait)
     spark._jvm.System.gc()
 
 

@@ -31,7 +31,7 @@ PER_LANGUAGE = 400
 BUCKETS = 1 << 12
 MAX_BITS = 31
 AMBIGUOUS = 0.2
-SLICE_ROWS, SLICE_CHARS = 256, 1_000_000
+SLICE_ROWS, SLICE_CHARS = 256, 200_000
 
 
 @lru_cache(maxsize=1)

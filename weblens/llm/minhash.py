@@ -55,7 +55,7 @@ SALTS = 32
 #: Comparisons with one class that one task group holds.
 GROUP = 256
 #: Characters that a task shingles at once (one document at least).
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 _CHUNK = 1024
 
 
