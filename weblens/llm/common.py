@@ -51,16 +51,17 @@ def free_memory() -> None:
         pass  # not this C library
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, wait: float = 0.0) -> DataFrame:
     """Write ``df`` once under ``spark.checkpoint.dir`` and read it back: the
     lineage is cut and the rows survive the loss of any executor. The folder
-    is removed when the driver's JVM ends."""
+    is removed when the driver's JVM ends. ``wait``: as of
+    ``drop_unused_shuffles``."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     # a copy: ``df`` itself, which the caller holds, never runs and keeps no shuffle
     df.select("*").write.parquet(path)
     remove_on_exit(spark, path)
-    drop_unused_shuffles(spark)
+    drop_unused_shuffles(spark, wait)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -24,7 +24,8 @@ A pair of similarity s shares no key with probability (1 - s**4)**32: 5e-8 at
 
 Defined results: a null, empty or white-space text has an empty set, is linked
 with nothing and kept; a text with fewer words than a shingle has one shingle,
-its whole sequence; rows that share a ``doc_id`` are one document; a row with
+its whole sequence; rows that share a ``doc_id`` are one document, whose pairs are
+compared by its least text; a row with
 a null ``doc_id`` is linked with nothing, has a null component and is kept;
 the kept document of a component is the one with the smallest id, so ties do
 not arise; other columns are ignored; an empty table gives an empty table.
@@ -216,7 +217,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     salted = written(_salted(pairs), "minhash-pairs").select(
         F.col("a").alias("hub"), F.col("b").alias("rep"), "salt")
     return written(map_arrow(_with_hub(salted, sets), _confirm(percent), "a long, b long"),
-                   "minhash-links")
+                   "minhash-links", wait=1.0)
 
 
 def _salted(pairs: DataFrame) -> DataFrame:
@@ -244,10 +245,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     keys = classes.select("rep", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("hub")) \
         .where("n > 1")
-    members = written(keys.join(shared, "key").select("key", "rep", "hub"), "minhash-buckets")
+    members = written(keys.join(shared, "key").select("key", "rep", "hub"), "minhash-buckets", wait=1.0)
     involved = written(members.select(F.col("rep").alias("doc_id")).distinct(), "minhash-involved")
-    sets = written(map_arrow(docs.join(involved, "doc_id").dropDuplicates(["doc_id"]),
-                             _sets(words), "rep long, shingles binary"), "minhash-sets")
+    texts = docs.join(involved, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    sets = written(map_arrow(texts, _sets(words), "rep long, shingles binary"), "minhash-sets", wait=1.0)
 
     star = (members.where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
             .distinct())
@@ -317,7 +318,7 @@ def _cross_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                                sets, "component"),
                      _differences(percent), "hub long, rep long, component long, element long, "
                                             "wide long, narrow long, d long, n long")
-    rows = written(rows, "minhash-differences")
+    rows = written(rows, "minhash-differences", wait=1.0)
     held = rows.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("held"))
     rarest = Window.partitionBy("hub", "rep").orderBy("held", "element")  # one document's elements
     rows = (rows.join(held, ["hub", "element"])
