@@ -40,7 +40,7 @@ from .pieces import WordTokenizer, read_spec
 HOT_WORDS = 1 << 18
 HOT_WORD_BYTES = 48
 #: Characters of texts that a task splits at once (one document at least).
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_500_000
 #: Words that are put together, and tokens that are decoded, at once (one
 #: document at least).
 SLICE_TOKENS = 1_000_000
@@ -197,6 +197,7 @@ def _hot_codes(hot, spec):
     byte planes one after another and compressed."""
     def run(batches):
         tok, code_of = WordTokenizer.load(spec.value), _hot_table(hot, _code_of_word)
+        tok.drop_encoder()
         pack = zstandard.ZstdCompressor(level=3, write_content_size=True)
         for batch in _slices(batches):
             seen, codes = _codes(tok, code_of, batch.column("text").to_pylist())
@@ -214,6 +215,7 @@ def _rare_words(hot, spec):
     with its place among those of its document."""
     def run(batches):
         tok, code_of = WordTokenizer.load(spec.value), _hot_table(hot, _code_of_word)
+        tok.drop_encoder()
         for batch in _slices(batches):
             seen, codes = _codes(tok, code_of, batch.column("text").to_pylist())
             rare = np.flatnonzero(codes == 0)

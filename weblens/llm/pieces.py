@@ -85,6 +85,11 @@ class WordTokenizer:
         one.encode_special_tokens = True
         return one
 
+    def drop_encoder(self) -> None:
+        """Let go of the encoder, which the words' encoding has left in a worker
+        whose next tasks only split."""
+        self.__dict__.pop("_one", None)
+
     def id_to_piece(self) -> dict[int, str]:
         vocab = json.loads(self._spec)["model"]["vocab"]
         return {i: p for p, i in (vocab | self._special_ids).items()}
