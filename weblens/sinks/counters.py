@@ -43,20 +43,21 @@ def add_counters(deltas: DataFrame, path: str, version: int) -> list[str]:
     """Add ``deltas`` (stat_key, field, value, day) as ``version``; returns the
     days written. Deltas are a few rows a day, computed once."""
     spark = deltas.sparkSession
+    first = not path_exists(spark, path)
     held = deltas.select("stat_key", "field", "value", "day").persist()
     try:
         days = sorted(r["day"] for r in held.select("day").distinct().collect())
         if not days:
             return []
         rows = read_counters(spark, path, days, below=version).unionByName(held)
-        (rows.groupBy("day", "stat_key", "field").agg(F.sum("value").alias("value"))
+        # dealt by day once: the sums and the day's file need no other shuffle
+        (rows.repartition("day").groupBy("day", "stat_key", "field").agg(F.sum("value").alias("value"))
              .withColumn("v", F.lit(version).cast("long"))
-             .repartition("day")
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("day", "v").parquet(path))
     finally:
         held.unpersist()
-    for day in days:
+    for day in [] if first else days:
         versions = sorted(int(name[2:]) for name in list_path(spark, f"{path}/day={day}")
                           if name.startswith("v="))
         for old in versions[:-KEPT_VERSIONS]:

@@ -90,7 +90,7 @@ def _deltas(keyed: DataFrame, daily: bool, prefixes: tuple[str, str], prefix: st
 
 def _rewrite(rows: DataFrame, path: str, batch_id: int) -> None:
     """The batch's own folder, only if it has rows; the same after a replay."""
-    if rows.limit(1).count():
+    if not rows.isEmpty():
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
@@ -102,7 +102,10 @@ def count_batch(counter_path: str, *, daily: bool = False, watermark: str | None
     usable = F.col("valid_day") if daily else F.col("valid")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()  # three outputs of one read, as the original cached it
+        # three outputs of one read, as the original cached it; texts only where one needs them
+        text = F.col("value") if watermark else F.when(~usable, F.col("value"))
+        rows = batch.select(text.alias("value"), "arrival", "day", "hour", "flag", "fee_long",
+                            "valid_day", "valid").persist()
         try:
             keep = ["value", "arrival"]
             keyed = o.day_keys(rows, keep) if daily else o.stat_keys(rows, keep)
