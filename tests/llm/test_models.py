@@ -142,6 +142,52 @@ def test_nearest_vectors(spark):
     assert ann.nearest(vectors.limit(0)).count() == 0
 
 
+def test_repeated_rows_and_ids_of_several_vectors(spark):
+    """Against brute force over all rows, in several groups of queries."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(400, 8)).astype(np.float32)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    rows += rows[:1] * 30 + rows[7:9] * 20  # a query and two candidates again
+    rows += [(i % 40, [float(v) for v in r]) for i, r in enumerate(rng.normal(size=(80, 8)).astype(np.float32))]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>"),
+                      centroids=4, candidates=10_000, group=2).collect()
+    found = {q: [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q]
+             for q in range(0, 400, 100)}
+    assert len(got) == 40
+    for q, pairs in found.items():
+        own = [np.array(v, np.float64) for i, v in rows if i == q]
+        least = {}
+        for i, v in rows:
+            if i != q:
+                d = min(float(np.sqrt(((o - np.array(v)) ** 2).sum())) for o in own)
+                least[i] = min(d, least.get(i, d))
+        want = sorted((d, i) for i, d in least.items())[:10]
+        assert [p[0] for p in pairs] == [i for _, i in want]
+        assert all(abs(p[1] - d) < 1e-9 for p, (d, _) in zip(pairs, want))
+
+
+def test_recall_on_the_given_vectors(spark):
+    """The index at work: a share of the table is ranked, whatever its size."""
+    table = read_table(spark, "/root/testdata/sf0.1", "embeddings").select("vec_id", "embedding").cache()
+    data = table.toArrow()
+    ids = np.array(data["vec_id"])
+    x = np.stack([np.asarray(v, np.float64) for v in data["embedding"].to_pylist()])
+    recall = {}
+    for share in (0.1, ann.SHARE, 1.0):
+        got = ann.nearest(table, candidates=0, share=share).collect()
+        hits = n = 0
+        for q in np.flatnonzero(ids % 100 == 0):
+            d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+            d[q] = np.inf
+            best = set(ids[np.lexsort((ids, d))[:10]].tolist())
+            hits += len(best & {r["vec_id"] for r in got if r["query_id"] == ids[q]})
+            n += 10
+        recall[share] = hits / n
+    table.unpersist()
+    print(recall)
+    assert recall[0.1] < recall[ann.SHARE] < recall[1.0] == 1 and recall[ann.SHARE] >= 0.9
+
+
 def test_pipeline(spark):
     docs = read_table(spark, SF_SMALL, "documents")
     columns, ids = docs.columns, {r["doc_id"] for r in docs.select("doc_id").collect()}

@@ -11,14 +11,16 @@ indexed.
 Equal vectors are indexed once with their ``k`` + 1 smallest ids, which are all
 that any result can need, and equal queries are searched once, so one vector
 that a third of all rows hold makes no hot cell. The cells of one first centroid
-are searched together, and split into blocks where they hold many vectors.
+are searched together, and split into blocks where they hold many vectors; a
+task group ranks one such block for at most about ``QUERIES`` queries.
 
 Defined results: vectors that are null, zero, hold null or non-finite
 components or have another dimension than most take no part, as candidate or
 query; ties of distance go to the smaller id; a query has all candidates if
-there are fewer than ``k``; rows that share an id are candidates each, but not
-for a query of that id; other columns are ignored; an empty table gives an
-empty table.
+there are fewer than ``k``; a repeated row counts once, as query and as
+candidate; an id with several vectors is searched for and found by each of
+them, at its least distance, once in a result, and never for a query of that
+id; other columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, workers_import_package, written
+from .common import map_arrow, shuffle_partitions, workers_import_package, written
 
 CENTROIDS = 128
 CANDIDATES = 6000
@@ -42,6 +44,8 @@ SHARE = 0.35
 SAMPLE = 20_000
 #: Distinct vectors of one first centroid that one task group ranks.
 BLOCK = 4000
+#: Distinct queries of one task group, about.
+QUERIES = 4000
 
 
 def _valid(dimension):
@@ -145,17 +149,23 @@ def _rank(k):
         if len(queries) and len(entries):
             x = np.stack([np.frombuffer(v) for v in entries["vec"]])
             second, ids = entries["second"].to_numpy(), entries["ids"].to_numpy()
+            known = np.concatenate(ids)
+            most = k + len(known) - len(np.unique(known))  # ids of several vectors count once
             for start in range(0, len(queries), 256):
                 part = queries.iloc[start:start + 256]
                 q = np.stack([np.frombuffer(v) for v in part["vec"]])
                 rough = _distances(q, x)
                 for v, own, d, cells in zip(part["vec"], q, rough, part["seconds"]):
                     at = np.flatnonzero(np.isin(second, cells))
-                    if len(at) > k + 1:  # with a margin for the rounding of rough distances
-                        limit = np.partition(d[at], k)[k]
+                    if len(at) > most + 1:  # with a margin for the rounding of rough distances
+                        limit = np.partition(d[at], most)[most]
                         at = at[d[at] <= limit + 1e-6 * (1 + limit + own @ own)]
                     exact = np.sqrt(((x[at] - own) ** 2).sum(axis=1))
-                    best = heapq.nsmallest(k + 1, ((s, i) for s, e in zip(exact, at) for i in ids[e]))
+                    least: dict[int, float] = {}
+                    for s, e in zip(exact, at):
+                        for i in ids[e]:
+                            least[i] = min(s, least.get(i, s))
+                    best = heapq.nsmallest(k + 1, ((s, i) for i, s in least.items()))
                     out["vec"].extend([v] * len(best))
                     out["score"].extend(b[0] for b in best)
                     out["vec_id"].extend(b[1] for b in best)
@@ -165,7 +175,7 @@ def _rank(k):
 
 def nearest(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id",
             vec_col: str = "embedding", centroids: int = CENTROIDS,
-            candidates: int = CANDIDATES, share: float = SHARE) -> DataFrame:
+            candidates: int = CANDIDATES, share: float = SHARE, group: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest other rows found for
     each row whose id is divisible by ``every``."""
     spark = vectors.sparkSession
@@ -174,8 +184,8 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "ve
                          F.col(vec_col).cast("array<double>").alias("v"))
     common = (raw.where("v is not null").groupBy(F.size("v").alias("d"))
               .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first())
-    rows = written(map_arrow(raw, _valid(common["d"] if common else 0), "vec_id long, vec binary"),
-                   "ann-rows")
+    rows = written(map_arrow(raw, _valid(common["d"] if common else 0), "vec_id long, vec binary")
+                   .distinct(), "ann-rows")
     total = rows.count()
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -203,18 +213,25 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "ve
     held, blocks = spark.sparkContext.broadcast(sizes), spark.sparkContext.broadcast(parts)
 
     queries = rows.where(F.col("vec_id") % every == 0)
-    visits = map_arrow(queries.select("vec").distinct(), _visits(books, held, blocks, wanted),
+    # a number of partitions of its own: the traversal of few queries is work enough for all tasks
+    wanted_by = queries.select("vec").distinct().repartition(shuffle_partitions(spark), "vec")
+    visits = map_arrow(wanted_by, _visits(books, held, blocks, wanted),
                        "first int, block int, vec binary, seconds array<int>")
+    groups = max(1, -(-queries.count() // group))
+    visits = visits.withColumn("part", F.pmod(F.xxhash64("vec"), F.lit(groups)).cast("int"))
     first = F.floor(F.col("cell") / seconds).cast("int")
     split = F.element_at(F.array(*(F.lit(int(n)) for n in parts)), first + 1)
     entries = index.select(first.alias("first"), (F.col("cell") % seconds).alias("second"), "vec", "ids",
-                           F.pmod(F.xxhash64("vec"), split).cast("int").alias("block"))
-    found = (visits.groupBy("first", "block").cogroup(entries.groupBy("first", "block"))
-             .applyInPandas(_rank(k), "vec binary, vec_id long, score double"))
+                           F.pmod(F.xxhash64("vec"), split).cast("int").alias("block"),
+                           F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
+    at = ["first", "block", "part"]
+    found = (visits.groupBy(*at).cogroup(entries.groupBy(*at))
+             .applyInPandas(_rank(k), "vec binary, vec_id long, score double")
+             .groupBy("vec", "vec_id").agg(F.min("score").alias("score")))
     best = Window.partitionBy("vec").orderBy("score", "vec_id")
     found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
     pairs = (queries.select(F.col("vec_id").alias("query_id"), "vec").join(found, "vec")
-             .where("vec_id != query_id"))
+             .where("vec_id != query_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score")))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
