@@ -145,7 +145,7 @@ def _visits(books, sizes, blocks, wanted):
 
 def _rank(k):
     def run(key, queries: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
-        out = {"vec": [], "vec_id": [], "score": []}
+        out = {"query": [], "vec_id": [], "score": []}
         if len(queries) and len(entries):
             x = np.stack([np.frombuffer(v) for v in entries["vec"]])
             second, ids = entries["second"].to_numpy(), entries["ids"].to_numpy()
@@ -155,7 +155,7 @@ def _rank(k):
                 part = queries.iloc[start:start + 256]
                 q = np.stack([np.frombuffer(v) for v in part["vec"]])
                 rough = _distances(q, x)
-                for v, own, d, cells in zip(part["vec"], q, rough, part["seconds"]):
+                for name, own, d, cells in zip(part["query"], q, rough, part["seconds"]):
                     at = np.flatnonzero(np.isin(second, cells))
                     if len(at) > most + 1:  # with a margin for the rounding of rough distances
                         limit = np.partition(d[at], most)[most]
@@ -166,7 +166,7 @@ def _rank(k):
                         for i in ids[e]:
                             least[i] = min(s, least.get(i, s))
                     best = heapq.nsmallest(k + 1, ((s, i) for i, s in least.items()))
-                    out["vec"].extend([v] * len(best))
+                    out["query"].extend([name] * len(best))
                     out["score"].extend(b[0] for b in best)
                     out["vec_id"].extend(b[1] for b in best)
         return pd.DataFrame(out)
@@ -213,12 +213,15 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "ve
     held, blocks = spark.sparkContext.broadcast(sizes), spark.sparkContext.broadcast(parts)
 
     queries = rows.where(F.col("vec_id") % every == 0)
-    # a number of partitions of its own: the traversal of few queries is work enough for all tasks
-    wanted_by = queries.select("vec").distinct().repartition(shuffle_partitions(spark), "vec")
+    # by an expression of its own, which AQE does not coalesce: few queries are work for all tasks
+    wanted_by = (queries.select("vec").distinct()
+                 .repartition(shuffle_partitions(spark), F.xxhash64("vec")))
     visits = map_arrow(wanted_by, _visits(books, held, blocks, wanted),
                        "first int, block int, vec binary, seconds array<int>")
     groups = max(1, -(-queries.count() // group))
-    visits = visits.withColumn("part", F.pmod(F.xxhash64("vec"), F.lit(groups)).cast("int"))
+    name = F.unhex(F.md5("vec"))  # 128 bits stand for the vector where results are merged
+    visits = visits.withColumn("part", F.pmod(F.xxhash64("vec"), F.lit(groups)).cast("int")) \
+        .withColumn("query", name)
     first = F.floor(F.col("cell") / seconds).cast("int")
     split = F.element_at(F.array(*(F.lit(int(n)) for n in parts)), first + 1)
     entries = index.select(first.alias("first"), (F.col("cell") % seconds).alias("second"), "vec", "ids",
@@ -226,11 +229,11 @@ def nearest(vectors: DataFrame, k: int = 10, every: int = 100, id_col: str = "ve
                            F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"))
     at = ["first", "block", "part"]
     found = (visits.groupBy(*at).cogroup(entries.groupBy(*at))
-             .applyInPandas(_rank(k), "vec binary, vec_id long, score double")
-             .groupBy("vec", "vec_id").agg(F.min("score").alias("score")))
-    best = Window.partitionBy("vec").orderBy("score", "vec_id")
+             .applyInPandas(_rank(k), "query binary, vec_id long, score double")
+             .groupBy("query", "vec_id").agg(F.min("score").alias("score")))
+    best = Window.partitionBy("query").orderBy("score", "vec_id")
     found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
-    pairs = (queries.select(F.col("vec_id").alias("query_id"), "vec").join(found, "vec")
+    pairs = (queries.select(F.col("vec_id").alias("query_id"), name.alias("query")).join(found, "query")
              .where("vec_id != query_id").groupBy("query_id", "vec_id").agg(F.min("score").alias("score")))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
