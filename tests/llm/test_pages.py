@@ -141,17 +141,36 @@ def test_slots_decide_marked_pages(spark):
     page = ("<body><div>Site of all</div><article><p>Read our paper</p><h1>T {i}</h1><p>Para {i}</p>{x}"
             "</article><div>By author {i}</div></body>")
     rows = [(i, f"http://a.com/{i}", page.format(i=i, x="<p>More</p>" if i == 3 else "")) for i in range(5)]
-    # the same article with another date on each page: the mark keeps it
+    # the same article with another date beside it on each page: the mark keeps it
     rows += [(10 + i, f"http://b.com/{i}", f"<article><p>One text</p></article><p>Day {i}</p>") for i in range(4)]
     # too few pages: the mark decides
     rows += [(20, "http://c.com/", "<div>Site</div><article>Own <b>a</b> <i>b</i></article>")]
     got = _texts(spark, rows)
     for i in range(5):
-        assert got[i] == f"T {i} Para {i}{' More' if i == 3 else ''} By author {i}"
-    assert [got[10 + i] for i in range(4)] == [f"One text Day {i}" for i in range(4)]
+        assert got[i] == f"T {i} Para {i}{' More' if i == 3 else ''}"
+    assert [got[10 + i] for i in range(4)] == ["One text"] * 4
     assert got[20] == "Own a b"
 
 
+@pytest.mark.parametrize("html, want", [
+    ("<div class='content with-sidebar'><article><p>Text</p></article></div>", "Text"),
+    ("<div id=no-sidebar><article><p>Text</p></article></div>", "Text"),
+    ("<article class='post has-comments'><p>Text</p></article>", "Text"),
+    ("<article><div class='entry-header'><h1>Title</h1></div><p>Text</p></article>", "Title Text"),
+    ("<div class='post-meta'>By me</div><div class='post-content'>Text</div>", "Text"),
+    ("<form id=page><div class='sidebar-right'><article>Text</article></div></form>", "Text"),
+    ("<form id=page><p>Ask</p><article>Text<form>Mail</form></article></form>", "Text"),
+    ("<article>Text</article><div class='sidebar'><article>Teaser</article></div>", "Text"),
+    ("<p>Text</p><section class='comments'><article>Reply</article></section>", "Text"),
+    ("<article>Te<span class='ad'>buy</span>xt</article><div class='top-ad'>buy</div>", "Text"),
+    ("<article class='article-comments'>Reply</article><p>Text</p>", "Text"),
+])
+def test_class_names_around_an_article(html, want):
+    items = html_extract.compact(html_extract.parse(html))
+    texts = [i for i in items if len(i) == 4]
+    assert html_extract.content(items, [(-1, False)] * len(texts), {}) == want
+
+
 def test_copies_count_once_and_seeds_have_texts(spark):
     page = "<body><div>Site of all</div><p>Para {i}</p><p>More {i}</p></body>"
     # a host of copies: nothing is known to be template

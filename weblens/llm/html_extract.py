@@ -2,7 +2,10 @@
 
 Every page is parsed into a tree of blocks. Parts that their tag, role, class or
 id names as menu, header, footer, sidebar, notice, advert, form, comment and
-the like are cut. Each page, whether it marks its article or not, is then
+the like are cut: by the first or last word of a whole class name, so not by
+``with-sidebar``, ``has-comments`` or ``entry-header``. A part that is cut by a
+name of a layout (a form, a sidebar, a header) stays if all marked text of the
+page is in marks below it. Each page, whether it marks its article or not, is then
 aligned with the first page of its host by simple tree matching: a text that
 nearly all aligned pages have at the same node is constant, other texts at a
 node that enough pages have vary. Blocks of constant texts are template, blocks
@@ -11,7 +14,8 @@ with a varying text are content.
 The mark of an article (``article``, ``main`` or the like) only breaks ties and
 checks: texts that the slots leave open (without a partner, or at a node that
 too few different pages have) are content inside the page's strongest mark, and
-everywhere on a page without one; and if the template leaves nothing of a
+everywhere on a page without one; texts outside all marks of a marked page (its
+author or date, say) are not content; and if the template leaves nothing of a
 marked article, as among pages that differ in a date only, the article is kept.
 
 Alignment is one row of work for each page; the hosts' compact first trees are
@@ -33,6 +37,7 @@ table gives an empty table.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -70,7 +75,14 @@ _CUT_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
               "navigation", "breadcrumb", "breadcrumbs", "header", "masthead", "footer", "comment",
               "comments", "reply", "replies", "disqus", "related", "recommended", "share", "sharing",
               "social", "widget", "toolbar", "pagination", "pager", "login", "search", "skip"}
+#: Of these, what may also name the layout around an article; the others are cut whole.
+_LAYOUT_TAGS = {"form", "header"}
+_LAYOUT_NAMES = {"banner", "notice", "notices", "popup", "modal", "overlay", "sidebar", "menu", "nav",
+                 "navbar", "navigation", "header", "masthead", "widget", "toolbar", "search", "skip"}
 _MAIN_NAMES = {"article", "articlebody", "post", "entry", "story"}
+_MAIN_PARTS = {"content", "body", "text"}
+#: Words after which a class name tells of a part that is elsewhere, or missing.
+_ELSEWHERE = {"with", "has", "no", "not", "without", "is", "hide"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn",
            "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span",
            "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "img", "wbr", "link", "meta"}
@@ -81,20 +93,38 @@ _SCOPES = {"ul", "ol", "dl", "table", "article", "main", "section", "div", "body
 _WORD = re.compile(r"[a-z]+")
 
 
+@functools.lru_cache(4096)
+def _cut_words(name: str) -> set[str]:
+    """The words by which a whole class name or id says that its part is none of the article."""
+    words = _WORD.findall(name)
+    if not words or not _ELSEWHERE.isdisjoint(words) or (words[0] in _MAIN_NAMES and words[-1] == "header"):
+        return set()
+    return {words[0], words[-1]} & _CUT_NAMES
+
+
+@functools.lru_cache(4096)
+def _names_article(name: str) -> bool:
+    words = _WORD.findall(name)
+    return bool(words) and _ELSEWHERE.isdisjoint(words) and (
+        words[-1] in _MAIN_NAMES or (words[0] in _MAIN_NAMES and words[-1] in _MAIN_PARTS))
+
+
 class _Node:
     __slots__ = ("tag", "names", "children", "cut", "main")
 
-    def __init__(self, tag: str, names: str = "", cut: bool = False, main: int = 0):
+    def __init__(self, tag: str, names: str = "", cut: int = 0, main: int = 0):
         self.tag, self.names, self.cut, self.main, self.children = tag, names, cut, main, []
 
 
 class _Tree(HTMLParser):
-    """A tree of the page's elements and texts; cut subtrees stay empty."""
+    """A tree of the page's elements and texts. ``cut`` of a node is 1 where the
+    name of a layout cuts it, 2 where it is cut whole; the latter stay empty."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = _Node("#root")
         self.open = [self.root]
+        self.layouts = False
 
     def handle_starttag(self, tag, attrs):
         closes = _CLOSES.get(tag)
@@ -108,15 +138,20 @@ class _Tree(HTMLParser):
                     break
         a = dict(attrs)
         names = f"{a.get('class') or ''} {a.get('id') or ''}".lower()
-        words = set(_WORD.findall(names))
         role = (a.get("role") or "").lower()
-        cut = (self.open[-1].cut or tag in _CUT_TAGS or role in _CUT_ROLES or "hidden" in a
-               or (tag not in ("html", "body") and not words.isdisjoint(_CUT_NAMES)))
+        page = tag in ("html", "body")
+        words = set() if page else set().union(*map(_cut_words, names.split()))
+        if (self.open[-1].cut == 2 or tag in _CUT_TAGS - _LAYOUT_TAGS or role in _CUT_ROLES - {"form"}
+                or "hidden" in a or not words <= _LAYOUT_NAMES):
+            cut = 2
+        else:
+            cut = int(bool(words) or tag in _LAYOUT_TAGS or role == "form")
+        self.layouts |= cut == 1
         main = (3 if tag == "article" or (a.get("itemprop") or "").lower() == "articlebody" else
                 2 if tag == "main" or role == "main" else
-                1 if tag not in ("html", "body") and not words.isdisjoint(_MAIN_NAMES) else 0)
+                1 if not page and any(map(_names_article, names.split())) else 0)
         node = _Node(tag, " ".join(sorted(names.split())), cut, main)
-        if not cut or tag in _SCOPES:
+        if cut < 2 or tag in _SCOPES:
             self.open[-1].children.append(node)
         if tag not in _VOID:
             self.open.append(node)
@@ -141,7 +176,7 @@ class _Tree(HTMLParser):
         return j  # line numbers are not needed
 
     def handle_data(self, data):
-        if not self.open[-1].cut:
+        if self.open[-1].cut < 2:
             self.open[-1].children.append(data)
 
 
@@ -149,9 +184,42 @@ def parse(html: str | None) -> _Node:
     tree = _Tree()
     tree.feed(html or "")
     tree.close()
+    if tree.layouts:
+        _keep_layouts(tree.root)
     return tree.root
 
 
+def _keep_layouts(root: _Node) -> None:
+    """Takes back the cut of a layout around the strongest mark, if no marked
+    text of the page is outside such cuts."""
+    cuts: list[_Node] = []
+    marks: list[tuple[int, int]] = []  # (mark, cuts around it)
+    found: dict[int, dict[int, _Node]] = {}
+    stack: list = [(root, False)]
+    while stack:
+        item, done = stack.pop()
+        if isinstance(item, str):
+            around = [m for m, n in marks if n == len(cuts)] if item.strip() else []
+            if around and not cuts:
+                return
+            if around:
+                found.setdefault(max(around), {}).update((id(c), c) for c in cuts)
+        elif done:
+            if item.cut:
+                cuts.pop()
+            elif item.main:
+                marks.pop()
+        elif item.cut < 2:
+            if item.cut:
+                cuts.append(item)
+            elif item.main:
+                marks.append((item.main, len(cuts)))
+            stack.append((item, True))
+            stack.extend((c, False) for c in reversed(item.children))
+    for node in found[max(found)].values() if found else ():
+        node.cut = 0
+
+
 def join_blocks(parts: list[tuple[str, int]]) -> str:
     out, last = [], None
     for text, block in parts:
@@ -180,7 +248,7 @@ def compact(root: _Node) -> list:
             else:  # white space alone parts the texts around it
                 space = block
         elif item.cut:
-            block += 1
+            block += item.tag in _SCOPES
         else:
             out.append([depth, f"{item.tag} {item.names}"])
             mark = max(mark, item.main)
@@ -430,7 +498,7 @@ def content(items: list, slots: list[tuple[int, bool]], decided: dict[int, bool]
     wanted = set()  # a block with any content is content as a whole
     for text, (node, same) in zip(texts, slots):
         varies = not (same and decided[node]) if node in decided else text[3] == best
-        if varies:
+        if varies and (text[3] or not best):
             wanted.add(text[2])
     if best and not any(t[3] == best and t[2] in wanted for t in texts):
         wanted.update(t[2] for t in texts if t[3] == best)
