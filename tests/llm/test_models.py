@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from weblens.llm import ann, decontam, langid, quality
@@ -198,3 +199,29 @@ def test_pipeline(spark):
         ids = left
     out = corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL)
     assert {r["doc_id"] for r in out.collect()} == ids
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd_docs):
+    """Each stage really runs on nulls, empty and long texts and repeats."""
+    good = read_table(spark, SF_SMALL, "documents")
+    odd = odd_docs.select(*[F.col(c).cast(t) if c in odd_docs.columns else F.lit(None).cast(t).alias(c)
+                            for c, t in good.dtypes]).withColumn("doc_id", F.col("doc_id") + 10**9)
+    docs = written(good.unionByName(odd), "odd-documents")
+    rows = {name: stage(spark, docs, SF_SMALL).collect() for name, stage in corpus_pipeline.STAGES}
+    shift = {name: sorted((-1 if r["doc_id"] is None else r["doc_id"] - 10**9) for r in found
+                          if r["doc_id"] is None or r["doc_id"] >= 10**9) for name, found in rows.items()}
+    every = [-1, 1, 2, 3, 4, 5, 6, 7, 8, 9, 9]
+    assert not {3, 4, 5} & set(shift["language_filter"])  # no letter, no language
+    assert shift["near_duplicates"] == [i for i in every if i != 2]  # the copy of 1
+    assert shift["decontamination"] == every
+    assert shift["bpe_encoding"] == every
+    assert set(shift["quality_filter"]) <= set(every)
+    assert all(r["n_tokens"] == 0 for r in rows["bpe_encoding"] if (r["doc_id"] or 0) in (10**9 + 3, 10**9 + 4))
+
+
+def test_pipeline_stages_on_no_rows(spark):
+    none = written(read_table(spark, SF_SMALL, "documents").limit(0), "no-documents")
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, none, SF_SMALL)
+        assert found.count() == 0, name
+        assert name == "bpe_encoding" or found.columns == none.columns
