@@ -3,6 +3,12 @@ read again as the next one's input.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but
 the last keep the columns of ``documents``.
+
+Defined results: a null text counts as empty; rows with a null id and repeated
+rows are judged as rows of their own and stay or go by their text, but near
+duplicates go by id, so rows of a dropped id go together and a row without an
+id stays; texts of any length are read whole; other columns pass through to the
+last stage, which returns its own; empty documents give an empty table.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a clear language."""
+    """Drops documents without a clear language, so those without a letter."""
     return langid.identified(docs, langid.fit(docs))
 
 
@@ -37,12 +43,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which an item of ``benchmark`` occurs."""
+    """Drops documents in which an item of ``benchmark`` occurs; empty texts stay."""
     return decontam.clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and the digest of what they decode to."""
+    """Token ids of each document (none for an empty text), and the digest of
+    what they decode to."""
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.decode(bpe.encode(docs, path), path).select(
         "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
