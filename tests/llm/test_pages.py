@@ -1,6 +1,10 @@
 """URL verdicts and main texts."""
 
+import re
+from html import unescape
+
 import pytest
+from pyspark.sql import functions as F
 
 from llm_fixtures import SF_CHECK
 from weblens.llm import html_extract, url_filter
@@ -197,3 +201,85 @@ def test_odd_pages_do_not_end_the_query(spark):
     got = _texts(spark, rows)
     assert [got[i] for i in range(1, 6)] == ["a b", "c", "de", "first in", "first out x"]
     assert all(got[6 + i] == f"text {i} p {i}" for i in range(4))
+
+
+def _article(html):
+    """The text of the only article, in plain Python: inline tags join, others part."""
+    inner = re.search(r"<article>(.*)</article>", html, re.S).group(1)
+    return " ".join(unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", inner))).split())
+
+
+@pytest.mark.parametrize("names", [True, False])
+def test_articles_of_the_given_pages(spark, names):
+    """Against plain Python on hosts with enough pages; without names and marks
+    the alignment finds the articles alone, though menus, adverts and footers
+    have other texts on each page."""
+    pages = read_table(spark, SF_CHECK, "pages")
+    table = pages.withColumn("host", url_filter.host_of(F.col("url")))
+    many = {r["host"] for r in table.groupBy("host").count().where("count >= 8").collect()}
+    rows = {r["page_id"]: r for r in table.collect() if names or r["host"] in many}
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages, names=names).collect()}
+    right = sum(got[i] == _article(r["html"]) for i, r in rows.items())
+    assert len(rows) > 100
+    assert right == len(rows) if names else right >= 0.9 * len(rows)
+
+
+SITE = ("<div class=x1><a href=/>Home {i}</a><a href=/a>Topic {i}</a></div><div class=x2>Buy {i} now</div>"
+        "<div class=x3><h2>Title {i}</h2>{paras}</div><div class=x4><i>Foot {i}</i></div>")
+
+
+def _site(i, n, host="s.com"):
+    return i, f"http://{host}/{i}", SITE.format(i=i, paras="".join(f"<p>Para {i} {k}</p>" for k in range(n)))
+
+
+def _want(i, n):
+    return " ".join([f"Title {i}", *(f"Para {i} {k}" for k in range(n))])
+
+
+def test_regions_without_telling_names(spark):
+    """Parts of a fixed shape are template though their texts vary."""
+    rows = [_site(i, 3 + i % 5) for i in range(12)]
+    # shapes do not tell where all pages are alike, nor on too few pages
+    rows += [_site(20 + i, 2, "same.com") for i in range(4)] + [_site(30, 2, "few.com")]
+    got = _texts(spark, rows)
+    assert all(got[i] == _want(i, 3 + i % 5) for i in range(12))
+    for i in (20, 21, 22, 23, 30):
+        assert got[i] == f"Home {i}Topic {i} Buy {i} now {_want(i, 2)} Foot {i}"
+
+
+def test_names_and_marks_against_the_shape(spark):
+    # longer comments of varying shape under short texts: named, so never the region
+    page = "<p>Own {i}</p><div class=comments>{c}</div>"
+    rows = [(i, f"http://a.com/{i}", page.format(i=i, c=f"<p>Reply {i} with many words</p>" * (2 + i % 4)))
+            for i in range(8)]
+    # the same without a name, beside a marked article of a fixed shape
+    page = "<article><p>Own {i}</p></article><div class=x>{c}</div>"
+    rows += [(10 + i, f"http://b.com/{i}", page.format(i=i, c=f"<p>Other {i} with many words</p>" * (2 + i % 4)))
+             for i in range(8)]
+    # the mark widens the region to its title; an h1 before an unmarked one stays
+    page = "<div>Menu {i}</div><article><b>Title {i}</b><div>{c}</div></article>"
+    rows += [(20 + i, f"http://c.com/{i}", page.format(i=i, c=f"<p>Long text {i}</p>" * (3 + i % 4)))
+             for i in range(8)]
+    page = "<div>Menu {i}</div><h1>Title {i}</h1><div class=y>{c}</div>"
+    rows += [(30 + i, f"http://d.com/{i}", page.format(i=i, c=f"<p>Long text {i}</p>" * (3 + i % 4)))
+             for i in range(8)]
+    got = _texts(spark, rows)
+    for i in range(8):
+        assert got[i] == got[10 + i] == f"Own {i}"
+        assert got[20 + i] == got[30 + i] == " ".join([f"Title {i}", *[f"Long text {i}"] * (3 + i % 4)])
+
+
+def test_pages_without_the_region_keep_their_texts(spark):
+    rows = [_site(i, 3 + i % 5) for i in range(12)]
+    rows += [(50, "http://s.com/x", "<p>Another layout</p>"), (51, "http://s.com/y", None)]
+    got = _texts(spark, rows)
+    assert got[50] == "Another layout" and got[51] == ""
+    assert all(got[i] == _want(i, 3 + i % 5) for i in range(12))
+
+
+def test_inline_cut_parts_keep_the_block():
+    items = html_extract.compact(html_extract.parse(
+        "<article><b>Te</b> <span class=ad><p>buy</p> it</span><i>xt</i>s<script>1</script>t"
+        "<div hidden>no</div>end</article>"))
+    texts = [i for i in items if len(i) == 4]
+    assert html_extract.content(items, [(-1, False)] * len(texts), {}) == "Te xtst end"

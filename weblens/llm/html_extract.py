@@ -1,24 +1,32 @@
 """Main-text extraction from HTML by wrapper induction.
 
-Every page is parsed into a tree of blocks. Parts that their tag, role, class or
-id names as menu, header, footer, sidebar, notice, advert, form, comment and
-the like are cut: by the first or last word of a whole class name, so not by
-``with-sidebar``, ``has-comments`` or ``entry-header``. A part that is cut by a
-name of a layout (a form, a sidebar, a header) stays if all marked text of the
-page is in marks below it. Each page, whether it marks its article or not, is then
-aligned with the first page of its host by simple tree matching: a text that
-nearly all aligned pages have at the same node is constant, other texts at a
-node that enough pages have vary. Blocks of constant texts are template, blocks
-with a varying text are content.
-
-The mark of an article (``article``, ``main`` or the like) only breaks ties and
-checks: texts that the slots leave open (without a partner, or at a node that
-too few different pages have) are content inside the page's strongest mark, and
-everywhere on a page without one; texts outside all marks of a marked page (its
-author or date, say) are not content; and if the template leaves nothing of a
-marked article, as among pages that differ in a date only, the article is kept.
-
-Alignment is one row of work for each page; the hosts' compact first trees are
+Every page is parsed into a tree of blocks and aligned, whole and once, with the
+first page of its host by simple tree matching. For each node of the first page
+the aligned pages then tell two things. A text that nearly all of them have
+alike is constant, else it varies. An element whose shape (labels and order
+below it) nearly all of them have alike is fixed, as menus, adverts and footers
+are whose texts differ from page to page, else its shape varies, as an article's
+does. The host's region is found from the root downwards: of the elements that
+vary in shape the longest, as long as it holds half of the text. On a page with
+the region, texts outside it are template (but for a varying ``h1``). Blocks of
+constant texts are template, blocks with a varying text are content.
+
+Names and marks break the ties that this leaves. Parts that their tag, role,
+class or id names as menu, header, footer, sidebar, notice, advert, form,
+comment and the like are never content nor the region: by the first or last
+word of a whole class name, so not by ``with-sidebar``, ``has-comments`` or
+``entry-header``. A part that is cut by a name of a layout (a form, a sidebar, a
+header) stays if all marked text of the page is in marks below it. The mark of
+an article (``article``, ``main`` or the like) widens the region to the mark
+around it, and a region beside all marks is none. Texts that the slots leave
+open (without a partner, or at a node that too few different pages have) are
+content inside the page's strongest mark, and everywhere on a page without one;
+texts outside all marks of a marked page (its author or date, say) are not
+content; and if the template leaves nothing of a marked article, as among pages
+that differ in a date only, the article is kept. ``names=False`` leaves names
+and marks out, to measure what the alignment finds alone.
+
+Each page is aligned in one row of work; the hosts' compact first trees are
 broadcast below a measured size, else joined by a join that AQE can split for a
 large host, and the statistics of a node are summed map-side.
 
@@ -53,7 +61,8 @@ from .common import map_arrow, written
 from .url_filter import host_of
 
 MIN_PAGES = 3
-#: Share of the aligned pages that must have the same text at a template node.
+#: Share of the aligned pages that must have the same text at a template node,
+#: or the same shape below a fixed element.
 CONSTANT = 0.8
 #: Largest size of all first trees together that is broadcast with their slots.
 BROADCAST_BYTES = 64 << 20
@@ -64,9 +73,10 @@ REMEMBERED = 200_000
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
          "source", "track", "wbr"}
-_CUT_TAGS = {"head", "script", "style", "noscript", "template", "nav", "menu", "header", "footer",
-             "aside", "form", "button", "select", "textarea", "option", "iframe", "svg", "canvas",
-             "dialog", "object", "title"}
+#: Never part of a page's running text.
+_UNSEEN = {"head", "script", "style", "noscript", "template", "title", "button", "select", "textarea",
+           "option", "iframe", "svg", "canvas", "object"}
+_CUT_TAGS = {"nav", "menu", "header", "footer", "aside", "form", "dialog"}
 _CUT_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog",
               "alert", "menu", "menubar", "toolbar", "alertdialog"}
 _CUT_NAMES = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored",
@@ -118,10 +128,12 @@ class _Node:
 
 class _Tree(HTMLParser):
     """A tree of the page's elements and texts. ``cut`` of a node is 1 where the
-    name of a layout cuts it, 2 where it is cut whole; the latter stay empty."""
+    name of a layout cuts it, 2 where it is cut whole, 3 where it is no running
+    text; only the last stay empty. Without ``names`` nothing is 1 or 2, or marked."""
 
-    def __init__(self):
+    def __init__(self, names: bool = True):
         super().__init__(convert_charrefs=True)
+        self.by_names = names
         self.root = _Node("#root")
         self.open = [self.root]
         self.layouts = False
@@ -140,18 +152,21 @@ class _Tree(HTMLParser):
         names = f"{a.get('class') or ''} {a.get('id') or ''}".lower()
         role = (a.get("role") or "").lower()
         page = tag in ("html", "body")
-        words = set() if page else set().union(*map(_cut_words, names.split()))
-        if (self.open[-1].cut == 2 or tag in _CUT_TAGS - _LAYOUT_TAGS or role in _CUT_ROLES - {"form"}
-                or "hidden" in a or not words <= _LAYOUT_NAMES):
-            cut = 2
-        else:
-            cut = int(bool(words) or tag in _LAYOUT_TAGS or role == "form")
+        cut = main = 0
+        if self.open[-1].cut == 3 or tag in _UNSEEN or "hidden" in a:
+            cut = 3
+        elif self.by_names:
+            words = set() if page else set().union(*map(_cut_words, names.split()))
+            if tag in _CUT_TAGS - _LAYOUT_TAGS or role in _CUT_ROLES - {"form"} or not words <= _LAYOUT_NAMES:
+                cut = 2
+            else:
+                cut = int(bool(words) or tag in _LAYOUT_TAGS or role == "form")
+            main = (3 if tag == "article" or (a.get("itemprop") or "").lower() == "articlebody" else
+                    2 if tag == "main" or role == "main" else
+                    1 if not page and any(map(_names_article, names.split())) else 0)
         self.layouts |= cut == 1
-        main = (3 if tag == "article" or (a.get("itemprop") or "").lower() == "articlebody" else
-                2 if tag == "main" or role == "main" else
-                1 if not page and any(map(_names_article, names.split())) else 0)
         node = _Node(tag, " ".join(sorted(names.split())), cut, main)
-        if cut < 2 or tag in _SCOPES:
+        if cut < 3 or tag in _SCOPES:
             self.open[-1].children.append(node)
         if tag not in _VOID:
             self.open.append(node)
@@ -176,12 +191,12 @@ class _Tree(HTMLParser):
         return j  # line numbers are not needed
 
     def handle_data(self, data):
-        if self.open[-1].cut < 2:
+        if self.open[-1].cut < 3:
             self.open[-1].children.append(data)
 
 
-def parse(html: str | None) -> _Node:
-    tree = _Tree()
+def parse(html: str | None, names: bool = True) -> _Node:
+    tree = _Tree(names)
     tree.feed(html or "")
     tree.close()
     if tree.layouts:
@@ -231,15 +246,19 @@ def join_blocks(parts: list[tuple[str, int]]) -> str:
 
 
 def compact(root: _Node) -> list:
-    """The uncut tree in page order, without empty branches: [depth, label] of
+    """The tree in page order, without empty branches: [depth, label, mark] of
     an element, [depth, text, block, mark] of a text, where mark is the
-    strongest mark of an article around it."""
-    out, block, space = [], 0, -1
+    strongest mark of an article around a text, or an element's own; -1 in parts
+    that are cut."""
+    out, block, last, space = [], 0, 0, -1
     stack: list = [(root, 0, 0)]
     while stack:
         item, depth, mark = stack.pop()
-        if item is None:
-            block += 1
+        if item is None:  # the end of an element: a new block, or the one around it
+            if mark is None:
+                block = last = last + 1
+            else:
+                block, space = mark
         elif isinstance(item, str):
             if words := " ".join(item.split()):
                 before = " " if space == block or item[0].isspace() else ""
@@ -247,14 +266,20 @@ def compact(root: _Node) -> list:
                 space = -1
             else:  # white space alone parts the texts around it
                 space = block
-        elif item.cut:
-            block += item.tag in _SCOPES
+        elif item.cut == 3:
+            if item.tag in _SCOPES:
+                block = last = last + 1
         else:
-            out.append([depth, f"{item.tag} {item.names}"])
-            mark = max(mark, item.main)
-            if item.tag not in _INLINE:
-                block += 1
-                stack.append((None, 0, 0))
+            first_cut = item.cut and mark >= 0
+            own = -1 if item.cut or mark < 0 else item.main
+            out.append([depth, f"{item.tag} {item.names}", own])
+            mark = max(mark, own) if own >= 0 else -1
+            if first_cut:
+                stack.append((None, 0, None if item.tag in _SCOPES else (block, space)))
+                block = last = last + 1
+            elif item.tag not in _INLINE:
+                stack.append((None, 0, None))
+                block = last = last + 1
             stack.extend((c, depth + 1, mark) for c in reversed(item.children))
     kept, below = [], -1
     for item in reversed(out):
@@ -350,7 +375,7 @@ class _Matcher:
         return np.array([rows[x] for x in xs], np.int64)
 
     def pairs(self, a: list, b: list, na: dict, nb: dict) -> list:
-        """The pairs of leaves of a largest matching; of equal ones, one that
+        """The pairs of nodes of a largest matching; of equal ones, one that
         pairs more equal subtrees."""
         out, stack = [], [(a, b)]
         while stack:
@@ -361,8 +386,12 @@ class _Matcher:
                 continue
             if x[0] != y[0]:
                 continue
+            out.append((x, y))
             xs, ys = x[1], y[1]
             left, right = [na[id(c)] for c in xs], [nb[id(c)] for c in ys]
+            if [s for s, _ in left] == [s for s, _ in right]:
+                stack.extend(zip(xs, ys))  # the only matching of all nodes
+                continue
             # equal ends align by themselves and keep the table small
             _, _, head, tail = _without_ends([f for _, f in left], [f for _, f in right])
             if (len(xs) - head - tail) * (len(ys) - head - tail) > TABLE_CELLS:
@@ -413,23 +442,33 @@ def _table(weights: np.ndarray) -> np.ndarray:
 
 def match(a: list, b: list, matcher: _Matcher | None = None) -> tuple[int, list]:
     """Simple tree matching: the largest number of node pairs of two ordered
-    trees that keep labels, order and ancestry; and the pairs of leaves."""
+    trees that keep labels, order and ancestry; and these pairs."""
     matcher = matcher or _Matcher()
     na, nb = matcher.number(a), matcher.number(b)
     return matcher.score(na[id(a)][0], nb[id(b)][0]), matcher.pairs(a, b, na, nb)
 
 
-def _number_leaves(tree: list) -> list:
+def _in_order(tree: list) -> list:
+    """The nodes in page order: as the items of the compact tree."""
     out, stack = [], [tree]
     while stack:
         node = stack.pop()
-        if _is_leaf(node):
-            out.append(node)
-        else:
+        out.append(node)
+        if not _is_leaf(node):
             stack.extend(reversed(node[1]))
     return out
 
 
+def _lengths(items: list) -> list[int]:
+    """Characters of the uncut texts at or below each item."""
+    out, sums = [], {}
+    for item in reversed(items):
+        n = sums.pop(item[0] + 1, 0) if len(item) == 3 else len(item[1]) if item[3] >= 0 else 0
+        sums[item[0]] = sums.get(item[0], 0) + n
+        out.append(n)
+    return out[::-1]
+
+
 def _pack(tree: list) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(json.dumps(tree, ensure_ascii=False)
                                                       .encode("utf-8", "surrogatepass"))
@@ -439,10 +478,10 @@ def _unpack(packed: bytes) -> list:
     return json.loads(zstandard.ZstdDecompressor().decompress(packed).decode("utf-8", "surrogatepass"))
 
 
-def _parse_pages(batches):
+def _parse_pages(batches, names: bool):
     """The packed compact tree of each page, null without a text, and its digest."""
     for batch in batches:
-        trees = [compact(parse(html)) for html in batch.column("html").to_pylist()]
+        trees = [compact(parse(html, names)) for html in batch.column("html").to_pylist()]
         packed = [_pack(t) if t else None for t in trees]
         keys = [p and hashlib.blake2b(p, digest_size=16).digest() for p in packed]
         yield pa.RecordBatch.from_arrays(
@@ -457,68 +496,155 @@ class _Aligner:
     def __init__(self):
         self.matcher, self.seeds = _Matcher(), {}
 
-    def slots(self, items: list, seed: bytes) -> list[tuple[int, bool]]:
-        """For each text of the page its node in the seed (-1: none), and
-        whether it equals the text there."""
+    def slots(self, items: list, seed: bytes) -> list[int]:
+        """For each item of the page 2 * its node in the seed + (equal text, or
+        equal shape of an element, there); -1 without a node."""
         if self.matcher.crowded():
             self.__init__()
         if seed not in self.seeds:
             tree = nested(_unpack(seed))
             self.seeds[seed] = (tree, self.matcher.number(tree),
-                                {id(leaf): i for i, leaf in enumerate(_number_leaves(tree))})
+                                {id(node): i for i, node in enumerate(_in_order(tree))})
         first, numbers, nodes = self.seeds[seed]
         page = nested(items)
-        partner = {id(y): x for x, y in
-                   self.matcher.pairs(first, page, numbers, self.matcher.number(page))}
-        return [(nodes[id(x)], x[0].strip() == leaf[0].strip()) if (x := partner.get(id(leaf))) else (-1, False)
-                for leaf in _number_leaves(page)]
+        own = self.matcher.number(page)
+        partner = {id(y): x for x, y in self.matcher.pairs(first, page, numbers, own)}
+        out = []
+        for node in _in_order(page):
+            x = partner.get(id(node))
+            if x is None:
+                out.append(-1)
+            else:
+                same = (x[0].strip() == node[0].strip() if _is_leaf(node)
+                        else numbers[id(x)][0] == own[id(node)][0])
+                out.append(2 * nodes[id(x)] + same)
+        return out
 
 
 def _align(batches):
-    """(host, tree_key, slots): the nodes of the host's seed that a page's
-    texts are aligned with, each as 2 * node + (equal to the text there)."""
+    """The pages with the slots and lengths of their items; ``first`` on one
+    row of each tree of a host and batch."""
     aligner = _Aligner()
     for batch in batches:
-        first = {}  # each tree of a host once
-        for at, key in enumerate(zip(batch.column("host").to_pylist(), batch.column("tree_key").to_pylist())):
-            first.setdefault(key, at)
-        batch = batch.take(pa.array(first.values(), pa.int64()))
-        out = [[2 * node + same for node, same in aligner.slots(_unpack(tree), seed) if node >= 0]
-               for tree, seed in zip(batch.column("tree").to_pylist(), batch.column("seed").to_pylist())]
+        done: dict = {}
+        first, slots, lengths = [], [], []
+        for host, key, tree, seed in zip(*(batch.column(c).to_pylist() for c in ("host", "tree_key", "tree", "seed"))):
+            first.append(tree is not None and (host, key) not in done)
+            if first[-1]:
+                items = _unpack(tree)
+                done[host, key] = aligner.slots(items, seed), _lengths(items)
+            one = done[host, key] if tree is not None else (None, None)
+            slots.append(one[0])
+            lengths.append(one[1])
+        names = ["page_id", "url", "host", "tree", "tree_key"]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("host"), batch.column("tree_key"), pa.array(out, pa.list_(pa.int32()))],
-            ["host", "tree_key", "slots"])
-
-
-def content(items: list, slots: list[tuple[int, bool]], decided: dict[int, bool]) -> str:
-    """The page's text. ``decided``: the seed's nodes that enough pages have,
-    and whether their text is constant."""
+            [*(batch.column(c) for c in names), pa.array(first, pa.bool_()),
+             pa.array(slots, pa.list_(pa.int32())), pa.array(lengths, pa.list_(pa.int32()))],
+            [*names, "first", "slots", "lengths"])
+
+
+def region(items: list, decided: dict[int, tuple[bool, float]]) -> int:
+    """The seed's element that holds its host's articles, -1 if the shapes do
+    not tell. ``decided``: the nodes that enough pages have, with whether they
+    are constant (or of a fixed shape) and their mean length."""
+    at, path = 0, []
+    while at not in path:
+        if at not in decided or decided[at][0]:
+            return -1
+        path.append(at)
+        below = []
+        for i in range(at + 1, len(items)):
+            if items[i][0] <= items[at][0]:
+                break
+            if (items[i][0] == items[at][0] + 1 and len(items[i]) == 3 and items[i][2] >= 0
+                    and i in decided and not decided[i][0]):
+                below.append(i)
+        longest = max(below, key=lambda i: decided[i][1], default=at)
+        if 2 * decided[longest][1] >= decided[at][1]:
+            at = longest
+    marks = [items[i][2] for i in path]
+    if max(marks) > 0:
+        at = path[marks.index(max(marks))]
+    elif any(len(i) == 4 and i[3] > 0 for i in items):
+        return -1
+    return -1 if items[at][1].split(" ")[0] in ("#root", "html", "body") else at
+
+
+def outside(items: list, slots: list[int], at: int) -> set[int]:
+    """The numbers of the page's texts that are not in the host's region nor in
+    an ``h1``; none if the page has no such region, or a stronger mark elsewhere."""
+    out, n, within, title, found = set(), -1, None, None, False
+    marks = {True: -1, False: -1}
+    for item, slot in zip(items, slots):
+        if within is not None and item[0] <= within:
+            within = None
+        if title is not None and item[0] <= title:
+            title = None
+        if len(item) == 4:
+            n += 1
+            inside = within is not None
+            marks[inside] = max(marks[inside], item[3])
+            if not inside and title is None:
+                out.add(n)
+        elif slot >= 0 and slot >> 1 == at:
+            within, found = item[0], True
+        elif title is None and item[1].startswith("h1 "):
+            title = item[0]
+    return out if found and marks[True] >= max(marks[False], 0) else set()
+
+
+def content(items: list, slots: list[tuple[int, bool]], decided: dict[int, bool],
+            beside: frozenset[int] | set[int] = frozenset()) -> str:
+    """The page's text. ``slots``: (node, equal) of each text; ``decided``: the
+    seed's nodes that enough pages have, and whether their text is constant;
+    ``beside``: the numbers of the texts outside the region."""
     texts = [i for i in items if len(i) == 4]
     best = max(t[3] for t in texts)
     wanted = set()  # a block with any content is content as a whole
-    for text, (node, same) in zip(texts, slots):
+    for n, (text, (node, same)) in enumerate(zip(texts, slots)):
+        if text[3] < 0 or n in beside:
+            continue
         varies = not (same and decided[node]) if node in decided else text[3] == best
         if varies and (text[3] or not best):
             wanted.add(text[2])
-    if best and not any(t[3] == best and t[2] in wanted for t in texts):
+    if best > 0 and not any(t[3] == best and t[2] in wanted for t in texts):
         wanted.update(t[2] for t in texts if t[3] == best)
     return join_blocks([(t[1], t[2]) for t in texts if t[2] in wanted])
 
 
+def _induce(batches):
+    """(host, wrapper): the region and the constant and the varying nodes of a
+    host's seed, as packed JSON."""
+    for batch in batches:
+        out = []
+        for seed, decided in zip(batch.column("seed").to_pylist(), batch.column("decided").to_pylist()):
+            known = {d["slot"] // 2: (d["slot"] % 2 == 1, d["length"]) for d in decided or ()}
+            out.append(_pack([region(_unpack(seed), known),
+                              sorted([node, int(constant)] for node, (constant, _) in known.items())]))
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(out, pa.binary())], ["host", "wrapper"])
+
+
 def _assemble(batches):
-    aligner = _Aligner()
+    wrappers: dict = {}
     for batch in batches:
         texts, done = [], {}
-        for tree, seed, decided in zip(batch.column("tree").to_pylist(), batch.column("seed").to_pylist(),
-                                       batch.column("decided").to_pylist()):
+        for host, key, tree, slots, wrapper in zip(
+                *(batch.column(c).to_pylist() for c in ("host", "tree_key", "tree", "slots", "wrapper"))):
             if tree is None:
                 texts.append("")
                 continue
-            if (tree, seed) not in done:
+            if (host, key) not in done:
+                if host not in wrappers:
+                    if len(wrappers) >= REMEMBERED // 100:
+                        wrappers.clear()
+                    at, nodes = _unpack(wrapper)
+                    wrappers[host] = at, {node: constant == 1 for node, constant in nodes}
+                at, decided = wrappers[host]
                 items = _unpack(tree)
-                done[tree, seed] = content(items, aligner.slots(items, seed),
-                                           {s // 2: s % 2 == 1 for s in decided or ()})
-            texts.append(done[tree, seed])
+                of_texts = [(s >> 1, s & 1 == 1) for i, s in zip(items, slots) if len(i) == 4]
+                done[host, key] = content(items, of_texts, decided,
+                                          outside(items, slots, at) if at >= 0 else frozenset())
+            texts.append(done[host, key])
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
             ["page_id", "url", "text"])
@@ -532,27 +658,32 @@ def _small(table: DataFrame, *columns: str) -> DataFrame:
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
-            html_col: str = "html") -> DataFrame:
+            html_col: str = "html", names: bool = True) -> DataFrame:
     """(page_id, url, text, n_chars) per row of ``pages``."""
     url = F.col(url_col).cast("string")
     rows = pages.select(F.col(id_col).alias("page_id"), url.alias("url"), host_of(url).alias("host"),
                         F.col(html_col).cast("string").alias("html"))
     id_type = rows.schema["page_id"].dataType.simpleString()
-    parsed = written(map_arrow(rows, _parse_pages, f"page_id {id_type}, url string, host string, "
-                                                   "tree binary, tree_key binary"), "html-parsed")
+    page = f"page_id {id_type}, url string, host string, tree binary, tree_key binary"
+    parsed = written(map_arrow(rows, functools.partial(_parse_pages, names=names), page), "html-parsed")
     seeds = written(parsed.where("tree is not null").groupBy("host").agg(
         F.min_by("tree", F.struct(F.col("page_id").isNull(), "page_id", "tree")).alias("seed")), "html-seeds")
-    aligned = map_arrow(parsed.where("tree is not null").join(_small(seeds, "seed"), "host")
-                        .select("host", "tree_key", "tree", "seed"), _align,
-                        "host string, tree_key binary, slots array<int>")
+    aligned = written(map_arrow(parsed.join(_small(seeds, "seed"), "host", "left"), _align,
+                                f"{page}, first boolean, slots array<int>, lengths array<int>"), "html-aligned")
     # copies of a tree count once
-    nodes = (aligned.dropDuplicates(["host", "tree_key"]).select("host", F.explode("slots").alias("slot"))
-             .groupBy("host", F.shiftright("slot", 1).alias("node"))
-             .agg(F.count(F.lit(1)).alias("pages"), F.sum(F.col("slot") % 2).alias("same"))
+    nodes = (aligned.where("first").dropDuplicates(["host", "tree_key"])
+             .select("host", F.explode(F.arrays_zip("slots", "lengths")).alias("item"))
+             .where("item.slots >= 0")
+             .groupBy("host", F.shiftright("item.slots", 1).alias("node"))
+             .agg(F.count(F.lit(1)).alias("pages"), F.sum(F.col("item.slots") % 2).alias("same"),
+                  F.avg("item.lengths").alias("length"))
              .where(F.col("pages") >= MIN_PAGES))
     constant = (F.col("same") >= CONSTANT * F.col("pages")).cast("int")
-    decided = nodes.groupBy("host").agg(F.collect_set(2 * F.col("node") + constant).alias("decided"))
-    wrappers = _small(written(seeds.join(decided, "host", "left"), "html-wrappers"), "seed")
-    done = map_arrow(parsed.join(wrappers, "host", "left").select("page_id", "url", "tree", "seed", "decided"),
+    decided = nodes.groupBy("host").agg(
+        F.collect_list(F.struct((2 * F.col("node") + constant).alias("slot"), "length")).alias("decided"))
+    wrappers = _small(written(map_arrow(seeds.join(decided, "host", "left"), _induce,
+                                        "host string, wrapper binary"), "html-wrappers"), "wrapper")
+    done = map_arrow(aligned.join(wrappers, "host", "left").select("page_id", "url", "host", "tree", "tree_key",
+                                                                   "slots", "wrapper"),
                      _assemble, f"page_id {id_type}, url string, text string")
     return done.withColumn("n_chars", F.char_length("text").cast("long"))
