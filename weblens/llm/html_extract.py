@@ -38,8 +38,9 @@ declarations are skipped and nesting may have any depth; a page
 without ``://`` in its url, or with a null url, belongs to the host ``""``; on a
 host with fewer than ``MIN_PAGES`` different trees nothing is template; rows
 repeat with equal results, as copies of a tree count once; the first page of a
-host is the one with the smallest id (null ids last) among those with a text,
-ties by tree; other columns are ignored; an empty
+host is the one with the smallest id (null ids last) among those with a text
+outside tags, scripts and styles, ties by html; a host whose first page parses
+to no text all the same has no template; other columns are ignored; an empty
 table gives an empty table.
 """
 
@@ -101,6 +102,8 @@ _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr
 _SCOPES = {"ul", "ol", "dl", "table", "article", "main", "section", "div", "body", "blockquote", "td",
            "th", "aside", "nav", "form", "header", "footer"}
 _WORD = re.compile(r"[a-z]+")
+#: What a page may hold besides texts, for the choice of first pages.
+_NO_TEXT = r"(?is)<(head|title|script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&nbsp;"
 
 
 @functools.lru_cache(4096)
@@ -478,16 +481,12 @@ def _unpack(packed: bytes) -> list:
     return json.loads(zstandard.ZstdDecompressor().decompress(packed).decode("utf-8", "surrogatepass"))
 
 
-def _parse_pages(batches, names: bool):
-    """The packed compact tree of each page, null without a text, and its digest."""
+def _pack_seeds(batches, names: bool):
+    """(host, seed): the packed compact tree of each host's first page, null without a text."""
     for batch in batches:
         trees = [compact(parse(html, names)) for html in batch.column("html").to_pylist()]
-        packed = [_pack(t) if t else None for t in trees]
-        keys = [p and hashlib.blake2b(p, digest_size=16).digest() for p in packed]
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in ("page_id", "url", "host")),
-             pa.array(packed, pa.binary()), pa.array(keys, pa.binary())],
-            ["page_id", "url", "host", "tree", "tree_key"])
+            [batch.column("host"), pa.array([_pack(t) if t else None for t in trees], pa.binary())], ["host", "seed"])
 
 
 class _Aligner:
@@ -521,26 +520,31 @@ class _Aligner:
         return out
 
 
-def _align(batches):
-    """The pages with the slots and lengths of their items; ``first`` on one
-    row of each tree of a host and batch."""
+def _align(batches, names: bool):
+    """The packed trees of the pages, null without a text, their digests, and
+    the slots and lengths of their items; ``first`` on one row of each tree of a
+    host and batch."""
     aligner = _Aligner()
     for batch in batches:
-        done: dict = {}
-        first, slots, lengths = [], [], []
-        for host, key, tree, seed in zip(*(batch.column(c).to_pylist() for c in ("host", "tree_key", "tree", "seed"))):
-            first.append(tree is not None and (host, key) not in done)
-            if first[-1]:
-                items = _unpack(tree)
-                done[host, key] = aligner.slots(items, seed), _lengths(items)
-            one = done[host, key] if tree is not None else (None, None)
-            slots.append(one[0])
-            lengths.append(one[1])
-        names = ["page_id", "url", "host", "tree", "tree_key"]
+        done: dict = {}  # each page of a host once
+        seen, out = set(), []
+        for host, html, seed in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "seed"))):
+            if (host, html) not in done:
+                items = compact(parse(html, names))
+                tree = _pack(items) if items else None
+                done[host, html] = (
+                    (tree, hashlib.blake2b(tree, digest_size=16).digest(),
+                     aligner.slots(items, seed) if seed else [-1] * len(items), _lengths(items))
+                    if items else (None, None, None, None))
+            tree, key, slots, lengths = done[host, html]
+            out.append((tree, key, key is not None and (host, key) not in seen, slots, lengths))
+            seen.add((host, key))
+        ints = pa.list_(pa.int32())
+        types = (pa.binary(), pa.binary(), pa.bool_(), ints, ints)
         yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in names), pa.array(first, pa.bool_()),
-             pa.array(slots, pa.list_(pa.int32())), pa.array(lengths, pa.list_(pa.int32()))],
-            [*names, "first", "slots", "lengths"])
+            [*(batch.column(c) for c in ("page_id", "url", "host")),
+             *(pa.array([o[i] for o in out], t) for i, t in enumerate(types))],
+            ["page_id", "url", "host", "tree", "tree_key", "first", "slots", "lengths"])
 
 
 def region(items: list, decided: dict[int, tuple[bool, float]]) -> int:
@@ -619,7 +623,7 @@ def _induce(batches):
         out = []
         for seed, decided in zip(batch.column("seed").to_pylist(), batch.column("decided").to_pylist()):
             known = {d["slot"] // 2: (d["slot"] % 2 == 1, d["length"]) for d in decided or ()}
-            out.append(_pack([region(_unpack(seed), known),
+            out.append(_pack([region(_unpack(seed), known) if known else -1,
                               sorted([node, int(constant)] for node, (constant, _) in known.items())]))
         yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(out, pa.binary())], ["host", "wrapper"])
 
@@ -637,7 +641,7 @@ def _assemble(batches):
                 if host not in wrappers:
                     if len(wrappers) >= REMEMBERED // 100:
                         wrappers.clear()
-                    at, nodes = _unpack(wrapper)
+                    at, nodes = _unpack(wrapper) if wrapper else (-1, ())
                     wrappers[host] = at, {node: constant == 1 for node, constant in nodes}
                 at, decided = wrappers[host]
                 items = _unpack(tree)
@@ -664,12 +668,15 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rows = pages.select(F.col(id_col).alias("page_id"), url.alias("url"), host_of(url).alias("host"),
                         F.col(html_col).cast("string").alias("html"))
     id_type = rows.schema["page_id"].dataType.simpleString()
-    page = f"page_id {id_type}, url string, host string, tree binary, tree_key binary"
-    parsed = written(map_arrow(rows, functools.partial(_parse_pages, names=names), page), "html-parsed")
-    seeds = written(parsed.where("tree is not null").groupBy("host").agg(
-        F.min_by("tree", F.struct(F.col("page_id").isNull(), "page_id", "tree")).alias("seed")), "html-seeds")
-    aligned = written(map_arrow(parsed.join(_small(seeds, "seed"), "host", "left"), _align,
-                                f"{page}, first boolean, slots array<int>, lengths array<int>"), "html-aligned")
+    # one html a host and task is kept before the shuffle
+    firsts = (rows.where(F.regexp_replace("html", _NO_TEXT, " ").rlike(r"\S")).groupBy("host")
+              .agg(F.min(F.struct(F.col("page_id").isNull(), "page_id", "html"))["html"].alias("html")))
+    seeds = written(map_arrow(firsts, functools.partial(_pack_seeds, names=names), "host string, seed binary"),
+                    "html-seeds")
+    aligned = written(map_arrow(rows.join(_small(seeds, "seed"), "host", "left"),
+                                functools.partial(_align, names=names),
+                                f"page_id {id_type}, url string, host string, tree binary, tree_key binary, "
+                                "first boolean, slots array<int>, lengths array<int>"), "html-aligned")
     # copies of a tree count once
     nodes = (aligned.where("first").dropDuplicates(["host", "tree_key"])
              .select("host", F.explode(F.arrays_zip("slots", "lengths")).alias("item"))
