@@ -16,7 +16,7 @@ from weblens.operators import widetable  # noqa: E402
 from weblens.plans import registry  # noqa: E402
 from weblens.session import build_session  # noqa: E402
 
-NOTES = {"s3/s7 scan and point read of the stored table": "Reading the stored wide table (S3, S7): the day predicate prunes partitions (`PartitionFilters`), only the named columns are read (`ReadSchema`), and the row-key predicate reaches the Parquet reader (`PushedFilters`), where row-group statistics skip data.", 'j1_ip_range_join': 'Range join (J1). The range table is first rewritten into exact disjoint ranges (greatest begin <= ip wins, as the original binary search) and materialised once by a reliable checkpoint when the `RangeTable` is prepared, so the broadcast side below is a scan of that checkpoint (`Scan ExistingRDD`), not the rewrite itself. The fact side is never shuffled: the bucketed range table (at most 2^16 + N rows for disjoint ranges, counted once by `RangeTable`) is broadcast, and the `between` test is a residual condition of the hash join, so misses survive the left join. A plain `between` join plans as BroadcastNestedLoopJoin instead.', 'j3_distinct_ip_lookup': 'Distinct-first lookup (J3). Partial HashAggregate before the exchange collapses repeated addresses map-side, so a hot address never reaches one reducer whole. The distinct answers are counted and broadcast back to the fact rows.', 'a1_top_regions': 'Top-10 regions (A1) over the keyed table. Partial/final HashAggregate on (country, province), then TakeOrderedAndProject: a per-partition top-k and one small merge, with no global sort. Below it is the whole ETL of E1 in the same plan.', 'a5_upsert_latest': 'Last-write-wins per row key (A5). `max(struct(event_ts, status, ...))` needs a variable-width buffer, so Spark plans a sort-based aggregate; it is still partial before the exchange. Each map task reduces a hot key to one row, and the reducers get at most one row per key per map task. Sort-based aggregation spills instead of failing.', 'r3_cells_to_rows': 'Cells back to rows (R3), with the pivot values given. The extra exchange on `rowkey` appears only because the cells here come straight from an unpivot (Expand does not keep partitioning); cells read from storage take a single exchange.', 't4_order_rollup': 'Order rollup (T4) for both levels in one aggregation: `explode([day, day||hour])` then partial/final HashAggregate on the key. The same shape runs as the stateful streaming aggregate, with the state store between partial and final. A two-level batch form (hours, then days from hours, exchange reused) was measured slower at 100k and 1M rows.', 'k3 sorted cells before write': 'Sorted bulk write (K3). `repartitionByRange` samples key boundaries, so there is no single reducer, and each partition is sorted by (rowkey, qualifier). Every output file then holds a sorted, non-overlapping key range. Keys are unique after A5, so no range partition is skewed by a repeated key.', 'j1_dense_range_join': 'The same range join against one range per order (15,000 at sf0.01, 150,000 at sf0.1), as dense as a real IP table. The exploded side stays at most 2^16 + N rows and is still broadcast; the stride comes from a reused scalar subquery, not a join.'}
+NOTES = {"s3/s7 scan and point read of the stored table": "Reading the stored wide table (S3, S7): the day predicate prunes partitions (`PartitionFilters`), only the named columns are read (`ReadSchema`), and the row-key predicate reaches the Parquet reader (`PushedFilters`), where row-group statistics and, in clustered days, bloom filters skip data.", 'j1_ip_range_join': 'Range join (J1). The range table is first rewritten into exact disjoint ranges (greatest begin <= ip wins, as the original binary search) and written once when the `RangeTable` is prepared, so the broadcast side below is a scan of that table, not the rewrite itself. The fact side is never shuffled: the bucketed range table (at most 2^16 + N rows for disjoint ranges, measured once by `RangeTable`) is broadcast, and the `between` test is a residual condition of the hash join, so misses survive the left join. A plain `between` join plans as BroadcastNestedLoopJoin instead.', 'j3_distinct_ip_lookup': 'Distinct-first lookup (J3). Partial HashAggregate before the exchange collapses repeated addresses map-side, so a hot address never reaches one reducer whole. The distinct answers are written once, and broadcast back to the fact rows below a size that the write reports, else joined by shuffle.', 'a1_top_regions': 'Top-10 regions (A1) over the keyed table. Partial/final HashAggregate on (country, province), then TakeOrderedAndProject: a per-partition top-k and one small merge, with no global sort. Below it is the whole ETL of E1 in the same plan.', 'a5_upsert_latest': 'Last-write-wins per visit (A5), before the enrichment: the key is the visit\'s four texts, not the 32-bit row key. `max(struct(event_ts, status, ...))` needs a variable-width buffer, so Spark plans a sort-based aggregate; it is still partial before the exchange. Each map task reduces a hot key to one row, and the reducers get at most one row per key per map task. Sort-based aggregation spills instead of failing.', 'r3_cells_to_rows': 'Cells back to rows (R3), with the pivot values given. The extra exchange on `rowkey` appears only because the cells here come straight from an unpivot (Expand does not keep partitioning); cells read from storage take a single exchange.', 't4_order_rollup': 'Order rollup (T4) for both levels in one aggregation: `explode([day, day||hour])` then partial/final HashAggregate on the key. The stream runs the same aggregation on each micro-batch and adds its result to the written counter table. A two-level batch form (hours, then days from hours, exchange reused) was measured slower at 100k and 1M rows.', 'k3 sorted cells before write': 'Sorted bulk write (K3). `repartitionByRange` samples key boundaries, so there is no single reducer, and each partition is sorted by (rowkey, qualifier). Every output file then holds a sorted, non-overlapping key range. Rows that share a key are few after A5; raw cells take (row, qualifier, version, value) as the boundaries, so a hot row is spread.', 'j1_dense_range_join': 'The same range join against one range per order (15,000 at sf0.01, 150,000 at sf0.1), as dense as a real IP table. The exploded side stays at most 2^16 + N rows and is still broadcast; the stride comes from a reused scalar subquery, not a join.'}
 
 QUERIES = ["j1_ip_range_join", "j1_dense_range_join", "j3_distinct_ip_lookup", "a1_top_regions",
            "a5_upsert_latest", "r3_cells_to_rows", "t4_order_rollup"]
