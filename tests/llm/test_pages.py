@@ -279,3 +279,11 @@ def test_inline_cut_parts_keep_the_block():
         "<div hidden>no</div>end</article>"))
     texts = [i for i in items if len(i) == 4]
     assert html_extract.content(items, [(-1, False)] * len(texts), {}) == "Te xtst end"
+
+
+def test_first_pages_are_chosen_in_linear_time(spark):
+    rows = [("<p>a</p>" + "<!-- x " * 200_000, True), ("<1 " * 300_000, True), ("<head>" + "<title>" * 200_000, False),
+            ("<script>a<b" * 200_000, False), ("<!-- a --><header>b</header>", True), ("<title>a</title><img>", False)]
+    table = spark.createDataFrame(rows, "html string, text boolean")
+    got = table.select("text", F.regexp_replace("html", html_extract._NO_TEXT, " ").rlike(r"\S").alias("got")).collect()
+    assert all(r["text"] == r["got"] for r in got)

@@ -102,8 +102,10 @@ _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr
 _SCOPES = {"ul", "ol", "dl", "table", "article", "main", "section", "div", "body", "blockquote", "td",
            "th", "aside", "nav", "form", "header", "footer"}
 _WORD = re.compile(r"[a-z]+")
-#: What a page may hold besides texts, for the choice of first pages.
-_NO_TEXT = r"(?is)<(head|title|script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&nbsp;"
+#: What a page may hold besides texts, for the choice of first pages. Every
+#: opening that is not closed matches up to the end, so the time is linear.
+_NO_TEXT = (r"(?is)<(head|title|script|style|noscript|template)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)"
+            r"|<[^<>]*+>|&nbsp;")
 
 
 @functools.lru_cache(4096)
