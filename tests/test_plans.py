@@ -56,3 +56,28 @@ def test_fallback_paths_without_broadcast(spark):
     b = agents.classify(uas)
     # malformed lines have no agent: nulls are compared too
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+
+
+def test_a_line_is_made_once(spark):
+    # the test for parsable lines works on the parts, not on the line made again
+    plan = _plan(registry.a5_upsert_latest(spark, SF_SMALL))
+    tests = [ln for ln in plan.splitlines() if "Filter " in ln and "_toks" in ln]
+    assert tests and not any("malformed" in ln for ln in tests)
+
+
+def test_visits_are_sorted_by_a_hash_first(spark):
+    plan = _plan(registry.a5_upsert_latest(spark, SF_SMALL))
+    assert "Sort [_hash" in plan
+
+
+def test_wide_rows_are_compiled(spark):
+    # the JVM does not compile methods of more than 8,000 bytes of code
+    import re
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # its plans hold no code before they run
+    try:
+        query = registry._wide(spark, SF_SMALL)._jdf.queryExecution()
+        code = spark._jvm.PythonSQLUtils.explainString(query, "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000
