@@ -98,3 +98,8 @@ def test_equal_versions_resolve_deterministically(spark):
                                    ("k", "o", "ip", "z", 0)], wt.CELL_SCHEMA)
     assert wt.latest_cells(cells).first().value == "b"
     assert wt.from_cells(cells.repartition(3), ["ip"]).first().ip == "b"
+
+
+def test_latest_cells_are_sorted_by_a_hash_first(spark):
+    cells = wt.to_cells(_wide(spark))
+    assert "Sort [_hash" in wt.latest_cells(cells)._jdf.queryExecution().executedPlan().toString()
