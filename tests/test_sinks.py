@@ -189,3 +189,15 @@ def test_report_reads_its_input_once(spark):
     for df in rep.values():  # what is left to do reads the written aggregate only
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "InMemoryTableScan" not in plan and "event_id" not in plan
+
+
+def test_bulk_cells_deal_and_sort_rows_not_cells(spark):
+    wide = spark.createDataFrame([(f"20240101_{i * 7919 % 97}", f"v{i}", "200", f"10.0.0.{i}", None) for i in range(97)],
+                                 "rowkey string, visit string, status string, ip string, city string")
+    cells = tables.bulk_cells(wide, 3)
+    lines = cells._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    made = next(i for i, ln in enumerate(lines) if "Expand" in ln)
+    assert any("Sort" in ln for ln in lines[made:]) and not any("Sort" in ln or "Repartition" in ln for ln in lines[:made])
+    keys = [tuple(r) for r in cells.select("rowkey", "visit", "family", "qualifier").collect()]
+    assert keys == sorted(keys)  # the ranges follow each other
+    assert rows(cells) == rows(wt.stored_cells(wt.to_cells(wide)))
