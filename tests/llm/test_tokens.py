@@ -67,3 +67,18 @@ def test_rows_without_ids_whose_short_hashes_collide(spark):
              .where(F.size("t") > 1).first()["t"])
     docs = spark.createDataFrame([(None, t) for t in twins], "doc_id long, text string")
     _check_bpe(spark, docs, 0)
+
+
+def test_words_of_letters_are_not_split():
+    import pyarrow as pa
+
+    class Tok:
+        def pieces_of_lines(self, lines):
+            self.lines = lines
+            return [p for p in re.split(r"([a-z]+|\W)", lines) if p]
+
+    import re
+    tok = Tok()
+    pieces, size = bpe._split_joined(tok, pa.array(["ab", "c,", "é", "", "d.e", "f"]))
+    assert tok.lines == "c,\n\nd.e"
+    assert pieces.to_pylist() == ["ab", "c", ",", "é", "d", ".", "e", "f"] and size.tolist() == [1, 2, 1, 0, 3, 1]
