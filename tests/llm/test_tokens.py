@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -82,3 +83,26 @@ def test_words_of_letters_are_not_split():
     pieces, size = bpe._split_joined(tok, pa.array(["ab", "c,", "é", "", "d.e", "f"]))
     assert tok.lines == "c,\n\nd.e"
     assert pieces.to_pylist() == ["ab", "c", ",", "é", "d", ".", "e", "f"] and size.tolist() == [1, 2, 1, 0, 3, 1]
+
+
+def test_bpe_limits_what_workers_hold(spark):
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 1000) AS text")
+    bpe.encode(docs, WORD)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+    # 15 MB of texts in one task, in 3,000 rows, were one batch
+    assert max(r["n"] for r in docs.mapInArrow(sizes, "n long").collect()) < 2 * bpe.BATCH_BYTES
+    # the tokenizer that only cuts texts has no vocabulary
+    assert WordTokenizer(read_spec(WORD))._whole.get_vocab_size() == 0
+
+
+def test_bpe_keeps_the_sessions_own_batch_limit(spark):
+    before = spark.conf.get(bpe.BATCH_CONF, None)
+    try:
+        spark.conf.set(bpe.BATCH_CONF, "1000000")
+        bpe.encode(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), WORD)
+        assert spark.conf.get(bpe.BATCH_CONF) == "1000000"
+    finally:
+        spark.conf.unset(bpe.BATCH_CONF) if before is None else spark.conf.set(bpe.BATCH_CONF, before)
