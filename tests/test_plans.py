@@ -81,3 +81,15 @@ def test_wide_rows_are_compiled(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
     assert sizes and max(sizes) < 8000
+
+
+def test_a_replaced_day_is_counted_once(spark, monkeypatch):
+    # two writes of one statistic: neither may compute the day's visits again
+    plans, real = [], registry.tables.replace_day
+
+    def replace_day(stats, *args, **kw):
+        plans.append(_plan(stats))
+        real(stats, *args, **kw)
+    monkeypatch.setattr(registry.tables, "replace_day", replace_day)
+    assert registry.k4_replace_day(spark, SF_SMALL).count() > 0
+    assert len(plans) == 2 and not any("Aggregate" in p or "events" in p for p in plans)
