@@ -163,3 +163,22 @@ def test_admitted_moves_respect_room():
     assert 100 - may[1, 0] + may[0, 1] + may[2, 1] <= 102 and 100 + may[1, 0] - may[0, 1] <= 100
     # full shards may swap
     assert sharding._admitted({(0, 1): 50, (1, 0): 50}, {0: 100, 1: 100}, {0: 100, 1: 100}) == {(0, 1): 50, (1, 0): 50}
+
+
+def test_written_table_lets_go_of_its_plan(spark):
+    """Shuffle files of a written table lay beside the next ones when Python let go of the plan late."""
+    import gc
+    import threading
+    import time
+
+    from weblens.llm.common import until_gone, written
+
+    held = [spark.range(10)]
+    plan = spark._jvm.java.lang.ref.WeakReference(held[0]._jdf)
+    late = threading.Timer(2.5, held.clear)  # later than the second that was waited before
+    late.start()
+    began = time.monotonic()
+    assert until_gone(spark, plan) and plan.refersTo(None) and time.monotonic() - began >= 2.5
+    late.join()
+    gc.collect()
+    assert written(spark.range(10).groupBy("id").count(), "let-go", let_go=True).count() == 10

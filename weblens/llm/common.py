@@ -51,29 +51,50 @@ def free_memory() -> None:
         pass  # not this C library
 
 
-def written(df: DataFrame, name: str, wait: float = 0.0) -> DataFrame:
+#: Seconds that ``written`` waits at most for a plan to be let go.
+LET_GO = 15.0
+
+
+def written(df: DataFrame, name: str, let_go: bool = False) -> DataFrame:
     """Write ``df`` once under ``spark.checkpoint.dir`` and read it back: the
     lineage is cut and the rows survive the loss of any executor. The folder
-    is removed when the driver's JVM ends. ``wait``: as of
-    ``drop_unused_shuffles``."""
+    is removed when the driver's JVM ends. ``let_go``: return only when the
+    plan that was run is gone, so that its shuffle files are not on disk
+    together with the next ones; set it where they are large."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     # a copy: ``df`` itself, which the caller holds, never runs and keeps no shuffle
-    df.select("*").write.parquet(path)
+    copy = df.select("*")
+    plan = spark._jvm.java.lang.ref.WeakReference(copy._jdf)
+    copy.write.parquet(path)
+    del copy
     remove_on_exit(spark, path)
-    drop_unused_shuffles(spark, wait)
+    drop_unused_shuffles(spark)
+    if let_go:
+        until_gone(spark, plan)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_unused_shuffles(spark: SparkSession, wait: float = 0.0) -> None:
+def drop_unused_shuffles(spark: SparkSession) -> None:
     """Shuffle files go when the driver's JVM collects the plans that made
-    them; after a written table nothing refers to those below it. Python lets
-    go of its plans in the background: ``wait`` for that where much is on disk."""
+    them; after a written table nothing refers to those below it."""
     gc.collect()
-    time.sleep(wait)
     spark._jvm.System.gc()
 
 
+def until_gone(spark: SparkSession, plan) -> bool:
+    """Wait until the object of a Java weak reference is collected. Python lets
+    go of its plans in the background, after a second or more, so no fixed time
+    is enough."""
+    end = time.monotonic() + LET_GO
+    while not plan.refersTo(None):
+        if time.monotonic() > end:
+            return False
+        time.sleep(0.2)
+        drop_unused_shuffles(spark)
+    return True
+
+
 def remove_on_exit(spark: SparkSession, path: str) -> None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)

@@ -217,7 +217,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     salted = written(_salted(pairs), "minhash-pairs").select(
         F.col("a").alias("hub"), F.col("b").alias("rep"), "salt")
     return written(map_arrow(_with_hub(salted, sets), _confirm(percent), "a long, b long"),
-                   "minhash-links", wait=1.0)
+                   "minhash-links", let_go=True)
 
 
 def _salted(pairs: DataFrame) -> DataFrame:
@@ -245,10 +245,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     keys = classes.select("rep", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("hub")) \
         .where("n > 1")
-    members = written(keys.join(shared, "key").select("key", "rep", "hub"), "minhash-buckets", wait=1.0)
+    members = written(keys.join(shared, "key").select("key", "rep", "hub"), "minhash-buckets", let_go=True)
     involved = written(members.select(F.col("rep").alias("doc_id")).distinct(), "minhash-involved")
     texts = docs.join(involved, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    sets = written(map_arrow(texts, _sets(words), "rep long, shingles binary"), "minhash-sets", wait=1.0)
+    sets = written(map_arrow(texts, _sets(words), "rep long, shingles binary"), "minhash-sets", let_go=True)
 
     star = (members.where("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
             .distinct())
@@ -318,14 +318,15 @@ def _cross_pairs(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                                sets, "component"),
                      _differences(percent), "hub long, rep long, component long, element long, "
                                             "wide long, narrow long, d long, n long")
-    rows = written(rows, "minhash-differences", wait=1.0)
+    rows = written(rows, "minhash-differences", let_go=True)
     held = rows.groupBy("hub", "element").agg(F.count(F.lit(1)).alias("held"))
     rarest = Window.partitionBy("hub", "rep").orderBy("held", "element")  # one document's elements
     rows = (rows.join(held, ["hub", "element"])
             .withColumn("place", (F.row_number().over(rarest) - 1).cast("long"))
             .where(F.col("place") < F.greatest("wide", "narrow")))
     rows = written(rows.withColumn("wide", F.col("place") < F.col("wide"))
-                   .withColumn("narrow", F.col("place") < F.col("narrow")), "minhash-prefixes")
+                   .withColumn("narrow", F.col("place") < F.col("narrow")), "minhash-prefixes",
+                   let_go=True)
     side = lambda p, kind: rows.where(kind).select("hub", "element", *(
         F.col(c).alias(p + c) for c in ("rep", "component", "place", "d", "n")))
     # what the D's can have in common if this element is the first
