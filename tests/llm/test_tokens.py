@@ -106,3 +106,24 @@ def test_bpe_keeps_the_sessions_own_batch_limit(spark):
         assert spark.conf.get(bpe.BATCH_CONF) == "1000000"
     finally:
         spark.conf.unset(bpe.BATCH_CONF) if before is None else spark.conf.set(bpe.BATCH_CONF, before)
+
+
+def test_bpe_tasks_read_their_tables_without_a_copy():
+    """The frequent words and the vocabulary were Python objects of every worker."""
+    import tracemalloc
+
+    class Broadcast:
+        value = bpe._packed(pa.table({"word": [f"w{i}" for i in range(1 << 17)],
+                                      "ids": pa.array([b"\1\0\0\0"] * (1 << 17), pa.binary())}))
+
+    class Vocabulary:
+        value = bpe._packed(bpe._pieces_by_id(read_spec(WORD)))
+    tracemalloc.start()
+    words, pool = bpe._column(Broadcast, "word"), bpe._ids_of_code(bpe._column(Broadcast, "ids"))[0]
+    codes = bpe._code_of_word(words, pa.array(["w0", "none", "w131071"]))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([np.array([5, 9], "<u4").tobytes()])], ["doc_id", "ids"])
+    assert next(bpe._decode(Vocabulary)([batch])).num_rows == 1
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert codes.tolist() == [1, 0, 1 << 17] and len(pool) == 1 << 17 and (pool == 1).all()
+    assert most < 6_000_000  # numpy's starts and sizes; the words as a dict's keys take more
